@@ -334,3 +334,188 @@ def random_split(spark, sf_dir):
     train, test = splits.random_split(clean(spark, sf_dir), [0.8, 0.2], seed=42)
     return train.select(F.lit(0).alias("part")).unionByName(test.select(F.lit(1).alias("part"))) \
         .groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# --- features ----------------------------------------------------------------
+
+from pyspark.ml.feature import StringIndexerModel  # noqa: E402
+
+from roadframe.operators import evaluate, features, models  # noqa: E402
+from roadframe.plans import recipes  # noqa: E402
+
+_SPLIT_SQL = (f", sp AS (SELECT *, CASE WHEN {O.split_bucket_sql('crash_id')} < 80 THEN 0 ELSE 1 END AS part "
+              "FROM clean), tr AS (SELECT * FROM sp WHERE part = 0), te AS (SELECT * FROM sp WHERE part = 1)")
+_KEEP_COLS = ["borough", "zip_code", "time_segment"]
+
+
+def _train_test(spark, sf_dir):
+    return splits.stable_split(clean(spark, sf_dir), [0.8, 0.2], ["crash_id"], seed=42)
+
+
+def _rank_ctes(cols, source):
+    return "".join(f", r_{col} AS ({O.frequency_rank_sql(col, source, col)})" for col in cols)
+
+
+@register("index_categories_keep",
+    "WITH " + O.CLEAN_CTE + _SPLIT_SQL + _rank_ctes(_KEEP_COLS, "tr") +
+    " SELECT te.crash_id, " + ", ".join(
+        f"coalesce(r_{col}.{col}_idx, CAST((SELECT count(*) FROM r_{col}) AS DOUBLE)) AS {col}_idx"
+        for col in _KEEP_COLS) +
+    " FROM te " + " ".join(
+        f"LEFT JOIN r_{col} ON CAST(te.{col} AS VARCHAR) = r_{col}.{col}_value" for col in _KEEP_COLS))
+def index_categories_keep(spark, sf_dir):
+    """M1/M3: indexer fitted on the training part, applied to the test part;
+    values never seen in training get the extra index."""
+    train_df, test_df = _train_test(spark, sf_dir)
+    model = features.index_categories(_KEEP_COLS, invalid="keep").fit(train_df)
+    return model.transform(test_df).select("crash_id", *[col + "_idx" for col in _KEEP_COLS])
+
+
+_ERROR_COLS = ["borough", "day_of_week"]
+
+
+@register("index_categories_error",
+          "WITH " + O.CLEAN_CTE + _rank_ctes(_ERROR_COLS, "clean") +
+          " SELECT clean.crash_id, " + ", ".join(f"r_{col}.{col}_idx" for col in _ERROR_COLS) +
+          " FROM clean " + " ".join(
+              f"JOIN r_{col} ON CAST(clean.{col} AS VARCHAR) = r_{col}.{col}_value" for col in _ERROR_COLS))
+def index_categories_error(spark, sf_dir):
+    """M2: indexer in error mode, fitted and applied on the same frame."""
+    df = clean(spark, sf_dir)
+    model = features.index_categories(_ERROR_COLS, invalid="error").fit(df)
+    return model.transform(df).select("crash_id", *[col + "_idx" for col in _ERROR_COLS])
+
+
+@register("index_numeric_as_text",
+          "WITH " + O.CLEAN_CTE + ", r AS (" + O.frequency_rank_sql("zip_code", "clean", "zip_code") + ")"
+          " SELECT zip_code_value AS zip_code, zip_code_idx FROM r")
+def index_numeric_as_text(spark, sf_dir):
+    """M3: a numeric column indexed by its text: (value, index) per zip."""
+    df = clean(spark, sf_dir)
+    model = features.index_categories(["zip_code"], invalid="error").fit(df)
+    return features.index_mapping(model, df, "zip_code")
+
+
+@register("one_hot_slots",
+          "WITH " + O.CLEAN_CTE + _SPLIT_SQL + _rank_ctes(["zip_code"], "tr") +
+          _rank_ctes(["day_of_week"], "clean").replace("r_day_of_week", "rd") +
+          ", k AS (SELECT (SELECT count(*) FROM r_zip_code) AS kz, (SELECT count(*) FROM rd) AS kd)"
+          " SELECT te.crash_id,"
+          " CASE WHEN r_zip_code.zip_code_idx IS NULL THEN -1 ELSE CAST(r_zip_code.zip_code_idx AS INTEGER) END AS zip_slot,"
+          " CAST(k.kz AS INTEGER) AS zip_width,"
+          " CASE WHEN rd.day_of_week_idx < k.kd - 1 THEN CAST(rd.day_of_week_idx AS INTEGER) ELSE -1 END AS dow_slot,"
+          " CAST(k.kd - 1 AS INTEGER) AS dow_width"
+          " FROM te CROSS JOIN k"
+          " LEFT JOIN r_zip_code ON CAST(te.zip_code AS VARCHAR) = r_zip_code.zip_code_value"
+          " JOIN rd ON CAST(te.day_of_week AS VARCHAR) = rd.day_of_week_value")
+def one_hot_slots(spark, sf_dir):
+    """M4: one-hot slots with drop-last. Keep-mode indexer (zip, fitted on
+    the training part): k labels give k slots, unseen is all zeros. Error-mode
+    indexer (day of week, fitted on all rows): k labels give k-1 slots, the
+    least frequent label is all zeros."""
+    train_df, test_df = _train_test(spark, sf_dir)
+    zip_model = features.index_categories(["zip_code"], invalid="keep").fit(train_df)
+    dow_model = features.index_categories(["day_of_week"], invalid="error").fit(clean(spark, sf_dir))
+    df = dow_model.transform(zip_model.transform(test_df))
+    enc = features.one_hot(["zip_code_idx", "day_of_week_idx"], ["zip_ohe", "dow_ohe"]).fit(df)
+    out = enc.transform(df)
+    return out.select(
+        "crash_id",
+        features.one_hot_slot("zip_ohe").alias("zip_slot"), features.vector_width("zip_ohe").alias("zip_width"),
+        features.one_hot_slot("dow_ohe").alias("dow_slot"), features.vector_width("dow_ohe").alias("dow_width"),
+    )
+
+
+_ASSEMBLED = ["zip_code", "total_injured", "total_killed", "total_cars", "fatality_rate"]
+
+
+@register("assemble_skip", O.with_derived(
+    "SELECT * FROM (SELECT d_key AS crash_id, CAST(TRY_CAST(\"ZIP CODE\" AS INTEGER) AS DOUBLE) AS e0, "
+    "CAST(d_injured AS DOUBLE) AS e1, CAST(d_killed AS DOUBLE) AS e2, CAST(d_cars AS DOUBLE) AS e3, "
+    "CAST(d_rate AS DOUBLE) AS e4 FROM derived) "
+    "WHERE e0 IS NOT NULL AND e1 IS NOT NULL AND e2 IS NOT NULL AND e3 IS NOT NULL AND e4 IS NOT NULL"))
+def assemble_skip(spark, sf_dir):
+    """M5/M6: assemble five columns into a vector, skipping rows with nulls."""
+    df = cleaning.derive_features(key(raw(spark, sf_dir)))
+    df = df.withColumn("zip_code", X.to_int(S.ZIP_CODE)).select("crash_id", *_ASSEMBLED)
+    vec = features.assemble(_ASSEMBLED, "features", invalid="skip").transform(df)
+    arr = features.vector_elements("features")
+    return vec.select("crash_id", *[arr[i].alias(f"e{i}") for i in range(len(_ASSEMBLED))])
+
+
+# --- metrics ----------------------------------------------------------------
+# The metric operators are checked on a deterministic stand-in prediction
+# that both engines can compute: the most frequent segment of the crash's
+# borough (ties by name) and the borough's mean injured count.
+
+def _majority_prediction(df, group, target):
+    counts = df.groupBy(group, target).agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy(group).agg(F.min(F.struct((-F.col("n")).alias("neg_n"), F.col(target))).alias("b"))
+    return df.join(best.select(group, F.col(f"b.{target}").alias("predicted")), group)
+
+
+@register("classification_metrics", O.with_clean(
+    ", m AS (SELECT borough, time_segment AS predicted FROM (SELECT borough, time_segment, count(*) AS n "
+    "FROM clean GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY borough ORDER BY n DESC, time_segment) = 1)"
+    " SELECT 'accuracy' AS metric, round(avg(CASE WHEN c.time_segment = m.predicted THEN 1.0 ELSE 0.0 END), 6) AS value"
+    " FROM clean c JOIN m ON c.borough = m.borough"))
+def classification_metrics(spark, sf_dir):
+    """Accuracy of indexed predictions against indexed labels."""
+    df = _majority_prediction(clean(spark, sf_dir), "borough", "time_segment")
+    idx = features.index_categories(["time_segment"], ["label"], invalid="keep").fit(df)
+    scored = idx.transform(df)
+    # the predicted text is indexed in the label indexer's order
+    as_label = StringIndexerModel.from_labels(idx.labelsArray[0], inputCol="predicted",
+                                              outputCol="prediction", handleInvalid="keep")
+    return evaluate.classification_metrics(as_label.transform(scored), "label", "prediction", digits=6)
+
+
+@register("regression_metrics", O.with_clean(
+    ", m AS (SELECT borough, avg(CAST(total_injured AS DOUBLE)) AS predicted FROM clean GROUP BY 1),"
+    " e AS (SELECT CAST(c.total_injured AS DOUBLE) AS y, m.predicted AS p FROM clean c JOIN m ON c.borough = m.borough)"
+    " SELECT 'rmse' AS metric, round(sqrt(avg((y - p) * (y - p))), 6) AS value FROM e"
+    " UNION ALL SELECT 'r2' AS metric, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS value FROM e"))
+def regression_metrics(spark, sf_dir):
+    """RMSE and R2 in one aggregation pass."""
+    df = clean(spark, sf_dir)
+    means = df.groupBy("borough").agg(F.avg(F.col("total_injured").cast("double")).alias("prediction"))
+    return evaluate.regression_metrics(df.join(means, "borough"), "total_injured", "prediction", digits=6)
+
+
+# --- models ----------------------------------------------------------------
+
+def _model_query(name):
+    def run(spark, sf_dir):
+        return recipes.run_recipe(clean(spark, sf_dir), name).metrics()
+    run.__doc__ = f"Recipe {name}: fit on the training part, metrics on the test part."
+    return run
+
+
+for _name in recipes.RECIPES:
+    register(f"model_{_name}")(_model_query(_name))
+
+
+@register("prediction_pairs")
+def prediction_pairs(spark, sf_dir):
+    """Actual vs predicted main factor for the first ten test crashes."""
+    run = recipes.run_recipe(clean(spark, sf_dir), "3")
+    return models.prediction_pairs(run.scored, "main_reason", run.label_list(), n=10,
+                                   order_by=["crash_id"], keep=["crash_id"])
+
+
+@register("feature_importance")
+def feature_importance(spark, sf_dir):
+    """Importances of the recipe-5 tree, named from vector metadata."""
+    run = recipes.run_recipe(clean(spark, sf_dir), "5")
+    return models.feature_importance(spark, run.model, run.scored)
+
+
+@register("cross_validate")
+def cross_validate(spark, sf_dir):
+    """5-fold cross-validation of recipe 1a over trees {3, 5} x depth {2, 3}."""
+    recipe = recipes.RECIPES["1a"]
+    train_df, _ = recipes.split(recipes.model_input(clean(spark, sf_dir), recipe), recipe)
+    train_df = models.materialize(train_df, "cv-train")
+    stage_list, label_col = recipes.stages(recipe)
+    return models.cross_validate(spark, stage_list, train_df, {"numTrees": [3, 5], "maxDepth": [2, 3]},
+                                 label=label_col, metric="accuracy", folds=5, seed=42)
