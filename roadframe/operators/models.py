@@ -59,10 +59,20 @@ def materialize(df: DataFrame, name: str = "model-input") -> DataFrame:
     executor costs a re-read, not a recompute from the source."""
     spark = df.sparkSession
     path = fresh_shared_path(spark, name)
-    df.write.parquet(path)
+    ensure_parallelism(df).write.parquet(path)
     return spark.read.parquet(path)
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` into at least ``min_partitions`` (default: the
+    cluster's default parallelism) when it has fewer, so iterative fits use
+    every core. Large inputs already have more partitions and pass as is."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def train(stages: Sequence, train_df: DataFrame) -> PipelineModel:
     """Chain the stages and fit them once on ``train_df``."""
     checkpoint_dir(train_df.sparkSession)  # tree node-id checkpoints need it

@@ -90,7 +90,11 @@ def landed_fixture(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> Da
     path = _LANDED.get(key)
     if path is None:
         path = fresh_shared_path(spark, f"fixture-{fmt}")
-        raw = crash_fixture(spark, load_table(spark, sf_dir, "orders"))
+        # one file per core, like a landed multi-file crash extract (the
+        # provided tables are single files, which would make every crash
+        # query a single task)
+        raw = crash_fixture(spark, load_table(spark, sf_dir, "orders")) \
+            .repartition(max(spark.sparkContext.defaultParallelism, 1))
         if fmt == "parquet":
             raw.write.parquet(path)
         elif fmt == "csv":
