@@ -318,6 +318,22 @@ def clean_pipeline(spark, sf_dir):
     return clean(spark, sf_dir)
 
 
+@register("clean_stream", O.with_clean("SELECT * FROM clean"))
+def clean_stream(spark, sf_dir):
+    """Entry 1 as a stream: the landed CSV files ingested by Structured
+    Streaming (available-now trigger) into a fresh Parquet sink, read back."""
+    from roadframe.session import fresh_shared_path
+    from roadframe.sources.fixture import landed_fixture_path
+    from roadframe.streaming.ingest import start_clean_ingest
+
+    sink = fresh_shared_path(spark, "clean-stream")
+    query = start_clean_ingest(spark, landed_fixture_path(spark, sf_dir, "csv"), sink)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return spark.read.schema(clean(spark, sf_dir).schema).parquet(sink)
+
+
 # --- splits ----------------------------------------------------------------
 
 @register("stable_split", O.with_clean(
@@ -340,7 +356,7 @@ def random_split(spark, sf_dir):
 
 from pyspark.ml.feature import StringIndexerModel  # noqa: E402
 
-from roadframe.operators import evaluate, features, models  # noqa: E402
+from roadframe.operators import evaluate, features, joins, models  # noqa: E402
 from roadframe.plans import recipes  # noqa: E402
 
 _SPLIT_SQL = (f", sp AS (SELECT *, CASE WHEN {O.split_bucket_sql('crash_id')} < 80 THEN 0 ELSE 1 END AS part "
@@ -451,7 +467,7 @@ def assemble_skip(spark, sf_dir):
 def _majority_prediction(df, group, target):
     counts = df.groupBy(group, target).agg(F.count(F.lit(1)).alias("n"))
     best = counts.groupBy(group).agg(F.min(F.struct((-F.col("n")).alias("neg_n"), F.col(target))).alias("b"))
-    return df.join(best.select(group, F.col(f"b.{target}").alias("predicted")), group)
+    return joins.join_summary(df, best.select(group, F.col(f"b.{target}").alias("predicted")), [group])
 
 
 @register("classification_metrics", O.with_clean(
@@ -479,7 +495,8 @@ def regression_metrics(spark, sf_dir):
     """RMSE and R2 in one aggregation pass."""
     df = clean(spark, sf_dir)
     means = df.groupBy("borough").agg(F.avg(F.col("total_injured").cast("double")).alias("prediction"))
-    return evaluate.regression_metrics(df.join(means, "borough"), "total_injured", "prediction", digits=6)
+    return evaluate.regression_metrics(joins.join_summary(df, means, ["borough"]), "total_injured",
+                                       "prediction", digits=6)
 
 
 # --- models ----------------------------------------------------------------

@@ -64,3 +64,13 @@ def test_random_split_covers(spark):
     df = spark.range(1000)
     parts = splits.random_split(df, [0.7, 0.3], seed=1)
     assert sum(p.count() for p in parts) == 1000
+
+
+def test_join_summary_broadcasts_only_under_bound(spark):
+    from roadframe.operators import joins
+    big = spark.range(3000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    summ = big.groupBy("k").agg(F.avg("v").alias("m"))
+    small_plan = joins.join_summary(big, summ, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in small_plan or "BroadcastExchange" in small_plan
+    capped = joins.join_summary(big, summ, ["k"], max_broadcast_rows=2)
+    assert capped.count() == 3000
