@@ -107,14 +107,19 @@ KEY = "crash_id"
 
 
 def model_input(clean: DataFrame, recipe: Recipe) -> DataFrame:
-    """The rows and columns a recipe trains on (key kept for the split)."""
+    """The rows and columns a recipe trains on: key, label and inputs only
+    (the key is kept for the split)."""
     df = clean
     if recipe.label == "main_reason" and "main_reason" not in df.columns:
         df = add_main_reason(df)
+    cols = [KEY, recipe.label, *recipe.categorical, *recipe.numeric]
     if recipe.dedup:
-        df = dedup.dedup_by_key(df, [KEY])
+        # one row per crash id, of any of its rows (projecting first is the
+        # same result and keeps the sort-based dedup narrow)
+        df = dedup.dedup_by_key(df.select(*cols), [KEY])
+    df = df.select(*cols)
     if recipe.select_and_dropna:
-        df = T.drop_incomplete(df.select(KEY, recipe.label, *recipe.categorical, *recipe.numeric))
+        df = T.drop_incomplete(df)
     return df
 
 
