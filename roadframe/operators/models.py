@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadframe.functions.columns import c
-from roadframe.session import checkpoint_dir, fresh_shared_path
+from roadframe.session import checkpoint_dir, default_parallelism, fresh_shared_path
 
 # Scale settings shared by all tree learners: node ids are cached on the
 # executors (and checkpointed every 10 iterations) instead of shipping
@@ -52,25 +52,30 @@ def tree_regressor(label: str, features: str = "features", max_depth: int = 5, m
                                  maxBins=max_bins, seed=seed, **{**TREE_SCALE_PARAMS, **params})
 
 
+# A written table with fewer files than cores is spread over the cores only
+# when it is at most this many rows, so that shuffle stays small.
+SPREAD_MAX_ROWS = 10_000_000
+
+
 def materialize(df: DataFrame, name: str = "model-input") -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it
     back: later passes (indexer fit, split search, tree levels) scan this
     narrow table instead of recomputing the whole lineage, and a lost
-    executor costs a re-read, not a recompute from the source."""
+    executor costs a re-read, not a recompute from the source.
+
+    Iterative fits run one task per input partition. A small table written
+    as few files (adaptive execution coalesces small shuffles into one
+    partition) is therefore spread over the cores; the shuffle this adds is
+    bounded by ``SPREAD_MAX_ROWS`` rows. Large tables are written by many
+    tasks and are read back as they are."""
     spark = df.sparkSession
     path = fresh_shared_path(spark, name)
-    ensure_parallelism(df).write.parquet(path)
-    return spark.read.parquet(path)
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` into at least ``min_partitions`` (default: the
-    cluster's default parallelism) when it has fewer, so iterative fits use
-    every core. Large inputs already have more partitions and pass as is."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    df.write.parquet(path)
+    back = spark.read.parquet(path)
+    cores = default_parallelism(spark)
+    if len(back.inputFiles()) < cores and back.count() <= SPREAD_MAX_ROWS:
+        return back.repartition(cores)
+    return back
 
 
 def train(stages: Sequence, train_df: DataFrame) -> PipelineModel:

@@ -83,6 +83,12 @@ def preview_rows(spark, sf_dir):
     return delimited.preview(clean(spark, sf_dir), 10, order_by=["crash_id"])
 
 
+@register("preview_first_row", O.with_clean("SELECT * FROM clean ORDER BY crash_id LIMIT 1"))
+def preview_first_row(spark, sf_dir):
+    """L2: the first clean row by crash id."""
+    return delimited.preview(clean(spark, sf_dir), 1, order_by=["crash_id"])
+
+
 # --- projections ----------------------------------------------------------------
 
 _MODEL_1_COLUMNS = ["time_segment", "borough", "total_cars", "month", "zip_code",
@@ -270,6 +276,14 @@ def distinct_counts(spark, sf_dir):
 _LINEITEM_DISTINCT = ["l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate"]
 
 
+@register("distinct_counts_approx")
+def distinct_counts_approx(spark, sf_dir):
+    """G1 approximate form: HyperLogLog++ sketches (relative error 1%), one
+    fixed-size sketch per task instead of a shuffle of distinct values."""
+    return profile.distinct_counts(load_table(spark, sf_dir, "lineitem"), _LINEITEM_DISTINCT,
+                                   approx=True, rsd=0.01)
+
+
 @register("distinct_counts_lineitem", "SELECT " + ", ".join(
     f"count(DISTINCT {c}) AS distinct_{c}" for c in _LINEITEM_DISTINCT) + " FROM lineitem")
 def distinct_counts_lineitem(spark, sf_dir):
@@ -318,6 +332,12 @@ def clean_pipeline(spark, sf_dir):
     return clean(spark, sf_dir)
 
 
+@register("clean_pipeline_epoch", O.with_clean("SELECT * FROM clean"))
+def clean_pipeline_epoch(spark, sf_dir):
+    """Entry 1 with the date parsed through epoch seconds and ISO text."""
+    return cleaning.clean_crashes(raw(spark, sf_dir), via_epoch=True)
+
+
 @register("clean_stream", O.with_clean("SELECT * FROM clean"))
 def clean_stream(spark, sf_dir):
     """Entry 1 as a stream: the landed CSV files ingested by Structured

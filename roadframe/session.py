@@ -46,11 +46,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     checkpoint dir). If neither is set, a private folder is created and
     registered, which is only appropriate for local runs and tests.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get(_CHECKPOINT_KEY, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without a local SparkContext
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+    configured = sc.getConf().get(_CHECKPOINT_KEY, None) if sc is not None else None
     if not configured:
         try:
             configured = spark.conf.get(_CHECKPOINT_KEY)
@@ -58,10 +62,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
             configured = None
     if not configured:
         configured = tempfile.mkdtemp(prefix="roadframe-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Number of task slots of the cluster (cores), as Spark reports it."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.default.parallelism", str(os.cpu_count() or 1)))
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder."""
     base = checkpoint_dir(spark)

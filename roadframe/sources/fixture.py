@@ -82,7 +82,7 @@ def landed_fixture(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> Da
     pushdown, pruning), and the lineage to ``orders`` is cut.
     ``fmt`` is ``parquet`` or ``csv`` (header row, all-string schema).
     """
-    from roadframe.session import checkpoint_dir, fresh_shared_path
+    from roadframe.session import checkpoint_dir, default_parallelism, fresh_shared_path
     from roadframe.sources.delimited import read_delimited, write_delimited
     from roadframe.sources.tables import load_table
 
@@ -94,7 +94,7 @@ def landed_fixture(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> Da
         # provided tables are single files, which would make every crash
         # query a single task)
         raw = crash_fixture(spark, load_table(spark, sf_dir, "orders")) \
-            .repartition(max(spark.sparkContext.defaultParallelism, 1))
+            .repartition(max(default_parallelism(spark), 1))
         if fmt == "parquet":
             raw.write.parquet(path)
         elif fmt == "csv":
