@@ -120,3 +120,19 @@ def test_clean_pipeline_edge_rows(spark):
     assert out[7]["factor_v2"] == "External Force / Reaction"  # null -> Unspecified -> bucket
     assert out[7]["day_of_week"] == 2 and out[7]["month"] == 3 and out[7]["year"] == 2021
     assert list(out[7].asDict()) == S.CLEAN_COLUMNS
+
+
+def test_reordered_pipeline_equals_stepwise(spark, sf_dir):
+    from roadframe.plans.cleaning import clean_crashes_stepwise
+    from roadframe.sources.fixture import landed_fixture
+    raw = landed_fixture(spark, sf_dir)
+    fast, slow = clean_crashes(raw), clean_crashes_stepwise(raw)
+    assert fast.columns == slow.columns
+    assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
+
+
+def test_clean_filter_tests_only_typed_fields(spark, sf_dir):
+    from roadframe.sources.fixture import landed_fixture
+    plan = clean_crashes(landed_fixture(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.split("\n") if "Filter" in line]
+    assert filters and all("Personal Motorist Issue" not in f and "round(" not in f for f in filters)
