@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 from roadframe.functions.columns import c
 from roadframe.session import checkpoint_dir, default_parallelism, fresh_shared_path
 
-# Scale settings shared by all tree learners: node ids are cached on the
-# executors (and checkpointed every 10 iterations) instead of shipping
-# every tree to every task per level; a larger histogram budget means
-# fewer passes over the data per tree level.
-TREE_SCALE_PARAMS = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 512}
+# Scale settings shared by all tree learners. A larger histogram budget
+# lets one pass over the data serve more nodes per tree level (fewer
+# passes for wide one-hot inputs). Node-id caching stays off: it stores
+# one id per row and tree (100 per row for a 100-tree forest) and pays off
+# only for deep trees, not depth 5; pass ``cacheNodeIds=True`` (with the
+# checkpoint interval below) for deep trees.
+TREE_SCALE_PARAMS = {"cacheNodeIds": False, "checkpointInterval": 10, "maxMemoryInMB": 512}
 
 
 def forest_classifier(label: str = "label", features: str = "features", num_trees: int = 100,

@@ -70,6 +70,15 @@ def scan_csv_inferred(spark, sf_dir):
     return delimited.read_delimited(spark, landed_fixture_path(spark, sf_dir, "csv"), infer=True)
 
 
+@register("clean_csv_inferred", O.with_clean("SELECT * FROM clean"))
+def clean_csv_inferred(spark, sf_dir):
+    """S1+S2 end to end: the crash CSV read with type inference, then the
+    cleaning pipeline (inferred int columns pass the int casts unchanged)."""
+    from roadframe.sources.fixture import landed_fixture_path
+    raw_inferred = delimited.read_delimited(spark, landed_fixture_path(spark, sf_dir, "csv"), infer=True)
+    return cleaning.clean_crashes(raw_inferred)
+
+
 @register("register_view", O.with_raw("SELECT count(*) AS n_rows FROM raw"))
 def register_view(spark, sf_dir):
     """S3: register the raw frame as a session view and count through it."""
