@@ -1,9 +1,9 @@
 """Tree-ensemble estimators, fitting, scoring, importances and
 cross-validation, all on Spark ML.
 
-Tree learning is Spark's own: executors build split histograms over
-binned rows and the driver only chooses splits, so the driver holds the
-model, never the data. Seeds are always set, so a fit repeats for the
+Tree learning is Spark's own: executors aggregate split statistics over
+binned rows and pick each node's best split; the driver only grows the
+trees, so it holds the model, never the data. Seeds are always set, so a fit repeats for the
 same input layout.
 """
 
