@@ -96,16 +96,17 @@ def prediction_pairs(predictions: DataFrame, label: str, labels: Sequence[str] |
                      keep: Sequence[str] = ()) -> DataFrame:
     """Actual vs predicted values for ``n`` rows (the top ``n`` by
     ``order_by`` when given). With ``labels`` (the label indexer's list) the
-    predicted index is also turned back into label text."""
-    df = predictions
+    predicted index is also turned back into label text, after the top ``n``
+    is taken, so the conversion runs on ``n`` rows only."""
     cols = [*keep, label, "prediction"]
-    if labels is not None:
-        df = IndexToString(inputCol="prediction", outputCol="predicted_label",
-                           labels=list(labels)).transform(df)
-        cols.append("predicted_label")
+    df = predictions
     if order_by:
         df = df.orderBy(*[c(o) for o in order_by])
-    return df.select(*[c(x) for x in cols]).limit(n)
+    top = df.select(*[c(x) for x in cols]).limit(n)
+    if labels is not None:
+        top = IndexToString(inputCol="prediction", outputCol="predicted_label",
+                            labels=list(labels)).transform(top)
+    return top
 
 
 def feature_importance(spark: SparkSession, model: PipelineModel, scored: DataFrame,
