@@ -60,3 +60,27 @@ def test_distinct_values_across_uses_partial_aggregation(spark, sf_dir):
     df = catalog.QUERIES["distinct_values_across"](spark, sf_dir)
     plan = plan_text(df)
     assert plan.count("HashAggregate") >= 2 and "collect_list" not in plan
+
+
+def test_land_as_parquet_round_trip(spark, sf_dir):
+    from roadframe.sources.delimited import land_as_parquet
+    out = tempfile.mkdtemp(prefix="landed-") + "/raw"
+    csv = landed_fixture_path(spark, sf_dir, "csv")
+    landed = land_as_parquet(spark, csv, out)
+    text = delimited.read_delimited(spark, csv)
+    assert landed.schema == text.schema
+    assert landed.exceptAll(text).count() == 0 and text.exceptAll(landed).count() == 0
+
+
+def test_join_summary_respects_disabled_broadcast(spark):
+    from pyspark.sql import functions as F
+    from roadframe.operators import joins
+    big = spark.range(100).select((F.col("id") % 3).alias("k"))
+    summ = big.groupBy("k").count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = joins.join_summary(big, summ, ["k"])._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert joins.broadcast_byte_limit(spark) > 0
