@@ -18,7 +18,6 @@ from pyspark.ml.feature import IndexToString
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from roadframe.functions.columns import c
 from roadframe.session import checkpoint_dir, default_parallelism, fresh_shared_path
@@ -150,14 +149,3 @@ def cross_validate(spark: SparkSession, stages: Sequence, train_df: DataFrame,
         desc = ", ".join(f"{p.name}={v}" for p, v in sorted(pmap.items(), key=lambda kv: kv[0].name))
         rows.append((desc, metric, float(value)))
     return spark.createDataFrame(rows, "params string, metric string, value double")
-
-
-def with_label_text(df: DataFrame, labels: Sequence[str], col: str = "prediction",
-                    out: str = "predicted_label") -> DataFrame:
-    """Index column -> label text."""
-    return IndexToString(inputCol=col, outputCol=out, labels=list(labels)).transform(df)
-
-
-def prediction_frame(scored: DataFrame, key: str, label: str) -> DataFrame:
-    """Key, label and prediction of a scored frame."""
-    return scored.select(c(key), c(label), F.col("prediction"))

@@ -84,9 +84,3 @@ def preview(df: DataFrame, n: int = 20, order_by: Sequence[str] | None = None) -
     if order_by:
         df = df.orderBy(*[F.col(f"`{c}`") for c in order_by])
     return df.limit(n)
-
-
-def inferred_types(df: DataFrame) -> DataFrame:
-    """The schema of ``df`` as rows ``(column, data_type)``."""
-    rows = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(rows, "column string, data_type string")
