@@ -44,7 +44,7 @@ _TOTAL_INJ = " + ".join(f"n_{i}" for i in range(0, 8, 2))
 _TOTAL_KIL = " + ".join(f"n_{i}" for i in range(1, 8, 2))
 
 # raw columns plus every derived column, before any row is removed
-DERIVED_CTE = RAW_CTE + f""",
+_DERIVED_BODY = f"""
 d1 AS (
   SELECT *,
     CAST(try_strptime({q(S.CRASH_DATE)}, '%m/%d/%Y') AS DATE) AS d_date,
@@ -72,6 +72,7 @@ d1 AS (
          ELSE 0.0 END AS d_rate
   FROM d2
 )"""
+DERIVED_CTE = RAW_CTE + "," + _DERIVED_BODY
 
 _CLEAN_COLS = {
     "borough": q(S.BOROUGH),
@@ -85,7 +86,7 @@ _CLEAN_COLS = {
 }
 
 # the 22-column clean frame
-CLEAN_CTE = DERIVED_CTE + f""",
+_CLEAN_BODY = f"""
 kept AS (
   SELECT {", ".join(f"{expr} AS {name}" for name, expr in _CLEAN_COLS.items())}
   FROM derived
@@ -93,6 +94,12 @@ kept AS (
 ), clean AS (
   SELECT * FROM kept WHERE {" AND ".join(f"{name} IS NOT NULL" for name in S.CLEAN_COLUMNS)}
 )"""
+CLEAN_CTE = DERIVED_CTE + "," + _CLEAN_BODY
+
+
+def clean_sql_over(table: str) -> str:
+    """The clean frame computed from a raw crash table named ``table``."""
+    return f"WITH raw AS (SELECT * FROM {table}),{_DERIVED_BODY},{_CLEAN_BODY}\nSELECT * FROM clean"
 
 
 def with_raw(select: str) -> str:
