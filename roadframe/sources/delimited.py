@@ -16,7 +16,8 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None =
     """Read a delimited file with a header row.
 
     By default the raw crash layout is applied as an explicit all-string schema,
-    so the scan is a single pass with no inference job. ``infer=True`` runs
+    so the scan is a single pass with no inference job; header names must
+    match the schema. ``infer=True`` runs
     Spark's type inference instead (an extra pass over the input); date and time
     text is then kept as text by pinning parse formats that plain ``H:mm`` times
     and ``MM/dd/yyyy`` dates do not match, so later steps still see strings.
@@ -35,7 +36,10 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None =
             .option("preferDate", "false")
         )
     else:
-        reader = reader.schema(schema or raw_schema())
+        # with a header row, Spark checks each file's header against the
+        # schema's names, so a file with another column order fails loudly
+        # instead of being read by position into the wrong columns
+        reader = reader.schema(schema or raw_schema()).option("enforceSchema", str(not header).lower())
     return reader.csv(path)
 
 

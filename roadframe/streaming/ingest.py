@@ -20,10 +20,10 @@ from roadframe.session import fresh_shared_path
 
 def crash_stream(spark: SparkSession, source_dir: str, schema: T.StructType | None = None,
                  max_files_per_trigger: int | None = None, sep: str = ",") -> DataFrame:
-    """Streaming frame of the raw crash files in ``source_dir`` (header row,
-    explicit all-string schema)."""
+    """Streaming frame of the raw crash files in ``source_dir`` (header row
+    checked against the explicit all-string schema)."""
     reader = (spark.readStream.schema(schema or raw_schema())
-              .option("header", "true").option("sep", sep))
+              .option("header", "true").option("enforceSchema", "false").option("sep", sep))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.csv(source_dir)

@@ -84,3 +84,13 @@ def test_join_summary_respects_disabled_broadcast(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert joins.broadcast_byte_limit(spark) > 0
+
+
+def test_explicit_schema_rejects_reordered_header(spark):
+    import pytest
+    path = tempfile.mkdtemp(prefix="csv-order-") + "/out"
+    df = spark.createDataFrame([("1", "2")], "a string, b string")
+    delimited.write_delimited(df.select("b", "a"), path)
+    with pytest.raises(Exception):
+        delimited.read_delimited(spark, path, schema=df.schema).collect()
+    assert delimited.read_delimited(spark, path, schema=df.select("b", "a").schema).collect()[0]["a"] == "1"
