@@ -12,7 +12,8 @@ from roadframe.schema import raw_schema
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                   infer: bool = False, header: bool = True, sep: str = ",") -> DataFrame:
+                   infer: bool = False, header: bool = True, sep: str = ",",
+                   sampling_ratio: float = 1.0) -> DataFrame:
     """Read a delimited file with a header row.
 
     By default the raw crash layout is applied as an explicit all-string schema,
@@ -30,6 +31,7 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None =
     if infer:
         reader = (
             reader.option("inferSchema", "true")
+            .option("samplingRatio", str(sampling_ratio))
             .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss")
             .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss")
             .option("dateFormat", "yyyy-MM-dd")
