@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,8 +68,6 @@ def index_mapping(model, df: DataFrame, col: str, out: str | None = None) -> Dat
     """``(value, index)`` for every distinct value of ``col`` in ``df`` under a
     fitted (possibly multi-column) indexer. The distinct values are found
     distributed; the label list is the one already held by the model."""
-    from pyspark.ml.feature import StringIndexerModel
-
     pos = model.getInputCols().index(col) if model.isSet("inputCols") else 0
     labels = model.labelsArray[pos]
     idx = out or (model.getOutputCols()[pos] if model.isSet("outputCols") else model.getOutputCol())

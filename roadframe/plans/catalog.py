@@ -10,18 +10,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadframe import schema as S
 from roadframe.functions import columns as X
-from roadframe.operators import dedup, profile, splits
+from roadframe.operators import dedup, evaluate, features, joins, models, profile, splits
 from roadframe.operators import transforms as T
-from roadframe.plans import cleaning
+from roadframe.plans import cleaning, recipes
 from roadframe.plans import oracle as O
+from roadframe.session import fresh_shared_path
 from roadframe.sources import delimited
-from roadframe.sources.fixture import landed_fixture
+from roadframe.sources.fixture import landed_fixture, landed_fixture_path
 from roadframe.sources.tables import load_table
+from roadframe.streaming.ingest import start_clean_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,7 +69,6 @@ def scan_csv_explicit(spark, sf_dir):
 @register("scan_csv_inferred")
 def scan_csv_inferred(spark, sf_dir):
     """The same CSV with type inference (an extra pass over the file)."""
-    from roadframe.sources.fixture import landed_fixture_path
     return delimited.read_delimited(spark, landed_fixture_path(spark, sf_dir, "csv"), infer=True)
 
 
@@ -74,7 +76,6 @@ def scan_csv_inferred(spark, sf_dir):
 def clean_csv_inferred(spark, sf_dir):
     """S1+S2 end to end: the crash CSV read with type inference, then the
     cleaning pipeline (inferred int columns pass the int casts unchanged)."""
-    from roadframe.sources.fixture import landed_fixture_path
     raw_inferred = delimited.read_delimited(spark, landed_fixture_path(spark, sf_dir, "csv"), infer=True)
     return cleaning.clean_crashes(raw_inferred)
 
@@ -351,9 +352,6 @@ def clean_pipeline_epoch(spark, sf_dir):
 def clean_stream(spark, sf_dir):
     """Entry 1 as a stream: the landed CSV files ingested by Structured
     Streaming (available-now trigger) into a fresh Parquet sink, read back."""
-    from roadframe.session import fresh_shared_path
-    from roadframe.sources.fixture import landed_fixture_path
-    from roadframe.streaming.ingest import start_clean_ingest
 
     sink = fresh_shared_path(spark, "clean-stream")
     query = start_clean_ingest(spark, landed_fixture_path(spark, sf_dir, "csv"), sink)
@@ -383,11 +381,6 @@ def random_split(spark, sf_dir):
 
 # --- features ----------------------------------------------------------------
 
-from pyspark.ml.feature import StringIndexerModel  # noqa: E402
-
-from roadframe.operators import evaluate, features, joins, models  # noqa: E402
-from roadframe.plans import recipes  # noqa: E402
-
 _SPLIT_SQL = (f", sp AS (SELECT *, CASE WHEN {O.split_bucket_sql('crash_id')} < 80 THEN 0 ELSE 1 END AS part "
               "FROM clean), tr AS (SELECT * FROM sp WHERE part = 0), te AS (SELECT * FROM sp WHERE part = 1)")
 _KEEP_COLS = ["borough", "zip_code", "time_segment"]
