@@ -19,7 +19,8 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | N
 
     With ``order_by`` the survivor is deterministic: the row with the smallest
     (or, with ``descending``, largest) ``order_by`` values, ties broken by the
-    remaining columns. It is computed as a ``min``/``max`` over a struct, which
+    remaining columns; a null ``order_by`` value counts as the smallest. It
+    is computed as a ``min``/``max`` over a struct, which
     is also partially aggregated before the shuffle, so a key holding a third
     of all rows still costs one row per task in the shuffle (a window with
     ``row_number`` would send the whole hot key to a single task).

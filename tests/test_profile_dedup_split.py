@@ -74,3 +74,27 @@ def test_join_summary_broadcasts_only_under_bound(spark):
     assert "BroadcastHashJoin" in small_plan or "BroadcastExchange" in small_plan
     capped = joins.join_summary(big, summ, ["k"], max_broadcast_rows=2)
     assert capped.count() == 3000
+
+
+def test_dedup_ordered_nulls_and_ties(spark):
+    df = spark.createDataFrame(
+        [(1, None, "a"), (1, 5, "b"), (1, 5, "c"), (2, None, "z"), (2, None, "y")],
+        "k int, o int, r string")
+    low = {r.k: (r.o, r.r) for r in dedup.dedup_by_key(df, ["k"], order_by=["o"]).collect()}
+    high = {r.k: (r.o, r.r) for r in dedup.dedup_by_key(df, ["k"], order_by=["o"], descending=True).collect()}
+    assert low == {1: (None, "a"), 2: (None, "y")}      # null is smallest; ties by the rest
+    assert high == {1: (5, "c"), 2: (None, "z")}
+
+
+def test_split_bucket_matches_duckdb_formula(spark):
+    import duckdb
+    from roadframe.plans.oracle import split_bucket_sql
+    keys = list(range(0, 5000, 7)) + [2 ** 40 + 3, 123456789012]
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint")
+    got = {r.k: r.b for r in df.select("k", splits.split_bucket(["k"], seed=42).alias("b")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT unnest($1) AS k", [keys])
+    want = dict(con.execute(f"SELECT k, {split_bucket_sql('k')} FROM t").fetchall())
+    assert got == want
+    counts = [list(got.values()).count(b) for b in range(100)]
+    assert max(counts) < 3 * len(keys) / 100  # roughly uniform
