@@ -53,6 +53,8 @@ def time_segment(hour: str | Column,
                  otherwise: str = TIME_SEGMENT_OTHERWISE) -> Column:
     """First-match CASE over ascending exclusive upper bounds. A null hour
     matches no bound and falls to ``otherwise``."""
+    if not bounds:
+        return F.lit(otherwise)
     expr = None
     for upper, label in bounds:
         cond = c(hour) < F.lit(upper)
@@ -62,6 +64,8 @@ def time_segment(hour: str | Column,
 
 def null_strict_sum(cols: Sequence[str | Column]) -> Column:
     """Sum of columns where any null addend makes the total null."""
+    if not cols:
+        raise ValueError("null_strict_sum needs at least one column")
     total = c(cols[0])
     for col in cols[1:]:
         total = total + c(col)

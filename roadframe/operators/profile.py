@@ -21,6 +21,8 @@ def distinct_counts(df: DataFrame, cols: Sequence[str],
     """One row with the number of distinct non-null values of each column,
     all computed in one job. ``approx`` uses HyperLogLog++ (one fixed-size
     sketch per task, no shuffle of values) with relative error ``rsd``."""
+    if not cols:
+        raise ValueError("distinct_counts needs at least one column")
     aliases = aliases or {}
     exprs = []
     for col in cols:
@@ -34,6 +36,8 @@ def distinct_values_across(df: DataFrame, cols: Sequence[str], out: str = "value
     """One row per distinct non-null value found in any of ``cols`` (the union
     of their value sets). Values are unpivoted row-wise and de-duplicated
     with a partial aggregate, so no task ever holds a column's full list."""
+    if not cols:
+        raise ValueError("distinct_values_across needs at least one column")
     stacked = df.select(F.explode(F.array(*[c(col) for col in cols])).alias(out))
     return stacked.where(F.col(out).isNotNull()).distinct()
 

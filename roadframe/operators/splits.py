@@ -27,7 +27,7 @@ def split_bucket(keys: Sequence[str], seed: int = 42, buckets: int = 100) -> Col
 
 def _bounds(weights: Sequence[float], buckets: int) -> list[tuple[int, int]]:
     total = float(sum(weights))
-    if total <= 0 or any(w < 0 for w in weights):
+    if not weights or total <= 0 or any(w < 0 for w in weights):
         raise ValueError("weights must be non-negative with a positive sum")
     edges, acc = [0], 0.0
     for w in weights:

@@ -136,3 +136,22 @@ def test_clean_filter_tests_only_typed_fields(spark, sf_dir):
     plan = clean_crashes(landed_fixture(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
     filters = [line for line in plan.split("\n") if "Filter" in line]
     assert filters and all("Personal Motorist Issue" not in f and "round(" not in f for f in filters)
+
+
+def test_empty_inputs_are_rejected_or_trivial(spark):
+    from roadframe.operators import profile, splits
+    df = spark.createDataFrame([(3,)], "hour int")
+    assert df.select(X.time_segment("hour", bounds=[])).first()[0] == "evening"
+    with pytest.raises(ValueError):
+        X.null_strict_sum([])
+    with pytest.raises(ValueError):
+        profile.distinct_counts(df, [])
+    with pytest.raises(ValueError):
+        profile.distinct_values_across(df, [])
+    with pytest.raises(ValueError):
+        splits.stable_split(df, [], ["hour"])
+    with pytest.raises(ValueError):
+        splits.stable_split(df, [0.5, -0.5], ["hour"])
+    three = splits.stable_split(spark.range(3000).withColumnRenamed("id", "k"), [0.5, 0.3, 0.2], ["k"])
+    sizes = [p.count() for p in three]
+    assert sum(sizes) == 3000 and sizes[0] > sizes[1] > sizes[2]
