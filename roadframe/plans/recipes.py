@@ -132,7 +132,7 @@ def split(df: DataFrame, recipe: Recipe, method: str = "stable") -> list[DataFra
     return splits.stable_split(df, recipe.weights, [KEY], seed=recipe.seed)
 
 
-def stages(recipe: Recipe) -> tuple[list, list[str] | None]:
+def stages(recipe: Recipe) -> tuple[list, str]:
     """Pipeline stages for a recipe, and the label column it predicts."""
     cat = list(recipe.categorical)
     idx = [col + "_idx" for col in cat]
@@ -178,9 +178,14 @@ class RecipeRun:
         return out.select(F.lit(self.recipe.name).alias("model"), "metric", "value")
 
     def label_list(self) -> list[str] | None:
+        """Label texts in index order (classification recipes only)."""
         if self.recipe.task != "classify":
             return None
-        return list(self.model.stages[len(self.model.stages) - 3].labelsArray[0])
+        for stage in self.model.stages:
+            if stage.hasParam("outputCols") and stage.isSet("outputCols") \
+                    and stage.getOutputCols() == ["label"]:
+                return list(stage.labelsArray[0])
+        raise LookupError("no label indexer in the fitted pipeline")
 
 
 def run_recipe(clean: DataFrame, recipe: Recipe | str, split_method: str = "stable",
