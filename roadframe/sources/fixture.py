@@ -87,7 +87,7 @@ def landed_fixture(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> Da
     ``fmt`` is ``parquet`` or ``csv`` (header row, all-string schema).
     """
 
-    key = (sf_dir.rstrip("/"), fmt, checkpoint_dir(spark))
+    key = (str(sf_dir).rstrip("/"), fmt, checkpoint_dir(spark))
     path = _LANDED.get(key)
     if path is None:
         path = fresh_shared_path(spark, f"fixture-{fmt}")
@@ -111,4 +111,4 @@ def landed_fixture(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> Da
 def landed_fixture_path(spark: SparkSession, sf_dir: str, fmt: str = "csv") -> str:
     """Path of the landed fixture files (writing them first if needed)."""
     landed_fixture(spark, sf_dir, fmt)
-    return _LANDED[(sf_dir.rstrip("/"), fmt, checkpoint_dir(spark))]
+    return _LANDED[(str(sf_dir).rstrip("/"), fmt, checkpoint_dir(spark))]

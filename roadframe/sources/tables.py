@@ -14,4 +14,4 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table; projections and filters applied later reach the scan."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
