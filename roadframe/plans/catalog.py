@@ -526,7 +526,7 @@ def regression_metrics(spark, sf_dir):
 def _model_query(name):
     def run(spark, sf_dir):
         return recipes.run_recipe(clean(spark, sf_dir), name).metrics()
-    run.__doc__ = f"Recipe {name}: fit on the training part, metrics on the test part."
+    run.__doc__ = f"M7-M11/M12, recipe {name}: fit on the training part, metrics on the test part."
     return run
 
 
