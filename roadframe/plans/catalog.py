@@ -309,6 +309,17 @@ def distinct_values_across(spark, sf_dir):
     return profile.distinct_values_across(raw(spark, sf_dir), S.FACTOR_COLUMNS)
 
 
+@register("distinct_values_list", O.with_raw(
+    "SELECT string_agg(value, ' | ' ORDER BY value) AS distinct_list FROM ("
+    + " UNION ".join(f"SELECT {O.q(c)} AS value FROM raw WHERE {O.q(c)} IS NOT NULL"
+                     for c in S.FACTOR_COLUMNS) + ")"))
+def distinct_values_list(spark, sf_dir):
+    """R1 array form: the distinct factor values as one sorted array, shown
+    as one text line (built from the distributed distinct set)."""
+    arr = profile.distinct_values_array(raw(spark, sf_dir), S.FACTOR_COLUMNS)
+    return arr.select(F.array_join("distinct_list", " | ").alias("distinct_list"))
+
+
 @register("row_count", O.with_clean("SELECT count(*) AS n_rows FROM clean"))
 def row_count(spark, sf_dir):
     """Number of clean rows."""
