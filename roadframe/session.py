@@ -30,6 +30,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # delete checkpoint files once nothing references them any more
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "8g")
     )
     for key, value in (extra or {}).items():
