@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -532,6 +533,78 @@ def regression_metrics(spark, sf_dir):
                                        "prediction", digits=6)
 
 
+# --- recipe feature vectors ----------------------------------------------------
+# What the learners see: each recipe's feature stages fitted on its training
+# part and applied to its test part. The fits themselves are rows-only.
+
+def _recipe_features(spark, sf_dir, name):
+    recipe = recipes.RECIPES[name]
+    train_df, test_df = recipes.split(recipes.model_input(clean(spark, sf_dir), recipe), recipe)
+    feature_stages = recipes.stages(recipe)[0][:-1]
+    return Pipeline(stages=feature_stages).fit(train_df).transform(test_df)
+
+
+def _dedup_input_sql(cols, weight_pct):
+    """Model input of an 'a' recipe (one row per crash id, selected columns,
+    no nulls) and its stable split, as CTEs over ``clean``."""
+    sel = ", ".join(["crash_id", *cols])
+    return (f", mi AS (SELECT {sel} FROM clean QUALIFY row_number() OVER (PARTITION BY crash_id) = 1)"
+            f", sp AS (SELECT *, CASE WHEN {O.split_bucket_sql('crash_id')} < {weight_pct} THEN 0 ELSE 1 END"
+            " AS part FROM mi), tr AS (SELECT * FROM sp WHERE part = 0), te AS (SELECT * FROM sp WHERE part = 1)")
+
+
+_R1A = recipes.RECIPES["1a"]
+_R1A_COLS = [_R1A.label, *_R1A.categorical, *_R1A.numeric]
+_R1A_ELEMENTS = [
+    f"coalesce(r_{col}.{col}_idx, CAST((SELECT count(*) FROM r_{col}) AS DOUBLE))"
+    if col in _R1A.categorical else f"CAST(te.{col} AS DOUBLE)"
+    for col in _R1A.assembler_order
+]
+
+
+@register("recipe_features_1a",
+          "WITH " + O.CLEAN_CTE + _dedup_input_sql(_R1A_COLS, 70) + _rank_ctes(list(_R1A.categorical), "tr")
+          + " SELECT te.crash_id, " + ", ".join(f"{e} AS e{i}" for i, e in enumerate(_R1A_ELEMENTS))
+          + " FROM te " + " ".join(
+              f"LEFT JOIN r_{col} ON CAST(te.{col} AS VARCHAR) = r_{col}.{col}_value" for col in _R1A.categorical))
+def recipe_features_1a(spark, sf_dir):
+    """M1/M5/M10, recipe 1a: dedup, selection, null drop, 70/30 stable
+    split, keep-mode indexers fitted on the training part; the assembled
+    feature vector of every test row (one column per element)."""
+    out = _recipe_features(spark, sf_dir, "1a")
+    arr = features.vector_elements("features")
+    return out.select("crash_id", *[arr[i].alias(f"e{i}") for i in range(len(_R1A.assembler_order))])
+
+
+_R5 = recipes.RECIPES["5"]
+
+
+def _r5_sparse_sql():
+    numeric = " UNION ALL ".join(
+        f"SELECT crash_id, {i} AS pos, CAST({col} AS DOUBLE) AS value FROM te WHERE {col} <> 0"
+        for i, col in enumerate(_R5.numeric))
+    onehot, offset = [], f"{len(_R5.numeric)}"
+    for col in _R5.categorical:
+        onehot.append(
+            f"SELECT te.crash_id, CAST({offset} + r_{col}.{col}_idx AS INTEGER) AS pos, 1.0 AS value FROM te "
+            f"JOIN r_{col} ON CAST(te.{col} AS VARCHAR) = r_{col}.{col}_value "
+            f"WHERE r_{col}.{col}_idx < (SELECT count(*) FROM r_{col}) - 1")
+        offset += f" + (SELECT count(*) FROM r_{col}) - 1"
+    return numeric + " UNION ALL " + " UNION ALL ".join(onehot)
+
+
+@register("recipe_features_5",
+          "WITH " + O.CLEAN_CTE + _SPLIT_SQL + _rank_ctes(list(_R5.categorical), "tr")
+          + " " + _r5_sparse_sql())
+def recipe_features_5(spark, sf_dir):
+    """M2/M4/M5/M10, recipe 5: error-mode indexers and drop-last one-hot
+    fitted on the training part, numeric columns first; the non-zero
+    entries of every test row's feature vector as (crash_id, pos, value)."""
+    out = _recipe_features(spark, sf_dir, "5")
+    entries = out.select("crash_id", F.posexplode(features.vector_elements("features")).alias("pos", "value"))
+    return entries.where(F.col("value") != 0).select("crash_id", F.col("pos").cast("int").alias("pos"), "value")
+
+
 # --- models ----------------------------------------------------------------
 
 def _model_query(name):
