@@ -605,6 +605,35 @@ def recipe_features_5(spark, sf_dir):
     return entries.where(F.col("value") != 0).select("crash_id", F.col("pos").cast("int").alias("pos"), "value")
 
 
+_R3 = recipes.RECIPES["3"]
+
+
+def _r3_sparse_sql():
+    parts, offset = [], "0"
+    for col in _R3.categorical:  # keep mode: k labels -> k slots, unseen values -> no entry
+        parts.append(
+            f"SELECT te.crash_id, CAST({offset} + r_{col}.{col}_idx AS INTEGER) AS pos, 1.0 AS value FROM te "
+            f"JOIN r_{col} ON CAST(te.{col} AS VARCHAR) = r_{col}.{col}_value")
+        offset += f" + (SELECT count(*) FROM r_{col})"
+    for i, col in enumerate(_R3.numeric):
+        parts.append(f"SELECT crash_id, CAST({offset} + {i} AS INTEGER) AS pos, CAST({col} AS DOUBLE) AS value "
+                     f"FROM te WHERE {col} <> 0")
+    return " UNION ALL ".join(parts)
+
+
+@register("recipe_features_3",
+          "WITH " + O.CLEAN_CTE + _SPLIT_SQL + _rank_ctes(list(_R3.categorical), "tr")
+          + " " + _r3_sparse_sql())
+def recipe_features_3(spark, sf_dir):
+    """M1/M3/M4/M6/M10, recipe 3: keep-mode indexers and one-hot for six
+    categorical columns (zip codes unseen in training give all-zero slots),
+    then the numeric columns; the non-zero entries of every test row's
+    feature vector as (crash_id, pos, value)."""
+    out = _recipe_features(spark, sf_dir, "3")
+    entries = out.select("crash_id", F.posexplode(features.vector_elements("features")).alias("pos", "value"))
+    return entries.where(F.col("value") != 0).select("crash_id", F.col("pos").cast("int").alias("pos"), "value")
+
+
 # --- models ----------------------------------------------------------------
 
 def _model_query(name):
