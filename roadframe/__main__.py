@@ -8,9 +8,10 @@ land it as Parquet first, register the raw view, profile (distinct counts,
 distinct factor values), clean, count, then fit and score each recipe.
 Every result is a DataFrame written as Parquet under ``--out``:
 ``profile_counts``, ``factor_values``, ``clean_rows``, ``metrics``,
-``pairs_<recipe>`` and ``clean`` (the clean table itself, unless
-``--no-clean-table``). Nothing is collected to the driver except a short
-summary printed at the end.
+``predictions_<recipe>`` (every test row, scored once), ``pairs_<recipe>``
+and ``clean`` (the clean table itself, unless ``--no-clean-table``).
+Nothing is collected to the driver except a short summary printed at the
+end. ``--land`` reads the CSV with the explicit schema.
 """
 
 from __future__ import annotations
@@ -52,9 +53,11 @@ def run(spark, csv_path: str, out: str, recipe_names: list[str], land: str | Non
     metric_frames = []
     for name in recipe_names:
         result = recipes.run_recipe(clean, name)
-        metric_frames.append(result.metrics())
-        label = result.recipe.label
-        save(f"pairs_{name}", models.prediction_pairs(result.scored, label, result.label_list(), n=10,
+        # score the test part once; metrics and pairs read the written predictions
+        save(f"predictions_{name}", result.predictions())
+        scored = spark.read.parquet(written[f"predictions_{name}"])
+        metric_frames.append(recipes.recipe_metrics(result.recipe, scored, result.label_col))
+        save(f"pairs_{name}", models.prediction_pairs(scored, result.recipe.label, result.label_list(), n=10,
                                                       order_by=[recipes.KEY], keep=[recipes.KEY]))
     if metric_frames:
         save("metrics", functools.reduce(lambda a, b: a.unionByName(b), metric_frames))

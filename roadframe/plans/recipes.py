@@ -171,11 +171,12 @@ class RecipeRun:
     label_col: str
 
     def metrics(self, digits: int | None = None) -> DataFrame:
-        if self.recipe.task == "classify":
-            out = evaluate.classification_metrics(self.scored, self.label_col, digits=digits)
-        else:
-            out = evaluate.regression_metrics(self.scored, self.label_col, digits=digits)
-        return out.select(F.lit(self.recipe.name).alias("model"), "metric", "value")
+        return recipe_metrics(self.recipe, self.scored, self.label_col, digits)
+
+    def predictions(self) -> DataFrame:
+        """Key, label text / value, indexed label (classification) and prediction."""
+        cols = [KEY, self.recipe.label] + ([self.label_col] if self.label_col != self.recipe.label else [])
+        return self.scored.select(*cols, "prediction")
 
     def label_list(self) -> list[str] | None:
         """Label texts in index order (classification recipes only)."""
@@ -188,6 +189,17 @@ class RecipeRun:
         raise LookupError("no label indexer in the fitted pipeline")
 
 
+def recipe_metrics(recipe: Recipe, scored: DataFrame, label_col: str,
+                   digits: int | None = None) -> DataFrame:
+    """``(model, metric, value)`` of scored rows: accuracy for classifiers,
+    RMSE and R2 for regressors."""
+    if recipe.task == "classify":
+        out = evaluate.classification_metrics(scored, label_col, digits=digits)
+    else:
+        out = evaluate.regression_metrics(scored, label_col, digits=digits)
+    return out.select(F.lit(recipe.name).alias("model"), "metric", "value")
+
+
 def run_recipe(clean: DataFrame, recipe: Recipe | str, split_method: str = "stable",
                materialize: bool = True) -> RecipeRun:
     """Fit a recipe on its training part and score its test part."""

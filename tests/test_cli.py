@@ -10,9 +10,20 @@ from roadframe.sources.fixture import landed_fixture_path
 def test_run_workflow(spark, sf_dir):
     out = tempfile.mkdtemp(prefix="cli-out-")
     written = run(spark, landed_fixture_path(spark, sf_dir, "csv"), out, ["4", "3"])
-    assert {"profile_counts", "factor_values", "clean", "clean_rows", "metrics", "pairs_3", "pairs_4"} <= set(written)
+    assert {"profile_counts", "factor_values", "clean", "clean_rows", "metrics", "pairs_3", "pairs_4",
+            "predictions_3", "predictions_4"} <= set(written)
     n_clean = spark.read.parquet(written["clean_rows"]).first()["n_rows"]
     assert n_clean == catalog.QUERIES["row_count"](spark, sf_dir).first()["n_rows"]
     metrics = spark.read.parquet(written["metrics"]).collect()
     assert sorted((r.model, r.metric) for r in metrics) == [("3", "accuracy"), ("4", "r2"), ("4", "rmse")]
     assert spark.read.parquet(written["pairs_3"]).count() == 10
+
+
+def test_metrics_from_written_predictions_equal_direct(spark, sf_dir):
+    from roadframe.plans import recipes
+    clean = catalog.clean(spark, sf_dir)
+    run_ = recipes.run_recipe(clean, "5")
+    direct = sorted((r.metric, round(r.value, 9)) for r in run_.metrics().collect())
+    via = sorted((r.metric, round(r.value, 9)) for r in recipes.recipe_metrics(
+        run_.recipe, run_.predictions(), run_.label_col).collect())
+    assert direct == via
