@@ -38,6 +38,9 @@ def summarize(plan: str) -> dict:
             "python": "Python" in plan or "ArrowEval" in plan}
 
 
+FULL = ["clean_pipeline", "dedup_by_key"]  # queries whose full formatted plan is appended
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     import __spark_entry__ as E
@@ -58,6 +61,11 @@ def main() -> None:
                    f"| {s['sorts']} "
                    f"| {', '.join(s['joins']) or '-'} | {', '.join(s['aggs']) or '-'} | {', '.join(s['scans']) or '-'} "
                    f"| {'; '.join(s['pushed']) or '-'} | {s['codegen_stages']} | {'yes' if s['python'] else 'no'} |")
+    for name in FULL:
+        df = E.queries()[name](spark, sf_dir)
+        text = df._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        out += ["", f"## `{name}`: formatted plan", "", "```", text.strip(), "```"]
     print("\n".join(out))
 
 
