@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -12,9 +11,9 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from roadframe.session import build_session
-    scratch = tempfile.mkdtemp(prefix="roadframe-tests-")
-    session = build_session(master="local[4]", shuffle_partitions=4, app_name="roadframe-tests",
-                            extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt")})
+    # spark.checkpoint.dir is read from the session; roadframe.session.checkpoint_dir
+    # creates a private folder only when it is unset
+    session = build_session(master="local[4]", shuffle_partitions=4, app_name="roadframe-tests")
     yield session
     session.stop()
 
