@@ -27,3 +27,11 @@ def test_metrics_from_written_predictions_equal_direct(spark, sf_dir):
     via = sorted((r.metric, round(r.value, 9)) for r in recipes.recipe_metrics(
         run_.recipe, run_.predictions(), run_.label_col).collect())
     assert direct == via
+
+
+def test_cli_rejects_unknown_recipe(capsys):
+    import pytest
+    from roadframe.__main__ import main
+    with pytest.raises(SystemExit):
+        main(["--csv", "/nonexistent", "--out", "/nonexistent", "--recipes", "9z", "--master", "local[1]"])
+    assert "unknown recipes" in capsys.readouterr().err

@@ -94,3 +94,13 @@ def test_explicit_schema_rejects_reordered_header(spark):
     with pytest.raises(Exception):
         delimited.read_delimited(spark, path, schema=df.schema).collect()
     assert delimited.read_delimited(spark, path, schema=df.select("b", "a").schema).collect()[0]["a"] == "1"
+
+
+def test_land_as_parquet_partitioned(spark, sf_dir):
+    import os
+    from roadframe.sources.delimited import land_as_parquet
+    out = tempfile.mkdtemp(prefix="landed-part-") + "/raw"
+    landed = land_as_parquet(spark, landed_fixture_path(spark, sf_dir, "csv"), out, partition_by=[S.BOROUGH])
+    assert any(d.startswith("BOROUGH=") for d in os.listdir(out))
+    plan = plan_text(landed.where(f"`{S.BOROUGH}` = 'QUEENS'"))
+    assert "PartitionFilters" in plan and "QUEENS" in plan.split("PartitionFilters")[1]

@@ -34,3 +34,16 @@ def test_stream_picks_up_only_new_files(spark, sf_dir):
     total = spark.read.parquet(sink).count()
     assert total == catalog.QUERIES["clean_pipeline"](spark, sf_dir).count()
     assert 0 < first <= total
+
+
+def test_stream_in_several_micro_batches(spark, sf_dir):
+    from roadframe.streaming.ingest import clean_stream
+    src = landed_fixture_path(spark, sf_dir, "csv")
+    sink, ckpt = tempfile.mkdtemp(prefix="stream-mb-"), tempfile.mkdtemp(prefix="stream-mb-ckpt-")
+    q = (clean_stream(spark, src, max_files_per_trigger=2).writeStream.format("parquet")
+         .option("path", sink).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) >= 2
+    got = sorted(spark.read.parquet(sink).collect())
+    assert got == sorted(catalog.QUERIES["clean_pipeline"](spark, sf_dir).collect())
