@@ -634,6 +634,20 @@ def recipe_features_3(spark, sf_dir):
     return entries.where(F.col("value") != 0).select("crash_id", F.col("pos").cast("int").alias("pos"), "value")
 
 
+@register("recipe_labels_3",
+          "WITH " + O.CLEAN_CTE.replace(", clean AS (", ", clean0 AS (", 1)
+          + ", clean AS (SELECT *, coalesce(factor_v1, factor_v2, factor_v3) AS main_reason FROM clean0)"
+          + _SPLIT_SQL + _rank_ctes(["main_reason"], "tr")
+          + " SELECT te.crash_id, te.main_reason,"
+          " coalesce(r_main_reason.main_reason_idx, CAST((SELECT count(*) FROM r_main_reason) AS DOUBLE)) AS label"
+          " FROM te LEFT JOIN r_main_reason ON te.main_reason = r_main_reason.main_reason_value")
+def recipe_labels_3(spark, sf_dir):
+    """M1/C4/M10, recipe 3: the main factor (first non-null factor) indexed
+    in keep mode on the training part; label index of every test row."""
+    out = _recipe_features(spark, sf_dir, "3")
+    return out.select("crash_id", "main_reason", "label")
+
+
 # --- models ----------------------------------------------------------------
 
 def _model_query(name):
