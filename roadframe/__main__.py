@@ -3,15 +3,15 @@
     python -m roadframe --csv /data/crashes.csv --out /shared/results \
         [--recipes 1a,1b,2a,2b,3,4,5] [--land /shared/raw_parquet] [--infer]
 
-Steps: read the CSV (explicit all-string schema, or inference), optionally
-land it as Parquet first, register the raw view, profile (distinct counts,
+Steps: read the CSV once (explicit all-string schema, or inference) and
+land it as Parquet, register the raw view, profile (distinct counts,
 distinct factor values), clean, count, then fit and score each recipe.
 Every result is a DataFrame written as Parquet under ``--out``:
 ``profile_counts``, ``factor_values``, ``clean_rows``, ``metrics``,
 ``predictions_<recipe>`` (every test row, scored once), ``pairs_<recipe>``
 and ``clean`` (the clean table itself, unless ``--no-clean-table``).
 Nothing is collected to the driver except a short summary printed at the
-end. ``--land`` reads the CSV with the explicit schema.
+end.
 """
 
 from __future__ import annotations
@@ -29,12 +29,17 @@ from roadframe.sources import delimited
 
 def run(spark, csv_path: str, out: str, recipe_names: list[str], land: str | None = None,
         infer: bool = False, write_clean: bool = True) -> dict[str, str]:
-    """Run the workflow; returns the written result paths by name."""
-    raw = delimited.read_delimited(spark, csv_path, infer=infer)
-    if land:
-        raw = delimited.land_as_parquet(spark, csv_path, land)
-    raw = delimited.register_view(raw, "crashes_raw")
-    written = {}
+    """Run the workflow; returns the written result paths by name.
+
+    The CSV text is parsed once: it is landed as Parquet (at ``land``, or
+    ``<out>/_work/raw``) and every later step scans that table. Training
+    tables go to ``<out>/_work/train_<recipe>`` and are overwritten by the
+    next run, so repeated runs do not pile up copies."""
+    work = f"{out.rstrip('/')}/_work"
+    land = land or f"{work}/raw"
+    delimited.read_delimited(spark, csv_path, infer=infer).write.mode("overwrite").parquet(land)
+    raw = delimited.register_view(spark.read.parquet(land), "crashes_raw")
+    written = {"raw": land}
 
     def save(name, df):
         path = f"{out.rstrip('/')}/{name}"
@@ -52,7 +57,7 @@ def run(spark, csv_path: str, out: str, recipe_names: list[str], land: str | Non
     save("clean_rows", profile.row_count(clean))
     metric_frames = []
     for name in recipe_names:
-        result = recipes.run_recipe(clean, name)
+        result = recipes.run_recipe(clean, name, work_path=f"{work}/train_{name}")
         # score the test part once; metrics and pairs read the written predictions
         save(f"predictions_{name}", result.predictions())
         scored = spark.read.parquet(written[f"predictions_{name}"])
@@ -70,7 +75,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True, help="folder for the result tables")
     parser.add_argument("--recipes", default=",".join(recipes.RECIPES),
                         help="comma-separated recipe names (default: all)")
-    parser.add_argument("--land", default=None, help="land the CSV as Parquet here first")
+    parser.add_argument("--land", default=None,
+                        help="where to land the CSV as Parquet (default: <out>/_work/raw)")
     parser.add_argument("--infer", action="store_true", help="infer column types instead of the schema")
     parser.add_argument("--no-clean-table", action="store_true", help="do not write the clean table")
     parser.add_argument("--master", default=None, help="Spark master for a local run, e.g. local[8]")

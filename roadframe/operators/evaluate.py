@@ -38,10 +38,17 @@ def _regression_aggs(label: Column, prediction: Column) -> list[Column]:
 def regression_metrics(pred: DataFrame, label: str, prediction: str = "prediction",
                        digits: int | None = None) -> DataFrame:
     """``rmse`` = sqrt(mean squared error) and ``r2`` = 1 - SSE / total sum
-    of squares (population variance times n), both from one pass."""
+    of squares (population variance times n), both from one pass. Never
+    divides by zero (empty input, constant label)."""
     agg = pred.agg(*_regression_aggs(c(label), c(prediction)))
+    total = F.col("var_y") * F.col("n")
+    # a constant label has no variance: r2 is NaN for a perfect fit, -inf otherwise
+    # (as in Spark's RegressionEvaluator); no rows gives null metrics
+    r2 = (F.when(total > 0, F.lit(1.0) - F.col("sse") / total)
+          .when(F.col("sse") == 0, F.lit(float("nan")))
+          .when(F.col("n") > 0, F.lit(float("-inf"))))
     agg = agg.select(
-        F.sqrt(F.col("sse") / F.col("n")).alias("rmse"),
-        (F.lit(1.0) - F.col("sse") / (F.col("var_y") * F.col("n"))).alias("r2"),
+        F.sqrt(F.try_divide(F.col("sse"), F.col("n"))).alias("rmse"),
+        r2.alias("r2"),
     )
     return _as_rows(agg, ["rmse", "r2"], digits)

@@ -15,7 +15,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from roadframe.session import checkpoint_dir
 
@@ -27,34 +26,35 @@ def broadcast_byte_limit(spark) -> int:
     """The session's broadcast threshold in bytes (``-1`` disables broadcasts)."""
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", str(_FALLBACK_BROADCAST_BYTES))
     text = raw.strip().lower()
-    units = {"b": 1, "k": 1024, "kb": 1024, "m": 1024 ** 2, "mb": 1024 ** 2, "g": 1024 ** 3, "gb": 1024 ** 3}
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30,
+             "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
     for suffix in sorted(units, key=len, reverse=True):
-        if text.endswith(suffix) and text[: -len(suffix)].strip().lstrip("-").isdigit():
-            return int(text[: -len(suffix)]) * units[suffix]
+        number = text[: -len(suffix)].strip()
+        if text.endswith(suffix) and number.lstrip("-").isdigit():
+            return int(number) * units[suffix]
     return int(text)
 
 
-def row_width(schema: T.StructType) -> int:
-    """Estimated bytes per row, with Spark's default sizes (strings 20 bytes)."""
-    sizes = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
-             T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
-             T.TimestampNTZType: 8, T.StringType: 20}
-    return 8 + sum(sizes.get(type(f.dataType), 64) for f in schema.fields)
-
-
 def join_summary(large: DataFrame, summary: DataFrame, on: Sequence[str], how: str = "inner",
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Join ``large`` with a per-key ``summary`` on ``on``.
 
-    The summary is checkpointed and counted; it is broadcast only when that
-    count is at most ``max_broadcast_rows`` and count x schema row width is
-    within the session's ``spark.sql.autoBroadcastJoinThreshold``."""
+    The summary is checkpointed, then one job over the stored summary
+    measures its row count and its size (the JSON text length of every row
+    plus a fixed per-field overhead, which bounds the in-memory size of
+    strings, arrays and maps by their content). It is broadcast only when
+    the count is at most ``max_broadcast_rows`` and the size is within the
+    session's ``spark.sql.autoBroadcastJoinThreshold``."""
     spark = summary.sparkSession
     checkpoint_dir(spark)
     small = summary.checkpoint(eager=True)
-    rows = small.count()
-    width = row_width(small.schema)
+    per_row = 16 + 8 * len(small.columns)
+    stats = small.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*small.columns)))), F.lit(0)).alias("text"),
+    ).first()
+    size = stats["text"] + stats["rows"] * per_row
     limit = broadcast_byte_limit(spark)
-    if rows <= max_broadcast_rows and limit >= 0 and rows * width <= limit:
+    if stats["rows"] <= max_broadcast_rows and limit >= 0 and size <= limit:
         return large.join(F.broadcast(small), list(on), how)
     return large.join(small, list(on), how)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roadframe.functions.columns import c
 from roadframe.session import checkpoint_dir, default_parallelism, fresh_shared_path
+from roadframe.sources.delimited import preview
 
 # Scale settings shared by all tree learners. A larger histogram budget
 # lets one pass over the data serve more nodes per tree level (fewer
@@ -58,24 +59,29 @@ def tree_regressor(label: str, features: str = "features", max_depth: int = 5, m
 SPREAD_MAX_ROWS = 10_000_000
 
 
-def materialize(df: DataFrame, name: str = "model-input") -> DataFrame:
-    """Write ``df`` as Parquet below the shared checkpoint folder and read it
-    back: later passes (indexer fit, split search, tree levels) scan this
-    narrow table instead of recomputing the whole lineage, and a lost
-    executor costs a re-read, not a recompute from the source.
+def materialize(df: DataFrame, name: str = "model-input", path: str | None = None,
+                spread: bool = True) -> DataFrame:
+    """Write ``df`` as Parquet and read it back: later passes (indexer fit,
+    split search, tree levels) scan this narrow table instead of recomputing
+    the whole lineage, and a lost executor costs a re-read, not a recompute
+    from the source. ``path`` (overwritten) defaults to a new folder below
+    the shared checkpoint folder.
 
     Iterative fits run one task per input partition. A small table written
     as few files (adaptive execution coalesces small shuffles into one
-    partition) is therefore spread over the cores; the shuffle this adds is
+    partition) is rewritten once spread over the cores; that extra write is
     bounded by ``SPREAD_MAX_ROWS`` rows. Large tables are written by many
-    tasks and are read back as they are."""
+    tasks and are read back as they are. ``spread=False`` skips this (for
+    tables read once, such as scored predictions)."""
     spark = df.sparkSession
-    path = fresh_shared_path(spark, name)
-    df.write.parquet(path)
+    path = path or fresh_shared_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
     back = spark.read.parquet(path)
     cores = default_parallelism(spark)
-    if len(back.inputFiles()) < cores and back.count() <= SPREAD_MAX_ROWS:
-        return back.repartition(cores)
+    if spread and len(back.inputFiles()) < cores and back.count() <= SPREAD_MAX_ROWS:
+        spread_path = path.rstrip("/") + "-spread"
+        back.repartition(cores).write.mode("overwrite").parquet(spread_path)
+        return spark.read.parquet(spread_path)
     return back
 
 
@@ -97,11 +103,9 @@ def prediction_pairs(predictions: DataFrame, label: str, labels: Sequence[str] |
     ``order_by`` when given). With ``labels`` (the label indexer's list) the
     predicted index is also turned back into label text, after the top ``n``
     is taken, so the conversion runs on ``n`` rows only."""
-    cols = [*keep, label, "prediction"]
-    df = predictions
-    if order_by:
-        df = df.orderBy(*[c(o) for o in order_by])
-    top = df.select(*[c(x) for x in cols]).limit(n)
+    cols = [*dict.fromkeys([*keep, *(order_by or []), label, "prediction"])]
+    top = preview(predictions.select(*[c(x) for x in cols]), n, order_by)
+    top = top.select(*[c(x) for x in [*keep, label, "prediction"]])
     if labels is not None:
         top = IndexToString(inputCol="prediction", outputCol="predicted_label",
                             labels=list(labels)).transform(top)

@@ -34,10 +34,11 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str] = S.RENAME_MAP) ->
     return df.withColumnsRenamed(present)
 
 
-def cast_to_int(df: DataFrame, cols: Sequence[str], dtype: str = "int") -> DataFrame:
-    """Cast text columns to ``dtype``; text that is not a whole number becomes
-    null instead of failing the job."""
-    return df.withColumns({col: X.to_int(col, dtype) for col in cols})
+def cast_to_int(df: DataFrame, cols: Sequence[str], dtype: str = "int",
+                decimal_form: bool = False) -> DataFrame:
+    """Cast text columns to ``dtype``; text that is not a plain whole number
+    becomes null instead of failing the job (see ``to_int``)."""
+    return df.withColumns({col: X.to_int(col, dtype, decimal_form) for col in cols})
 
 
 # --- dates and times --------------------------------------------------------------
@@ -119,14 +120,16 @@ def require_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Drop rows with a null in any column (or any of ``subset``).
 
+    Like ``dropna``, NaN in a float or double column counts as missing.
     Columns the schema marks non-nullable cannot hold a null, so only the
-    nullable ones are tested: the same rows, with a smaller filter (Catalyst
-    inlines each tested column's expression into it)."""
+    nullable and the floating-point ones are tested: the same rows, with a
+    smaller filter (Catalyst inlines each tested column's expression into it)."""
     wanted = list(subset) if subset else df.columns
     missing = [col for col in wanted if col not in df.columns]
     if missing:
         raise KeyError(f"no columns {missing}")
-    nullable = {f.name for f in df.schema.fields if f.nullable}
+    nullable = {f.name for f in df.schema.fields
+                if f.nullable or isinstance(f.dataType, (T.FloatType, T.DoubleType))}
     cols = [col for col in wanted if col in nullable]
     return df.dropna(how="any", subset=cols) if cols else df
 

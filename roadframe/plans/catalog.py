@@ -663,9 +663,11 @@ for _name in recipes.RECIPES:
 
 @register("prediction_pairs")
 def prediction_pairs(spark, sf_dir):
-    """Actual vs predicted main factor for the first ten test crashes."""
+    """Actual vs predicted main factor for the first ten test crashes
+    (the test part is scored once into a table, then the top ten are read)."""
     run = recipes.run_recipe(clean(spark, sf_dir), "3")
-    return models.prediction_pairs(run.scored, "main_reason", run.label_list(), n=10,
+    scored = models.materialize(run.predictions(), "predictions-3", spread=False)
+    return models.prediction_pairs(scored, "main_reason", run.label_list(), n=10,
                                    order_by=["crash_id"], keep=["crash_id"])
 
 

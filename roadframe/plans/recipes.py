@@ -10,6 +10,7 @@ fit -> scoring -> metrics frame.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,13 +32,17 @@ class Recipe:
     assembler_invalid: str        # "error" or "skip"
     numeric_first: bool           # assembler order: numeric then categorical
     estimator: str                # "forest_classifier", "forest_regressor", "tree_regressor"
-    estimator_params: dict = field(default_factory=dict)
+    estimator_params: dict = field(default_factory=dict, hash=False)
     dedup: bool = False           # one row per crash id before the split
     select_and_dropna: bool = False
     weights: tuple[float, ...] = (0.8, 0.2)
     seed: int = 42
     assembler_order: tuple[str, ...] | None = None  # explicit feature order (base column names)
 
+    def __post_init__(self):
+        # read-only, so the shared RECIPES entries cannot be changed in place
+        object.__setattr__(self, "estimator_params", MappingProxyType(dict(self.estimator_params)))
+
     @property
     def metrics(self) -> tuple[str, ...]:
         return ("accuracy",) if self.task == "classify" else ("rmse", "r2")
@@ -201,13 +206,20 @@ def recipe_metrics(recipe: Recipe, scored: DataFrame, label_col: str,
 
 
 def run_recipe(clean: DataFrame, recipe: Recipe | str, split_method: str = "stable",
-               materialize: bool = True) -> RecipeRun:
-    """Fit a recipe on its training part and score its test part."""
+               materialize: bool = True, work_path: str | None = None) -> RecipeRun:
+    """Fit a recipe on its training part and score its test part. The
+    training part is stored as a table (at ``work_path``, overwritten, or
+    a new folder below the shared checkpoint folder)."""
     recipe = RECIPES[recipe] if isinstance(recipe, str) else recipe
     df = model_input(clean, recipe)
+    if split_method == "random":
+        # a Bernoulli split is evaluated once per part; both parts must see the
+        # same rows in the same layout (the dedup survivor of a recomputed
+        # lineage could differ), so the input is stored first
+        df = models.materialize(df, f"input-{recipe.name}", path=work_path and f"{work_path}-input")
     train_df, test_df = split(df, recipe, split_method)
     if materialize:
-        train_df = models.materialize(train_df, f"train-{recipe.name}")
+        train_df = models.materialize(train_df, f"train-{recipe.name}", path=work_path)
     stage_list, label_col = stages(recipe)
     fitted = models.train(stage_list, train_df)
     scored = models.score(fitted, test_df)

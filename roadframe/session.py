@@ -41,12 +41,17 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+_FALLBACK_DIRS: dict[int, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
-    Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir). If neither is set, a private folder is created and
-    registered, which is only appropriate for local runs and tests.
+    Read from the session (the context's checkpoint dir or
+    ``spark.checkpoint.dir``). If neither is set, a private local folder is
+    created and registered, but only for a local master (local runs,
+    tests); on a cluster a machine-local folder would scatter written
+    tables over the executors' disks, so that raises instead.
     """
     try:
         sc = spark.sparkContext
@@ -63,7 +68,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # not set in the SQL conf either
             configured = None
     if not configured:
-        configured = tempfile.mkdtemp(prefix="roadframe-ckpt-")
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: set it to a folder on shared storage "
+                "(HDFS, S3, ...) that every executor and the driver can read")
+        configured = _FALLBACK_DIRS.setdefault(id(spark), tempfile.mkdtemp(prefix="roadframe-ckpt-"))
     if sc is None:
         return configured
     sc.setCheckpointDir(configured)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadframe.functions.columns import c
 from roadframe.schema import raw_schema
 
 
@@ -80,7 +80,7 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     """Register ``df`` as a session view (replacing one of the same name) and
     return the frame read back through the catalog."""
     df.createOrReplaceTempView(name)
-    return df.sparkSession.table(f"`{name}`")
+    return df.sparkSession.table("`" + name.replace("`", "``") + "`")
 
 
 def preview(df: DataFrame, n: int = 20, order_by: Sequence[str] | None = None) -> DataFrame:
@@ -88,5 +88,5 @@ def preview(df: DataFrame, n: int = 20, order_by: Sequence[str] | None = None) -
     by those columns (a top-k: each task keeps only its best ``n``), so the
     result is reproducible; without it any ``n`` rows may come back."""
     if order_by:
-        df = df.orderBy(*[F.col(f"`{c}`") for c in order_by])
+        df = df.orderBy(*[c(col) for col in order_by])
     return df.limit(n)

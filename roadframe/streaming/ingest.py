@@ -15,7 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roadframe.plans.cleaning import clean_crashes
 from roadframe.schema import raw_schema
-from roadframe.session import fresh_shared_path
+import hashlib
+
+from roadframe.session import shared_path
 
 
 def crash_stream(spark: SparkSession, source_dir: str, schema: T.StructType | None = None,
@@ -39,8 +41,14 @@ def start_clean_ingest(spark: SparkSession, source_dir: str, sink_dir: str,
                        processing_time: str | None = None) -> StreamingQuery:
     """Start the ingest into Parquet files under ``sink_dir``. With
     ``available_now`` it processes every file present and stops; otherwise
-    it polls every ``processing_time``."""
-    location = checkpoint_location or fresh_shared_path(spark, "ingest-checkpoint")
+    it polls every ``processing_time``.
+
+    The stream's checkpoint (which files are done) defaults to one fixed
+    folder per sink below the shared checkpoint folder, so starting the
+    ingest again for the same sink resumes where it stopped and picks up
+    only new files."""
+    sink_tag = hashlib.sha1(sink_dir.rstrip("/").encode()).hexdigest()[:20]
+    location = checkpoint_location or shared_path(spark, "roadframe", "ingest", sink_tag)
     writer = (clean_stream(spark, source_dir).writeStream.format("parquet")
               .option("path", sink_dir).option("checkpointLocation", location)
               .outputMode("append"))
