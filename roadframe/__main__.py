@@ -23,7 +23,7 @@ from roadframe import schema as S
 from roadframe.operators import models, profile
 from roadframe.plans import recipes
 from roadframe.plans.cleaning import clean_crashes
-from roadframe.session import build_session
+from roadframe.session import build_session, checkpoint_root
 from roadframe.sources import delimited
 
 
@@ -32,13 +32,14 @@ def run(spark, csv_path: str, out: str, recipe_names: list[str], land: str | Non
     """Run the workflow; returns the written result paths by name.
 
     The CSV text is parsed once: it is landed as Parquet (at ``land``, or
-    ``<out>/_work/raw``) and every later step scans that table. Training
-    tables go to ``<out>/_work/train_<recipe>`` and are overwritten by the
-    next run, so repeated runs do not pile up copies."""
+    ``<out>/_work/raw``) and every later step scans that table. Each
+    recipe's model input goes to ``<out>/_work/input_<recipe>`` and is
+    overwritten by the next run, so repeated runs do not pile up copies."""
+    checkpoint_root(spark)  # fail before writing anything if no shared folder is configured
     work = f"{out.rstrip('/')}/_work"
     land = land or f"{work}/raw"
-    delimited.read_delimited(spark, csv_path, infer=infer).write.mode("overwrite").parquet(land)
-    raw = delimited.register_view(spark.read.parquet(land), "crashes_raw")
+    landed = delimited.land_as_parquet(spark, csv_path, land, mode="overwrite", infer=infer)
+    raw = delimited.register_view(landed, "crashes_raw")
     written = {"raw": land}
 
     def save(name, df):
@@ -57,7 +58,7 @@ def run(spark, csv_path: str, out: str, recipe_names: list[str], land: str | Non
     save("clean_rows", profile.row_count(clean))
     metric_frames = []
     for name in recipe_names:
-        result = recipes.run_recipe(clean, name, work_path=f"{work}/train_{name}")
+        result = recipes.run_recipe(clean, name, work_path=f"{work}/input_{name}")
         # score the test part once; metrics and pairs read the written predictions
         save(f"predictions_{name}", result.predictions())
         scored = spark.read.parquet(written[f"predictions_{name}"])

@@ -61,7 +61,7 @@ def epoch_roundtrip_date(col: str | Column, fmt: str = DATE_FORMAT) -> Column:
 def extract_hour(col: str | Column, sep: str = ":") -> Column:
     """Hour of an ``H:mm`` text: the first ``sep``-separated field as int.
     A missing field or non-numeric text gives null."""
-    return to_int(F.get(F.split(c(col), sep), 0))
+    return to_int(F.get(F.split(c(col), "\\Q" + sep + "\\E"), 0))  # literal, not a regex
 
 
 def time_segment(hour: str | Column,

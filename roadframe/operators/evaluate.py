@@ -19,7 +19,8 @@ def _as_rows(df: DataFrame, names: list[str], digits: int | None) -> DataFrame:
 
 def classification_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction",
                            digits: int | None = None) -> DataFrame:
-    """``accuracy``: share of rows whose prediction equals the label."""
+    """``accuracy``: share of rows whose prediction equals the label, over
+    the rows that have both."""
     hit = (c(label).cast("double") == c(prediction).cast("double")).cast("double")
     agg = pred.agg(F.avg(hit).alias("accuracy"))
     return _as_rows(agg, ["accuracy"], digits)
@@ -38,9 +39,11 @@ def _regression_aggs(label: Column, prediction: Column) -> list[Column]:
 def regression_metrics(pred: DataFrame, label: str, prediction: str = "prediction",
                        digits: int | None = None) -> DataFrame:
     """``rmse`` = sqrt(mean squared error) and ``r2`` = 1 - SSE / total sum
-    of squares (population variance times n), both from one pass. Never
-    divides by zero (empty input, constant label)."""
-    agg = pred.agg(*_regression_aggs(c(label), c(prediction)))
+    of squares (population variance times n), both from one pass over the
+    rows that have a label and a prediction. Never divides by zero (empty
+    input, constant label)."""
+    complete = pred.where(c(label).isNotNull() & c(prediction).isNotNull())
+    agg = complete.agg(*_regression_aggs(c(label), c(prediction)))
     total = F.col("var_y") * F.col("n")
     # a constant label has no variance: r2 is NaN for a perfect fit, -inf otherwise
     # (as in Spark's RegressionEvaluator); no rows gives null metrics

@@ -20,7 +20,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 
 from roadframe.functions.columns import c
-from roadframe.session import checkpoint_dir, default_parallelism, fresh_shared_path
+from roadframe.session import default_parallelism, fresh_shared_path
 from roadframe.sources.delimited import preview
 
 # Scale settings shared by all tree learners. A larger histogram budget
@@ -87,7 +87,6 @@ def materialize(df: DataFrame, name: str = "model-input", path: str | None = Non
 
 def train(stages: Sequence, train_df: DataFrame) -> PipelineModel:
     """Chain the stages and fit them once on ``train_df``."""
-    checkpoint_dir(train_df.sparkSession)  # tree node-id checkpoints need it
     return Pipeline(stages=list(stages)).fit(train_df)
 
 
@@ -144,7 +143,6 @@ def cross_validate(spark: SparkSession, stages: Sequence, train_df: DataFrame,
     else:
         evaluator = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
                                                       metricName=metric)
-    checkpoint_dir(spark)
     cv = CrossValidator(estimator=Pipeline(stages=stages), estimatorParamMaps=maps,
                         evaluator=evaluator, numFolds=folds, seed=seed, parallelism=parallelism)
     fitted = cv.fit(train_df)

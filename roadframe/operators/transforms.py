@@ -118,13 +118,14 @@ def require_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """Drop rows with a null in any column (or any of ``subset``).
+    """Drop rows with a null in any column (or any of ``subset``; an empty
+    subset drops nothing).
 
     Like ``dropna``, NaN in a float or double column counts as missing.
     Columns the schema marks non-nullable cannot hold a null, so only the
     nullable and the floating-point ones are tested: the same rows, with a
     smaller filter (Catalyst inlines each tested column's expression into it)."""
-    wanted = list(subset) if subset else df.columns
+    wanted = df.columns if subset is None else list(subset)
     missing = [col for col in wanted if col not in df.columns]
     if missing:
         raise KeyError(f"no columns {missing}")

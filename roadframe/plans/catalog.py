@@ -55,7 +55,7 @@ def key(df: DataFrame) -> DataFrame:
     return df.withColumn("crash_id", X.to_int(S.COLLISION_ID, "bigint"))
 
 
-_KEY_SQL = f"TRY_CAST({O.q(S.COLLISION_ID)} AS BIGINT)"
+_KEY_SQL = O.int_sql(O.q(S.COLLISION_ID), "BIGINT")
 _RAW_STAR = ", ".join(O.q(c) for c in S.RAW_COLUMNS)
 
 
@@ -133,7 +133,7 @@ _CAST_OUT = {"ZIP CODE": "zip_code", **{c: S.RENAME_MAP[c] for c in S.COUNT_COLU
 
 @register("cast_int_safe", O.with_raw(
     f"SELECT {_KEY_SQL} AS crash_id, "
-    + ", ".join(f"TRY_CAST({O.q(c)} AS INTEGER) AS {n}" for c, n in _CAST_OUT.items())
+    + ", ".join(f"{O.int_sql(O.q(c))} AS {n}" for c, n in _CAST_OUT.items())
     + " FROM raw"))
 def cast_int_safe(spark, sf_dir):
     """P5: text to int with null on failure (blank zips, missing counts)."""
@@ -230,7 +230,7 @@ def require_not_null(spark, sf_dir):
 
 
 @register("drop_incomplete", O.with_derived(
-    "SELECT * FROM (SELECT d_key AS crash_id, TRY_CAST(\"ZIP CODE\" AS INTEGER) AS zip_code, "
+    "SELECT * FROM (SELECT d_key AS crash_id, " + O.int_sql(O.q(S.ZIP_CODE)) + " AS zip_code, "
     "d_injured AS total_injured, d_year AS year FROM derived) "
     "WHERE crash_id IS NOT NULL AND zip_code IS NOT NULL AND total_injured IS NOT NULL AND year IS NOT NULL"))
 def drop_incomplete(spark, sf_dir):
@@ -480,7 +480,7 @@ _ASSEMBLED = ["zip_code", "total_injured", "total_killed", "total_cars", "fatali
 
 
 @register("assemble_skip", O.with_derived(
-    "SELECT * FROM (SELECT d_key AS crash_id, CAST(TRY_CAST(\"ZIP CODE\" AS INTEGER) AS DOUBLE) AS e0, "
+    "SELECT * FROM (SELECT d_key AS crash_id, CAST(" + O.int_sql(O.q(S.ZIP_CODE)) + " AS DOUBLE) AS e0, "
     "CAST(d_injured AS DOUBLE) AS e1, CAST(d_killed AS DOUBLE) AS e2, CAST(d_cars AS DOUBLE) AS e3, "
     "CAST(d_rate AS DOUBLE) AS e4 FROM derived) "
     "WHERE e0 IS NOT NULL AND e1 IS NOT NULL AND e2 IS NOT NULL AND e3 IS NOT NULL AND e4 IS NOT NULL"))
@@ -663,11 +663,14 @@ for _name in recipes.RECIPES:
 
 @register("prediction_pairs")
 def prediction_pairs(spark, sf_dir):
-    """Actual vs predicted main factor for the first ten test crashes
-    (the test part is scored once into a table, then the top ten are read)."""
+    """Actual vs predicted main factor for the first ten test crashes.
+    The ten rows are picked from the test part first (a top-k) and only
+    they are scored: the order does not depend on the prediction, and the
+    assembler's skip mode drops nothing here because clean rows have no
+    nulls."""
     run = recipes.run_recipe(clean(spark, sf_dir), "3")
-    scored = models.materialize(run.predictions(), "predictions-3", spread=False)
-    return models.prediction_pairs(scored, "main_reason", run.label_list(), n=10,
+    first = delimited.preview(run.test, 10, order_by=["crash_id"])
+    return models.prediction_pairs(run.model.transform(first), "main_reason", run.label_list(), n=10,
                                    order_by=["crash_id"], keep=["crash_id"])
 
 
@@ -682,8 +685,8 @@ def feature_importance(spark, sf_dir):
 def cross_validate(spark, sf_dir):
     """5-fold cross-validation of recipe 1a over trees {3, 5} x depth {2, 3}."""
     recipe = recipes.RECIPES["1a"]
-    train_df, _ = recipes.split(recipes.model_input(clean(spark, sf_dir), recipe), recipe)
-    train_df = models.materialize(train_df, "cv-train")
+    stored = models.materialize(recipes.model_input(clean(spark, sf_dir), recipe), "cv-input")
+    train_df, _ = recipes.split(stored, recipe)
     stage_list, label_col = recipes.stages(recipe)
     return models.cross_validate(spark, stage_list, train_df, {"numTrees": [3, 5], "maxDepth": [2, 3]},
                                  label=label_col, metric="accuracy", folds=5, seed=42)

@@ -31,26 +31,54 @@ def bucket_sql(expr: str) -> str:
     return f"CASE {whens} ELSE {expr} END"
 
 
+def int_sql(expr: str, sql_type: str = "INTEGER") -> str:
+    """The cleaning rule for text to integer: plain integer text (optional
+    sign, surrounding blanks) in range, else NULL. Stated explicitly because
+    DuckDB's own cast also accepts "1.0" and rounds "12.5"."""
+    text = f"trim(CAST({expr} AS VARCHAR))"
+    return f"CASE WHEN regexp_full_match({text}, '[+-]?[0-9]+') THEN TRY_CAST({text} AS {sql_type}) END"
+
+
+def date_sql(expr: str) -> str:
+    """The cleaning rule for MM/dd/yyyy text: exactly two-digit month and day
+    and four-digit year forming a real date, else NULL (DuckDB's strptime
+    alone also accepts unpadded fields)."""
+    return (f"CASE WHEN regexp_full_match({expr}, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}') "
+            f"THEN CAST(try_strptime({expr}, '%m/%d/%Y') AS DATE) END")
+
+
+def checked_sum_sql(terms: list[str]) -> str:
+    """Left-to-right INTEGER sum where a NULL term, or a partial sum outside
+    the INTEGER range, makes the result NULL (the cleaning rule: an
+    overflowing total is missing, not an error)."""
+    acc = terms[0]
+    for term in terms[1:]:
+        wide = f"CAST({acc} AS BIGINT) + CAST({term} AS BIGINT)"
+        acc = f"(CASE WHEN {wide} BETWEEN -2147483648 AND 2147483647 THEN CAST({wide} AS INTEGER) END)"
+    return acc
+
+
 def half_up_ratio_sql(part: str, whole: str, digits: int = 2) -> str:
     """part / whole rounded half-up with exact integer arithmetic (non-negative ints)."""
     scale = 10 ** digits
-    return f"CAST((2 * {scale} * ({part}) + ({whole})) // (2 * ({whole})) AS DOUBLE) / {scale}"
+    return (f"CAST((2 * {scale} * CAST({part} AS BIGINT) + CAST({whole} AS BIGINT)) // "
+            f"(2 * CAST({whole} AS BIGINT)) AS DOUBLE) / {scale}")
 
 
 RAW_CTE = f"fx AS ({fixture_sql('duckdb')}), raw AS (SELECT * EXCLUDE (_k) FROM fx)"
 
-_INT = {c: f"TRY_CAST({q(c)} AS INTEGER)" for c in S.COUNT_COLUMNS}
-_TOTAL_INJ = " + ".join(f"n_{i}" for i in range(0, 8, 2))
-_TOTAL_KIL = " + ".join(f"n_{i}" for i in range(1, 8, 2))
+_INT = {c: int_sql(q(c)) for c in S.COUNT_COLUMNS}
+_TOTAL_INJ = checked_sum_sql([f"n_{i}" for i in range(0, 8, 2)])
+_TOTAL_KIL = checked_sum_sql([f"n_{i}" for i in range(1, 8, 2)])
 
 # raw columns plus every derived column, before any row is removed
 _DERIVED_BODY = f"""
 d1 AS (
   SELECT *,
-    CAST(try_strptime({q(S.CRASH_DATE)}, '%m/%d/%Y') AS DATE) AS d_date,
-    TRY_CAST(split_part({q(S.CRASH_TIME)}, ':', 1) AS INTEGER) AS d_hour,
+    {date_sql(q(S.CRASH_DATE))} AS d_date,
+    {int_sql(f"split_part({q(S.CRASH_TIME)}, ':', 1)")} AS d_hour,
     {", ".join(f"{_INT[c]} AS n_{i}" for i, c in enumerate(S.COUNT_COLUMNS))},
-    TRY_CAST({q(S.COLLISION_ID)} AS BIGINT) AS d_key
+    {int_sql(q(S.COLLISION_ID), "BIGINT")} AS d_key
   FROM raw
 ), d2 AS (
   SELECT *,
@@ -66,17 +94,18 @@ d1 AS (
          WHEN {q(S.VEHICLE_COLUMNS[2])} IS NOT NULL THEN 3
          WHEN {q(S.VEHICLE_COLUMNS[1])} IS NOT NULL THEN 2 ELSE 1 END AS d_cars
   FROM d1
+), d3 AS (
+  SELECT *, {checked_sum_sql(['d_killed', 'd_injured'])} AS d_hurt FROM d2
 ), derived AS (
   SELECT *,
-    CASE WHEN d_killed + d_injured > 0 THEN {half_up_ratio_sql('d_killed', 'd_killed + d_injured')}
-         ELSE 0.0 END AS d_rate
-  FROM d2
+    CASE WHEN d_hurt > 0 THEN {half_up_ratio_sql('d_killed', 'd_hurt')} ELSE 0.0 END AS d_rate
+  FROM d3
 )"""
 DERIVED_CTE = RAW_CTE + "," + _DERIVED_BODY
 
 _CLEAN_COLS = {
     "borough": q(S.BOROUGH),
-    "zip_code": f"TRY_CAST({q(S.ZIP_CODE)} AS INTEGER)",
+    "zip_code": int_sql(q(S.ZIP_CODE)),
     **{S.RENAME_MAP[c]: f"n_{i}" for i, c in enumerate(S.COUNT_COLUMNS)},
     **{S.RENAME_MAP[c]: bucket_sql(f"coalesce({q(c)}, {lit(S.FACTOR_DEFAULT)})") for c in S.BUCKETED_FACTORS},
     "crash_id": "d_key",

@@ -3,14 +3,13 @@
 A recipe names its label, its categorical and numeric inputs, how the
 categories are encoded, the assembler order, the split and the estimator.
 ``run_recipe`` turns that into: optional dedup -> column selection and
-null drop -> split -> materialized training table -> Spark ML pipeline
-fit -> scoring -> metrics frame.
+null drop -> stored model input -> split -> Spark ML pipeline fit ->
+scoring -> metrics frame.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from types import MappingProxyType
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +31,7 @@ class Recipe:
     assembler_invalid: str        # "error" or "skip"
     numeric_first: bool           # assembler order: numeric then categorical
     estimator: str                # "forest_classifier", "forest_regressor", "tree_regressor"
-    estimator_params: dict = field(default_factory=dict, hash=False)
+    estimator_params: tuple = ()  # given as a dict, kept as sorted (name, value) pairs
     dedup: bool = False           # one row per crash id before the split
     select_and_dropna: bool = False
     weights: tuple[float, ...] = (0.8, 0.2)
@@ -40,8 +39,11 @@ class Recipe:
     assembler_order: tuple[str, ...] | None = None  # explicit feature order (base column names)
 
     def __post_init__(self):
-        # read-only, so the shared RECIPES entries cannot be changed in place
-        object.__setattr__(self, "estimator_params", MappingProxyType(dict(self.estimator_params)))
+        # immutable pairs: the shared RECIPES entries cannot be changed in place,
+        # and recipes stay hashable and picklable
+        params = self.estimator_params
+        pairs = params.items() if isinstance(params, dict) else params
+        object.__setattr__(self, "estimator_params", tuple(sorted(pairs)))
 
     @property
     def metrics(self) -> tuple[str, ...]:
@@ -162,7 +164,7 @@ def stages(recipe: Recipe) -> tuple[list, str]:
         inputs = [*cat_out.values(), *recipe.numeric]
     stage_list.append(features.assemble(inputs, "features", invalid=recipe.assembler_invalid))
     builder = getattr(models, recipe.estimator)
-    stage_list.append(builder(label=label_col, **recipe.estimator_params, seed=recipe.seed))
+    stage_list.append(builder(label=label_col, **dict(recipe.estimator_params), seed=recipe.seed))
     return stage_list, label_col
 
 
@@ -207,19 +209,20 @@ def recipe_metrics(recipe: Recipe, scored: DataFrame, label_col: str,
 
 def run_recipe(clean: DataFrame, recipe: Recipe | str, split_method: str = "stable",
                materialize: bool = True, work_path: str | None = None) -> RecipeRun:
-    """Fit a recipe on its training part and score its test part. The
-    training part is stored as a table (at ``work_path``, overwritten, or
-    a new folder below the shared checkpoint folder)."""
+    """Fit a recipe on its training part and score its test part.
+
+    The recipe's model input (key, label and inputs only) is stored once as a
+    table (at ``work_path``, overwritten, or a new folder below the shared
+    checkpoint folder); both parts are filters of that table. The raw data
+    and the cleaning run once per recipe, not once per part, and every fit
+    pass scans the narrow table. A random split needs the stored input in
+    any case: its two parts are evaluated separately and must see the same
+    rows in the same layout."""
     recipe = RECIPES[recipe] if isinstance(recipe, str) else recipe
     df = model_input(clean, recipe)
-    if split_method == "random":
-        # a Bernoulli split is evaluated once per part; both parts must see the
-        # same rows in the same layout (the dedup survivor of a recomputed
-        # lineage could differ), so the input is stored first
-        df = models.materialize(df, f"input-{recipe.name}", path=work_path and f"{work_path}-input")
+    if materialize or split_method == "random":
+        df = models.materialize(df, f"input-{recipe.name}", path=work_path)
     train_df, test_df = split(df, recipe, split_method)
-    if materialize:
-        train_df = models.materialize(train_df, f"train-{recipe.name}", path=work_path)
     stage_list, label_col = stages(recipe)
     fitted = models.train(stage_list, train_df)
     scored = models.score(fitted, test_df)

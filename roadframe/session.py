@@ -44,40 +44,46 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 _FALLBACK_DIRS: dict[int, str] = {}
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of this session.
-
-    Read from the session (the context's checkpoint dir or
-    ``spark.checkpoint.dir``). If neither is set, a private local folder is
-    created and registered, but only for a local master (local runs,
-    tests); on a cluster a machine-local folder would scatter written
-    tables over the executors' disks, so that raises instead.
-    """
+def checkpoint_root(spark: SparkSession) -> str:
+    """The configured checkpoint folder itself (``spark.checkpoint.dir``),
+    stable across applications. Spark's own checkpoint dir is a random
+    per-application folder below it. If the setting is absent, a private
+    local folder is used, but only for a local master (local runs, tests):
+    on a cluster a machine-local folder would scatter written tables over
+    the executors' disks, so that raises instead."""
     try:
         sc = spark.sparkContext
     except Exception:  # a session without a local SparkContext
         sc = None
-    if sc is not None:
-        current = sc.getCheckpointDir()
-        if current:
-            return current
     configured = sc.getConf().get(_CHECKPOINT_KEY, None) if sc is not None else None
     if not configured:
         try:
             configured = spark.conf.get(_CHECKPOINT_KEY)
         except Exception:  # not set in the SQL conf either
             configured = None
-    if not configured:
-        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-        if not str(master).startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set: set it to a folder on shared storage "
-                "(HDFS, S3, ...) that every executor and the driver can read")
-        configured = _FALLBACK_DIRS.setdefault(id(spark), tempfile.mkdtemp(prefix="roadframe-ckpt-"))
-    if sc is None:
+    if configured:
         return configured
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not str(master).startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: set it to a folder on shared storage "
+            "(HDFS, S3, ...) that every executor and the driver can read")
+    if id(spark) not in _FALLBACK_DIRS:
+        _FALLBACK_DIRS[id(spark)] = tempfile.mkdtemp(prefix="roadframe-ckpt-")
+    return _FALLBACK_DIRS[id(spark)]
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """Spark's checkpoint dir for ``DataFrame.checkpoint()`` (registered from
+    ``checkpoint_root`` when not yet set)."""
+    root = checkpoint_root(spark)
+    try:
+        sc = spark.sparkContext
+    except Exception:
+        return root
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
+    return sc.getCheckpointDir() or root
 
 
 def default_parallelism(spark: SparkSession) -> int:
@@ -89,8 +95,9 @@ def default_parallelism(spark: SparkSession) -> int:
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A path below the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
+    """A path below the shared checkpoint folder; the same for every
+    application using that folder."""
+    base = checkpoint_root(spark)
     return "/".join([base.rstrip("/"), *parts])
 
 

@@ -64,12 +64,12 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "error
 
 def land_as_parquet(spark: SparkSession, csv_path: str, out_path: str,
                     schema: T.StructType | None = None, partition_by: Sequence[str] | None = None,
-                    mode: str = "errorifexists") -> DataFrame:
+                    mode: str = "errorifexists", infer: bool = False) -> DataFrame:
     """Land a delimited file as Parquet once, for repeated scans: columnar
     reads, column pruning and filter pushdown instead of re-parsing text.
-    The text is read with the explicit schema (no inference pass); one
-    Parquet file per input split, optionally partitioned by columns."""
-    writer = read_delimited(spark, csv_path, schema=schema).write.mode(mode)
+    The text is read with the explicit schema (no inference pass) unless
+    ``infer``; one Parquet file per input split, optionally partitioned."""
+    writer = read_delimited(spark, csv_path, schema=schema, infer=infer).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(out_path)

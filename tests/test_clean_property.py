@@ -11,16 +11,17 @@ from roadframe.plans.cleaning import clean_crashes, clean_crashes_stepwise
 from roadframe.plans.oracle import clean_sql_over
 from scripts.check_oracles import digest
 
-# value pools on which Spark and DuckDB casts agree (no text with a decimal
-# point: DuckDB casts "1.0" to 1 and rounds "12.5" to 13; the cleaning rules
-# make both null)
-COUNTS = st.sampled_from(["0", "1", "2", "3", "10", "", "     ", "abc", "99999999999", None])
+# value pools, including text on which the engines' own casts differ
+# ("1.0", "12.5", unpadded dates): the oracle states the cleaning rules
+# explicitly, so both sides must agree on these too
+COUNTS = st.sampled_from(["0", "1", "2", "3", "10", " 4 ", "+2", "-1", "1.0", "12.5", "", "     ", "abc",
+                          "99999999999", "2147483647", None])
 DATES = st.sampled_from(["03/15/2021", "12/31/2019", "02/29/2020", "02/29/2021", "13/40/2021",
-                         "01/01/2022", "", "x", None])
+                         "01/01/2022", "1/5/2021", "3/15/2021", "", "x", None])
 TIMES = st.sampled_from(["0:00", "5:59", "6:00", "11:30", "12:00", "17:59", "18:00", "23:59",
-                         "7", ":15", "ab:cd", "", None])
+                         "7", ":15", "ab:cd", "1.0:30", "", None])
 BOROUGHS = st.sampled_from(["BROOKLYN", "QUEENS", "BRONX", None])
-ZIPS = st.sampled_from(["10001", "11201", "     ", "", "1e3", "007", None])
+ZIPS = st.sampled_from(["10001", "11201", "10001.0", "     ", "", "1e3", "007", None])
 FACTORS = st.sampled_from(["Glare", "Texting", "texting", "Unspecified", "80", "1", "Illnes",
                            "Brakes Defective", "Something Else", None])
 CODES = st.sampled_from(["Sedan", None])
@@ -28,7 +29,7 @@ IDS = st.sampled_from(["1", "2", "3", "4", "x", "", None])
 
 
 # valid-only pools, so most generated rows survive and exercise the derived values
-GOOD_COUNTS = st.sampled_from(["0", "0", "0", "1", "1", "2", "3", "10"])
+GOOD_COUNTS = st.sampled_from(["0", "0", "0", "1", "1", "2", "3", "10", "2147483647"])
 GOOD_DATES = st.sampled_from(["03/15/2021", "12/31/2019", "02/29/2020", "01/01/2022", "07/04/2018"])
 GOOD_TIMES = st.sampled_from(["0:00", "5:59", "6:00", "11:30", "12:00", "17:59", "18:00", "23:59"])
 GOOD_BOROUGHS = st.sampled_from(["BROOKLYN", "QUEENS", "BRONX"])

@@ -125,8 +125,14 @@ def test_no_local_checkpoint_folder_on_a_cluster():
         checkpoint_dir(_Session("yarn"))
 
 
-def test_recipes_are_hashable_and_read_only():
+def test_recipes_are_hashable_read_only_and_picklable():
+    import copy
+    import dataclasses
+    import pickle
     from roadframe.plans.recipes import RECIPES
     assert len({RECIPES["1a"], RECIPES["4"]}) == 2
     with pytest.raises(TypeError):
         RECIPES["4"].estimator_params["max_depth"] = 10
+    assert pickle.loads(pickle.dumps(RECIPES["4"])) == RECIPES["4"]
+    assert copy.deepcopy(RECIPES["1a"]) == RECIPES["1a"]
+    assert dict(dataclasses.asdict(RECIPES["4"])["estimator_params"]) == {"max_bins": 10, "max_depth": 5}
