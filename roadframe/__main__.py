@@ -23,7 +23,7 @@ from roadframe import schema as S
 from roadframe.operators import models, profile
 from roadframe.plans import recipes
 from roadframe.plans.cleaning import clean_crashes
-from roadframe.session import build_session, checkpoint_root
+from roadframe.session import build_session
 from roadframe.sources import delimited
 
 
@@ -35,10 +35,11 @@ def run(spark, csv_path: str, out: str, recipe_names: list[str], land: str | Non
     ``<out>/_work/raw``) and every later step scans that table. Each
     recipe's model input goes to ``<out>/_work/input_<recipe>`` and is
     overwritten by the next run, so repeated runs do not pile up copies."""
-    checkpoint_root(spark)  # fail before writing anything if no shared folder is configured
     work = f"{out.rstrip('/')}/_work"
+    # the default landing folder is ours to overwrite; a user-named one must be new
+    mode = "errorifexists" if land else "overwrite"
     land = land or f"{work}/raw"
-    landed = delimited.land_as_parquet(spark, csv_path, land, mode="overwrite", infer=infer)
+    landed = delimited.land_as_parquet(spark, csv_path, land, mode=mode, infer=infer)
     raw = delimited.register_view(landed, "crashes_raw")
     written = {"raw": land}
 
@@ -77,20 +78,20 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--recipes", default=",".join(recipes.RECIPES),
                         help="comma-separated recipe names (default: all)")
     parser.add_argument("--land", default=None,
-                        help="where to land the CSV as Parquet (default: <out>/_work/raw)")
+                        help="new folder to land the CSV as Parquet (default: <out>/_work/raw)")
     parser.add_argument("--infer", action="store_true", help="infer column types instead of the schema")
     parser.add_argument("--no-clean-table", action="store_true", help="do not write the clean table")
     parser.add_argument("--master", default=None, help="Spark master for a local run, e.g. local[8]")
     args = parser.parse_args(argv)
+    names = [n.strip() for n in args.recipes.split(",") if n.strip()]
+    unknown = [n for n in names if n not in recipes.RECIPES]
+    if unknown:
+        parser.error(f"unknown recipes {unknown}; choose from {list(recipes.RECIPES)}")
     if args.master:
         spark = build_session(master=args.master)
     else:
         from pyspark.sql import SparkSession
         spark = SparkSession.builder.appName("roadframe").getOrCreate()
-    names = [n for n in args.recipes.split(",") if n]
-    unknown = [n for n in names if n not in recipes.RECIPES]
-    if unknown:
-        parser.error(f"unknown recipes {unknown}; choose from {list(recipes.RECIPES)}")
     written = run(spark, args.csv, args.out, names, land=args.land, infer=args.infer,
                   write_clean=not args.no_clean_table)
     if "metrics" in written:

@@ -60,7 +60,7 @@ SPREAD_MAX_ROWS = 10_000_000
 
 
 def materialize(df: DataFrame, name: str = "model-input", path: str | None = None,
-                spread: bool = True) -> DataFrame:
+                spread: bool = True, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as Parquet and read it back: later passes (indexer fit,
     split search, tree levels) scan this narrow table instead of recomputing
     the whole lineage, and a lost executor costs a re-read, not a recompute
@@ -72,15 +72,16 @@ def materialize(df: DataFrame, name: str = "model-input", path: str | None = Non
     partition) is rewritten once spread over the cores; that extra write is
     bounded by ``SPREAD_MAX_ROWS`` rows. Large tables are written by many
     tasks and are read back as they are. ``spread=False`` skips this (for
-    tables read once, such as scored predictions)."""
+    tables read once, such as scored predictions). ``partition_by`` writes
+    one folder per value, so a filter on those columns prunes whole folders."""
     spark = df.sparkSession
     path = path or fresh_shared_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     back = spark.read.parquet(path)
     cores = default_parallelism(spark)
     if spread and len(back.inputFiles()) < cores and back.count() <= SPREAD_MAX_ROWS:
         spread_path = path.rstrip("/") + "-spread"
-        back.repartition(cores).write.mode("overwrite").parquet(spread_path)
+        back.repartition(cores).write.mode("overwrite").partitionBy(*partition_by).parquet(spread_path)
         return spark.read.parquet(spread_path)
     return back
 

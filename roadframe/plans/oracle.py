@@ -33,10 +33,13 @@ def bucket_sql(expr: str) -> str:
 
 def int_sql(expr: str, sql_type: str = "INTEGER") -> str:
     """The cleaning rule for text to integer: plain integer text (optional
-    sign, surrounding blanks) in range, else NULL. Stated explicitly because
-    DuckDB's own cast also accepts "1.0" and rounds "12.5"."""
-    text = f"trim(CAST({expr} AS VARCHAR))"
-    return f"CASE WHEN regexp_full_match({text}, '[+-]?[0-9]+') THEN TRY_CAST({text} AS {sql_type}) END"
+    sign; blanks and control characters around it are ignored, as Spark
+    does) in range, else NULL. Stated explicitly because DuckDB's own cast
+    also accepts "1.0" and rounds "12.5"."""
+    text = f"CAST({expr} AS VARCHAR)"
+    pad = r"[\x00-\x20]*"
+    return (f"CASE WHEN regexp_full_match({text}, '{pad}[+-]?[0-9]+{pad}') "
+            f"THEN TRY_CAST(regexp_extract({text}, '[+-]?[0-9]+') AS {sql_type}) END")
 
 
 def date_sql(expr: str) -> str:
@@ -59,10 +62,12 @@ def checked_sum_sql(terms: list[str]) -> str:
 
 
 def half_up_ratio_sql(part: str, whole: str, digits: int = 2) -> str:
-    """part / whole rounded half-up with exact integer arithmetic (non-negative ints)."""
+    """part / whole (whole > 0) rounded half away from zero, as Spark's
+    ``round`` does, with exact integer arithmetic on the magnitude."""
     scale = 10 ** digits
-    return (f"CAST((2 * {scale} * CAST({part} AS BIGINT) + CAST({whole} AS BIGINT)) // "
-            f"(2 * CAST({whole} AS BIGINT)) AS DOUBLE) / {scale}")
+    magnitude = (f"(2 * {scale} * abs(CAST({part} AS BIGINT)) + CAST({whole} AS BIGINT)) // "
+                 f"(2 * CAST({whole} AS BIGINT))")
+    return f"CAST(sign(CAST({part} AS BIGINT)) * {magnitude} AS DOUBLE) / {scale}"
 
 
 RAW_CTE = f"fx AS ({fixture_sql('duckdb')}), raw AS (SELECT * EXCLUDE (_k) FROM fx)"

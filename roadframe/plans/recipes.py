@@ -9,7 +9,8 @@ scoring -> metrics frame.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ class Recipe:
         # immutable pairs: the shared RECIPES entries cannot be changed in place,
         # and recipes stay hashable and picklable
         params = self.estimator_params
-        pairs = params.items() if isinstance(params, dict) else params
+        pairs = params.items() if isinstance(params, Mapping) else params
         object.__setattr__(self, "estimator_params", tuple(sorted(pairs)))
 
     @property
@@ -120,11 +121,11 @@ def model_input(clean: DataFrame, recipe: Recipe) -> DataFrame:
     if recipe.label == "main_reason" and "main_reason" not in df.columns:
         df = add_main_reason(df)
     cols = [KEY, recipe.label, *recipe.categorical, *recipe.numeric]
+    df = df.select(*cols)
     if recipe.dedup:
         # one row per crash id, of any of its rows (projecting first is the
         # same result and keeps the sort-based dedup narrow)
-        df = dedup.dedup_by_key(df.select(*cols), [KEY])
-    df = df.select(*cols)
+        df = dedup.dedup_by_key(df, [KEY])
     if recipe.select_and_dropna:
         df = T.drop_incomplete(df)
     return df
@@ -212,17 +213,23 @@ def run_recipe(clean: DataFrame, recipe: Recipe | str, split_method: str = "stab
     """Fit a recipe on its training part and score its test part.
 
     The recipe's model input (key, label and inputs only) is stored once as a
-    table (at ``work_path``, overwritten, or a new folder below the shared
-    checkpoint folder); both parts are filters of that table. The raw data
-    and the cleaning run once per recipe, not once per part, and every fit
-    pass scans the narrow table. A random split needs the stored input in
-    any case: its two parts are evaluated separately and must see the same
-    rows in the same layout."""
+    table (at ``work_path``, overwritten, or a new scratch folder below the
+    shared checkpoint folder), so the raw data and the cleaning run once per
+    recipe, not once per part, and every fit pass scans the narrow table.
+    With the stable split the stored table is partitioned by its split part:
+    each part is then a pruned scan, with no per-row hashing on later passes.
+    A random split needs the stored input in any case: its two parts are
+    evaluated separately and must see the same rows in the same layout."""
     recipe = RECIPES[recipe] if isinstance(recipe, str) else recipe
     df = model_input(clean, recipe)
-    if materialize or split_method == "random":
-        df = models.materialize(df, f"input-{recipe.name}", path=work_path)
-    train_df, test_df = split(df, recipe, split_method)
+    if split_method == "stable" and materialize:
+        parted = splits.with_split_part(df, recipe.weights, [KEY], seed=recipe.seed, out="_part")
+        stored = models.materialize(parted, f"input-{recipe.name}", path=work_path, partition_by=["_part"])
+        train_df, test_df = [stored.where(F.col("_part") == i).drop("_part") for i in (0, 1)]
+    else:
+        if materialize or split_method == "random":
+            df = models.materialize(df, f"input-{recipe.name}", path=work_path)
+        train_df, test_df = split(df, recipe, split_method)
     stage_list, label_col = stages(recipe)
     fitted = models.train(stage_list, train_df)
     scored = models.score(fitted, test_df)

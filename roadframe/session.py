@@ -63,6 +63,9 @@ def checkpoint_root(spark: SparkSession) -> str:
             configured = None
     if configured:
         return configured
+    current = sc.getCheckpointDir() if sc is not None else None
+    if current:  # set with sc.setCheckpointDir(dir): Spark adds one folder per application
+        return current.rstrip("/").rsplit("/", 1)[0]
     master = sc.master if sc is not None else spark.conf.get("spark.master", "")
     if not str(master).startswith("local"):
         raise RuntimeError(
@@ -102,5 +105,8 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
 
 
 def fresh_shared_path(spark: SparkSession, prefix: str) -> str:
-    """A new, unused path below the shared checkpoint folder."""
-    return shared_path(spark, "roadframe", f"{prefix}-{os.getpid()}-{uuid.uuid4().hex[:12]}")
+    """A new, unused scratch path in this application's folder below the
+    shared checkpoint folder (Spark's per-application checkpoint dir), so
+    one application's scratch can be removed as a whole."""
+    base = checkpoint_dir(spark).rstrip("/")
+    return f"{base}/roadframe/{prefix}-{os.getpid()}-{uuid.uuid4().hex[:12]}"

@@ -15,9 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roadframe.plans.cleaning import clean_crashes
 from roadframe.schema import raw_schema
-import hashlib
 
-from roadframe.session import shared_path
 
 
 def crash_stream(spark: SparkSession, source_dir: str, schema: T.StructType | None = None,
@@ -38,18 +36,22 @@ def clean_stream(spark: SparkSession, source_dir: str, **kwargs) -> DataFrame:
 
 def start_clean_ingest(spark: SparkSession, source_dir: str, sink_dir: str,
                        checkpoint_location: str | None = None, available_now: bool = True,
-                       processing_time: str | None = None) -> StreamingQuery:
+                       processing_time: str | None = None, max_files_per_trigger: int | None = None,
+                       sep: str = ",", schema: T.StructType | None = None) -> StreamingQuery:
     """Start the ingest into Parquet files under ``sink_dir``. With
     ``available_now`` it processes every file present and stops; otherwise
     it polls every ``processing_time``.
 
-    The stream's checkpoint (which files are done) defaults to one fixed
-    folder per sink below the shared checkpoint folder, so starting the
-    ingest again for the same sink resumes where it stopped and picks up
-    only new files."""
-    sink_tag = hashlib.sha1(sink_dir.rstrip("/").encode()).hexdigest()[:20]
-    location = checkpoint_location or shared_path(spark, "roadframe", "ingest", sink_tag)
-    writer = (clean_stream(spark, source_dir).writeStream.format("parquet")
+    The stream's checkpoint (which files are done) defaults to the hidden
+    folder ``_ingest_checkpoint`` inside the sink, so it is the same for
+    every application that writes this sink: starting the ingest again
+    resumes where it stopped and picks up only new files. (Spark readers
+    skip ``_`` folders; the sink's own log lists the committed files.)
+    ``max_files_per_trigger`` bounds each micro-batch of a large backlog."""
+    location = checkpoint_location or f"{sink_dir.rstrip('/')}/_ingest_checkpoint"
+    stream = clean_stream(spark, source_dir, schema=schema,
+                          max_files_per_trigger=max_files_per_trigger, sep=sep)
+    writer = (stream.writeStream.format("parquet")
               .option("path", sink_dir).option("checkpointLocation", location)
               .outputMode("append"))
     if available_now:

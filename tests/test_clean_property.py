@@ -14,8 +14,8 @@ from scripts.check_oracles import digest
 # value pools, including text on which the engines' own casts differ
 # ("1.0", "12.5", unpadded dates): the oracle states the cleaning rules
 # explicitly, so both sides must agree on these too
-COUNTS = st.sampled_from(["0", "1", "2", "3", "10", " 4 ", "+2", "-1", "1.0", "12.5", "", "     ", "abc",
-                          "99999999999", "2147483647", None])
+COUNTS = st.sampled_from(["0", "1", "2", "3", "10", " 4 ", "\t5", "6\r", "+2", "-1", "-3", "1.0", "12.5", "",
+                          "     ", "abc", "99999999999", "2147483647", None])
 DATES = st.sampled_from(["03/15/2021", "12/31/2019", "02/29/2020", "02/29/2021", "13/40/2021",
                          "01/01/2022", "1/5/2021", "3/15/2021", "", "x", None])
 TIMES = st.sampled_from(["0:00", "5:59", "6:00", "11:30", "12:00", "17:59", "18:00", "23:59",
@@ -29,7 +29,7 @@ IDS = st.sampled_from(["1", "2", "3", "4", "x", "", None])
 
 
 # valid-only pools, so most generated rows survive and exercise the derived values
-GOOD_COUNTS = st.sampled_from(["0", "0", "0", "1", "1", "2", "3", "10", "2147483647"])
+GOOD_COUNTS = st.sampled_from(["0", "0", "0", "1", "1", "2", "3", "10", "-1", "2147483647"])
 GOOD_DATES = st.sampled_from(["03/15/2021", "12/31/2019", "02/29/2020", "01/01/2022", "07/04/2018"])
 GOOD_TIMES = st.sampled_from(["0:00", "5:59", "6:00", "11:30", "12:00", "17:59", "18:00", "23:59"])
 GOOD_BOROUGHS = st.sampled_from(["BROOKLYN", "QUEENS", "BRONX"])

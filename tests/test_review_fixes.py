@@ -103,26 +103,37 @@ class _SqlConf:  # like spark.conf: a missing key without default raises
 
 
 class _Context:
-    def __init__(self, master):
+    def __init__(self, master, current=None):
         self.master = master
+        self.current = current
 
     def getCheckpointDir(self):
-        return None
+        return self.current
 
     def getConf(self):
         return _SparkConf()
 
 
 class _Session:
-    def __init__(self, master):
-        self.sparkContext = _Context(master)
+    def __init__(self, master, current=None):
+        self.sparkContext = _Context(master, current)
         self.conf = _SqlConf()
 
 
 def test_no_local_checkpoint_folder_on_a_cluster():
-    from roadframe.session import checkpoint_dir
+    from roadframe.session import checkpoint_dir, checkpoint_root
     with pytest.raises(RuntimeError, match="shared storage"):
         checkpoint_dir(_Session("yarn"))
+    # a folder set with sc.setCheckpointDir counts as configured (Spark adds a per-app folder)
+    assert checkpoint_root(_Session("yarn", "hdfs:///ckpt/1f2e-app")) == "hdfs:///ckpt"
+
+
+def test_runner_refuses_to_overwrite_a_named_landing_folder(spark, sf_dir):
+    from roadframe.__main__ import run
+    from roadframe.sources.fixture import landed_fixture_path
+    existing = tempfile.mkdtemp(prefix="land-existing-")
+    with pytest.raises(Exception, match="(?i)already exists"):
+        run(spark, landed_fixture_path(spark, sf_dir, "csv"), tempfile.mkdtemp(), [], land=existing)
 
 
 def test_recipes_are_hashable_read_only_and_picklable():
