@@ -29,8 +29,6 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | N
     if not order_by:
         return df.dropDuplicates(keys)
     order_by = [col for col in order_by if col not in keys]  # constant within a key
-    if not order_by:
-        return df.dropDuplicates(keys)
     rest = [col for col in df.columns if col not in keys and col not in order_by]
     packed = F.struct(*[c(col).alias(f"_o{i}") for i, col in enumerate(order_by)],
                       *[c(col).alias(f"_r{i}") for i, col in enumerate(rest)])

@@ -21,7 +21,7 @@ def classification_metrics(pred: DataFrame, label: str = "label", prediction: st
                            digits: int | None = None) -> DataFrame:
     """``accuracy``: share of rows whose prediction equals the label, over
     the rows that have both."""
-    hit = (c(label).cast("double") == c(prediction).cast("double")).cast("double")
+    hit = (c(label) == c(prediction)).cast("double")  # numeric indices or text labels
     agg = pred.agg(F.avg(hit).alias("accuracy"))
     return _as_rows(agg, ["accuracy"], digits)
 

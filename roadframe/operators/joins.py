@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadframe.functions.columns import c
 from roadframe.session import checkpoint_dir
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
@@ -51,7 +52,7 @@ def join_summary(large: DataFrame, summary: DataFrame, on: Sequence[str], how: s
     per_row = 16 + 8 * len(small.columns)
     stats = small.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*small.columns)))), F.lit(0)).alias("text"),
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*[c(x) for x in small.columns])))), F.lit(0)).alias("text"),
     ).first()
     size = stats["text"] + stats["rows"] * per_row
     limit = broadcast_byte_limit(spark)

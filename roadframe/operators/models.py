@@ -77,12 +77,12 @@ def materialize(df: DataFrame, name: str = "model-input", path: str | None = Non
     spark = df.sparkSession
     path = path or fresh_shared_path(spark, name)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    back = spark.read.parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)  # also for an empty table
     cores = default_parallelism(spark)
     if spread and len(back.inputFiles()) < cores and back.count() <= SPREAD_MAX_ROWS:
         spread_path = path.rstrip("/") + "-spread"
         back.repartition(cores).write.mode("overwrite").partitionBy(*partition_by).parquet(spread_path)
-        return spark.read.parquet(spread_path)
+        return spark.read.schema(df.schema).parquet(spread_path)
     return back
 
 

@@ -19,7 +19,9 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int | None = Non
 
 def split_bucket(keys: Sequence[str], seed: int = 42, buckets: int = 100) -> Column:
     """Bucket in ``[0, buckets)`` from the md5 of ``seed:key[:key...]``: the
-    first 8 hex digits as an unsigned 32-bit number, modulo ``buckets``."""
+    first 8 hex digits as an unsigned 32-bit number, modulo ``buckets``.
+    Key parts are joined as text (a null part is left out), so use several
+    key columns only when their text cannot contain ``:``."""
     text = F.concat_ws(":", F.lit(str(seed)), *[c(k).cast("string") for k in keys])
     head = F.substring(F.md5(text), 1, 8)
     return (F.conv(head, 16, 10).cast("bigint") % F.lit(buckets)).cast("int")
@@ -32,8 +34,11 @@ def _bounds(weights: Sequence[float], buckets: int) -> list[tuple[int, int]]:
     edges, acc = [0], 0.0
     for w in weights:
         acc += w / total
-        edges.append(int(round(acc * buckets)))
+        edges.append(int(acc * buckets + 0.5))  # half up
     edges[-1] = buckets
+    for w, lo, hi in zip(weights, edges[:-1], edges[1:]):
+        if w > 0 and hi <= lo:
+            raise ValueError(f"weight {w} is below one bucket of {buckets}; use more buckets")
     return list(zip(edges[:-1], edges[1:]))
 
 

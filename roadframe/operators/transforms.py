@@ -129,14 +129,23 @@ def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataF
     missing = [col for col in wanted if col not in df.columns]
     if missing:
         raise KeyError(f"no columns {missing}")
-    nullable = {f.name for f in df.schema.fields
-                if f.nullable or isinstance(f.dataType, (T.FloatType, T.DoubleType))}
-    cols = [col for col in wanted if col in nullable]
-    return df.dropna(how="any", subset=cols) if cols else df
+    fields = {f.name: f for f in df.schema.fields}
+    cond = None
+    for col in wanted:
+        f = fields[col]
+        floating = isinstance(f.dataType, (T.FloatType, T.DoubleType))
+        if not (f.nullable or floating):
+            continue
+        term = X.c(col).isNotNull()
+        if floating:
+            term = term & ~F.isnan(X.c(col))
+        cond = term if cond is None else cond & term
+    return df if cond is None else df.where(cond)
 
 
 def fill_defaults(df: DataFrame, mapping: Mapping[str, object]) -> DataFrame:
-    """Replace nulls column by column. The value's type must suit the column:
+    """Replace nulls (and NaN in float/double columns) column by column. The
+    value's type must suit the column:
     a mismatch raises here instead of being silently skipped."""
     types = {f.name: f.dataType for f in df.schema.fields}
     for col, value in mapping.items():
@@ -151,9 +160,13 @@ def fill_defaults(df: DataFrame, mapping: Mapping[str, object]) -> DataFrame:
         )
         if not ok:
             raise TypeError(f"fill value {value!r} does not suit column {col!r} of type {dtype}")
-    return df.withColumns({
-        col: F.coalesce(X.c(col), F.lit(value).cast(types[col])) for col, value in mapping.items()
-    })
+    def filled(col, value):
+        fill = F.lit(value).cast(types[col])
+        if isinstance(types[col], (T.FloatType, T.DoubleType)):  # like fillna: NaN too
+            return F.when(X.c(col).isNull() | F.isnan(X.c(col)), fill).otherwise(X.c(col))
+        return F.coalesce(X.c(col), fill)
+
+    return df.withColumns({col: filled(col, value) for col, value in mapping.items()})
 
 
 def fill_factor_defaults(df: DataFrame, cols: Sequence[str] = S.BUCKETED_FACTORS,

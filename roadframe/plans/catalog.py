@@ -366,11 +366,14 @@ def clean_stream(spark, sf_dir):
     Streaming (available-now trigger) into a fresh Parquet sink, read back."""
 
     sink = fresh_shared_path(spark, "clean-stream")
-    query = start_clean_ingest(spark, landed_fixture_path(spark, sf_dir, "csv"), sink)
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-    return spark.read.schema(clean(spark, sf_dir).schema).parquet(sink)
+    source = landed_fixture_path(spark, sf_dir, "csv")
+    start_clean_ingest(spark, source, sink).awaitTermination()  # raises if the stream failed
+    return spark.read.schema(clean_stream_schema(spark, source)).parquet(sink)
+
+
+def clean_stream_schema(spark, source):
+    from roadframe.streaming.ingest import clean_stream as stream_of
+    return stream_of(spark, source).schema
 
 
 # --- splits ----------------------------------------------------------------

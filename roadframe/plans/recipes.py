@@ -216,15 +216,17 @@ def run_recipe(clean: DataFrame, recipe: Recipe | str, split_method: str = "stab
     table (at ``work_path``, overwritten, or a new scratch folder below the
     shared checkpoint folder), so the raw data and the cleaning run once per
     recipe, not once per part, and every fit pass scans the narrow table.
-    With the stable split the stored table is partitioned by its split part:
-    each part is then a pruned scan, with no per-row hashing on later passes.
+    With the stable split the stored table carries each row's split part as
+    a column, so later passes select a part with an int comparison instead
+    of hashing every key again (a ``partitionBy`` would add a sort to the
+    write).
     A random split needs the stored input in any case: its two parts are
     evaluated separately and must see the same rows in the same layout."""
     recipe = RECIPES[recipe] if isinstance(recipe, str) else recipe
     df = model_input(clean, recipe)
     if split_method == "stable" and materialize:
         parted = splits.with_split_part(df, recipe.weights, [KEY], seed=recipe.seed, out="_part")
-        stored = models.materialize(parted, f"input-{recipe.name}", path=work_path, partition_by=["_part"])
+        stored = models.materialize(parted, f"input-{recipe.name}", path=work_path)
         train_df, test_df = [stored.where(F.col("_part") == i).drop("_part") for i in (0, 1)]
     else:
         if materialize or split_method == "random":

@@ -28,9 +28,12 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None =
         .option("sep", sep)
         .option("mode", "PERMISSIVE")
     )
+    if infer and schema is not None:
+        raise ValueError("pass either an explicit schema or infer=True, not both")
     if infer:
         reader = (
             reader.option("inferSchema", "true")
+            .option("enforceSchema", "false")  # still check every file's header
             .option("samplingRatio", str(sampling_ratio))
             .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss")
             .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss")
@@ -49,7 +52,9 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "error
     """Write a frame as delimited text with a header row.
 
     Leading and trailing blanks are kept (Spark trims them by default when
-    writing), so a blank field reads back as blank text, not as null.
+    writing), so a field of blanks reads back as the same blanks. An empty
+    string and a null both read back as null, and values with line breaks
+    are not supported (multi-line records would make the file unsplittable).
     """
     (
         df.write.mode(mode)
@@ -73,7 +78,9 @@ def land_as_parquet(spark: SparkSession, csv_path: str, out_path: str,
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(out_path)
-    return spark.read.parquet(out_path)
+    # read back with the written schema: no retyping of partition columns
+    written = read_delimited(spark, csv_path, schema=schema, infer=infer).schema if infer else (schema or raw_schema())
+    return spark.read.schema(written).parquet(out_path)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

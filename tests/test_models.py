@@ -10,7 +10,9 @@ from roadframe.plans.recipes import RECIPES, run_recipe
 
 @pytest.fixture(scope="module")
 def clean(spark, sf_dir):
-    return catalog.clean(spark, sf_dir).cache()
+    frame = catalog.clean(spark, sf_dir).cache()
+    yield frame
+    frame.unpersist()  # later modules inspect the uncached plan
 
 
 @pytest.mark.parametrize("name", sorted(RECIPES))

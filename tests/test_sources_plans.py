@@ -9,7 +9,12 @@ from roadframe.sources.fixture import landed_fixture, landed_fixture_path
 
 
 def plan_text(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")  # untruncated scan details
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
 def test_csv_round_trip_keeps_blanks(spark):
