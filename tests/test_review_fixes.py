@@ -147,3 +147,36 @@ def test_recipes_are_hashable_read_only_and_picklable():
     assert pickle.loads(pickle.dumps(RECIPES["4"])) == RECIPES["4"]
     assert copy.deepcopy(RECIPES["1a"]) == RECIPES["1a"]
     assert dict(dataclasses.asdict(RECIPES["4"])["estimator_params"]) == {"max_bins": 10, "max_depth": 5}
+
+
+def test_dedup_key_only_order_is_deterministic(spark):
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "z")], "k int, r string").repartition(3)
+    got = {r.k: r.r for r in dedup.dedup_by_key(df, ["k"], order_by=["k"]).collect()}
+    assert got == {1: "a", 2: "z"}  # ties broken by the remaining columns
+
+
+def test_fill_defaults_replaces_nan_like_fillna(spark):
+    df = spark.createDataFrame([(float("nan"),), (None,), (2.0,)], "x double")
+    assert [r.x for r in T.fill_defaults(df, {"x": 0.0}).collect()] == [0.0, 0.0, 2.0]
+
+
+def test_accuracy_on_text_labels(spark):
+    df = spark.createDataFrame([("a", "a"), ("b", "a")], "label string, prediction string")
+    assert evaluate.classification_metrics(df).first()["value"] == 0.5
+
+
+def test_split_bounds_refuse_empty_parts(spark):
+    from roadframe.operators import splits
+    with pytest.raises(ValueError, match="below one bucket"):
+        splits.stable_split(spark.range(10), [0.995, 0.005], ["id"])
+
+
+def test_drop_incomplete_with_dotted_names(spark):
+    df = spark.createDataFrame([(1, None), (2, 3)], "`a.b` int, c int")
+    assert T.drop_incomplete(df, ["c"]).count() == 1 and T.drop_incomplete(df).count() == 1
+
+
+def test_materialize_empty_partitioned_table(spark):
+    from roadframe.operators import models
+    empty = spark.range(0).withColumn("_part", F.lit(0))
+    assert models.materialize(empty, "empty", partition_by=["_part"]).count() == 0
