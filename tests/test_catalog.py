@@ -25,3 +25,14 @@ def test_rows_only_query_runs(spark, sf_dir, name):
 def test_names_are_plain():
     for name in E.queries():
         assert name.replace("_", "").isalnum() and not name.startswith("op")
+
+
+PLAN_CHECKED = ["clean_pipeline", "dedup_by_key", "distinct_values_across", "classification_metrics",
+                "index_categories_keep", "one_hot_slots", "assemble_skip", "recipe_features_3", "stable_split"]
+
+
+@pytest.mark.parametrize("name", PLAN_CHECKED)
+def test_plans_stay_jvm_side(spark, sf_dir, name):
+    """No Python evaluation node (row or Arrow batch UDF) in the physical plan."""
+    plan = E.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "PythonUDF" not in plan
