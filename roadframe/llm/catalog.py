@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from roadframe.llm.mixing import op4_mixing
+from roadframe.llm.packing import op1_packing
+from roadframe.llm.sharding import op3_sharding
 
 QUERIES = {
+    "op1_packing": op1_packing,
+    "op3_sharding": op3_sharding,
     "op4_mixing": op4_mixing,
 }
 

@@ -84,13 +84,13 @@ def ship_package(spark: SparkSession) -> None:
     if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    with tempfile.TemporaryDirectory() as folder:
-        path = os.path.join(folder, f"{os.path.basename(root)}_package.zip")
-        with zipfile.ZipFile(path, "w") as z:
-            for folder_path, _, files in os.walk(root):
-                for f in files:
-                    if f.endswith(".py"):
-                        full = os.path.join(folder_path, f)
-                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
-        sc.addPyFile(path)
+    # Spark's file server hands it to the workers, so it stays while the application runs
+    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="package-")), f"{os.path.basename(root)}_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)
