@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from roadframe.llm.dedup import op2_minhash
 from roadframe.llm.mixing import op4_mixing
 from roadframe.llm.packing import op1_packing
+from roadframe.llm.quality import op10_quality
 from roadframe.llm.sharding import op3_sharding
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_minhash": op2_minhash,
     "op3_sharding": op3_sharding,
     "op4_mixing": op4_mixing,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {}
