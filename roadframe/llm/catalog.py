@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from roadframe.llm.coding import op5_tokens
 from roadframe.llm.dedup import op2_minhash
+from roadframe.llm.licenses import op9_licenses
 from roadframe.llm.mixing import op4_mixing
 from roadframe.llm.packing import op1_packing
 from roadframe.llm.quality import op10_quality
@@ -13,6 +15,8 @@ QUERIES = {
     "op2_minhash": op2_minhash,
     "op3_sharding": op3_sharding,
     "op4_mixing": op4_mixing,
+    "op5_tokens": op5_tokens,
+    "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
 }
 
