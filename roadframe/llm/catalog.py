@@ -9,6 +9,7 @@ from roadframe.llm.mixing import op4_mixing
 from roadframe.llm.packing import op1_packing
 from roadframe.llm.quality import op10_quality
 from roadframe.llm.sharding import op3_sharding
+from roadframe.llm.spots import op6_fingerprints
 
 QUERIES = {
     "op1_packing": op1_packing,
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_sharding": op3_sharding,
     "op4_mixing": op4_mixing,
     "op5_tokens": op5_tokens,
+    "op6_fingerprints": op6_fingerprints,
     "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
 }
