@@ -6,6 +6,7 @@ from roadframe.llm.coding import op5_tokens
 from roadframe.llm.dedup import op2_minhash
 from roadframe.llm.licenses import op9_licenses
 from roadframe.llm.mixing import op4_mixing
+from roadframe.llm.neighbours import op8_neighbours
 from roadframe.llm.packing import op1_packing
 from roadframe.llm.quality import op10_quality
 from roadframe.llm.sharding import op3_sharding
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_tokens": op5_tokens,
     "op6_fingerprints": op6_fingerprints,
+    "op8_neighbours": op8_neighbours,
     "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
 }
