@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from roadframe.llm.coding import op5_tokens
 from roadframe.llm.dedup import op2_minhash
+from roadframe.llm.extraction import op7_extraction
 from roadframe.llm.licenses import op9_licenses
 from roadframe.llm.mixing import op4_mixing
 from roadframe.llm.neighbours import op8_neighbours
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_tokens": op5_tokens,
     "op6_fingerprints": op6_fingerprints,
+    "op7_extraction": op7_extraction,
     "op8_neighbours": op8_neighbours,
     "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
