@@ -88,7 +88,7 @@ def main(argv: list[str] | None = None) -> None:
     if unknown:
         parser.error(f"unknown recipes {unknown}; choose from {list(recipes.RECIPES)}")
     if args.master:
-        spark = build_session(master=args.master)
+        spark = build_session(master=args.master, extra={"spark.checkpoint.dir": f"{args.out.rstrip('/')}/_work/checkpoints"})
     else:
         from pyspark.sql import SparkSession
         spark = SparkSession.builder.appName("roadframe").getOrCreate()

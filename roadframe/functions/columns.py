@@ -22,26 +22,14 @@ def c(name: str | Column) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-_WHOLE_DECIMAL = r"^\s*[+-]?[0-9]+\.0*\s*$"
-
-
-def to_int(col: str | Column, dtype: str = "int", decimal_form: bool = False) -> Column:
-    """Text to int; null when the text is not a plain whole number (blank,
-    letters, a fraction such as ``12.5``, a decimal point as in ``1.0``, or
-    out of range). Never fails a job under ANSI mode.
-
-    ``decimal_form=True`` also accepts whole numbers written with a decimal
-    point (``1.0``, ``-2.00``). It is off by default: the extra regex path
-    per column makes the generated code of a wide cleaning stage too large
-    for the JIT (about 3x slower per row), and crash exports write counts as
-    plain integers. It is only evaluated when the plain cast gives null."""
-    plain = c(col).try_cast(dtype)
-    if not decimal_form:
-        return plain
-    text = c(col).cast("string")
-    whole = F.when(text.rlike(_WHOLE_DECIMAL),
-                   F.regexp_extract(text, r"([+-]?[0-9]+)", 1).try_cast(dtype))
-    return F.coalesce(plain, whole)
+def to_int(col: str | Column, dtype: str = "int") -> Column:
+    """Text or number to int: the whole part of any decimal number (``7``,
+    ``1.0``, ``12.5`` gives 12), null for anything else (blank, letters, out
+    of range). Text read as it stands and text read with type inference give
+    the same. Never fails a job under ANSI mode; the decimal path is only
+    evaluated where the plain cast gives null."""
+    number = c(col)
+    return F.coalesce(number.try_cast(dtype), number.try_cast("decimal(38,18)").try_cast(dtype))
 
 
 def parse_date(col: str | Column, fmt: str = DATE_FORMAT) -> Column:
@@ -79,22 +67,21 @@ def time_segment(hour: str | Column,
 
 
 def null_strict_sum(cols: Sequence[str | Column]) -> Column:
-    """Sum of columns where any null addend makes the total null. A sum that
-    overflows its type is also null (bad data, dropped like bad text) instead
-    of failing the job under ANSI mode."""
+    """Sum of columns as bigint, where any null addend makes the total null.
+    Int addends cannot overflow it; a sum beyond bigint is null instead of
+    failing the job under ANSI mode."""
     if not cols:
         raise ValueError("null_strict_sum needs at least one column")
-    total = c(cols[0])
+    total = c(cols[0]).cast("bigint")
     for col in cols[1:]:
-        total = F.try_add(total, c(col))
+        total = F.try_add(total, c(col).cast("bigint"))
     return total
 
 
 def safe_rate(part: str | Column, rest: str | Column, scale: int = 2) -> Column:
     """``part / (part + rest)`` rounded half-up to ``scale`` digits when the
-    denominator is positive, else 0.0 (a null or overflowing denominator
-    also gives 0.0)."""
-    denom = F.try_add(c(part), c(rest))
+    denominator is positive, else 0.0 (a null denominator also gives 0.0)."""
+    denom = F.try_add(c(part).cast("bigint"), c(rest).cast("bigint"))
     return (
         F.when(denom > 0, F.round(c(part) / denom, scale))
         .otherwise(F.lit(0.0))

@@ -3,24 +3,26 @@ cross-validation, all on Spark ML.
 
 Tree learning is Spark's own: executors aggregate split statistics over
 binned rows and pick each node's best split; the driver only grows the
-trees, so it holds the model, never the data. Seeds are always set, so a fit repeats for the
-same input layout.
+trees, so it holds the model, never the data. Seeds are always set and the
+rows are laid out by key, so a fit repeats for any cores and input files.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import IndexToString
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roadframe.functions.columns import c
-from roadframe.session import default_parallelism, fresh_shared_path
+from roadframe.session import fresh_shared_path
 from roadframe.sources.delimited import preview
 
 # Scale settings shared by all tree learners. A larger histogram budget
@@ -54,41 +56,44 @@ def tree_regressor(label: str, features: str = "features", max_depth: int = 5, m
                                  maxBins=max_bins, seed=seed, **{**TREE_SCALE_PARAMS, **params})
 
 
-# A written table with fewer files than cores is spread over the cores only
-# when it is at most this many rows, so that shuffle stays small.
-SPREAD_MAX_ROWS = 10_000_000
+# Partitions that a learner's rows are dealt to. Bagging draws by partition
+# and row order, so this number, the key and the seed decide the trees; the
+# cores, the input files and the number of rows do not. A parameter of the
+# run: give more for more data.
+FIT_PARTITIONS = 32
 
 
 def materialize(df: DataFrame, name: str = "model-input", path: str | None = None,
-                spread: bool = True, partition_by: Sequence[str] = ()) -> DataFrame:
+                partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as Parquet and read it back: later passes (indexer fit,
     split search, tree levels) scan this narrow table instead of recomputing
     the whole lineage, and a lost executor costs a re-read, not a recompute
     from the source. ``path`` (overwritten) defaults to a new folder below
-    the shared checkpoint folder.
-
-    Iterative fits run one task per input partition. A small table written
-    as few files (adaptive execution coalesces small shuffles into one
-    partition) is rewritten once spread over the cores; that extra write is
-    bounded by ``SPREAD_MAX_ROWS`` rows. Large tables are written by many
-    tasks and are read back as they are. ``spread=False`` skips this (for
-    tables read once, such as scored predictions). ``partition_by`` writes
-    one folder per value, so a filter on those columns prunes whole folders."""
-    spark = df.sparkSession
-    path = path or fresh_shared_path(spark, name)
+    the shared checkpoint folder. ``partition_by`` writes one folder per
+    value, so a filter on those columns prunes whole folders."""
+    path = path or fresh_shared_path(df.sparkSession, name)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    back = spark.read.schema(df.schema).parquet(path)  # also for an empty table
-    cores = default_parallelism(spark)
-    if spread and len(back.inputFiles()) < cores and back.count() <= SPREAD_MAX_ROWS:
-        spread_path = path.rstrip("/") + "-spread"
-        back.repartition(cores).write.mode("overwrite").partitionBy(*partition_by).parquet(spread_path)
-        return spark.read.schema(df.schema).parquet(spread_path)
-    return back
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # also for an empty table
 
 
-def train(stages: Sequence, train_df: DataFrame) -> PipelineModel:
-    """Chain the stages and fit them once on ``train_df``."""
-    return Pipeline(stages=list(stages)).fit(train_df)
+def laid_out(df: DataFrame, key: str, order_by: Sequence[str], partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """``df`` in a layout that depends on its rows alone: hash partitions of
+    ``key``, each sorted by ``key`` and ``order_by`` (rows that tie on all of
+    these must be alike)."""
+    keys = [c(x) for x in dict.fromkeys([key, *order_by])]
+    return df.repartition(partitions, c(key)).sortWithinPartitions(*keys)
+
+
+def train(stages: Sequence, train_df: DataFrame, key: str | None = None,
+          partitions: int = FIT_PARTITIONS) -> PipelineModel:
+    """Chain the stages and fit them once on ``train_df``. With ``key``, the
+    last stage (the learner) is fitted on the rows laid out by it, so the fit
+    is the same for any cores and input files."""
+    if key is None:
+        return Pipeline(stages=list(stages)).fit(train_df)
+    prepared = Pipeline(stages=list(stages[:-1])).fit(train_df)
+    rows = laid_out(prepared.transform(train_df), key, train_df.columns, partitions)
+    return PipelineModel(stages=[*prepared.stages, stages[-1].fit(rows)])
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -127,28 +132,46 @@ def feature_importance(spark: SparkSession, model: PipelineModel, scored: DataFr
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
-def cross_validate(spark: SparkSession, stages: Sequence, train_df: DataFrame,
-                   grid: Mapping[str, Sequence], label: str = "label", metric: str = "accuracy",
-                   folds: int = 5, seed: int = 42, parallelism: int = 4) -> DataFrame:
-    """Grid search with k-fold cross-validation on the last stage's params.
-    Returns ``(params, metric, value)`` per grid point, the average over
-    folds. Fits for different grid points run ``parallelism`` at a time."""
-    stages = list(stages)
-    estimator = stages[-1]
+def cross_validate(stages: Sequence, train_df: DataFrame, grid: Mapping[str, Sequence], key: str,
+                   label: str = "label", metric: str = "accuracy", folds: int = 5, seed: int = 42,
+                   parallelism: int = 4, partitions: int = FIT_PARTITIONS) -> tuple[DataFrame, PipelineModel]:
+    """Grid search over the last stage's params with k-fold cross-validation:
+    ``(params, metric, value)`` per grid point, the average over folds, and
+    the pipeline of the best point fitted on all rows.
+
+    Folds are hash buckets of ``key``. The feature stages are fitted once per
+    fold and their vectors stored, so a grid point costs one learner fit;
+    ``parallelism`` of them run at a time."""
+    spark, stages = train_df.sparkSession, list(stages)
+    learner = stages[-1]
     builder = ParamGridBuilder()
     for pname, values in grid.items():
-        builder = builder.addGrid(estimator.getParam(pname), list(values))
+        builder = builder.addGrid(learner.getParam(pname), list(values))
     maps = builder.build()
+    largest = metric not in ("rmse", "mse", "mae")
     if metric in ("rmse", "r2", "mse", "mae"):
         evaluator = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
     else:
         evaluator = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
                                                       metricName=metric)
-    cv = CrossValidator(estimator=Pipeline(stages=stages), estimatorParamMaps=maps,
-                        evaluator=evaluator, numFolds=folds, seed=seed, parallelism=parallelism)
-    fitted = cv.fit(train_df)
-    rows = []
-    for pmap, value in zip(maps, fitted.avgMetrics):
-        desc = ", ".join(f"{p.name}={v}" for p, v in sorted(pmap.items(), key=lambda kv: kv[0].name))
-        rows.append((desc, metric, float(value)))
-    return spark.createDataFrame(rows, "params string, metric string, value double")
+    totals = [0.0] * len(maps)
+    with ThreadPool(parallelism) as pool:
+        for fold in range(folds):
+            prepared, rows, held = _fold(stages, train_df, key, fold, folds, seed, partitions)
+            values = pool.map(lambda m: evaluator.evaluate(learner.fit(rows, m).transform(held)), maps)
+            totals = [t + v for t, v in zip(totals, values)]
+    means = [t / folds for t in totals]
+    best = means.index(max(means) if largest else min(means))
+    described = [", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)) for m in maps]
+    table = spark.createDataFrame([(d, metric, float(v)) for d, v in zip(described, means)],
+                                  "params string, metric string, value double")
+    return table, train([*stages[:-1], learner.copy(maps[best])], train_df, key, partitions)
+
+
+def _fold(stages, train_df, key, fold, folds, seed, partitions):
+    """Feature stages fitted on all but one fold, and both parts' vectors, stored."""
+    bucket = F.pmod(F.xxhash64(F.lit(seed), c(key)), F.lit(folds))
+    prepared = Pipeline(stages=list(stages[:-1])).fit(train_df.where(bucket != fold))
+    parts = materialize(prepared.transform(train_df).withColumn("_held", bucket == fold), f"fold-{fold}")
+    rows = laid_out(parts.where("not _held").drop("_held"), key, train_df.columns, partitions)
+    return prepared, rows, parts.where("_held").drop("_held")

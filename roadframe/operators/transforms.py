@@ -34,11 +34,10 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str] = S.RENAME_MAP) ->
     return df.withColumnsRenamed(present)
 
 
-def cast_to_int(df: DataFrame, cols: Sequence[str], dtype: str = "int",
-                decimal_form: bool = False) -> DataFrame:
-    """Cast text columns to ``dtype``; text that is not a plain whole number
-    becomes null instead of failing the job (see ``to_int``)."""
-    return df.withColumns({col: X.to_int(col, dtype, decimal_form) for col in cols})
+def cast_to_int(df: DataFrame, cols: Sequence[str], dtype: str = "int") -> DataFrame:
+    """Cast columns to ``dtype``; text that is not a number becomes null
+    instead of failing the job (see ``to_int``)."""
+    return df.withColumns({col: X.to_int(col, dtype) for col in cols})
 
 
 # --- dates and times --------------------------------------------------------------

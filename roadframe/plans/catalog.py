@@ -73,6 +73,17 @@ def scan_csv_inferred(spark, sf_dir):
     return delimited.read_delimited(spark, landed_fixture_path(spark, sf_dir, "csv"), infer=True)
 
 
+@register("inferred_types", "SELECT * FROM (VALUES ('CRASH DATE', 'string'), ('CRASH TIME', 'string'), "
+          "('ZIP CODE', 'string'), ('LATITUDE', 'double'), ('NUMBER OF PERSONS INJURED', 'string'), "
+          "('NUMBER OF PERSONS KILLED', 'int'), ('COLLISION_ID', 'int'), ('VEHICLE TYPE CODE 1', 'string')) t(field, type)")
+def inferred_types(spark, sf_dir):
+    """The types that inference gives some of the columns."""
+    inferred = dict(scan_csv_inferred(spark, sf_dir).dtypes)
+    names = ["CRASH DATE", "CRASH TIME", "ZIP CODE", "LATITUDE", "NUMBER OF PERSONS INJURED",
+             "NUMBER OF PERSONS KILLED", "COLLISION_ID", "VEHICLE TYPE CODE 1"]
+    return spark.createDataFrame([(n, inferred[n]) for n in names], "field string, type string")
+
+
 @register("clean_csv_inferred", O.with_clean("SELECT * FROM clean"))
 def clean_csv_inferred(spark, sf_dir):
     """S1+S2 end to end: the crash CSV read with type inference, then the
@@ -88,22 +99,25 @@ def register_view(spark, sf_dir):
     return profile.row_count(view)
 
 
-@register("preview_rows", O.with_clean("SELECT * FROM clean ORDER BY crash_id LIMIT 10"))
+# a crash id may repeat, so the other columns break ties
+_BY_KEY = ["crash_id", *[col for col in S.CLEAN_COLUMNS if col != "crash_id"]]
+
+
+@register("preview_rows", O.with_clean(f"SELECT * FROM clean ORDER BY {', '.join(_BY_KEY)} LIMIT 10"))
 def preview_rows(spark, sf_dir):
     """The first ten clean rows by crash id."""
-    return delimited.preview(clean(spark, sf_dir), 10, order_by=["crash_id"])
+    return delimited.preview(clean(spark, sf_dir), 10, order_by=_BY_KEY)
 
 
-@register("preview_first_row", O.with_clean("SELECT * FROM clean ORDER BY crash_id LIMIT 1"))
+@register("preview_first_row", O.with_clean(f"SELECT * FROM clean ORDER BY {', '.join(_BY_KEY)} LIMIT 1"))
 def preview_first_row(spark, sf_dir):
     """L2: the first clean row by crash id."""
-    return delimited.preview(clean(spark, sf_dir), 1, order_by=["crash_id"])
+    return delimited.preview(clean(spark, sf_dir), 1, order_by=_BY_KEY)
 
 
 # --- projections ----------------------------------------------------------------
 
-_MODEL_1_COLUMNS = ["time_segment", "borough", "total_cars", "month", "zip_code",
-                    "day_of_week", "total_injured", "total_killed", "factor_v1"]
+_MODEL_1_COLUMNS = [recipes.RECIPES["1a"].label, *recipes.RECIPES["1a"].assembler_order]
 
 
 @register("project_columns", O.with_clean(f"SELECT {', '.join(_MODEL_1_COLUMNS)} FROM clean"))
@@ -295,6 +309,19 @@ def distinct_counts_approx(spark, sf_dir):
                                    approx=True, rsd=0.01)
 
 
+@register("distinct_counts_approx_check",
+          "SELECT " + ", ".join(f"TRUE AS {c}_within_bound" for c in _LINEITEM_DISTINCT))
+def distinct_counts_approx_check(spark, sf_dir):
+    """G1: each approximate count lies within 5% (five times the stated
+    error) of the exact one."""
+    lines = load_table(spark, sf_dir, "lineitem")
+    exact = profile.distinct_counts(lines, _LINEITEM_DISTINCT, aliases={c: f"e_{c}" for c in _LINEITEM_DISTINCT})
+    near = profile.distinct_counts(lines, _LINEITEM_DISTINCT, approx=True, rsd=0.01)
+    both = exact.crossJoin(near)  # one row each
+    return both.select(*[(F.abs(F.col(f"distinct_{c}") - F.col(f"e_{c}")) <= 0.05 * F.col(f"e_{c}")).alias(
+        f"{c}_within_bound") for c in _LINEITEM_DISTINCT])
+
+
 @register("distinct_counts_lineitem", "SELECT " + ", ".join(
     f"count(DISTINCT {c}) AS distinct_{c}" for c in _LINEITEM_DISTINCT) + " FROM lineitem")
 def distinct_counts_lineitem(spark, sf_dir):
@@ -328,10 +355,11 @@ def row_count(spark, sf_dir):
 
 
 @register("dedup_by_key", O.with_clean(
-    "SELECT * FROM clean QUALIFY row_number() OVER (PARTITION BY crash_id) = 1"))
+    "SELECT * FROM clean QUALIFY row_number() OVER "
+    f"(PARTITION BY crash_id ORDER BY {', '.join(_BY_KEY[1:])}) = 1"))
 def dedup_by_key(spark, sf_dir):
-    """One clean row per crash id (duplicates are exact copies)."""
-    return dedup.dedup_by_key(clean(spark, sf_dir), ["crash_id"])
+    """One clean row per crash id, the smallest by its other columns."""
+    return dedup.dedup_by_key(clean(spark, sf_dir), ["crash_id"], order_by=_BY_KEY[1:])
 
 
 _LINE_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
@@ -386,10 +414,29 @@ def stable_split(spark, sf_dir):
     return df.select("crash_id", "part")
 
 
+def _random_parts(spark, sf_dir):
+    # stored: both parts must see the same rows in the same layout
+    rows = models.materialize(clean(spark, sf_dir).withColumn("row", F.monotonically_increasing_id()), "split-input")
+    return rows, splits.random_split(rows, [0.8, 0.2], seed=42)
+
+
+@register("random_split_check", O.with_clean(
+    "SELECT count(*) AS n_rows, 0 AS in_both, TRUE AS share_within_bound FROM clean"))
+def random_split_check(spark, sf_dir):
+    """The parts are disjoint, cover all rows, and the first holds 80% of
+    them within five standard deviations."""
+    rows, (train, test) = _random_parts(spark, sf_dir)
+    parts = train.select("row", F.lit(0).alias("part")).unionByName(test.select("row", F.lit(1).alias("part")))
+    by_row = rows.select("row").join(parts, "row").groupBy("row").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("part"))
+    n = F.count(F.lit(1))
+    return by_row.agg(n.alias("n_rows"), F.count_if(F.col("n") > 1).cast("int").alias("in_both"),
+                      (F.abs(F.count_if(F.col("part") == 0) - 0.8 * n) <= 5 * F.sqrt(0.16 * n)).alias("share_within_bound"))
+
+
 @register("random_split")
 def random_split(spark, sf_dir):
     """Spark's seeded Bernoulli split, as part sizes."""
-    train, test = splits.random_split(clean(spark, sf_dir), [0.8, 0.2], seed=42)
+    _, (train, test) = _random_parts(spark, sf_dir)
     return train.select(F.lit(0).alias("part")).unionByName(test.select(F.lit(1).alias("part"))) \
         .groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -547,103 +594,94 @@ def _recipe_features(spark, sf_dir, name):
     return Pipeline(stages=feature_stages).fit(train_df).transform(test_df)
 
 
-def _dedup_input_sql(cols, weight_pct):
-    """Model input of an 'a' recipe (one row per crash id, selected columns,
-    no nulls) and its stable split, as CTEs over ``clean``."""
-    sel = ", ".join(["crash_id", *cols])
-    return (f", mi AS (SELECT {sel} FROM clean QUALIFY row_number() OVER (PARTITION BY crash_id) = 1)"
-            f", sp AS (SELECT *, CASE WHEN {O.split_bucket_sql('crash_id')} < {weight_pct} THEN 0 ELSE 1 END"
-            " AS part FROM mi), tr AS (SELECT * FROM sp WHERE part = 0), te AS (SELECT * FROM sp WHERE part = 1)")
-
-
-_R1A = recipes.RECIPES["1a"]
-_R1A_COLS = [_R1A.label, *_R1A.categorical, *_R1A.numeric]
-_R1A_ELEMENTS = [
-    f"coalesce(r_{col}.{col}_idx, CAST((SELECT count(*) FROM r_{col}) AS DOUBLE))"
-    if col in _R1A.categorical else f"CAST(te.{col} AS DOUBLE)"
-    for col in _R1A.assembler_order
-]
-
-
-@register("recipe_features_1a",
-          "WITH " + O.CLEAN_CTE + _dedup_input_sql(_R1A_COLS, 70) + _rank_ctes(list(_R1A.categorical), "tr")
-          + " SELECT te.crash_id, " + ", ".join(f"{e} AS e{i}" for i, e in enumerate(_R1A_ELEMENTS))
-          + " FROM te " + " ".join(
-              f"LEFT JOIN r_{col} ON CAST(te.{col} AS VARCHAR) = r_{col}.{col}_value" for col in _R1A.categorical))
-def recipe_features_1a(spark, sf_dir):
-    """M1/M5/M10, recipe 1a: dedup, selection, null drop, 70/30 stable
-    split, keep-mode indexers fitted on the training part; the assembled
-    feature vector of every test row (one column per element)."""
-    out = _recipe_features(spark, sf_dir, "1a")
-    arr = features.vector_elements("features")
-    return out.select("crash_id", *[arr[i].alias(f"e{i}") for i in range(len(_R1A.assembler_order))])
-
+def _input_sql(recipe):
+    """A recipe's model input and its stable split, as CTEs over ``clean``:
+    the main reason where it is the label, one row per crash id (the smallest
+    by its values) for the deduplicating recipes."""
+    cols = [recipe.label, *recipe.categorical, *recipe.numeric]
+    source = "(SELECT *, coalesce(factor_v1, factor_v2, factor_v3) AS main_reason FROM clean)"
+    one = (f" QUALIFY row_number() OVER (PARTITION BY crash_id ORDER BY {', '.join(cols)}) = 1"
+           if recipe.dedup else "")
+    bound = round(100 * recipe.weights[0])
+    return (f", mi AS (SELECT {', '.join(['crash_id', *cols])} FROM {source}{one})"
+            f", sp AS (SELECT *, CASE WHEN {O.split_bucket_sql('crash_id')} < {bound} THEN 0 ELSE 1 END AS part FROM mi)"
+            ", tr AS (SELECT * FROM sp WHERE part = 0), te AS (SELECT * FROM sp WHERE part = 1)")
+
+
+def _recipe_sql(recipe, cols, select):
+    return "WITH " + O.CLEAN_CTE + _input_sql(recipe) + _rank_ctes(cols, "tr") + " " + select
+
+
+def _indexed_sql(recipe):
+    """Dense feature vectors of a recipe whose categories are indices."""
+    elements = [
+        f"coalesce(r_{col}.{col}_idx, CAST((SELECT count(*) FROM r_{col}) AS DOUBLE))"
+        if col in recipe.categorical else f"CAST(te.{col} AS DOUBLE)" for col in recipe.assembler_order]
+    joins_sql = " ".join(f"LEFT JOIN r_{col} ON CAST(te.{col} AS VARCHAR) = r_{col}.{col}_value"
+                         for col in recipe.categorical)
+    return _recipe_sql(recipe, list(recipe.categorical), "SELECT te.crash_id, " + ", ".join(
+        f"{e} AS e{i}" for i, e in enumerate(elements)) + " FROM te " + joins_sql)
+
+
+def _one_hot_sql(recipe):
+    """Non-zero entries of the feature vectors of a one-hot recipe. Keep mode:
+    k labels give k slots and an unseen value none; error mode: k - 1 slots,
+    the least frequent label none."""
+    last = "" if recipe.index_invalid == "keep" else " - 1"
+    offset, parts = "0", []
+
+    def numeric():
+        nonlocal offset
+        for i, col in enumerate(recipe.numeric):
+            parts.append(f"SELECT crash_id, CAST({offset} + {i} AS INTEGER) AS pos, CAST({col} AS DOUBLE) AS value "
+                         f"FROM te WHERE {col} <> 0")
+        offset += f" + {len(recipe.numeric)}"
+
+    def categories():
+        nonlocal offset
+        for col in recipe.categorical:
+            parts.append(
+                f"SELECT te.crash_id, CAST({offset} + r_{col}.{col}_idx AS INTEGER) AS pos, 1.0 AS value FROM te "
+                f"JOIN r_{col} ON CAST(te.{col} AS VARCHAR) = r_{col}.{col}_value "
+                f"WHERE r_{col}.{col}_idx < (SELECT count(*) FROM r_{col}){last}")
+            offset += f" + (SELECT count(*) FROM r_{col}){last}"
+
+    for step in (numeric, categories) if recipe.numeric_first else (categories, numeric):
+        step()
+    return _recipe_sql(recipe, list(recipe.categorical), " UNION ALL ".join(parts))
+
+
+def _features_query(recipe):
+    dense = recipe.encode == "index"
 
-_R5 = recipes.RECIPES["5"]
+    def run(spark, sf_dir):
+        out = _recipe_features(spark, sf_dir, recipe.name)
+        arr = features.vector_elements("features")
+        if dense:
+            return out.select("crash_id", *[arr[i].alias(f"e{i}") for i in range(len(recipe.assembler_order))])
+        # only the non-zero slots become rows
+        slots = F.filter(F.transform(arr, lambda v, i: F.struct(i.alias("pos"), v.alias("value"))),
+                         lambda x: x["value"] != 0)
+        return out.select("crash_id", F.explode(slots).alias("slot")).select(
+            "crash_id", F.col("slot.pos").cast("int").alias("pos"), F.col("slot.value").alias("value"))
+
+    run.__doc__ = (f"M1-M6/M10, recipe {recipe.name}: its feature stages fitted on the training part; the feature "
+                   "vector of every test row, " + ("one column per element." if dense else "as non-zero entries."))
+    return run
 
 
-def _r5_sparse_sql():
-    numeric = " UNION ALL ".join(
-        f"SELECT crash_id, {i} AS pos, CAST({col} AS DOUBLE) AS value FROM te WHERE {col} <> 0"
-        for i, col in enumerate(_R5.numeric))
-    onehot, offset = [], f"{len(_R5.numeric)}"
-    for col in _R5.categorical:
-        onehot.append(
-            f"SELECT te.crash_id, CAST({offset} + r_{col}.{col}_idx AS INTEGER) AS pos, 1.0 AS value FROM te "
-            f"JOIN r_{col} ON CAST(te.{col} AS VARCHAR) = r_{col}.{col}_value "
-            f"WHERE r_{col}.{col}_idx < (SELECT count(*) FROM r_{col}) - 1")
-        offset += f" + (SELECT count(*) FROM r_{col}) - 1"
-    return numeric + " UNION ALL " + " UNION ALL ".join(onehot)
-
-
-@register("recipe_features_5",
-          "WITH " + O.CLEAN_CTE + _SPLIT_SQL + _rank_ctes(list(_R5.categorical), "tr")
-          + " " + _r5_sparse_sql())
-def recipe_features_5(spark, sf_dir):
-    """M2/M4/M5/M10, recipe 5: error-mode indexers and drop-last one-hot
-    fitted on the training part, numeric columns first; the non-zero
-    entries of every test row's feature vector as (crash_id, pos, value)."""
-    out = _recipe_features(spark, sf_dir, "5")
-    entries = out.select("crash_id", F.posexplode(features.vector_elements("features")).alias("pos", "value"))
-    return entries.where(F.col("value") != 0).select("crash_id", F.col("pos").cast("int").alias("pos"), "value")
+for _recipe in recipes.RECIPES.values():
+    register(f"recipe_features_{_recipe.name}",
+             _indexed_sql(_recipe) if _recipe.encode == "index" else _one_hot_sql(_recipe))(_features_query(_recipe))
 
 
 _R3 = recipes.RECIPES["3"]
 
 
-def _r3_sparse_sql():
-    parts, offset = [], "0"
-    for col in _R3.categorical:  # keep mode: k labels -> k slots, unseen values -> no entry
-        parts.append(
-            f"SELECT te.crash_id, CAST({offset} + r_{col}.{col}_idx AS INTEGER) AS pos, 1.0 AS value FROM te "
-            f"JOIN r_{col} ON CAST(te.{col} AS VARCHAR) = r_{col}.{col}_value")
-        offset += f" + (SELECT count(*) FROM r_{col})"
-    for i, col in enumerate(_R3.numeric):
-        parts.append(f"SELECT crash_id, CAST({offset} + {i} AS INTEGER) AS pos, CAST({col} AS DOUBLE) AS value "
-                     f"FROM te WHERE {col} <> 0")
-    return " UNION ALL ".join(parts)
-
-
-@register("recipe_features_3",
-          "WITH " + O.CLEAN_CTE + _SPLIT_SQL + _rank_ctes(list(_R3.categorical), "tr")
-          + " " + _r3_sparse_sql())
-def recipe_features_3(spark, sf_dir):
-    """M1/M3/M4/M6/M10, recipe 3: keep-mode indexers and one-hot for six
-    categorical columns (zip codes unseen in training give all-zero slots),
-    then the numeric columns; the non-zero entries of every test row's
-    feature vector as (crash_id, pos, value)."""
-    out = _recipe_features(spark, sf_dir, "3")
-    entries = out.select("crash_id", F.posexplode(features.vector_elements("features")).alias("pos", "value"))
-    return entries.where(F.col("value") != 0).select("crash_id", F.col("pos").cast("int").alias("pos"), "value")
-
-
-@register("recipe_labels_3",
-          "WITH " + O.CLEAN_CTE.replace(", clean AS (", ", clean0 AS (", 1)
-          + ", clean AS (SELECT *, coalesce(factor_v1, factor_v2, factor_v3) AS main_reason FROM clean0)"
-          + _SPLIT_SQL + _rank_ctes(["main_reason"], "tr")
-          + " SELECT te.crash_id, te.main_reason,"
-          " coalesce(r_main_reason.main_reason_idx, CAST((SELECT count(*) FROM r_main_reason) AS DOUBLE)) AS label"
-          " FROM te LEFT JOIN r_main_reason ON te.main_reason = r_main_reason.main_reason_value")
+@register("recipe_labels_3", _recipe_sql(
+    _R3, ["main_reason"], "SELECT te.crash_id, te.main_reason,"
+    " coalesce(r_main_reason.main_reason_idx, CAST((SELECT count(*) FROM r_main_reason) AS DOUBLE)) AS label"
+    " FROM te LEFT JOIN r_main_reason ON te.main_reason = r_main_reason.main_reason_value"))
 def recipe_labels_3(spark, sf_dir):
     """M1/C4/M10, recipe 3: the main factor (first non-null factor) indexed
     in keep mode on the training part; label index of every test row."""
@@ -664,17 +702,68 @@ for _name in recipes.RECIPES:
     register(f"model_{_name}")(_model_query(_name))
 
 
-@register("prediction_pairs")
-def prediction_pairs(spark, sf_dir):
-    """Actual vs predicted main factor for the first ten test crashes.
-    The ten rows are picked from the test part first (a top-k) and only
-    they are scored: the order does not depend on the prediction, and the
-    assembler's skip mode drops nothing here because clean rows have no
-    nulls."""
-    run = recipes.run_recipe(clean(spark, sf_dir), "3")
-    first = delimited.preview(run.test, 10, order_by=["crash_id"])
-    return models.prediction_pairs(run.model.transform(first), "main_reason", run.label_list(), n=10,
-                                   order_by=["crash_id"], keep=["crash_id"])
+# What a fit must show whatever its trees: every test row scored once, and
+# more learned than a constant answer gives (the share of the most frequent
+# training label; the mean, whose R2 is at most 0).
+
+def _check_query(recipe):
+    def run(spark, sf_dir):
+        fitted = recipes.run_recipe(clean(spark, sf_dir), recipe)
+        scored = fitted.scored
+        if recipe.task == "classify":
+            right = (F.col("prediction") == F.col("label")).cast("double")
+            constant = (F.col("label") == 0).cast("double")  # index 0: the most frequent in training
+            better = F.avg(right) > F.avg(constant)
+        else:
+            y = F.col(recipe.label).cast("double")
+            better = F.sum((y - F.col("prediction")) ** 2) < F.var_pop(y) * F.count(F.lit(1))
+        return scored.agg(F.lit(recipe.name).alias("model"), F.count(F.lit(1)).alias("n_scored"),
+                          F.count_distinct("crash_id").alias("n_ids"), better.alias("better_than_constant"))
+    run.__doc__ = f"M7-M9, recipe {recipe.name}: rows scored, and whether the fit beats a constant answer."
+    return run
+
+
+#: recipes whose label follows their inputs in the crash fixture
+_LEARNABLE = ("1a", "1b", "2a", "2b", "3", "4")
+
+for _recipe in (recipes.RECIPES[_n] for _n in _LEARNABLE):
+    register(f"model_check_{_recipe.name}", "WITH " + O.CLEAN_CTE + _input_sql(_recipe) + (
+        f" SELECT '{_recipe.name}' AS model, count(*) AS n_scored, count(DISTINCT crash_id) AS n_ids, "
+        "TRUE AS better_than_constant FROM te"))(_check_query(_recipe))
+
+
+def _pairs_sql(recipe):
+    return ("WITH " + O.CLEAN_CTE + _input_sql(recipe) + f" SELECT crash_id, {recipe.label} FROM te "
+            f"ORDER BY crash_id, {recipe.label} LIMIT 10")
+
+
+def _pairs(spark, sf_dir, name):
+    """Actual and predicted label of the first ten test crashes. The rows are
+    picked from the test part first (a top-k) and only they are scored: the
+    order does not depend on the prediction."""
+    recipe = recipes.RECIPES[name]
+    run = recipes.run_recipe(clean(spark, sf_dir), recipe)
+    first = delimited.preview(run.test, 10, order_by=["crash_id", recipe.label])
+    return models.prediction_pairs(run.model.transform(first), recipe.label, run.label_list(), n=10,
+                                   order_by=["crash_id", recipe.label], keep=["crash_id"])
+
+
+def _pairs_query(name):
+    def run(spark, sf_dir):
+        return _pairs(spark, sf_dir, name)
+    run.__doc__ = f"M15, recipe {name}: actual vs predicted label for the first ten test crashes."
+    return run
+
+
+for _name in ("1a", "1b", "2a", "2b"):
+    register(f"prediction_pairs_{_name}")(_pairs_query(_name))
+register("prediction_pairs")(_pairs_query("3"))
+
+
+@register("prediction_pair_keys", _pairs_sql(recipes.RECIPES["2a"]))
+def prediction_pair_keys(spark, sf_dir):
+    """The crashes and true labels of recipe 2a's pairs."""
+    return _pairs(spark, sf_dir, "2a").select("crash_id", recipes.RECIPES["2a"].label)
 
 
 @register("feature_importance")
@@ -684,12 +773,83 @@ def feature_importance(spark, sf_dir):
     return models.feature_importance(spark, run.model, run.scored)
 
 
-@register("cross_validate")
-def cross_validate(spark, sf_dir):
-    """5-fold cross-validation of recipe 1a over trees {3, 5} x depth {2, 3}."""
-    recipe = recipes.RECIPES["1a"]
-    stored = models.materialize(recipes.model_input(clean(spark, sf_dir), recipe), "cv-input")
-    train_df, _ = recipes.split(stored, recipe)
+_R5 = recipes.RECIPES["5"]
+
+
+@register("importance_slots", _recipe_sql(_R5, list(_R5.categorical), " UNION ALL ".join(
+    [f"SELECT '{col}' AS feature, CAST(1 AS DOUBLE) AS total" for col in _R5.numeric]
+    + [f"SELECT '{col}_ohe_' || {col}_value AS feature, CAST(1 AS DOUBLE) AS total FROM r_{col} "
+       f"WHERE {col}_idx < (SELECT count(*) FROM r_{col}) - 1" for col in _R5.categorical])))
+def importance_slots(spark, sf_dir):
+    """The names of all slots and the sum of their importances."""
+    found = feature_importance(spark, sf_dir)
+    total = found.agg(F.round(F.sum("importance"), 9).alias("total"))
+    return found.select("feature").crossJoin(F.broadcast(total))  # one row
+
+
+_STUMP = "month"
+
+
+@register("tree_stump", O.with_clean(
+    f", v AS (SELECT CAST({_STUMP} AS DOUBLE) AS x, CAST(total_cars AS DOUBLE) AS y FROM clean)"
+    ", u AS (SELECT x, lead(x) OVER (ORDER BY x) AS nx FROM (SELECT DISTINCT x FROM v))"
+    ", t AS (SELECT (x + nx) / 2 AS threshold FROM u WHERE nx IS NOT NULL)"
+    ", g AS (SELECT threshold, avg(y) FILTER (x <= threshold) AS left_mean, avg(y) FILTER (x > threshold) AS right_mean,"
+    " sum(y) FILTER (x <= threshold) AS sl, count(*) FILTER (x <= threshold) AS nl,"
+    " sum(y) FILTER (x > threshold) AS sr, count(*) FILTER (x > threshold) AS nr FROM t CROSS JOIN v GROUP BY 1)"
+    ", best AS (SELECT * FROM g ORDER BY sl * sl / nl + sr * sr / nr DESC LIMIT 1)"
+    " SELECT threshold, round(left_mean, 9) AS left_mean, round(right_mean, 9) AS right_mean,"
+    " round((SELECT sqrt(avg((y - CASE WHEN x <= threshold THEN left_mean ELSE right_mean END) ** 2)) FROM v), 9) AS rmse"
+    " FROM best"))
+def tree_stump(spark, sf_dir):
+    """M9: a regression tree of depth one, vehicle count by month: its split,
+    its two leaves and its error."""
+    rows = clean(spark, sf_dir).select("crash_id", _STUMP, "total_cars")
+    model = models.train([features.assemble([_STUMP]), models.tree_regressor("total_cars", max_depth=1, max_bins=32)],
+                         rows, "crash_id")
+    scored = models.score(model, rows)
+    split = model.stages[-1]._java_obj.rootNode().split().threshold()
+    error = F.avg((F.col("total_cars") - F.col("prediction")) ** 2)
+    left = F.max(F.when(F.col(_STUMP) <= split, F.col("prediction")))
+    right = F.max(F.when(F.col(_STUMP) > split, F.col("prediction")))
+    return scored.agg(F.lit(split).alias("threshold"), F.round(left, 9).alias("left_mean"),
+                      F.round(right, 9).alias("right_mean"), F.round(F.sqrt(error), 9).alias("rmse"))
+
+
+_GRID = {"numTrees": [3, 5], "maxDepth": [2, 3]}
+
+
+def _cross_validated(spark, sf_dir, name):
+    recipe = recipes.RECIPES[name]
+    stored = models.materialize(recipes.model_input(clean(spark, sf_dir), recipe), f"cv-input-{name}")
+    train_df, test_df = recipes.split(stored, recipe)
     stage_list, label_col = recipes.stages(recipe)
-    return models.cross_validate(spark, stage_list, train_df, {"numTrees": [3, 5], "maxDepth": [2, 3]},
-                                 label=label_col, metric="accuracy", folds=5, seed=42)
+    table, best = models.cross_validate(stage_list, train_df, _GRID, recipes.KEY, label=label_col,
+                                        metric="accuracy", folds=5, seed=42)
+    return table, best, models.score(best, test_df), recipe
+
+
+def _grid_query(name):
+    def run(spark, sf_dir):
+        return _cross_validated(spark, sf_dir, name)[0]
+    run.__doc__ = f"M14: 5-fold cross-validation of recipe {name} over trees {{3, 5}} x depth {{2, 3}}."
+    return run
+
+
+register("cross_validate")(_grid_query("1a"))
+register("cross_validate_2a")(_grid_query("2a"))
+
+
+@register("best_model", "WITH " + O.CLEAN_CTE + _input_sql(recipes.RECIPES["2a"]) +
+          " SELECT count(*) AS n_scored, TRUE AS better_than_constant, 4 AS grid_points, 8 AS features, CAST(1 AS DOUBLE) AS importance FROM te")
+def best_model(spark, sf_dir):
+    """Recipe 2a's best grid point, fitted on the whole training part
+    and scored on the test part, and its forest's importances."""
+    table, best, scored, _ = _cross_validated(spark, sf_dir, "2a")
+    found = models.feature_importance(spark, best, scored).agg(
+        F.count(F.lit(1)).cast("int").alias("features"), F.round(F.sum("importance"), 9).alias("importance"))
+    points = table.agg(F.count(F.lit(1)).cast("int").alias("grid_points"))
+    out = scored.agg(F.count(F.lit(1)).alias("n_scored"), (
+        F.avg((F.col("prediction") == F.col("label")).cast("double")) > F.avg((F.col("label") == 0).cast("double"))
+    ).alias("better_than_constant"))
+    return out.crossJoin(points).crossJoin(found)  # one row each

@@ -66,12 +66,11 @@ def clean_crashes(raw: DataFrame, via_epoch: bool = False) -> DataFrame:
     The result is that of the step order above (derive, select rows, finish,
     then drop every row with a null in any clean column), computed in a
     cheaper order. Every derived clean column is non-null exactly when its
-    typed inputs are, except the totals: year, month and weekday need the
-    parsed date; the rate, time segment, vehicle count and the filled factors
-    are never null; a total needs the four counts and a sum that does not
-    overflow. So the final null check equals a null check on the typed fields
-    (date, counts, zip, id) plus the two totals, applied before the expensive
-    columns (buckets, rate) are derived.
+    typed inputs are: year, month and weekday need the parsed date; a total
+    needs the four counts (four ints cannot overflow its bigint); the rate,
+    time segment, vehicle count and the filled factors are never null. So the
+    final null check equals a null check on the typed fields (date, counts,
+    zip, id), applied before the other columns are derived.
     The plan's only filter then tests small expressions, and the derived
     columns are computed once, for the kept rows only. A null check over the
     finished columns would be pushed below the projections with every derived
@@ -91,8 +90,6 @@ def clean_crashes(raw: DataFrame, via_epoch: bool = False) -> DataFrame:
         .transform(T.add_hour)
         .transform(T.add_time_segment)
         .transform(T.add_totals)
-        # a total is also null when its sum overflows; the final check drops those
-        .transform(T.drop_incomplete, ["total_injured", "total_killed"])
         .transform(T.add_fatality_rate)
     )
     out = (

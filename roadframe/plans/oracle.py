@@ -32,14 +32,17 @@ def bucket_sql(expr: str) -> str:
 
 
 def int_sql(expr: str, sql_type: str = "INTEGER") -> str:
-    """The cleaning rule for text to integer: plain integer text (optional
-    sign; blanks and control characters around it are ignored, as Spark
-    does) in range, else NULL. Stated explicitly because DuckDB's own cast
-    also accepts "1.0" and rounds "12.5"."""
+    """Text to integer as type inference and an integer cast give it: the
+    whole part of a number (blanks and control characters around it are
+    ignored), cut toward zero, NULL when the text is no number or out of
+    range. Stated explicitly because DuckDB's own cast rounds "12.5"."""
     text = f"CAST({expr} AS VARCHAR)"
     pad = r"[\x00-\x20]*"
+    number = r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"
     return (f"CASE WHEN regexp_full_match({text}, '{pad}[+-]?[0-9]+{pad}') "
-            f"THEN TRY_CAST(regexp_extract({text}, '[+-]?[0-9]+') AS {sql_type}) END")
+            f"THEN TRY_CAST(regexp_extract({text}, '[+-]?[0-9]+') AS {sql_type}) "
+            f"WHEN regexp_full_match({text}, '{pad}{number}{pad}') "
+            f"THEN TRY_CAST(trunc(TRY_CAST(regexp_extract({text}, '{number}') AS DOUBLE)) AS {sql_type}) END")
 
 
 def date_sql(expr: str) -> str:
@@ -50,15 +53,9 @@ def date_sql(expr: str) -> str:
             f"THEN CAST(try_strptime({expr}, '%m/%d/%Y') AS DATE) END")
 
 
-def checked_sum_sql(terms: list[str]) -> str:
-    """Left-to-right INTEGER sum where a NULL term, or a partial sum outside
-    the INTEGER range, makes the result NULL (the cleaning rule: an
-    overflowing total is missing, not an error)."""
-    acc = terms[0]
-    for term in terms[1:]:
-        wide = f"CAST({acc} AS BIGINT) + CAST({term} AS BIGINT)"
-        acc = f"(CASE WHEN {wide} BETWEEN -2147483648 AND 2147483647 THEN CAST({wide} AS INTEGER) END)"
-    return acc
+def sum_sql(terms: list[str]) -> str:
+    """BIGINT sum where a NULL term makes the result NULL."""
+    return " + ".join(f"CAST({t} AS BIGINT)" for t in terms)
 
 
 def half_up_ratio_sql(part: str, whole: str, digits: int = 2) -> str:
@@ -73,8 +70,8 @@ def half_up_ratio_sql(part: str, whole: str, digits: int = 2) -> str:
 RAW_CTE = f"fx AS ({fixture_sql('duckdb')}), raw AS (SELECT * EXCLUDE (_k) FROM fx)"
 
 _INT = {c: int_sql(q(c)) for c in S.COUNT_COLUMNS}
-_TOTAL_INJ = checked_sum_sql([f"n_{i}" for i in range(0, 8, 2)])
-_TOTAL_KIL = checked_sum_sql([f"n_{i}" for i in range(1, 8, 2)])
+_TOTAL_INJ = sum_sql([f"n_{i}" for i in range(0, 8, 2)])
+_TOTAL_KIL = sum_sql([f"n_{i}" for i in range(1, 8, 2)])
 
 # raw columns plus every derived column, before any row is removed
 _DERIVED_BODY = f"""
@@ -100,7 +97,7 @@ d1 AS (
          WHEN {q(S.VEHICLE_COLUMNS[1])} IS NOT NULL THEN 2 ELSE 1 END AS d_cars
   FROM d1
 ), d3 AS (
-  SELECT *, {checked_sum_sql(['d_killed', 'd_injured'])} AS d_hurt FROM d2
+  SELECT *, {sum_sql(['d_killed', 'd_injured'])} AS d_hurt FROM d2
 ), derived AS (
   SELECT *,
     CASE WHEN d_hurt > 0 THEN {half_up_ratio_sql('d_killed', 'd_hurt')} ELSE 0.0 END AS d_rate

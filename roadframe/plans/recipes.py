@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,9 +124,9 @@ def model_input(clean: DataFrame, recipe: Recipe) -> DataFrame:
     cols = [KEY, recipe.label, *recipe.categorical, *recipe.numeric]
     df = df.select(*cols)
     if recipe.dedup:
-        # one row per crash id, of any of its rows (projecting first is the
-        # same result and keeps the sort-based dedup narrow)
-        df = dedup.dedup_by_key(df, [KEY])
+        # one row per crash id, the smallest by its values, so that a retried
+        # task cannot change what the fit sees
+        df = dedup.dedup_by_key(df, [KEY], order_by=cols[1:])
     if recipe.select_and_dropna:
         df = T.drop_incomplete(df)
     return df
@@ -145,8 +146,12 @@ def stages(recipe: Recipe) -> tuple[list, str]:
     cat = list(recipe.categorical)
     idx = [col + "_idx" for col in cat]
     stage_list: list = []
+    # one scan indexes the inputs and, where both keep unseen values, the label
+    classify = recipe.task == "classify"
+    together = classify and recipe.index_invalid == "keep"
     if cat:
-        stage_list.append(features.index_categories(cat, idx, invalid=recipe.index_invalid))
+        extra = ([recipe.label], ["label"]) if together else ([], [])
+        stage_list.append(features.index_categories(cat + extra[0], idx + extra[1], invalid=recipe.index_invalid))
     if recipe.encode == "onehot" and cat:
         enc = [col + "_ohe" for col in cat]
         stage_list.append(features.one_hot(idx, enc))
@@ -154,8 +159,9 @@ def stages(recipe: Recipe) -> tuple[list, str]:
     else:
         cat_out = dict(zip(cat, idx))
     label_col = recipe.label
-    if recipe.task == "classify":
-        stage_list.append(features.index_categories([recipe.label], ["label"], invalid="keep"))
+    if classify:
+        if not (cat and together):
+            stage_list.append(features.index_categories([recipe.label], ["label"], invalid="keep"))
         label_col = "label"
     if recipe.assembler_order:
         inputs = [cat_out.get(col, col) for col in recipe.assembler_order]
@@ -191,9 +197,8 @@ class RecipeRun:
         if self.recipe.task != "classify":
             return None
         for stage in self.model.stages:
-            if stage.hasParam("outputCols") and stage.isSet("outputCols") \
-                    and stage.getOutputCols() == ["label"]:
-                return list(stage.labelsArray[0])
+            if isinstance(stage, StringIndexerModel) and "label" in stage.getOutputCols():
+                return list(stage.labelsArray[stage.getOutputCols().index("label")])
         raise LookupError("no label indexer in the fitted pipeline")
 
 
@@ -209,8 +214,10 @@ def recipe_metrics(recipe: Recipe, scored: DataFrame, label_col: str,
 
 
 def run_recipe(clean: DataFrame, recipe: Recipe | str, split_method: str = "stable",
-               materialize: bool = True, work_path: str | None = None) -> RecipeRun:
-    """Fit a recipe on its training part and score its test part.
+               materialize: bool = True, work_path: str | None = None,
+               partitions: int = models.FIT_PARTITIONS) -> RecipeRun:
+    """Fit a recipe on its training part and score its test part. The learner
+    sees its rows in ``partitions`` hash partitions of the crash id.
 
     The recipe's model input (key, label and inputs only) is stored once as a
     table (at ``work_path``, overwritten, or a new scratch folder below the
@@ -233,6 +240,6 @@ def run_recipe(clean: DataFrame, recipe: Recipe | str, split_method: str = "stab
             df = models.materialize(df, f"input-{recipe.name}", path=work_path)
         train_df, test_df = split(df, recipe, split_method)
     stage_list, label_col = stages(recipe)
-    fitted = models.train(stage_list, train_df)
+    fitted = models.train(stage_list, train_df, KEY, partitions)
     scored = models.score(fitted, test_df)
     return RecipeRun(recipe, fitted, train_df, test_df, scored, label_col)

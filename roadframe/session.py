@@ -1,15 +1,13 @@
 """Session and shared-storage helpers.
 
-Jobs never pick a machine-local scratch folder on their own: durable
-intermediate data goes under the folder the cluster names in
-``spark.checkpoint.dir``. Only when that setting is absent (local runs,
-tests) is a private folder created and registered.
+Jobs never pick a scratch folder on their own: durable intermediate data goes
+under the folder the cluster names in ``spark.checkpoint.dir``. Where that is
+absent they raise; local runs and tests name a folder themselves.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,16 +39,11 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-_FALLBACK_DIRS: dict[int, str] = {}
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """The configured checkpoint folder itself (``spark.checkpoint.dir``),
     stable across applications. Spark's own checkpoint dir is a random
-    per-application folder below it. If the setting is absent, a private
-    local folder is used, but only for a local master (local runs, tests):
-    on a cluster a machine-local folder would scatter written tables over
-    the executors' disks, so that raises instead."""
+    per-application folder below it. Raises if the setting is absent: a folder
+    picked here would lie on one machine, and other executors cannot read it."""
     try:
         sc = spark.sparkContext
     except Exception:  # a session without a local SparkContext
@@ -66,14 +59,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir() if sc is not None else None
     if current:  # set with sc.setCheckpointDir(dir): Spark adds one folder per application
         return current.rstrip("/").rsplit("/", 1)[0]
-    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-    if not str(master).startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set: set it to a folder on shared storage "
-            "(HDFS, S3, ...) that every executor and the driver can read")
-    if id(spark) not in _FALLBACK_DIRS:
-        _FALLBACK_DIRS[id(spark)] = tempfile.mkdtemp(prefix="roadframe-ckpt-")
-    return _FALLBACK_DIRS[id(spark)]
+    raise RuntimeError(
+        "spark.checkpoint.dir is not set: set it to a folder on shared storage "
+        "(HDFS, S3, ...) that every executor and the driver can read")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -48,7 +48,8 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None =
     return reader.csv(path)
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists") -> str:
+def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists",
+                    max_records: int = 0) -> str:
     """Write a frame as delimited text with a header row.
 
     Leading and trailing blanks are kept (Spark trims them by default when
@@ -62,6 +63,7 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "error
         .option("sep", sep)
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "false")
+        .option("maxRecordsPerFile", max_records)  # 0: no bound
         .csv(path)
     )
     return path
@@ -74,13 +76,13 @@ def land_as_parquet(spark: SparkSession, csv_path: str, out_path: str,
     reads, column pruning and filter pushdown instead of re-parsing text.
     The text is read with the explicit schema (no inference pass) unless
     ``infer``; one Parquet file per input split, optionally partitioned."""
-    writer = read_delimited(spark, csv_path, schema=schema, infer=infer).write.mode(mode)
+    frame = read_delimited(spark, csv_path, schema=schema, infer=infer)  # inference reads the text once
+    writer = frame.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(out_path)
     # read back with the written schema: no retyping of partition columns
-    written = read_delimited(spark, csv_path, schema=schema, infer=infer).schema if infer else (schema or raw_schema())
-    return spark.read.schema(written).parquet(out_path)
+    return spark.read.schema(frame.schema).parquet(out_path)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -45,7 +46,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     import __spark_entry__ as E
     from roadframe.session import build_session
-    spark = build_session()
+    spark = build_session(extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="roadframe-plans-")})
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # show the static plan
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")  # untruncated ReadSchema
     out = ["# Physical plans", "",

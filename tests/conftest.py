@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -11,9 +12,8 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from roadframe.session import build_session
-    # spark.checkpoint.dir is read from the session; roadframe.session.checkpoint_dir
-    # creates a private folder only when it is unset
-    session = build_session(master="local[4]", shuffle_partitions=4, app_name="roadframe-tests")
+    session = build_session(master="local[4]", shuffle_partitions=4, app_name="roadframe-tests",
+                            extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="roadframe-tests-")})
     yield session
     session.stop()
 

@@ -3,8 +3,9 @@
 import pytest
 
 import __spark_entry__ as E
+from roadframe.plans import catalog
 
-ROWS_ONLY = sorted(set(E.queries()) - set(E.oracle_sql()))
+ROWS_ONLY = sorted(set(catalog.QUERIES) - set(catalog.ORACLES))
 
 
 @pytest.mark.parametrize("name", ROWS_ONLY)
@@ -23,7 +24,7 @@ def test_rows_only_query_runs(spark, sf_dir, name):
 
 
 def test_names_are_plain():
-    for name in E.queries():
+    for name in catalog.QUERIES:
         assert name.replace("_", "").isalnum() and not name.startswith("op")
 
 

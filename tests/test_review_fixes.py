@@ -9,9 +9,12 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from roadframe import schema as S
 from roadframe.functions import columns as X
 from roadframe.operators import dedup, evaluate, joins
 from roadframe.operators import transforms as T
+from roadframe.plans.cleaning import clean_crashes
+from roadframe.sources.delimited import read_delimited, write_delimited
 
 
 def test_regression_metrics_constant_label_and_empty(spark):
@@ -25,20 +28,31 @@ def test_regression_metrics_constant_label_and_empty(spark):
     assert empty == {"rmse": None, "r2": None}
 
 
-def test_sums_overflow_to_null(spark):
-    df = spark.createDataFrame([(2_000_000_000, 2_000_000_000), (1, 2)], "a int, b int")
+def test_large_sums_are_kept(spark):
+    df = spark.createDataFrame([(2_000_000_000, 2_000_000_000), (1, 2), (None, 1)], "a int, b int")
     got = df.select(X.null_strict_sum(["a", "b"]).alias("t"), X.safe_rate("a", "b").alias("r")).collect()
-    assert got[0]["t"] is None and got[0]["r"] == 0.0
+    assert got[0]["t"] == 4_000_000_000 and got[0]["r"] == 0.5
     assert got[1]["t"] == 3 and got[1]["r"] == 0.33
+    assert got[2]["t"] is None and got[2]["r"] == 0.0
 
 
-def test_to_int_whole_numbers_with_decimal_point(spark):
-    vals = ["1.0", "-2.00", " 3. ", "12.5", "1e3", "abc", "7", None, "99999999999.0"]
+def test_to_int_takes_the_whole_part_of_any_number(spark):
+    vals = ["1.0", "-2.00", " 3. ", "12.5", "-12.9", "1e3", "abc", "7", None, "99999999999.0", "2147483647.9", "."]
     df = spark.createDataFrame([(v,) for v in vals], "s string")
-    lenient = [r[0] for r in df.select(X.to_int("s", decimal_form=True)).collect()]
-    assert lenient == [1, -2, 3, None, None, None, 7, None, None]
-    plain = [r[0] for r in df.select(X.to_int("s")).collect()]
-    assert plain == [None, None, None, None, None, None, 7, None, None]
+    assert [r[0] for r in df.select(X.to_int("s")).collect()] == [
+        1, -2, 3, 12, -12, 1000, None, 7, None, None, 2147483647, None]
+
+
+def test_explicit_and_inferred_reads_keep_the_same_rows(spark, tmp_path):
+    """Decimal counts and zips keep their crash under either read."""
+    base = {S.CRASH_DATE: "03/15/2021", S.CRASH_TIME: "8:30", S.BOROUGH: "QUEENS", S.ZIP_CODE: "11201",
+            **dict.fromkeys(S.COUNT_COLUMNS, "0")}
+    changed = [{}, {S.COUNT_COLUMNS[0]: "1.0"}, {S.ZIP_CODE: "11201.0"}, {S.COUNT_COLUMNS[0]: "12.5"}]
+    rows = [tuple({**base, **x, S.COLLISION_ID: str(i)}.get(col) for col in S.RAW_COLUMNS) for i, x in enumerate(changed)]
+    path = str(tmp_path / "crashes")
+    write_delimited(spark.createDataFrame(rows, S.raw_schema()), path)
+    frames = [sorted(clean_crashes(read_delimited(spark, path, infer=infer)).collect()) for infer in (False, True)]
+    assert len(frames[0]) == 4 and frames[0] == frames[1]
 
 
 def test_dedup_order_by_may_name_the_key(spark):
@@ -124,6 +138,8 @@ def test_no_local_checkpoint_folder_on_a_cluster():
     from roadframe.session import checkpoint_dir, checkpoint_root
     with pytest.raises(RuntimeError, match="shared storage"):
         checkpoint_dir(_Session("yarn"))
+    with pytest.raises(RuntimeError, match="shared storage"):
+        checkpoint_dir(_Session("local[4]"))
     # a folder set with sc.setCheckpointDir counts as configured (Spark adds a per-app folder)
     assert checkpoint_root(_Session("yarn", "hdfs:///ckpt/1f2e-app")) == "hdfs:///ckpt"
 
