@@ -4,8 +4,11 @@
 2. One pass over the texts gives signatures, band keys and shingle sets.
 3. In every band bucket each text is compared with one centre, the text that
    shares most buckets, so a large group costs a row per text, not per pair.
-4. Buckets that still hold several classes are searched block by block for
-   pairs of different classes whose signatures agree often enough.
+4. Buckets that still hold several classes are searched block by block:
+   first, round by round, each text outside its centre's class is compared
+   with the text of another class that agrees best, until no round links any
+   more; then all pairs of different classes whose signatures agree often
+   enough are verified where they meet, and only links leave the block.
 Pairs count only if the Jaccard similarity of their shingle sets reaches the
 threshold; classes are the connected components of such pairs.
 """
@@ -77,7 +80,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float = SIMILARITY) -
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_x"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_y"))
     # lengths alone rule out many pairs before the second join
-    joined = pairs.join(one, "a").join(two, "b")
+    joined = pairs.hint("merge").join(one, "a").hint("merge").join(two, "b")
     least = F.least(F.size("_x"), F.size("_y"))
     most = F.greatest(F.size("_x"), F.size("_y"))
     common = F.size(F.array_intersect("_x", "_y"))
@@ -85,6 +88,17 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float = SIMILARITY) -
         common >= threshold * (F.size("_x") + F.size("_y") - common))).select("a", "b")
 
 
+def _open(buckets: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bucket rows with their class and whether it is another than their
+    centre's (``open``), and the open texts of each bucket that has some."""
+    known = buckets.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    of_centre = classes.select(F.col("node").alias("centre"), F.col("component").alias("_main"))
+    known = known.join(of_centre, "centre", "left").withColumn(
+        "open", F.col("component") != F.coalesce("_main", "centre")).drop("_main")
+    known = stored(known, "known")
+    return known, known.groupBy("band", "key").agg(F.sum(F.col("open").cast("long")).alias("n_open")).where("n_open > 0")
+
+
 def _blocks(members: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of buckets dealt to block pairs: every open text to all blocks of
     members, every member to all blocks of open texts."""
@@ -100,11 +114,22 @@ def _blocks(members: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]
     return left, right
 
 
-def _agreeing(left: DataFrame, right: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs of an open text and a member of another class whose signatures
-    agree on at least AGREE of the registers, each pair from the first band
-    that they share."""
-    sides = sketches.select("node", "signature", "bands")
+def _similar(x: np.ndarray, y: np.ndarray, threshold: float) -> bool:
+    """Whether the Jaccard similarity of two sorted sets reaches the threshold."""
+    if min(len(x), len(y)) < threshold * max(len(x), len(y)):
+        return False
+    common = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+    return common >= threshold * (len(x) + len(y) - common)
+
+
+def _searched(left: DataFrame, right: DataFrame, sketches: DataFrame, threshold: float, best: bool) -> DataFrame:
+    """Pairs ``a < b`` of an open text and a member of another class whose
+    signatures agree on at least AGREE of the registers. With ``best``: for
+    each open text of a block the one that agrees most, yet to be verified.
+    Else all pairs are verified in their block, each in the first band that
+    its texts share, but for texts that the block has linked already; the
+    links found are returned."""
+    sides = sketches.select("node", "signature", *([] if best else ["bands", "shingles"]))
     keys = ["band", "key", "i", "j"]
 
     def search(one: pa.Table, two: pa.Table) -> pa.Table:
@@ -113,20 +138,31 @@ def _agreeing(left: DataFrame, right: DataFrame, sketches: DataFrame) -> DataFra
             band = one.column("band")[0].as_py()
             x, y = (np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint32).reshape(-1, REGISTERS)
                     for t in (one, two))
-            bx, by = (np.array(t.column("bands").to_pylist(), np.int64) for t in (one, two))
             nx, ny = (t.column("node").to_numpy() for t in (one, two))
-            cx, cy = (t.column("component").to_numpy() for t in (one, two))
-            open_y = two.column("open").to_numpy(zero_copy_only=False).astype(bool)
+            cx, cy = (t.column("component").to_numpy().copy() for t in (one, two))
+            if not best:
+                bx, by = (np.array(t.column("bands").to_pylist(), np.int64) for t in (one, two))
+                sx, sy = ([np.sort(v.values.to_numpy()) for v in t.column("shingles")] for t in (one, two))
+                open_y = two.column("open").to_numpy(zero_copy_only=False).astype(bool)
             for r in range(len(nx)):
-                fit = (x[r] == y).mean(axis=1) >= AGREE
-                fit &= (cy != cx[r]) & (~open_y | (ny > nx[r]))
-                if band:  # found in an earlier band already
-                    fit &= ~(bx[r, :band] == by[:, :band]).any(axis=1)
-                hit = np.flatnonzero(fit)
-                a.append(np.full(len(hit), nx[r]))
-                b.append(ny[hit])
-        a, b = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (a, b))
-        return pa.table({"a": a, "b": b})
+                agree = (x[r] == y).mean(axis=1)
+                fit = (agree >= AGREE) & (cy != cx[r])
+                if best:
+                    hit = np.flatnonzero(fit & (agree == np.max(agree, where=fit, initial=0.0)))[:1].tolist()
+                else:
+                    fit &= ~open_y | (ny > nx[r])
+                    if band:  # searched in an earlier band already
+                        fit &= ~(bx[r, :band] == by[:, :band]).any(axis=1)
+                    hit = []
+                    for k in np.flatnonzero(fit)[np.argsort(-agree[fit], kind="stable")].tolist():
+                        if cx[r] != cy[k] and _similar(sx[r], sy[k], threshold):
+                            hit.append(k)
+                            cx[cx == cy[k]] = cx[r]
+                            cy[cy == cy[k]] = cx[r]
+                a.extend([nx[r]] * len(hit))
+                b.extend(ny[hit])
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     one, two = (side.join(sides, "node") for side in (left, right))
     one, two = (side.toDF(*side.columns) for side in (one, two))  # fresh columns: both come from one table
@@ -134,20 +170,20 @@ def _agreeing(left: DataFrame, right: DataFrame, sketches: DataFrame) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """One row per document row: ``doc_id, class_id, links, copies``.
+    """One row per document row: ``doc_id, class_id, links, copies, node,
+    component`` (hashes that identify its text and its class).
 
     ``class_id`` is the smallest ``doc_id`` of its class (null ids do not
     count; a class of null ids only has null). ``copies`` is the number of
     rows with the very same text, ``links`` that of verified links to other
-    texts found on the way. Null and empty texts are one class; a text of
-    fewer than five words is one shingle; repeated rows are copies; other
-    columns are ignored; an empty table gives no rows.
+    texts found on the way. Null and empty texts are one class; texts without
+    words fall together only if equal; a text of fewer than five words is one
+    shingle; repeated rows are copies; other columns are ignored; an empty
+    table gives no rows.
     """
     sketches = stored(sketch(docs), "sketch")
     texts = stored(sketches.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")),
                    "texts")
-    # one sketch per text: copies have equal sketches
-    single = sketches.dropDuplicates(["node"]) if not texts.where("copies > 1").isEmpty() else sketches
     rows = sketches.select("node", F.posexplode("bands").alias("band", "key")).distinct()
     shared = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = stored(rows.join(shared, ["band", "key"]), "buckets")
@@ -156,29 +192,34 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
     centres = famous.groupBy("band", "key").agg(F.max(F.struct("fame", "node"))["node"].alias("centre"))
     buckets = stored(buckets.join(centres, ["band", "key"]), "centred")
     used = buckets.select("node").distinct()
-    sides = stored(single.join(used, "node", "left_semi"), "candidates")
-    pairs = buckets.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    found = stored(verified(pairs, sides, threshold), "links")
-    classes = components(found)
-
-    label = F.coalesce("component", "node")
-    known = buckets.join(classes, "node", "left").withColumn("component", label)
-    of_centre = classes.select(F.col("node").alias("centre"), F.col("component").alias("_main"))
-    known = known.join(of_centre, "centre", "left").withColumn(
-        "open", F.col("component") != F.coalesce("_main", "centre")).drop("_main")
-    known = stored(known, "known")
-    sizes = known.groupBy("band", "key").agg(F.sum(F.col("open").cast("long")).alias("n_open")).where("n_open > 0")
-    left, right = _blocks(known, sizes)
-    more = verified(stored(_agreeing(left, right, sides), "open-pairs").distinct(), sides, threshold)
-    found = stored(found.union(more), "all-links")
-    classes = components(found)
+    # one sketch per text that shares a bucket; copies have equal sketches
+    sides = stored(sketches.join(used.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "candidates")
+    pairs = buckets.where("node <> centre").select(
+        F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    tested = stored(pairs, "pairs")
+    found = stored(verified(tested, sides, threshold), "links")
+    while True:
+        classes = components(found)
+        left, right = _blocks(*_open(buckets, classes))
+        pairs = stored(_searched(left, right, sides, threshold, best=True), "open-pairs").distinct()
+        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "new-pairs")
+        more = stored(verified(pairs, sides, threshold), "new-links")
+        if more.isEmpty():
+            break
+        found = stored(found.union(more), "links")
+        tested = stored(tested.union(pairs), "pairs")
+    more = stored(_searched(left, right, sides, threshold, best=False).distinct(), "last-links")
+    if not more.isEmpty():
+        found = stored(found.union(more), "links")
+        classes = components(found)
     links = found.select("a").union(found.select("b")).groupBy("a").agg(F.count(F.lit(1)).alias("links"))
 
-    named = texts.join(classes, "node", "left").withColumn("component", label)
+    named = texts.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("rep").alias("class_id"))
     named = named.join(names, "component").join(links.withColumnRenamed("a", "node"), "node", "left")
-    named = named.select("node", "class_id", F.coalesce("links", F.lit(0)).cast("long").alias("links"), "copies")
-    return sketches.select("doc_id", "node").join(named, "node").select("doc_id", "class_id", "links", "copies")
+    named = named.select("node", "component", "class_id", F.coalesce("links", F.lit(0)).cast("long").alias("links"), "copies")
+    return sketches.select("doc_id", "node").join(named, "node").select(
+        "doc_id", "class_id", "links", "copies", "node", "component")
 
 
 def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
@@ -186,12 +227,15 @@ def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     with its class's id stays (a class of null ids keeps one of its rows)."""
     columns = docs.columns
     classes = stored(near_duplicates(docs, threshold), "classes")
-    stay = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("_rows"))
-    kept = docs.join(stay.withColumnRenamed("doc_id", "_id"), docs["doc_id"].eqNullSafe(F.col("_id")))
-    # an id in several rows: its class may not own all of them, and one row stays
+    stay = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("component", "doc_id", "node").agg(
+        F.count(F.lit(1)).alias("rows"))
+    stay = stay.groupBy("component").agg(F.min(F.struct("node", "doc_id", "rows")).alias("k")).select(
+        F.col("k.node").alias("_node"), F.col("k.doc_id").alias("_id"), F.col("k.rows").alias("_rows"))
+    marked = docs.withColumn("_own", text_node(F.col("text")))
+    kept = marked.join(stay, (F.col("_own") == F.col("_node")) & marked["doc_id"].cast("long").eqNullSafe(F.col("_id")))
+    # equal rows: one stays
     single = kept.where("_rows = 1")
-    repeated = kept.where("_rows > 1").dropDuplicates(["doc_id"])
+    repeated = kept.where("_rows > 1").dropDuplicates(["_id", "_node"])
     return single.select(*columns).unionByName(repeated.select(*columns))
 
 
