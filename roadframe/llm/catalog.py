@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from roadframe.llm import licenses
 from roadframe.llm.coding import op5_tokens
 from roadframe.llm.dedup import op2_minhash
 from roadframe.llm.extraction import op7_extraction
@@ -26,4 +27,5 @@ QUERIES = {
     "op10_quality": op10_quality,
 }
 
-ORACLES: dict[str, str] = {}
+#: the other queries rest on hashes, fits or token ids, which SQL does not have
+ORACLES: dict[str, str] = {"op9_licenses": licenses.oracle_sql()}

@@ -158,3 +158,40 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License labels of all ``documents``; see ``scan``."""
     return scan(read_table(spark, sf_dir, "documents"))
+
+
+def _quoted(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def oracle_sql(threshold: float = THRESHOLD) -> str:
+    """The scan in DuckDB SQL: phrases by place, and every block against every
+    template by plain set intersection, without filters."""
+    words = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    places = []
+    for phrase, label in PHRASES.items():
+        match = " AND ".join(f"words[i + {k}] = {_quoted(w)}" for k, w in enumerate(phrase.split(" ")))
+        places.append(f"SELECT r, {_quoted(label)} AS label, unnest(list_filter(range(1, len(words) + 1), lambda i: {match})) AS spot FROM w")
+    templates = ", ".join(f"({_quoted(label)}, list_distinct(string_split({_quoted(text)}, ' ')))" for label, text in TEMPLATES)
+    return f"""WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents
+), w AS (SELECT r, doc_id, low, regexp_extract_all(low, {words}) AS words FROM d
+), p AS ({" UNION ALL ".join(places)}
+), b AS (
+  SELECT r, count(*) AS n_base, min(spot) - 1 AS first_word, max(spot) - 1 AS last_word,
+    list_sort(list_distinct(list(label))) AS base FROM p GROUP BY r
+), blocks AS (
+  SELECT r, list_distinct(regexp_extract_all(line, {words})) AS held
+  FROM (SELECT r, unnest(string_split(low, chr(10))) AS line FROM w)
+), m AS (
+  SELECT r, list_distinct(list(label)) AS more, max(common / len(content)) AS share FROM (
+    SELECT r, label, content, len(list_intersect(held, content)) AS common
+    FROM blocks CROSS JOIN (VALUES {templates}) t(label, content))
+  WHERE common >= ceil({threshold} * len(content) - 1e-9) GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(array_to_string(base, ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(more, [])))), ','), '') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+FROM w LEFT JOIN b USING (r) LEFT JOIN m USING (r)"""
