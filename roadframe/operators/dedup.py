@@ -15,7 +15,7 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | N
     """Keep one row per distinct ``keys``.
 
     Without ``order_by`` any one row of each key survives (Spark's
-    ``dropDuplicates``, a hash aggregate with a map-side partial step).
+    ``dropDuplicates``, a sort aggregate with a map-side partial step).
 
     With ``order_by`` the survivor is deterministic: the row with the smallest
     (or, with ``descending``, largest) ``order_by`` values, ties broken by the

@@ -2,12 +2,13 @@
 
 Jobs never pick a scratch folder on their own: durable intermediate data goes
 under the folder the cluster names in ``spark.checkpoint.dir``. Where that is
-absent they raise; local runs and tests name a folder themselves.
+absent they raise; local runs name a folder first (``name_local_folder``).
 """
 
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -64,6 +65,15 @@ def checkpoint_root(spark: SparkSession) -> str:
         "(HDFS, S3, ...) that every executor and the driver can read")
 
 
+def name_local_folder(spark: SparkSession) -> None:
+    """For a local run (one machine, one process) without the setting: use a
+    new temporary folder. Does nothing on any cluster or where a folder is set."""
+    sc = spark.sparkContext
+    unset = not sc.getConf().get(_CHECKPOINT_KEY, None) and not sc.getCheckpointDir()
+    if unset and sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
+        sc.setCheckpointDir(os.path.join(tempfile.mkdtemp(prefix="roadframe-"), "checkpoints"))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Spark's checkpoint dir for ``DataFrame.checkpoint()`` (registered from
     ``checkpoint_root`` when not yet set)."""
