@@ -16,7 +16,7 @@ from roadframe.llm.common import read_table, ship_package
 from roadframe.llm.words import Words, slices
 
 #: at most this many labelled rows, lowest hashes first, are fitted on
-FIT_ROWS = 6000
+FIT_ROWS = 3000
 BUCKETS = 1 << 11
 RANK = 6
 #: quantile bins of every statistic
@@ -122,7 +122,7 @@ def fit(x: Features, label: np.ndarray, steps: int = 250, rate: float = 0.05, de
     edges = np.quantile(x.statistics, shape, axis=0).T if n else np.zeros((STATISTICS, BINS - 1))
     share = label.mean() if n else 0.5
     if not 0 < share < 1:
-        return Machine(edges, 40.0 * (2 * share - 1), np.zeros(inputs), np.zeros((inputs, RANK)))
+        return Machine(edges, 40.0 * (2.0 * share - 1.0), np.zeros(inputs), np.zeros((inputs, RANK)))
     rows, columns, values = _inputs(x, edges)
     dense = np.zeros((n, inputs), np.float32)
     dense[rows, columns] = values
@@ -173,37 +173,30 @@ def fit_sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Mach
                     names=["doc_id", "label", "statistics", "bucket", "share"])
 
     rows_in = sample.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "_label").mapInArrow(extract, schema)
-    found = rows_in.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id", ignore_index=True)
-    return fit(_joined(found), found["label"].to_numpy(np.float32))
-
-
-def _joined(found) -> Features:
-    if not len(found):
-        return Features(np.zeros((0, STATISTICS)), *(np.zeros(0, np.int64) for _ in range(2)), np.zeros(0))
-    sizes = found["bucket"].map(len)
-    return Features(np.stack(found["statistics"].to_numpy()), np.repeat(np.arange(len(found)), sizes),
-                    np.concatenate(found["bucket"].to_numpy()).astype(np.int64),
-                    np.concatenate(found["share"].to_numpy()).astype(np.float64))
+    found = rows_in.dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow().combine_chunks()  # at most `rows`
+    if not found.num_rows:
+        return fit(Features(np.zeros((0, STATISTICS)), *(np.zeros(0, np.int64),) * 2, np.zeros(0)), np.zeros(0))
+    flat = lambda name: found.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    sizes = pc.list_value_length(found.column("bucket")).to_numpy()
+    x = Features(flat("statistics").reshape(-1, STATISTICS), np.repeat(np.arange(found.num_rows), sizes),
+                 flat("bucket").astype(np.int64), flat("share").astype(np.float64))
+    return fit(x, found.column("label").to_numpy().astype(np.float32))
 
 
 def score_documents(docs: DataFrame, machine: Machine) -> DataFrame:
     """All columns of ``docs`` and ``quality_score`` (double, 0 to 1): one
-    narrow pass, whole texts, null as empty."""
+    narrow pass over whole texts, null as empty; only texts go to Python."""
     ship_package(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(machine)  # BUCKETS + STATISTICS * BINS rows of RANK + 1 numbers
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            at = whole.schema.get_field_index("_text")
-            for batch in slices(whole, at):
-                found = pa.array(held.value.score(features(batch.column(at))))
-                kept = [batch.column(i) for i in range(batch.num_columns) if i != at]
-                yield pa.RecordBatch.from_arrays([*kept, found], schema=pa.schema(
-                    [*(f for f in batch.schema if f.name != "_text"), pa.field("quality_score", pa.float64())]))
-
-    out = docs.drop("quality_score")  # a clashing column gives way to the score
-    schema = out.schema.add("quality_score", "double")
-    return out.withColumn("_text", F.col("text")).mapInArrow(score, schema)
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        found = [held.value.score(features(part.column(0))) for part in slices(batch, 0)]
+        pa.default_memory_pool().release_unused()
+        return pa.array(np.concatenate(found) if found else np.zeros(0))
+
+    return docs.withColumn("quality_score", score(F.col("text")))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:

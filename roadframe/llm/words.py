@@ -9,16 +9,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: rows and bytes of text handled at once inside a task
-SLICE_ROWS = 2000
-SLICE_BYTES = 16 << 20
+SLICE_ROWS = 1000
+SLICE_BYTES = 2 << 20
 
 
-def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: int, most_rows: int = SLICE_ROWS,
+           most_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """``batch`` in slices of bounded text size (a longer text stands alone)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, size in enumerate(sizes.tolist()):
-        if i > start and (held + size > SLICE_BYTES or i - start >= SLICE_ROWS):
+        if i > start and (held + size > most_bytes or i - start >= most_rows):
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += size
