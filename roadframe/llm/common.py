@@ -5,14 +5,13 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadframe.session import fresh_shared_path
+from roadframe.session import fresh_shared_path, name_local_folder
 
 #: monotonically_increasing_id() puts the partition above this many bits
 _POSITION_BITS = 33
@@ -26,7 +25,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a lineage cut that
     survives lost executors."""
     spark = df.sparkSession
-    path = fresh_shared_path(spark, f"{name}-{uuid.uuid4().hex[:6]}")
+    name_local_folder(spark)
+    path = fresh_shared_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
