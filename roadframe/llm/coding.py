@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from roadframe.llm import rans
 from roadframe.llm.common import read_table, ship_package, shuffle_partitions, stored
-from roadframe.llm.tokens import VOCABULARY, encoder, token_arrays
-from roadframe.session import fresh_shared_path
+from roadframe.llm.tokens import BYTES, ROWS, VOCABULARY, encoder
+from roadframe.llm.words import slices
+from roadframe.session import fresh_shared_path, name_local_folder
 
 END_ID = 2
 #: a block closes once it has this many tokens (a longer document stands alone)
@@ -40,9 +41,9 @@ def token_rows(docs: DataFrame, end_id: int = END_ID, vocabulary: str = VOCABULA
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = 0  # a task is one sorted partition
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2, ROWS, BYTES)):
             kind = encoder(vocabulary).dtype
-            ids = [a.astype(kind).tobytes() for a in token_arrays((t.as_py() for t in batch.column(2)), end_id, vocabulary)]
+            ids = [a.tobytes() for a in encoder(vocabulary).encode_all(batch.column(2), end_id)]
             ends = total + np.cumsum([len(x) // kind.itemsize for x in ids], dtype=np.int64)
             before = np.concatenate(([total], ends[:-1])) if len(ids) else ends
             total = int(ends[-1]) if len(ids) else total
@@ -116,9 +117,11 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = END_ID, vocabulary: s
         "compression", "uncompressed").parquet(f"{path}/blocks")
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """Decode a folder: ``doc_id, start, n_tokens, ids`` (ids as little-endian
-    unsigned 32-bit integers); ``start`` counts the ids of all documents before."""
+def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
+    """Decode a folder: ``doc_id, start, n_tokens, ids_crc32, ids`` (ids as
+    little-endian unsigned 32-bit integers, and their checksum); ``start``
+    counts the ids of all documents before. ``ids=False`` keeps the decoded
+    ids in the workers and returns the other columns."""
     ship_package(spark)
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks")
     sizes = blocks.groupBy("part").agg(F.sum("tokens")).orderBy("part").collect()  # one row per sorted partition
@@ -126,28 +129,32 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     table = load_table(spark, path)
     held = spark.sparkContext.broadcast((table.symbols, table.frequency.astype(np.int64), first))
 
+    names = ["doc_id", "start", "n_tokens", "ids_crc32", *(["ids"] if ids else [])]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols, frequency, first = held.value
         coder = rans.Table(symbols, frequency)
         for batch in batches:
             for part, before, doc_ids, lengths, block in zip(
                     *(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                ids = rans.decode(block, coder).astype("<u4").tobytes()
+                decoded = rans.decode(block, coder).astype("<u4").tobytes()
                 ends = np.cumsum(lengths)
                 start = first[part] + before + ends - lengths
-                parts = [ids[4 * (e - n):4 * e] for e, n in zip(ends.tolist(), lengths, strict=True)]
+                parts = [decoded[4 * (e - n):4 * e] for e, n in zip(ends.tolist(), lengths, strict=True)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(doc_ids, pa.int64()), pa.array(start), pa.array(lengths, pa.int64()),
-                    pa.array(parts, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
+                    pa.array([zlib.crc32(p) for p in parts], pa.int64()), *([pa.array(parts, pa.binary())] if ids else [])],
+                    names=names)
 
     return blocks.select("part", "before", "doc_ids", "lengths", "block").mapInArrow(
-        run, "doc_id long, start long, n_tokens long, ids binary")
+        run, "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids binary" if ids else ""))
 
 
 def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all ``documents`` to files and describe each from the files read
     back. Null and empty texts are the end id alone; repeated and null ids are
     documents like any other; other columns are ignored."""
+    name_local_folder(spark)
     path = fresh_shared_path(spark, "token-files")
     write_tokens(read_table(spark, sf_dir, "documents"), path)
-    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return read_tokens(spark, path, ids=False)

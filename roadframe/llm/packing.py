@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadframe.llm.common import ordered, read_table, ship_package, stored
-from roadframe.llm.tokens import VOCABULARY, token_arrays
+from roadframe.llm.tokens import BYTES, ROWS, VOCABULARY, encoder
+from roadframe.llm.words import slices
 
 CAPACITY = 4096
 END_ID = 1
@@ -132,10 +133,11 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1, ROWS, BYTES)):
             rows: list[tuple] = []
-            texts = (t.as_py() for t in batch.column(1))
-            for doc_id, ids in zip(batch.column(0).to_pylist(), token_arrays(texts, end_id, vocabulary), strict=True):
+            found = encoder(vocabulary).encode_all(batch.column(1), end_id)
+            for doc_id, ids in zip(batch.column(0).to_pylist(), found, strict=True):
+                ids = ids.astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start:start + capacity]
                     rows.append((doc_id, piece, start, len(part), zlib.crc32(part)))

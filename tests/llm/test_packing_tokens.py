@@ -118,7 +118,7 @@ def check_files(spark, docs, plain, **options):
         left[r.doc_id].append(plain(r.text, 2))
     for r in rows:
         ids = np.frombuffer(r.ids, "<u4").tolist()
-        assert (r.start, r.n_tokens) == (place, len(ids))
+        assert (r.start, r.n_tokens, r.ids_crc32) == (place, len(ids), zlib.crc32(r.ids))
         left[r.doc_id].remove(ids)
         place += len(ids)
     assert not any(left.values())
