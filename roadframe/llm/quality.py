@@ -74,7 +74,7 @@ def features(texts: pa.Array) -> Features:
     statistics = np.stack([
         *shares, np.bincount(owner, same, n) / size, np.bincount(pair_owner, minlength=n) / size, most / size,
         symbols / characters, np.log1p(counts), np.log1p(counts / lines)], axis=1)
-    buckets = Words.hashes(words) % np.uint64(BUCKETS)
+    buckets = words.hashes() % np.uint64(BUCKETS)
     keys, times = np.unique(owner * BUCKETS + buckets.astype(np.int64)[code], return_counts=True)
     document = keys // BUCKETS
     return Features(statistics, document, keys % BUCKETS, times / size[document])
