@@ -44,7 +44,7 @@ FULL = ["clean_pipeline", "dedup_by_key"]  # queries whose full formatted plan i
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from roadframe.plans import catalog
     from roadframe.session import build_session
     spark = build_session(extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="roadframe-plans-")})
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # show the static plan
@@ -55,7 +55,7 @@ def main() -> None:
            "the plan of their final frame only (metrics or pairs); fits run as Spark ML jobs.", "",
            "| query | shuffles | sorts | joins | aggregates | scans (columns read) | pushed filters | codegen stages | Python |",
            "| --- | --- | --- | --- | --- | --- | --- | --- | --- |"]
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         df = fn(spark, sf_dir)
         s = summarize(df._jdf.queryExecution().executedPlan().toString())
         out.append(f"| `{name}` | {len(s['exchanges'])} {'(' + ', '.join(s['exchanges']) + ')' if s['exchanges'] else ''} "
@@ -63,7 +63,7 @@ def main() -> None:
                    f"| {', '.join(s['joins']) or '-'} | {', '.join(s['aggs']) or '-'} | {', '.join(s['scans']) or '-'} "
                    f"| {'; '.join(s['pushed']) or '-'} | {s['codegen_stages']} | {'yes' if s['python'] else 'no'} |")
     for name in FULL:
-        df = E.queries()[name](spark, sf_dir)
+        df = catalog.QUERIES[name](spark, sf_dir)
         text = df._jdf.queryExecution().explainString(
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
         out += ["", f"## `{name}`: formatted plan", "", "```", text.strip(), "```"]
