@@ -192,8 +192,8 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
     centres = famous.groupBy("band", "key").agg(F.max(F.struct("fame", "node"))["node"].alias("centre"))
     buckets = stored(buckets.join(centres, ["band", "key"]), "centred")
     used = buckets.select("node").distinct()
-    # one sketch per text that shares a bucket; copies have equal sketches
-    sides = stored(sketches.join(used.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "candidates")
+    # one sketch per text that shares a bucket; equal sketches of copies fall together before the shuffle
+    sides = stored(sketches.dropDuplicates(["node"]).join(used.hint("merge"), "node", "left_semi"), "candidates")
     pairs = buckets.where("node <> centre").select(
         F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
     tested = stored(pairs, "pairs")
