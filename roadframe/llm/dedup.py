@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from roadframe.llm.common import read_table, ship_package, stored
 from roadframe.llm.components import components
 from roadframe.llm.minhash import REGISTERS, SHINGLE, shingles, signatures
-from roadframe.llm.words import Words, mix64, slices
+from roadframe.llm.words import Words, mix64, release, slices
 
 SIMILARITY = 0.8
 #: 20 bands of 5 registers: a pair at 0.8 shares a bucket with probability 0.9996
@@ -69,6 +69,7 @@ def sketch(docs: DataFrame) -> DataFrame:
                     pa.ListArray.from_arrays(places, pa.array(keys[has].ravel().view(np.int64))),
                     pa.ListArray.from_arrays(cuts, pa.array(value.astype(np.uint32).view(np.int32)))],
                     names=["doc_id", "node", "signature", "bands", "shingles"])
+        release()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_node(F.col("text")).alias("node"), "text")
     return rows.mapInArrow(run, schema)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from roadframe.llm.common import ordered, read_table, ship_package, stored
 from roadframe.llm.tokens import BYTES, ROWS, VOCABULARY, encoder
-from roadframe.llm.words import slices
+from roadframe.llm.words import release, slices
 
 CAPACITY = 4096
 END_ID = 1
@@ -146,6 +146,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID
                 [pa.array(doc_ids, pa.int64()), pa.array(pieces, pa.int32()), pa.array(starts, pa.int64()),
                  pa.array(lengths, pa.int64()), pa.array(sums, pa.int64())],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, schema)
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadframe.llm.common import read_table, ship_package
-from roadframe.llm.words import Words, slices
+from roadframe.llm.words import Words, release, slices
 
 #: at most this many labelled rows, lowest hashes first, are fitted on
 FIT_ROWS = 3000
@@ -193,7 +193,7 @@ def score_documents(docs: DataFrame, machine: Machine) -> DataFrame:
     def score(texts: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([texts], names=["text"])
         found = [held.value.score(features(part.column(0))) for part in slices(batch, 0)]
-        pa.default_memory_pool().release_unused()
+        release()
         return pa.array(np.concatenate(found) if found else np.zeros(0))
 
     return docs.withColumn("quality_score", score(F.col("text")))

@@ -14,9 +14,9 @@ from roadframe.llm.words import Words
 VOCABULARY = "word_bpe_49k.json"
 #: known pieces, and known chunks, of a worker's younger and older half (memory
 #: bound; the ids do not depend on it)
-KNOWN = 400_000
+KNOWN = 250_000
 #: rows and bytes of text encoded at once: long slices repeat more of their words
-ROWS, BYTES = 4000, 8 << 20
+ROWS, BYTES = 4000, 4 << 20
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:

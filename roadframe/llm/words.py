@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,14 @@ SLICE_ROWS = 1000
 SLICE_BYTES = 2 << 20
 
 
+def release() -> None:
+    """Hand freed memory back to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # GNU C library only
+    if trim is not None:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: int, most_rows: int = SLICE_ROWS,
            most_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """``batch`` in slices of bounded text size (a longer text stands alone)."""
