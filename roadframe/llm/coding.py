@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 from roadframe.llm import rans
 from roadframe.llm.common import read_table, ship_package, shuffle_partitions, stored
 from roadframe.llm.tokens import BYTES, ROWS, VOCABULARY, encoder
-from roadframe.llm.words import slices
+from roadframe.llm.words import release, slices
 from roadframe.session import fresh_shared_path, name_local_folder
 
 END_ID = 2
 #: a block closes once it has this many tokens (a longer document stands alone)
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 19
 #: ``part`` numbers the sorted partition, ``before`` counts its ids before the block
 BLOCK_SCHEMA = "part long, before long, tokens long, doc_ids array<long>, lengths array<int>, block binary"
 
@@ -50,6 +50,7 @@ def token_rows(docs: DataFrame, end_id: int = END_ID, vocabulary: str = VOCABULA
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(before), pa.array(ids, pa.binary())],
                 names=["place", "doc_id", "before", "ids"])
+        release()
 
     return placed.mapInArrow(run, "place long, doc_id long, before long, ids binary")
 

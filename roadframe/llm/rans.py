@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 
 SCALE_BITS = 20
-LANES = 512
+LANES = 2048
 #: rows between two checkpoints
 CHECKPOINT_ROWS = 256
 _LOW = 31  # states stay at or above 2**31
