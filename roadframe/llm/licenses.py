@@ -1,12 +1,15 @@
 """License scan: an exact set-similarity join of text blocks with license
 templates, beside an exact phrase scan. Only DataFrame functions are used.
 
-A block (line of a text) meets a template if it holds at least ``THRESHOLD``
-of the template's distinct words. Words are ordered by how often the corpus
-has them, rarest first. If a block meets a template, the first words of both
-in that order (their prefixes) share a word, the block has enough of the
+A text meets a template if some window of it, a run of as many words as
+``window`` gives for the template, holds at least ``THRESHOLD`` of the
+template's distinct words. Line ends are separators like any other, so wrapped
+texts are met too. Texts are cut into overlapping blocks that hold every
+window whole. Words are ordered by how often the corpus has them, rarest
+first. If a window of a block meets a template, the first words of both in
+that order (their prefixes) share a word, the block has enough of the
 templates' words (length filter), and from the shared word on enough words are
-left in both (position filter). Pairs that pass are counted exactly.
+left in both (position filter). In pairs that pass every window is counted.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from pyspark.sql import functions as F
 from roadframe.llm.common import read_table, stored
 
 THRESHOLD = 0.8
+#: words of a window, as a multiple of the template's words, and at least
+SPREAD, LEAST_WINDOW = 2, 16
 #: a word is a run of characters other than these (after lower-casing A-Z)
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -52,6 +57,11 @@ TEMPLATES = [
 ]
 
 
+def window(template: str) -> int:
+    """Words of a text among which a template's words have to stand."""
+    return max(LEAST_WINDOW, SPREAD * len(template.split(" ")))
+
+
 def lowered(text: Column) -> Column:
     """A-Z in lower case, nothing else changed; null is empty."""
     return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -95,20 +105,21 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
     last_word, base_labels, labels, score``.
 
     The base columns count and place the phrases; ``labels`` adds those of the
-    templates that some block meets. ``score`` is 1 where a phrase stands,
+    templates that some window meets. ``score`` is 1 where a phrase stands,
     else the best share of a met template's words, else 0. Null and empty
     texts have no words and empty labels; ``first_word`` and ``last_word`` are
     null without a phrase; repeated rows and null ids are rows like any other;
     other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    sets = [(label, sorted(set(text.split(" ")))) for label, text in templates]
-    vocabulary = sorted({w for _, words in sets for w in words})
+    sets = [(label, sorted(set(text.split(" "))), window(text)) for label, text in templates]
+    widest = max((width for _, _, width in sets), default=LEAST_WINDOW)
+    vocabulary = sorted({w for _, words, _ in sets for w in words})
     frequency = word_frequencies(docs, vocabulary)
     order = sorted(vocabulary, key=lambda w: (frequency[w], w))
     place = {w: i for i, w in enumerate(order)}
     prefixes, first_words = [], set()
-    for number, (_, words) in enumerate(sets):
+    for number, (_, words, _) in enumerate(sets):
         need = math.ceil(threshold * len(words) - 1e-9)
         by_order = sorted(words, key=place.get)
         for at, word in enumerate(by_order[:len(words) - need + 1]):
@@ -118,9 +129,11 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
     low = docs.select("doc_id", lowered(F.col("text")).alias("low")).withColumn("words", words_of(F.col("low")))
     found = low.withColumns({f"p{i}": _places(F.col("words"), phrase) for i, phrase in enumerate(phrases)})
     rare = _strings(sorted(first_words))
-    # blocks that hold a prefix word of some template; the others meet none
+    # a window that starts in the first half of a block ends in it; blocks
+    # that hold no prefix word of any template meet none
+    starts = F.sequence(F.lit(0), F.size("words") - 1, F.lit(widest))
     blocks = F.when(F.arrays_overlap("words", rare), F.filter(
-        F.split("low", "\n"), lambda line: F.arrays_overlap(words_of(line), rare)))
+        F.transform(starts, lambda i: F.slice("words", i + 1, 2 * widest - 1)), lambda block: F.arrays_overlap(block, rare)))
     all_places = F.flatten(F.array(*(F.col(f"p{i}") for i in range(len(phrases)))))
     base = F.array_compact(F.array(*(
         F.when(F.size(f"p{i}") > 0, F.lit(label)) for i, label in enumerate(phrases.values()))))
@@ -133,18 +146,23 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
     # bounds: the prefixes and sizes of the given templates
     prefix = F.broadcast(spark.createDataFrame(prefixes, "word string, template int, at int, size int, need int"))
     texts = F.broadcast(spark.createDataFrame(
-        [(i, label, words) for i, (label, words) in enumerate(sets)], "template int, label string, content array<string>"))
-    block = rows.select("row", F.posexplode("blocks").alias("block", "line"))
+        [(i, label, words, width) for i, (label, words, width) in enumerate(sets)],
+        "template int, label string, content array<string>, width int"))
+    block = rows.select("row", F.posexplode("blocks").alias("block", "run"))
     # in the order of the first array: rarest words first
-    block = block.select("row", "block", F.array_intersect(_strings(order), words_of(F.col("line"))).alias("held"))
+    block = block.withColumn("held", F.array_intersect(_strings(order), "run"))
     heads = block.select("*", F.posexplode("held").alias("j", "word"))
     held = F.size("held")
     pairs = heads.join(prefix, "word").where(
         (held >= F.col("need")) & (F.col("j") <= held - F.col("need"))
         & (F.least(F.col("size") - F.col("at"), held - F.col("j")) >= F.col("need")))
-    pairs = pairs.select("row", "block", "held", "template", "size", "need").dropDuplicates(["row", "block", "template"])
-    met = pairs.join(texts, "template").withColumn("common", F.size(F.array_intersect("held", "content"))).where(
-        F.col("common") >= F.col("need"))
+    pairs = pairs.select("row", "block", "run", "template", "size", "need").dropDuplicates(["row", "block", "template"])
+    # it is enough to look at the windows that start with a word of the template
+    begins = F.filter(F.sequence(F.lit(0), F.least(F.size("run"), F.lit(widest)) - 1),
+                      lambda i: F.array_contains(F.col("content"), F.get("run", i)))
+    common = F.array_max(F.transform(
+        begins, lambda i: F.size(F.array_intersect("content", F.slice("run", i + 1, F.col("width"))))))
+    met = pairs.join(texts, "template").withColumn("common", common).where(F.col("common") >= F.col("need"))
     met = met.groupBy("row").agg(F.collect_set("label").alias("more"), F.max(F.col("common") / F.col("size")).alias("share"))
 
     out = rows.drop("blocks").join(met, "row", "left")

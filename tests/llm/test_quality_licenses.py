@@ -121,3 +121,47 @@ def test_scan_of_nothing_and_no_python(no_docs, odd_docs):
     assert licenses.scan(no_docs).collect() == []
     plan = licenses.scan(odd_docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def window_scan(text):
+    """Labels and score with every window of every template, one by one."""
+    words = WORD.findall((text or "").translate(LOWER))
+    base, share = brute_scan(text)[4], 0.0
+    labels = set(base.split(",")) - {""}
+    for label, template in licenses.TEMPLATES:
+        wanted, width = set(template.split()), licenses.window(template)
+        common = max((len(wanted & set(words[i:i + width])) for i in range(len(words))), default=0)
+        if common >= math.ceil(licenses.THRESHOLD * len(wanted) - 1e-9):
+            labels.add(label)
+            share = max(share, common / len(wanted))
+    return ",".join(sorted(labels)), 1.0 if base else share
+
+
+def wrapped(text, n):
+    words = text.split(" ")
+    return "\n * ".join(" ".join(words[i:i + n]) for i in range(0, len(words), n))
+
+
+@pytest.mark.parametrize("before", [0, 1, 57, 58, 115, 700])
+def test_wrapped_licenses(spark, before):
+    """Line ends take no label away, wherever the license stands."""
+    lead = "\n".join(f"w{i}" for i in range(before))
+    rows = [(i, f"{lead}\n{wrapped(template, n)}\nand more", label)
+            for i, (n, (label, template)) in enumerate((n, t) for n in (3, 8) for t in licenses.TEMPLATES)]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string, label string")).collect()}
+    assert all(label in got[i].labels.split(",") and got[i].score == 1 for i, _, label in rows)
+    assert [(got[i].labels, got[i].score) for i, _, _ in rows] == [window_scan(text) for _, text, _ in rows]
+
+
+def test_windows_equal_brute_force(odd_docs, table, spark):
+    random = np.random.default_rng(0)
+    texts = [r.text for r in odd_docs.collect()] + EXTRA
+    for _ in range(150):  # words of a template, some lost, some strewn in
+        words = licenses.TEMPLATES[random.integers(len(licenses.TEMPLATES))][1].split()
+        words = [w for w in words if random.random() > 0.08]
+        for at in random.integers(0, len(words) + 1, random.integers(0, 2 * len(words) + 8)):
+            words.insert(at, str(random.choice(["the", "x", "license", "of", "y"])))
+        texts.append(" ".join(["z"] * random.integers(0, 130) + words))
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.labels, r.score) for r in got} == {i: window_scan(t) for i, t in enumerate(texts)}
+    assert len({r.score for r in got}) > 4 and min(r.score for r in got) == 0
