@@ -3,7 +3,7 @@ templates, beside an exact phrase scan. Only DataFrame functions are used.
 
 A text meets a template if some window of it, a run of as many words as
 ``window`` gives for the template, holds at least ``THRESHOLD`` of the
-template's distinct words. Line ends are separators like any other, so wrapped
+template's distinct words, among them all that are in ``TELLING``. Line ends are separators like any other, so wrapped
 texts are met too. Texts are cut into overlapping blocks that hold every
 window whole. Words are ordered by how often the corpus has them, rarest
 first. If a window of a block meets a template, the first words of both in
@@ -25,6 +25,8 @@ from roadframe.llm.common import read_table, stored
 THRESHOLD = 0.8
 #: words of a window, as a multiple of the template's words, and at least
 SPREAD, LEAST_WINDOW = 2, 16
+#: words that tell licenses of like wording apart: where a template has some, a window must hold all of them
+TELLING = frozenset("apache attribution gnu mit mozilla nc noncommercial sharealike unencumbered".split())
 #: a word is a run of characters other than these (after lower-casing A-Z)
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -123,7 +125,7 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
         need = math.ceil(threshold * len(words) - 1e-9)
         by_order = sorted(words, key=place.get)
         for at, word in enumerate(by_order[:len(words) - need + 1]):
-            prefixes.append((word, number, at, len(words), need))
+            prefixes.append((word, number, at, len(words), need, [w for w in words if w in TELLING]))
             first_words.add(word)
 
     low = docs.select("doc_id", lowered(F.col("text")).alias("low")).withColumn("words", words_of(F.col("low")))
@@ -131,7 +133,7 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
     rare = _strings(sorted(first_words))
     # a window that starts in the first half of a block ends in it; blocks
     # that hold no prefix word of any template meet none
-    starts = F.sequence(F.lit(0), F.size("words") - 1, F.lit(widest))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(widest))
     blocks = F.when(F.arrays_overlap("words", rare), F.filter(
         F.transform(starts, lambda i: F.slice("words", i + 1, 2 * widest - 1)), lambda block: F.arrays_overlap(block, rare)))
     all_places = F.flatten(F.array(*(F.col(f"p{i}") for i in range(len(phrases)))))
@@ -144,7 +146,7 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
         F.monotonically_increasing_id().alias("row")), "license-rows")
 
     # bounds: the prefixes and sizes of the given templates
-    prefix = F.broadcast(spark.createDataFrame(prefixes, "word string, template int, at int, size int, need int"))
+    prefix = F.broadcast(spark.createDataFrame(prefixes, "word string, template int, at int, size int, need int, telling array<string>"))
     texts = F.broadcast(spark.createDataFrame(
         [(i, label, words, width) for i, (label, words, width) in enumerate(sets)],
         "template int, label string, content array<string>, width int"))
@@ -155,13 +157,15 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
     held = F.size("held")
     pairs = heads.join(prefix, "word").where(
         (held >= F.col("need")) & (F.col("j") <= held - F.col("need"))
-        & (F.least(F.col("size") - F.col("at"), held - F.col("j")) >= F.col("need")))
-    pairs = pairs.select("row", "block", "run", "template", "size", "need").dropDuplicates(["row", "block", "template"])
+        & (F.least(F.col("size") - F.col("at"), held - F.col("j")) >= F.col("need"))
+        & (F.size(F.array_except("telling", "held")) == 0))
+    pairs = pairs.select("row", "block", "run", "template", "size", "need", "telling").dropDuplicates(["row", "block", "template"])
     # it is enough to look at the windows that start with a word of the template
     begins = F.filter(F.sequence(F.lit(0), F.least(F.size("run"), F.lit(widest)) - 1),
                       lambda i: F.array_contains(F.col("content"), F.get("run", i)))
-    common = F.array_max(F.transform(
-        begins, lambda i: F.size(F.array_intersect("content", F.slice("run", i + 1, F.col("width"))))))
+    inside = F.transform(begins, lambda i: F.array_intersect("content", F.slice("run", i + 1, F.col("width"))))
+    inside = F.filter(inside, lambda found: F.size(F.array_except("telling", found)) == 0)
+    common = F.array_max(F.transform(inside, F.size))
     met = pairs.join(texts, "template").withColumn("common", common).where(F.col("common") >= F.col("need"))
     met = met.groupBy("row").agg(F.collect_set("label").alias("more"), F.max(F.col("common") / F.col("size")).alias("share"))
 

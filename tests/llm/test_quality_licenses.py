@@ -130,7 +130,8 @@ def window_scan(text):
     labels = set(base.split(",")) - {""}
     for label, template in licenses.TEMPLATES:
         wanted, width = set(template.split()), licenses.window(template)
-        common = max((len(wanted & set(words[i:i + width])) for i in range(len(words))), default=0)
+        runs = [wanted & set(words[i:i + width]) for i in range(len(words))]
+        common = max((len(run) for run in runs if wanted & licenses.TELLING <= run), default=0)
         if common >= math.ceil(licenses.THRESHOLD * len(wanted) - 1e-9):
             labels.add(label)
             share = max(share, common / len(wanted))
@@ -165,3 +166,18 @@ def test_windows_equal_brute_force(odd_docs, table, spark):
     got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert {r.doc_id: (r.labels, r.score) for r in got} == {i: window_scan(t) for i, t in enumerate(texts)}
     assert len({r.score for r in got}) > 4 and min(r.score for r in got) == 0
+
+
+def test_like_licenses_are_told_apart(spark):
+    strewn = " ".join(["released", *["w"] * 400, "under", *["x"] * 300, "the", *["y"] * 300, "license"])
+    texts = {"Licensed under CC BY 4.0": "cc-by", "Licensed under CC-BY-NC 4.0": "cc-by,cc-by-nc",
+             "This work is licensed under a Creative Commons Attribution 4.0 International License": "cc-by",
+             "Creative Commons Attribution 4.0 International License": "",
+             "Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+             "Creative Commons\nAttribution-ShareAlike 4.0 International License": "cc-by-sa",
+             "released under the BSD license": "", "released under the new license": "", "released under an MIT permit": "",
+             "Released under the terms of the (MIT) License": "mit", strewn: "", strewn + " w" * 40 + " mit": "",
+             "licensed under the Lesser General Public License version 3": ""}
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.labels for r in got} == dict(enumerate(texts.values()))
+    assert all((r.score == 0) == (r.labels == "") for r in got)
