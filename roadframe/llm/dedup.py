@@ -54,8 +54,9 @@ def sketch(docs: DataFrame) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, 2):
                 n = batch.num_rows
-                owner, value, weight = shingles(Words(batch.column(2), lower=True), SHINGLE)
-                registers = signatures(n, owner, value, weight)
+                owner, value, _ = shingles(Words(batch.column(2), lower=True), SHINGLE)
+                # equal weights: registers agree with the Jaccard similarity of the sets, which is verified
+                registers = signatures(n, owner, value, np.ones(len(owner)))
                 keys = np.zeros((n, bands), np.uint64)
                 with np.errstate(over="ignore"):
                     for i in range(BAND_ROWS):

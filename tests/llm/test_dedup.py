@@ -58,6 +58,20 @@ def test_large_group_of_near_copies(spark):
     assert Counter((r.doc_id, r.class_id) for r in found) == Counter(brute_classes(rows))
 
 
+def test_near_copies_with_repeated_passages(spark):
+    """How often a text has a passage does not count, only that it has it."""
+    random = np.random.default_rng(5)
+    rows = []
+    for i in range(40):
+        words = [f"w{x}" for x in random.integers(0, 10 ** 6, 160)]
+        share, times = ((160 // 3, 20), (40, 400))[i % 2]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:share] * times + words[share:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = dedup.near_duplicates(docs).collect()
+    assert Counter((r.doc_id, r.class_id) for r in found) == Counter(brute_classes(rows))
+    assert {r.class_id for r in found} == set(range(0, 80, 2))
+
+
 def test_keep_one(odd_docs, spark):
     kept = dedup.keep_one(odd_docs)
     assert kept.columns == odd_docs.columns
