@@ -8,7 +8,9 @@ into intervals of width ``WIDTH``. For a neighbour at similarity ``c`` the
 projection given the query's is normal with mean ``c`` times the query's and
 variance ``1 - c * c``; so every perturbed bucket has an estimated success
 probability, and a query visits buckets from the likeliest on until they sum
-up to the success wanted of a table.
+up to the success wanted of a table. A query that would need more than
+``MAX_PROBES`` of them, or that comes back with fewer rows than there are, is
+compared with all vectors.
 """
 
 from __future__ import annotations
@@ -68,27 +70,29 @@ class Index:
         cells = np.floor((self.project(vectors, False) + self.shifts[:, None, :]) / WIDTH).astype(np.int64)
         return _bucket(cells)
 
-    def probes(self, vectors: np.ndarray) -> list[list[np.ndarray]]:
-        """By table and query: bucket numbers in descending estimated success."""
+    def probes(self, vectors: np.ndarray, most: int = MAX_PROBES) -> list[list[np.ndarray]]:
+        """By table and query: bucket numbers in descending estimated success;
+        none for a query that ``most`` buckets of some table do not suffice."""
         wanted = 1.0 - (1.0 - SUCCESS) ** (1.0 / TABLES)
         spread = math.sqrt(1.0 - self.similarity ** 2)
         cells = np.arange(-math.ceil(6 / WIDTH) - 1, math.ceil(6 / WIDTH) + 1)
-        found = []
+        found, short = [], np.zeros(len(vectors), bool)
         for table, projected in enumerate(self.project(vectors, True)):
             # chance of every interval of every projection
             edges = np.append(cells, cells[-1] + 1)[:, None] * WIDTH - self.shifts[table]
             z = (edges[None] - self.similarity * projected[:, None, :]) / spread
             chance = np.diff(_normal(z), axis=1)
-            keep = 256
+            keep = min(256, most)
             while True:
                 score, chosen = _likeliest(chance, keep)
-                if keep >= MAX_PROBES or score.shape[1] < keep or (score.sum(axis=1) >= wanted).all():
+                if keep >= most or score.shape[1] < keep or (score.sum(axis=1) >= wanted).all():
                     break
-                keep *= 4
+                keep = min(4 * keep, most)
+            short |= score.sum(axis=1) < wanted
             many = 1 + (np.cumsum(score, axis=1) < wanted).sum(axis=1)
             numbers = _bucket(cells[chosen])
             found.append([row[:m] for row, m in zip(numbers, many.tolist(), strict=True)])
-        return found
+        return [[row[:0] if cut else row for row, cut in zip(rows, short.tolist(), strict=True)] for rows in found]
 
 
 def _normal(z: np.ndarray) -> np.ndarray:
@@ -171,9 +175,10 @@ def build(classes: DataFrame) -> Index | None:
     return Index.draw(figures["d"], figures["n"], figures["top"], similarity, groups)
 
 
-def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST, max_probes: int = MAX_PROBES) -> DataFrame:
     """``query_id, rank, vec_id, score``: for every usable row with
-    ``is_query`` (over ``vec_id``) its nearest found other rows.
+    ``is_query`` (over ``vec_id``) its nearest found other rows; ``nearest``
+    of them, or all others if there are fewer.
 
     ``score`` is the inner product in double precision; ties go to the smaller
     id. Equal vectors are one class that shows its ``nearest + 1`` smallest
@@ -207,7 +212,7 @@ def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST) -> Data
         for whole in batches:
             for batch in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
                 out: list[tuple] = []
-                for table, probes in enumerate(held.value.probes(_matrix(batch.column(1), d))):
+                for table, probes in enumerate(held.value.probes(_matrix(batch.column(1), d), max_probes)):
                     for row, numbers in enumerate(probes):
                         group = numbers % held.value.groups
                         out.extend((table, g, row, numbers[group == g]) for g in np.unique(group).tolist())
@@ -220,7 +225,8 @@ def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST) -> Data
 
     hashed = stored(classes.select("id", "vector").mapInArrow(
         hash_rows, "table int, g long, bucket long, id long, vector array<double>"), "hashed")
-    queries = rows.withColumnRenamed("id", "vec_id").where(is_query).select("vec_id", "vector").mapInArrow(
+    asking = rows.withColumnRenamed("id", "vec_id").where(is_query).select("vec_id", "vector")
+    queries = asking.mapInArrow(
         probe_rows, "table int, g long, query_id long, query array<double>, probes array<long>")
     # a group with too many vectors (a hot bucket) is split; its queries go to every part
     most = max(1, 2 * GROUP_BYTES // (8 * d))
@@ -259,16 +265,37 @@ def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST) -> Data
         flat = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
         return pa.table({"query_id": flat(query_ids, np.int64), "id": flat(ids, np.int64), "score": flat(scores, np.float64)})
 
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(rerank, "query_id long, id long, score double")
-    # tables may find the same class; its score is the same each time
-    found = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
-    by_class = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    found = found.withColumn("r", F.row_number().over(by_class)).where(F.col("r") <= nearest + 1).drop("r")
     names = members.alias("m").join(members.where("n = 1").select("vector", F.col("id").alias("class")), "vector").select(
-        "class", F.col("m.id").alias("vec_id"))
-    found = found.join(names.withColumnRenamed("class", "id"), "id").where(F.col("vec_id") != F.col("query_id"))
-    ranks = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    found = found.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= nearest)
+        F.col("class").alias("id"), F.col("m.id").alias("vec_id"))
+
+    def answers(left: DataFrame, right: DataFrame) -> DataFrame:
+        found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+            rerank, "query_id long, id long, score double")
+        # tables may find the same class; its score is the same each time
+        found = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
+        by_class = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+        found = found.withColumn("r", F.row_number().over(by_class)).where(F.col("r") <= nearest + 1).drop("r")
+        found = found.join(names, "id").where(F.col("vec_id") != F.col("query_id"))
+        ranks = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        found = found.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= nearest)
+        return stored(found.select("query_id", "rank", "vec_id", "score"), "answers")
+
+    found = answers(left, right)
+    counts = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count(F.lit(1)).alias("found"))
+    short = stored(asking.join(counts, "vec_id", "left").where(
+        F.coalesce("found", F.lit(0)) < min(nearest, rows.count() - 1)).select("vec_id", "vector"), "short")
+    n_short = short.count()
+    if n_short:
+        # every block of these queries meets every block of vectors, each as one bucket
+        blocks, sides = index.groups, math.ceil(n_short / most)
+        left = short.select(F.pmod(F.xxhash64("vec_id"), F.lit(sides)).cast("int").alias("table"), "vec_id", "vector").select(
+            "table", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("g"), F.lit(0).alias("part"), F.col("vec_id").alias("query_id"),
+            F.col("vector").alias("query"), F.array(F.lit(0).cast("long")).alias("probes"))
+        right = classes.select(
+            F.explode(F.sequence(F.lit(0), F.lit(sides - 1))).alias("table"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("long").alias("g"),
+            F.lit(0).alias("part"), F.lit(0).cast("long").alias("bucket"), "id", "vector")
+        exact = answers(left.toDF(*left.columns), right.toDF(*right.columns))
+        found = found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(exact)
     return found.select("query_id", "rank", "vec_id", "score")
 
 

@@ -183,3 +183,19 @@ def test_few_vectors(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [-1.0, 0.0])], schema)
     got = neighbours.search(few, F.col("vec_id") % 20 == 0).collect()
     assert sorted((r["rank"], r.vec_id, r.score) for r in got) == [(1, 1, 0.5), (2, 2, -1.0)]
+
+
+@pytest.mark.parametrize("rows, size, max_probes", [(21, 24, neighbours.MAX_PROBES), (400, 24, 2)])
+def test_short_queries_are_searched_exactly(spark, rows, size, max_probes):
+    """A table with hardly more vectors than wanted, and queries whose buckets
+    would pass the bound: all true neighbours come back."""
+    x = np.random.default_rng(1).normal(size=(rows, size))
+    x[:17] = x[0] + x[:17] * 0.05  # near ones and a few far ones
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    args = () if max_probes == neighbours.MAX_PROBES else (neighbours.NEAREST, max_probes)
+    got = {}
+    for r in neighbours.search(frame, F.col("vec_id") % 3 == 0, *args).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    for q in range(0, rows, 3):
+        order = [int(i) for i in np.argsort(-(x @ x[q]), kind="stable") if i != q]
+        assert got[q] == order[:20]
