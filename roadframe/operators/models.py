@@ -9,12 +9,13 @@ rows are laid out by key, so a fit repeats for any cores and input files.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import IndexToString
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadframe.functions.columns import c
+from roadframe.operators.splits import split_bucket
 from roadframe.session import fresh_shared_path
 from roadframe.sources.delimited import preview
 
@@ -61,6 +63,8 @@ def tree_regressor(label: str, features: str = "features", max_depth: int = 5, m
 # cores, the input files and the number of rows do not. A parameter of the
 # run: give more for more data.
 FIT_PARTITIONS = 32
+# Folds of a search whose vectors are held at the same time.
+FOLDS_AT_ONCE = 2
 
 
 def materialize(df: DataFrame, name: str = "model-input", path: str | None = None,
@@ -117,18 +121,24 @@ def prediction_pairs(predictions: DataFrame, label: str, labels: Sequence[str] |
     return top
 
 
-def feature_importance(spark: SparkSession, model: PipelineModel, scored: DataFrame,
-                       features: str = "features") -> DataFrame:
-    """``(feature, importance)`` of the final tree stage, one row per vector
-    slot, named from the feature vector's attribute metadata (one-hot slots
-    read as ``column_value``)."""
-    importances = model.stages[-1].featureImportances.toArray()
+def slot_names(scored: DataFrame, width: int, features: str = "features") -> list[str]:
+    """Names of the feature vector's slots, from its attribute metadata
+    (one-hot slots read as ``column_value``)."""
     meta = scored.schema[features].metadata.get("ml_attr", {})
     names = {}
     for group in meta.get("attrs", {}).values():
         for attr in group:
             names[attr["idx"]] = attr.get("name", f"f{attr['idx']}")
-    rows = [(names.get(i, f"f{i}"), float(v)) for i, v in enumerate(importances)]
+    return [names.get(i, f"f{i}") for i in range(width)]
+
+
+def feature_importance(spark: SparkSession, model: PipelineModel, scored: DataFrame,
+                       features: str = "features") -> DataFrame:
+    """``(feature, importance)`` of the final tree stage, one row per vector
+    slot, named by ``slot_names``."""
+    importances = model.stages[-1].featureImportances.toArray()
+    names = slot_names(scored, len(importances), features)
+    rows = [(name, float(v)) for name, v in zip(names, importances)]
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
@@ -137,41 +147,84 @@ def cross_validate(stages: Sequence, train_df: DataFrame, grid: Mapping[str, Seq
                    parallelism: int = 4, partitions: int = FIT_PARTITIONS) -> tuple[DataFrame, PipelineModel]:
     """Grid search over the last stage's params with k-fold cross-validation:
     ``(params, metric, value)`` per grid point, the average over folds, and
-    the pipeline of the best point fitted on all rows.
+    the pipeline of the best point (the first of equals) fitted on all rows.
 
-    Folds are hash buckets of ``key``. The feature stages are fitted once per
-    fold and their vectors stored, so a grid point costs one learner fit;
-    ``parallelism`` of them run at a time."""
+    ``fold_predictions`` holds the search; the averages are taken over its
+    stored predictions in one aggregation."""
+    if metric not in FOLD_METRICS:
+        raise ValueError(f"metric must be one of {sorted(FOLD_METRICS)}")
     spark, stages = train_df.sparkSession, list(stages)
-    learner = stages[-1]
-    builder = ParamGridBuilder()
-    for pname, values in grid.items():
-        builder = builder.addGrid(learner.getParam(pname), list(values))
-    maps = builder.build()
-    largest = metric not in ("rmse", "mse", "mae")
-    if metric in ("rmse", "r2", "mse", "mae"):
-        evaluator = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
-    else:
-        evaluator = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
-                                                      metricName=metric)
-    totals = [0.0] * len(maps)
-    with ThreadPool(parallelism) as pool:
-        for fold in range(folds):
-            prepared, rows, held = _fold(stages, train_df, key, fold, folds, seed, partitions)
-            values = pool.map(lambda m: evaluator.evaluate(learner.fit(rows, m).transform(held)), maps)
-            totals = [t + v for t, v in zip(totals, values)]
-    means = [t / folds for t in totals]
-    best = means.index(max(means) if largest else min(means))
-    described = [", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)) for m in maps]
-    table = spark.createDataFrame([(d, metric, float(v)) for d, v in zip(described, means)],
+    maps = _grid(stages[-1], grid)
+    predictions = fold_predictions(stages, train_df, grid, key, label, folds, seed, parallelism, partitions)
+    values, largest = FOLD_METRICS[metric]
+    by_fold = predictions.groupBy("point", "fold").agg(values().alias("value"))
+    found = by_fold.groupBy("point").agg(F.avg("value").alias("value")).orderBy("point").collect()  # one per grid point
+    means = {r["point"]: r["value"] for r in found}
+    best = (max if largest else min)(sorted(means), key=means.get)
+    table = spark.createDataFrame([(_described(m), metric, float(means[i])) for i, m in enumerate(maps)],
                                   "params string, metric string, value double")
-    return table, train([*stages[:-1], learner.copy(maps[best])], train_df, key, partitions)
+    return table, train([*stages[:-1], stages[-1].copy(maps[best])], train_df, key, partitions)
 
 
-def _fold(stages, train_df, key, fold, folds, seed, partitions):
-    """Feature stages fitted on all but one fold, and both parts' vectors, stored."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), c(key)), F.lit(folds))
-    prepared = Pipeline(stages=list(stages[:-1])).fit(train_df.where(bucket != fold))
-    parts = materialize(prepared.transform(train_df).withColumn("_held", bucket == fold), f"fold-{fold}")
-    rows = laid_out(parts.where("not _held").drop("_held"), key, train_df.columns, partitions)
-    return prepared, rows, parts.where("_held").drop("_held")
+def _squares():
+    return (F.col("label") - F.col("prediction")) ** 2
+
+
+#: metric of stored predictions, and whether the largest is best
+FOLD_METRICS = {
+    "accuracy": (lambda: F.avg((F.col("label") == F.col("prediction")).cast("double")), True),
+    "rmse": (lambda: F.sqrt(F.avg(_squares())), False),
+    "mse": (lambda: F.avg(_squares()), False),
+    "mae": (lambda: F.avg(F.abs(F.col("label") - F.col("prediction"))), False),
+    "r2": (lambda: 1 - F.try_divide(F.sum(_squares()), F.var_pop("label") * F.count(F.lit(1))), True),
+}
+
+
+def _grid(learner, grid: Mapping[str, Sequence]) -> list[dict]:
+    builder = ParamGridBuilder()
+    for name, values in grid.items():
+        builder = builder.addGrid(learner.getParam(name), list(values))
+    return builder.build()
+
+
+def _described(point: dict) -> str:
+    return ", ".join(f"{p.name}={v}" for p, v in sorted(point.items(), key=lambda kv: kv[0].name))
+
+
+def fold_predictions(stages: Sequence, train_df: DataFrame, grid: Mapping[str, Sequence], key: str,
+                     label: str = "label", folds: int = 5, seed: int = 42, parallelism: int = 4,
+                     partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """``(key, label, prediction, point, fold)``, stored: every row of
+    ``train_df`` scored, for each grid point, by the fit on the other folds.
+
+    Folds are md5 buckets of ``key``. The feature stages are fitted once per
+    fold and their vectors stored; the training vectors, laid out for the
+    learner, are persisted (memory and disk) for the time of the fold's fits,
+    so that no fit shuffles. ``parallelism`` fits run at a time."""
+    spark, stages = train_df.sparkSession, list(stages)
+    learner = stages[-1]
+    maps = _grid(learner, grid)
+    path = fresh_shared_path(spark, "fold-predictions")
+
+    def one(fold: int) -> None:
+        bucket = split_bucket([key], f"fold-{seed}", folds)
+        prepared = Pipeline(stages=stages[:-1]).fit(train_df.where(bucket != fold))
+        kept = list(dict.fromkeys([*train_df.columns, label, learner.getFeaturesCol()]))
+        vectors = prepared.transform(train_df).withColumn("_held", bucket == fold).select(*kept, "_held")
+        parts = materialize(vectors, f"fold-{fold}")
+        rows = laid_out(parts.where("not _held").drop("_held"), key, train_df.columns, partitions)
+        rows = rows.select(label, learner.getFeaturesCol()).persist(StorageLevel.MEMORY_AND_DISK)
+        held = parts.where("_held")
+        try:
+            rows.count()
+            fits = pool.map(lambda m: learner.fit(rows, m), maps)
+        finally:
+            rows.unpersist()
+        scored = [fit.transform(held).select(c(key).alias("key"), c(label).cast("double").alias("label"), "prediction",
+                                             F.lit(i).alias("point")) for i, fit in enumerate(fits)]
+        functools.reduce(DataFrame.unionByName, scored).withColumn("fold", F.lit(fold)).write.parquet(f"{path}/{fold}")
+
+    with ThreadPool(parallelism) as pool, ThreadPool(min(folds, FOLDS_AT_ONCE)) as outer:
+        outer.map(one, range(folds))
+    # a folder for each fold: writers at the same time must not share one
+    return spark.read.parquet(*[f"{path}/{fold}" for fold in range(folds)])

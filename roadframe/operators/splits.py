@@ -17,7 +17,7 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int | None = Non
     return df.randomSplit(list(weights), seed)
 
 
-def split_bucket(keys: Sequence[str], seed: int = 42, buckets: int = 100) -> Column:
+def split_bucket(keys: Sequence[str], seed: int | str = 42, buckets: int = 100) -> Column:
     """Bucket in ``[0, buckets)`` from the md5 of ``seed:key[:key...]``: the
     first 8 hex digits as an unsigned 32-bit number, modulo ``buckets``.
     Key parts are joined as text (a null part is left out), so use several

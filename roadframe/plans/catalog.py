@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from roadframe import schema as S
 from roadframe.functions import columns as X
-from roadframe.operators import dedup, evaluate, features, joins, models, profile, splits
+from roadframe.operators import dedup, evaluate, features, joins, model_store, models, profile, ranking, splits
 from roadframe.operators import transforms as T
 from roadframe.plans import cleaning, recipes
 from roadframe.plans import oracle as O
@@ -92,6 +93,48 @@ def clean_csv_inferred(spark, sf_dir):
     return cleaning.clean_crashes(raw_inferred)
 
 
+# Text lines made from orders, in both engines: good rows (some with a quoted
+# comma and doubled quotes), rows with a field too few or too many, an open
+# quote, and a quoted field that holds a line break.
+_LINE_SQL = """SELECT (o_orderkey * 31 + o_custkey) % 29 AS h, cast(o_orderkey AS string) AS a, cast(o_custkey AS string) AS b,
+  substring(cast(o_orderdate AS string), 1, 10) AS d, o_orderpriority AS p FROM {orders}"""
+_LINE_TEXT = '''CASE WHEN h = 1 THEN concat_ws(',', a, b, d) WHEN h = 2 THEN concat_ws(',', a, b, d, p, 'extra')
+  WHEN h = 3 THEN concat_ws(',', a, '"' || b, d, p) WHEN h = 4 THEN concat_ws(',', a, b, d, '"' || p || ', said ""yes"""')
+  WHEN h = 5 THEN concat_ws(',', a, b, d, '"' || p || chr(10) || 'second line"') WHEN h = 6 THEN concat_ws(',', a, b, d, '')
+  ELSE concat_ws(',', a, b, d, p) END'''
+_LINES = "WITH lines AS (" + _LINE_SQL.replace("{orders}", "orders") + ") "
+_GOOD_LINE = ("SELECT a AS order_id, b AS customer, d AS day, CASE WHEN h = 4 THEN p || ', said \"yes\"' "
+              "WHEN h = 5 THEN p || chr(10) || 'second line' WHEN h = 6 THEN NULL ELSE p END AS note FROM lines WHERE h NOT IN ")
+_LINE_SCHEMA = ST.StructType([ST.StructField(name, ST.StringType()) for name in ("order_id", "customer", "day", "note")])
+
+
+def _checked_csv(spark, sf_dir, multi_line=False):
+    """The lines written as text and read back: all but those with a line
+    break, or, with ``multi_line``, all but those with an open quote."""
+    lines = spark.sql(_LINE_SQL, orders=load_table(spark, sf_dir, "orders")).where("h <> 3" if multi_line else "h <> 5")
+    path = fresh_shared_path(spark, "lines")
+    lines.select(F.expr(_LINE_TEXT).alias("value")).write.text(path)
+    return delimited.read_delimited_checked(spark, path, _LINE_SCHEMA, header=False, multi_line=multi_line)
+
+
+@register("csv_rows_kept", _LINES + _GOOD_LINE + "(1, 2, 3, 5)")
+def csv_rows_kept(spark, sf_dir):
+    """The rows of a delimited text that have every field."""
+    return _checked_csv(spark, sf_dir)[0]
+
+
+@register("csv_rows_rejected", _LINES + f"SELECT {_LINE_TEXT} AS record FROM lines WHERE h IN (1, 2, 3)")
+def csv_rows_rejected(spark, sf_dir):
+    """The text of rows with too few or too many fields or an open quote."""
+    return _checked_csv(spark, sf_dir)[1].select("record")
+
+
+@register("csv_rows_multi_line", _LINES + _GOOD_LINE + "(1, 2, 3)")
+def csv_rows_multi_line(spark, sf_dir):
+    """Line breaks inside quoted fields, with the opt-in multi-line read."""
+    return _checked_csv(spark, sf_dir, multi_line=True)[0]
+
+
 @register("register_view", O.with_raw("SELECT count(*) AS n_rows FROM raw"))
 def register_view(spark, sf_dir):
     """S3: register the raw frame as a session view and count through it."""
@@ -382,6 +425,32 @@ def clean_pipeline(spark, sf_dir):
     return clean(spark, sf_dir)
 
 
+_REMOVED_SQL = ("CASE WHEN d_cars >= 4 THEN 'vehicles' "
+                f"WHEN {O.q(S.BOROUGH)} IS NULL THEN 'borough' WHEN {O.q(S.ZIP_CODE)} IS NULL THEN 'zip_code' "
+                "WHEN d_date IS NULL THEN 'null_date' "
+                + " ".join(f"WHEN n_{i} IS NULL THEN 'null_{S.RENAME_MAP[col]}'" for i, col in enumerate(S.COUNT_COLUMNS))
+                + f" WHEN {O.int_sql(O.q(S.ZIP_CODE))} IS NULL THEN 'null_zip_code' WHEN d_key IS NULL THEN 'null_crash_id' "
+                "ELSE 'kept' END")
+
+
+@register("removal_counts", O.with_derived(
+    ", reasons AS (SELECT unnest([" + ", ".join(O.lit(r) for r in ["kept", *cleaning.REMOVAL_REASONS]) + "]) AS reason), "
+    f"why AS (SELECT {_REMOVED_SQL} AS reason FROM derived) SELECT reasons.reason, count(why.reason) AS rows "
+    "FROM reasons LEFT JOIN why ON why.reason = reasons.reason GROUP BY 1"))
+def removal_counts(spark, sf_dir):
+    """The rows kept and those removed by reason, counted while the
+    clean table is written; no second pass over the raw rows."""
+    kept, counts = cleaning.clean_crashes_counted(raw(spark, sf_dir))
+    kept.write.parquet(fresh_shared_path(spark, "counted-clean"))
+    return cleaning.removal_rows(spark, counts)
+
+
+@register("clean_pipeline_counted", O.with_clean("SELECT * FROM clean"))
+def clean_pipeline_counted(spark, sf_dir):
+    """Entry 1 with the removals counted in the same pass."""
+    return cleaning.clean_crashes_counted(raw(spark, sf_dir))[0]
+
+
 @register("clean_pipeline_epoch", O.with_clean("SELECT * FROM clean"))
 def clean_pipeline_epoch(spark, sf_dir):
     """Entry 1 with the date parsed through epoch seconds and ISO text."""
@@ -471,6 +540,21 @@ def index_categories_keep(spark, sf_dir):
     return model.transform(test_df).select("crash_id", *[col + "_idx" for col in _KEEP_COLS])
 
 
+@register("index_ranked_keep", ORACLES["index_categories_keep"])
+def index_ranked_keep(spark, sf_dir):
+    """M1/M3 without a label list: the ranks are joined back."""
+    train_df, test_df = _train_test(spark, sf_dir)
+    out = ranking.index_by_ranking(test_df, _KEEP_COLS, fit_on=train_df, invalid="keep")
+    return out.select("crash_id", *[col + "_idx" for col in _KEEP_COLS])
+
+
+@register("label_ranking_orders", "SELECT CAST(l_orderkey AS VARCHAR) AS value, CAST(row_number() OVER (ORDER BY count(*) DESC, "
+          "CAST(l_orderkey AS VARCHAR)) - 1 AS DOUBLE) AS index FROM lineitem GROUP BY l_orderkey")
+def label_ranking_orders(spark, sf_dir):
+    """M1/M3: every order key of the line items as a category."""
+    return ranking.label_ranking(load_table(spark, sf_dir, "lineitem"), "l_orderkey")
+
+
 _ERROR_COLS = ["borough", "day_of_week"]
 
 
@@ -691,9 +775,15 @@ def recipe_labels_3(spark, sf_dir):
 
 # --- models ----------------------------------------------------------------
 
+def fitted(spark, sf_dir, name):
+    """A recipe's run: fitted for the first query that asks, then loaded."""
+    source = raw(spark, sf_dir)
+    return recipes.stored_run(cleaning.clean_crashes(source), name, source)
+
+
 def _model_query(name):
     def run(spark, sf_dir):
-        return recipes.run_recipe(clean(spark, sf_dir), name).metrics()
+        return fitted(spark, sf_dir, name).metrics()
     run.__doc__ = f"M7-M11/M12, recipe {name}: fit on the training part, metrics on the test part."
     return run
 
@@ -708,8 +798,7 @@ for _name in recipes.RECIPES:
 
 def _check_query(recipe):
     def run(spark, sf_dir):
-        fitted = recipes.run_recipe(clean(spark, sf_dir), recipe)
-        scored = fitted.scored
+        scored = fitted(spark, sf_dir, recipe.name).scored
         if recipe.task == "classify":
             right = (F.col("prediction") == F.col("label")).cast("double")
             constant = (F.col("label") == 0).cast("double")  # index 0: the most frequent in training
@@ -724,7 +813,7 @@ def _check_query(recipe):
 
 
 #: recipes whose label follows their inputs in the crash fixture
-_LEARNABLE = ("1a", "1b", "2a", "2b", "3", "4")
+_LEARNABLE = ("1a", "1b", "2a", "2b", "3", "4", "5")
 
 for _recipe in (recipes.RECIPES[_n] for _n in _LEARNABLE):
     register(f"model_check_{_recipe.name}", "WITH " + O.CLEAN_CTE + _input_sql(_recipe) + (
@@ -742,7 +831,7 @@ def _pairs(spark, sf_dir, name):
     picked from the test part first (a top-k) and only they are scored: the
     order does not depend on the prediction."""
     recipe = recipes.RECIPES[name]
-    run = recipes.run_recipe(clean(spark, sf_dir), recipe)
+    run = fitted(spark, sf_dir, name)
     first = delimited.preview(run.test, 10, order_by=["crash_id", recipe.label])
     return models.prediction_pairs(run.model.transform(first), recipe.label, run.label_list(), n=10,
                                    order_by=["crash_id", recipe.label], keep=["crash_id"])
@@ -769,7 +858,7 @@ def prediction_pair_keys(spark, sf_dir):
 @register("feature_importance")
 def feature_importance(spark, sf_dir):
     """Importances of the recipe-5 tree, named from vector metadata."""
-    run = recipes.run_recipe(clean(spark, sf_dir), "5")
+    run = fitted(spark, sf_dir, "5")
     return models.feature_importance(spark, run.model, run.scored)
 
 
@@ -816,6 +905,192 @@ def tree_stump(spark, sf_dir):
                       F.round(right, 9).alias("right_mean"), F.round(F.sqrt(error), 9).alias("rmse"))
 
 
+# --- learners by value -----------------------------------------------------------
+# Forests without bagging or feature draws have one answer, so SQL can grow
+# their trees anew (oracle.tree_ctes) and every value of theirs is compared.
+
+_FLAT = ["zip_code", "month", "total_cars"]
+_FLAT_DEPTH = 2
+_FLAT_PARAMS = {"bootstrap": False, "featureSubsetStrategy": "all", "maxBins": 512}
+_CLASS_SQL = O.with_clean(", r AS (" + O.frequency_rank_sql("time_segment", "clean", "time_segment") + "), "
+                          "src AS MATERIALIZED (SELECT row_number() OVER () AS id, clean.*, time_segment_idx AS y FROM clean "
+                          "JOIN r ON time_segment = time_segment_value), ")
+_NUMBER_SQL = O.with_clean(", src AS MATERIALIZED (SELECT row_number() OVER () AS id, *, CAST(total_injured AS DOUBLE) AS y FROM clean), ")
+_CLASS_TREE = _CLASS_SQL + O.tree_ctes("tree", "src", _FLAT, True, _FLAT_DEPTH)
+_NUMBER_TREE = _NUMBER_SQL + O.tree_ctes("tree", "src", _FLAT, False, _FLAT_DEPTH)
+
+
+def _flat_stages(classify, trees=1):
+    learner = (models.forest_classifier("label", num_trees=trees, max_depth=_FLAT_DEPTH, **_FLAT_PARAMS) if classify else
+               models.forest_regressor("total_injured", num_trees=trees, max_depth=_FLAT_DEPTH,
+                                       **{k: v for k, v in _FLAT_PARAMS.items() if k != "maxBins"}, max_bins=_FLAT_PARAMS["maxBins"]))
+    label = [features.index_categories(["time_segment"], ["label"], invalid="error")] if classify else []
+    return [features.assemble(_FLAT), *label, learner]
+
+
+def _flat_fit(spark, sf_dir, classify, trees=1):
+    """Model, where it is stored, and the clean rows with its answers; one fit
+    per input, as for the recipes."""
+    source = raw(spark, sf_dir)
+    rows = cleaning.clean_crashes(source)
+    stage_list = _flat_stages(classify, trees)
+    key = model_store.fingerprint("flat", classify, trees, _FLAT, _FLAT_DEPTH, _FLAT_PARAMS, model_store.source_fingerprint(source))
+    folder = model_store.find(spark, key)
+    if folder is None:
+        attempt = model_store.new_folder(spark, key)
+        models.train(stage_list, rows, "crash_id").write().save(f"{attempt}/model")
+        folder = model_store.finish(spark, key, attempt)
+    model = PipelineModel.load(f"{folder}/model")
+    return model, f"{folder}/model", models.score(model, rows)
+
+
+def _node_paths(nodes, depth):
+    """Every node of a small tree with its path of L and R from the root."""
+    level = nodes.where("node = 0").withColumn("path", F.lit(""))
+    every = level
+    for _ in range(depth):
+        below = level.where("left IS NOT NULL").select("path", "left", "right")
+        steps = below.select(F.explode(F.array(F.struct(F.col("left").alias("node"), F.concat("path", F.lit("L")).alias("path")),
+                                               F.struct(F.col("right").alias("node"), F.concat("path", F.lit("R")).alias("path")))
+                                       ).alias("s")).select("s.*")
+        level = nodes.join(steps, "node")
+        every = every.unionByName(level)
+    return every
+
+
+def _flat_nodes(spark, sf_dir, classify, trees=1):
+    model, path, scored = _flat_fit(spark, sf_dir, classify, trees)
+    nodes = _node_paths(model_store.node_table(spark, path, model).where("tree = 0"), _FLAT_DEPTH)
+    name = F.element_at(F.array(*[F.lit(x) for x in _FLAT]), F.col("feature") + 1)
+    return model, path, scored, nodes.select("path", F.when(F.col("feature").isNotNull(), name).alias("feature"), "threshold",
+                                             F.round(F.col("gain") * F.col("weight"), 6).alias("gain"), "rows", "prediction")
+
+
+_NODE_SQL = "SELECT path, feature, threshold, round(gain, 6) AS gain, rows, {value} FROM tree_nodes"
+
+
+@register("gini_tree", _CLASS_TREE + " " + _NODE_SQL.replace("{value}", "time_segment_value AS answer")
+          + " JOIN r ON r.time_segment_idx = value")
+def gini_tree(spark, sf_dir):
+    """M7: every node of a classification tree: split, gain, rows and answer."""
+    model, _, _, nodes = _flat_nodes(spark, sf_dir, classify=True)
+    labels = F.array(*[F.lit(x) for x in model.stages[1].labelsArray[0]])
+    return nodes.withColumn("answer", F.element_at(labels, F.col("prediction").cast("int") + 1)).drop("prediction")
+
+
+@register("gini_tree_accuracy", _CLASS_TREE + " SELECT 'accuracy' AS metric, round(avg(CASE WHEN n.value = s.y THEN 1.0 ELSE 0.0 END), 9) "
+          "AS value FROM src s JOIN tree_rows t ON t.id = s.id JOIN tree_nodes n ON n.path = t.path")
+def gini_tree_accuracy(spark, sf_dir):
+    """Accuracy of that tree on its rows."""
+    return evaluate.classification_metrics(_flat_fit(spark, sf_dir, classify=True)[2], digits=9)
+
+
+@register("gini_tree_importance", _CLASS_TREE + ", f AS (SELECT unnest([" + ", ".join(f"'{x}'" for x in _FLAT) + "]) AS feature) "
+          "SELECT f.feature, round(coalesce(sum(n.gain), 0) / (SELECT sum(gain) FROM tree_nodes), 9) AS importance "
+          "FROM f LEFT JOIN tree_nodes n ON n.feature = f.feature GROUP BY 1")
+def gini_tree_importance(spark, sf_dir):
+    """Importances summed from the node table by SQL."""
+    model, path, _ = _flat_fit(spark, sf_dir, classify=True)
+    found = model_store.importance_from_nodes(model_store.node_table(spark, path, model), _FLAT)
+    return found.withColumn("importance", F.round("importance", 9))
+
+
+@register("gini_tree_pairs", _CLASS_TREE + " SELECT s.crash_id, s.time_segment, r.time_segment_value AS predicted FROM src s "
+          "JOIN tree_rows t ON t.id = s.id JOIN tree_nodes n ON n.path = t.path JOIN r ON r.time_segment_idx = n.value "
+          f"ORDER BY s.crash_id, s.time_segment, predicted, {', '.join('s.' + x for x in _FLAT)} LIMIT 10")
+def gini_tree_pairs(spark, sf_dir):
+    """Actual and predicted segment of the first ten crashes, the tree
+    followed through its node table."""
+    model, path, scored = _flat_fit(spark, sf_dir, classify=True)
+    nodes = model_store.node_table(spark, path, model)
+    rows = model_store.score_with_nodes(scored, nodes, _FLAT_DEPTH, classify=True, out="node_answer")
+    labels = F.array(*[F.lit(x) for x in model.stages[1].labelsArray[0]])
+    rows = rows.withColumn("predicted", F.element_at(labels, F.col("node_answer").cast("int") + 1))
+    ordered = rows.select("crash_id", "time_segment", "predicted", *_FLAT)
+    return delimited.preview(ordered, 10, ["crash_id", "time_segment", "predicted", *_FLAT]).select(
+        "crash_id", "time_segment", "predicted")
+
+
+@register("mean_forest", _NUMBER_TREE + " " + _NODE_SQL.replace("{value}", "round(value, 9) AS answer"))
+def mean_forest(spark, sf_dir):
+    """M8: every node of the first tree of a regression forest without bagging."""
+    nodes = _flat_nodes(spark, sf_dir, classify=False, trees=3)[3]
+    return nodes.withColumn("answer", F.round("prediction", 9)).drop("prediction")
+
+
+@register("mean_forest_error", _NUMBER_TREE + ", e AS (SELECT s.y, n.value AS p FROM src s JOIN tree_rows t ON t.id = s.id "
+          "JOIN tree_nodes n ON n.path = t.path) SELECT count(*) AS n_rows, round(sqrt(avg((y - p) * (y - p))), 9) AS rmse, "
+          "round(sqrt(avg((y - p) * (y - p))), 9) AS rmse_from_nodes FROM e")
+def mean_forest_error(spark, sf_dir):
+    """The forest's error, and that of its trees' leaves averaged by SQL."""
+    model, path, scored = _flat_fit(spark, sf_dir, classify=False, trees=3)
+    rows = model_store.score_with_nodes(scored, model_store.node_table(spark, path, model), _FLAT_DEPTH, classify=False)
+    error = lambda p: F.round(F.sqrt(F.avg((F.col("total_injured") - F.col(p)) ** 2)), 9)
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), error("prediction").alias("rmse"),
+                    error("node_prediction").alias("rmse_from_nodes"))
+
+
+def _nodes_agree_query(recipe):
+    def run(spark, sf_dir):
+        run_ = fitted(spark, sf_dir, recipe.name)
+        nodes = run_.nodes()
+        classify = recipe.task == "classify"
+        depth = run_.model.stages[-1].getMaxDepth()
+        rows = model_store.score_with_nodes(run_.scored, nodes, depth, classify)
+        names = models.slot_names(run_.scored, run_.model.stages[-1].numFeatures)
+        shares = model_store.importance_from_nodes(nodes, names).withColumnRenamed("importance", "share")
+        frame = models.feature_importance(spark, run_.model, run_.scored)
+        off = frame.join(shares, "feature", "full").agg(F.count_if(
+            F.coalesce(F.abs(F.col("importance") - F.col("share")) > 1e-9, F.lit(True))).alias("importances_off"))
+        close = F.abs(F.col("prediction") - F.col("node_prediction")) <= 1e-9
+        return rows.agg(F.lit(recipe.name).alias("model"), F.count(F.lit(1)).alias("n_scored"),
+                        F.count_if(~close).alias("predictions_off")).crossJoin(F.broadcast(off))  # one row each
+    run.__doc__ = f"M7-M9/M13/M15, recipe {recipe.name}: its predictions and importances against its node table, by SQL."
+    return run
+
+
+for _recipe in (recipes.RECIPES[_n] for _n in ("1a", "2b", "4", "5")):
+    register(f"nodes_agree_{_recipe.name}", "WITH " + O.CLEAN_CTE + _input_sql(_recipe) + (
+        f" SELECT '{_recipe.name}' AS model, count(*) AS n_scored, 0 AS predictions_off, 0 AS importances_off FROM te"))(
+        _nodes_agree_query(_recipe))
+
+
+# A search whose fits have one answer: folds by md5, two depths, SQL grows the
+# tree of every fold and depth.
+_SEARCH_FOLDS, _SEARCH_DEPTHS = 2, (1, 2)
+
+
+def _search_sql():
+    fold = O.split_bucket_sql("crash_id", "fold-42", _SEARCH_FOLDS)
+    parts, scored = [f"src2 AS MATERIALIZED (SELECT *, {fold} AS fold FROM src)"], []
+    for f in range(_SEARCH_FOLDS):
+        # class order is that of the training folds
+        parts.append(f"rk{f} AS MATERIALIZED (" + O.frequency_rank_sql("time_segment", f"(SELECT * FROM src2 WHERE fold <> {f})", "seg") + ")")
+        parts.append(f"fs{f} AS MATERIALIZED (SELECT src2.* EXCLUDE (y), seg_idx AS y FROM src2 JOIN rk{f} ON time_segment = seg_value "
+                     f"WHERE fold <> {f})")
+        for d in _SEARCH_DEPTHS:
+            n = f"f{f}d{d}"
+            parts.append(O.tree_ctes(n, f"fs{f}", _FLAT, True, d))
+            at = "''"
+            for _ in range(d):  # follow the held rows down the kept splits
+                at = (f"(SELECT coalesce(max({{p}} || CASE WHEN CASE k.f WHEN 0 THEN s.{_FLAT[0]} WHEN 1 THEN s.{_FLAT[1]} ELSE s.{_FLAT[2]} END "
+                      f"<= k.t THEN 'L' ELSE 'R' END), {{p}}) FROM {n}_kept k WHERE k.path = {{p}})").replace("{p}", at)
+            scored.append(f"SELECT {d} AS depth, {f} AS fold, avg(CASE WHEN n.value = rk.seg_idx THEN 1.0 ELSE 0.0 END) AS value FROM "
+                          f"(SELECT s.*, {at} AS leaf FROM src2 s WHERE fold = {f}) h JOIN {n}_nodes n ON n.path = h.leaf "
+                          f"JOIN rk{f} rk ON rk.seg_value = h.time_segment")
+    return (_CLASS_SQL + ", ".join(parts) + ", scores AS (" + " UNION ALL ".join(scored) + ") "
+            "SELECT 'maxDepth=' || depth AS params, 'accuracy' AS metric, round(avg(value), 9) AS value FROM scores GROUP BY depth")
+
+
+@register("search_by_value", _search_sql())
+def search_by_value(spark, sf_dir):
+    """A grid of two depths over two folds, the averages by value."""
+    rows = clean(spark, sf_dir).select("crash_id", "time_segment", *_FLAT)
+    table, _ = models.cross_validate(_flat_stages(True), rows, {"maxDepth": list(_SEARCH_DEPTHS)}, "crash_id",
+                                     folds=_SEARCH_FOLDS, seed=42)
+    return table.withColumn("value", F.round("value", 9))
+
+
 _GRID = {"numTrees": [3, 5], "maxDepth": [2, 3]}
 
 

@@ -10,9 +10,11 @@ same result in a cheaper order (see its docstring).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from roadframe import schema as S
+from roadframe.functions.columns import c
 from roadframe.operators import transforms as T
 
 
@@ -85,6 +87,11 @@ def clean_crashes(raw: DataFrame, via_epoch: bool = False) -> DataFrame:
         .transform(T.cast_to_int, [S.COLLISION_ID], "bigint")
         .transform(T.drop_incomplete, REQUIRED_TYPED)
     )
+    return _derive_kept(typed)
+
+
+def _derive_kept(typed: DataFrame) -> DataFrame:
+    """The clean frame from typed rows that all survive."""
     derived = (
         typed.transform(T.add_date_parts)
         .transform(T.add_hour)
@@ -101,6 +108,50 @@ def clean_crashes(raw: DataFrame, via_epoch: bool = False) -> DataFrame:
     return out.select(*S.CLEAN_COLUMNS)
 
 
+# Why a row is removed: the first test it fails, in the order of the steps.
+REMOVAL_REASONS = ["vehicles", "borough", "zip_code", *(f"null_{name}" for name in (
+    "date", *(S.RENAME_MAP[x] for x in S.COUNT_COLUMNS), "zip_code", "crash_id"))]
+
+
+def _removal_reason() -> Column:
+    """First failed test of a typed row; null for a row that stays."""
+    tests = [(c("total_cars") >= S.MAX_VEHICLES_EXCLUSIVE), c(S.BOROUGH).isNull(), c("_zip_text").isNull(),
+             *(c(field).isNull() for field in REQUIRED_TYPED)]
+    first = F.when(tests[0], REMOVAL_REASONS[0])
+    for test, reason in zip(tests[1:], REMOVAL_REASONS[1:]):
+        first = first.when(test, reason)
+    return first
+
+
+def clean_crashes_counted(raw: DataFrame, via_epoch: bool = False) -> tuple[DataFrame, Observation]:
+    """``clean_crashes`` and an observation that counts, within the same pass,
+    the rows kept and those removed for each of ``REMOVAL_REASONS``.
+
+    The counts are ready (``removal_rows``) once an action has read the whole
+    clean frame, such as writing it. Counting needs every row, so the null
+    tests are not pushed into the scan as they are without it."""
+    counts = Observation()
+    typed = (
+        raw.transform(T.add_vehicle_count)
+        .withColumn("_zip_text", c(S.ZIP_CODE))
+        .transform(T.add_crash_date, via_epoch=via_epoch)
+        .transform(T.cast_to_int, [*S.COUNT_COLUMNS, S.ZIP_CODE])
+        .transform(T.cast_to_int, [S.COLLISION_ID], "bigint")
+        .withColumn("_reason", _removal_reason())
+    )
+    counted = typed.observe(counts, F.count_if(F.col("_reason").isNull()).alias("kept"),
+                            *(F.count_if(F.col("_reason") == reason).alias(reason) for reason in REMOVAL_REASONS))
+    kept = counted.where(F.col("_reason").isNull()).drop("_reason", "_zip_text")
+    return _derive_kept(kept), counts
+
+
+def removal_rows(spark, counts: Observation) -> DataFrame:
+    """``(reason, rows)`` of a finished ``clean_crashes_counted``; the kept rows as ``kept``."""
+    found = counts.get
+    return spark.createDataFrame([(reason, found[reason]) for reason in ["kept", *REMOVAL_REASONS]],
+                                 "reason string, rows bigint")
+
+
 def clean_crashes_stepwise(raw: DataFrame, via_epoch: bool = False) -> DataFrame:
     """The same result in the literal step order (kept for comparison)."""
     return raw.transform(derive_features, via_epoch=via_epoch).transform(select_rows).transform(finish)

@@ -145,7 +145,7 @@ def with_clean(select: str) -> str:
     return f"WITH {CLEAN_CTE}\n{select}"
 
 
-def split_bucket_sql(key_expr: str, seed: int = 42, buckets: int = 100) -> str:
+def split_bucket_sql(key_expr: str, seed: int | str = 42, buckets: int = 100) -> str:
     """md5 bucket of ``seed:key``: first 8 hex digits as a number, mod ``buckets``."""
     return (f"CAST(CAST(('0x' || substr(md5('{seed}:' || CAST({key_expr} AS VARCHAR)), 1, 8)) AS BIGINT)"
             f" % {buckets} AS INTEGER)")
@@ -159,3 +159,64 @@ def frequency_rank_sql(value_expr: str, source: str, name: str) -> str:
         f"FROM (SELECT CAST({value_expr} AS VARCHAR) AS v, count(*) AS cnt FROM {source} "
         f"WHERE {value_expr} IS NOT NULL GROUP BY 1)"
     )
+
+
+def tree_ctes(name: str, source: str, features: list[str], classify: bool, depth: int) -> str:
+    """CTEs that grow a tree level by level from histograms: every split lies
+    midway between two neighbouring values of the whole source, the one of the
+    largest weighted gain is taken (first feature, then lowest threshold), and
+    a split whose two leaves answer alike is taken back.
+
+    ``source`` has ``id``, the features and ``y``: the class index (from 0) or
+    the number to predict. The last two CTEs are ``<name>_nodes`` (path of L
+    and R from the root, feature, threshold, gain times rows, rows, value; the
+    feature is null for a leaf) and ``<name>_rows`` (id, path of its leaf)."""
+    n = name
+    group = ", y" if classify else ""
+    weight, total = ("count(*)", "count(*)") if classify else ("count(*)", "sum(y)")
+    unpivot = " UNION ALL ".join(f"SELECT id, {i} AS f, CAST({x} AS DOUBLE) AS v, y FROM {source}" for i, x in enumerate(features))
+    out = [
+        f"{n}_v AS MATERIALIZED ({unpivot})",
+        f"{n}_t AS MATERIALIZED (SELECT f, (v + nv) / 2 AS t FROM (SELECT f, v, lead(v) OVER (PARTITION BY f ORDER BY v) AS nv "
+        f"FROM (SELECT DISTINCT f, v FROM {n}_v)) WHERE nv IS NOT NULL)",
+        f"{n}_a0 AS MATERIALIZED (SELECT id, '' AS path, y FROM {source})",
+    ]
+    for d in range(depth):
+        out += [
+            f"{n}_h{d} AS MATERIALIZED (SELECT a.path, v.f, v.v{', a.y' if classify else ''}, CAST({weight} AS DOUBLE) AS c, "
+            f"CAST({total.replace('y', 'a.y')} AS DOUBLE) AS s "
+            f"FROM {n}_a{d} a JOIN {n}_v v ON v.id = a.id WHERE length(a.path) = {d} GROUP BY ALL)",
+            f"{n}_k{d} AS (SELECT h.path, h.f, t.t{group}, coalesce(sum(c) FILTER (v <= t), 0) AS lc, sum(c) AS nc, "
+            f"coalesce(sum(s) FILTER (v <= t), 0) AS ls, sum(s) AS ns FROM {n}_h{d} h JOIN {n}_t t ON t.f = h.f GROUP BY ALL)",
+            f"{n}_g{d} AS (SELECT path, f, t, sum(ls * ls) / sum(lc) + sum((ns - ls) * (ns - ls)) / (sum(nc) - sum(lc)) "
+            f"- sum(ns * ns) / sum(nc) AS gain FROM {n}_k{d} GROUP BY ALL HAVING sum(lc) > 0 AND sum(nc) > sum(lc))",
+            f"{n}_b{d} AS MATERIALIZED (SELECT * FROM {n}_g{d} WHERE gain > 1e-9 "
+            f"QUALIFY row_number() OVER (PARTITION BY path ORDER BY gain DESC, f, t) = 1)",
+            f"{n}_a{d + 1} AS MATERIALIZED (SELECT a.id, CASE WHEN b.path IS NULL THEN a.path WHEN v.v <= b.t THEN a.path || 'L' "
+            f"ELSE a.path || 'R' END AS path, a.y FROM {n}_a{d} a LEFT JOIN {n}_b{d} b ON b.path = a.path "
+            f"LEFT JOIN {n}_v v ON v.id = a.id AND v.f = b.f)",
+        ]
+    answer = ("CAST(arg_min(y, struct_pack(a := -c, b := y)) AS DOUBLE)" if classify else "sum(s) / sum(c)")
+    inner = (f"SELECT p, y, CAST(count(*) AS DOUBLE) AS c, 0.0 AS s FROM {n}_p GROUP BY ALL" if classify
+             else f"SELECT p, CAST(count(*) AS DOUBLE) AS c, CAST(sum(y) AS DOUBLE) AS s FROM {n}_p GROUP BY ALL")
+    out += [
+        f"{n}_p AS (SELECT id, y, substr(path, 1, d) AS p FROM {n}_a{depth}, range({depth + 1}) r(d) WHERE d <= length(path))",
+        f"{n}_w AS MATERIALIZED (SELECT p AS path, {answer} AS value, CAST(sum(c) AS BIGINT) AS rows FROM ({inner}) GROUP BY p)",
+        f"{n}_s{depth} AS (SELECT NULL AS path, NULL AS f, NULL AS t, NULL AS gain WHERE false)",
+    ]
+    for d in reversed(range(depth)):  # splits that stay, from the deepest level up
+        out.append(
+            f"{n}_s{d} AS MATERIALIZED (SELECT b.path, b.f, b.t, b.gain FROM {n}_b{d} b JOIN {n}_w l ON l.path = b.path || 'L' "
+            f"JOIN {n}_w r ON r.path = b.path || 'R' WHERE l.value <> r.value "
+            f"OR EXISTS (SELECT 1 FROM {n}_s{d + 1} x WHERE x.path IN (b.path || 'L', b.path || 'R')))")
+    kept = " UNION ALL ".join(f"SELECT * FROM {n}_s{d}" for d in range(depth))
+    names = "CASE f " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(features)) + " END"
+    out += [
+        f"{n}_kept AS MATERIALIZED ({kept})",
+        f"{n}_nodes AS MATERIALIZED (SELECT w.path, {names} AS feature, k.t AS threshold, k.gain, w.rows, w.value FROM {n}_w w "
+        f"LEFT JOIN {n}_kept k ON k.path = w.path WHERE w.path = '' "
+        f"OR substr(w.path, 1, length(w.path) - 1) IN (SELECT path FROM {n}_kept))",
+        f"{n}_rows AS (SELECT a.id, max_by(m.path, length(m.path)) AS path FROM {n}_a{depth} a "
+        f"JOIN {n}_nodes m ON starts_with(a.path, m.path) GROUP BY a.id)",
+    ]
+    return ", ".join(out)

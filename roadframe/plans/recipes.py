@@ -10,13 +10,15 @@ scoring -> metrics frame.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
+import pyspark
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadframe.operators import dedup, evaluate, features, models, splits
+from roadframe.operators import dedup, evaluate, features, model_store, models, splits
 from roadframe.operators import transforms as T
 from roadframe.plans.cleaning import add_main_reason
 
@@ -183,6 +185,13 @@ class RecipeRun:
     test: DataFrame
     scored: DataFrame
     label_col: str
+    model_path: str | None = None  # where the fit is stored, if it is
+
+    def nodes(self) -> DataFrame:
+        """The trees of a stored fit as a table (``model_store.node_table``)."""
+        if self.model_path is None:
+            raise ValueError("only a stored fit has a node table; use stored_run")
+        return model_store.node_table(self.scored.sparkSession, self.model_path, self.model)
 
     def metrics(self, digits: int | None = None) -> DataFrame:
         return recipe_metrics(self.recipe, self.scored, self.label_col, digits)
@@ -243,3 +252,33 @@ def run_recipe(clean: DataFrame, recipe: Recipe | str, split_method: str = "stab
     fitted = models.train(stage_list, train_df, KEY, partitions)
     scored = models.score(fitted, test_df)
     return RecipeRun(recipe, fitted, train_df, test_df, scored, label_col)
+
+
+def stored_run(clean: DataFrame, recipe: Recipe | str, source: DataFrame | None = None,
+               partitions: int = models.FIT_PARTITIONS) -> RecipeRun:
+    """``run_recipe`` with the stable split, fitted once per input and recipe.
+
+    The model and its input are stored under a fingerprint of the recipe, the
+    partitions, Spark's version and the input, and loaded when asked for
+    again. ``source`` is the frame, read straight from files, that ``clean``
+    comes from: its files identify the input without a pass over the data.
+    Without it the rows of the model input are hashed. Change the recipe (or
+    its name) when the cleaning changes: its code is no part of the key."""
+    recipe = RECIPES[recipe] if isinstance(recipe, str) else recipe
+    spark = clean.sparkSession
+    seen = model_store.source_fingerprint(source) if source is not None \
+        else model_store.content_fingerprint(model_input(clean, recipe))
+    key = model_store.fingerprint(asdict(recipe), partitions, pyspark.__version__, seen)
+    folder = model_store.find(spark, key)
+    if folder is None:
+        attempt = model_store.new_folder(spark, key)
+        run = run_recipe(clean, recipe, work_path=f"{attempt}/input", partitions=partitions)
+        run.model.write().save(f"{attempt}/model")
+        folder = model_store.finish(spark, key, attempt)
+        if folder == attempt:
+            run.model_path = f"{folder}/model"
+            return run
+    fitted = PipelineModel.load(f"{folder}/model")
+    stored = spark.read.parquet(f"{folder}/input")
+    train_df, test_df = [stored.where(F.col("_part") == i).drop("_part") for i in (0, 1)]
+    return RecipeRun(recipe, fitted, train_df, test_df, models.score(fitted, test_df), stages(recipe)[1], f"{folder}/model")

@@ -108,3 +108,8 @@ def fresh_shared_path(spark: SparkSession, prefix: str) -> str:
     one application's scratch can be removed as a whole."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/roadframe/{prefix}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadframe.functions.columns import c
 from roadframe.schema import raw_schema
+from roadframe.session import fresh_shared_path
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -48,6 +50,40 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None =
     return reader.csv(path)
 
 
+def read_delimited_checked(spark: SparkSession, path: str, schema: T.StructType | None = None, header: bool = True,
+                           sep: str = ",", multi_line: bool = False,
+                           work_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(kept, rejected)``: the rows that have every field of the schema, and
+    the text of those with too few or too many fields or an open quote, as
+    ``(record, file)``. A plain read pads and cuts such rows in silence.
+
+    The text is parsed once, into a stored table (at ``work_path``, or a new
+    scratch folder) that both frames read. ``multi_line`` lets a quoted field
+    hold line breaks; a file is then read by one task, and an open quote runs
+    on to the next quote. Without it such a field breaks into rejected rows.
+    """
+    schema = schema or raw_schema()
+    corrupt = "_record"
+    reader = (
+        spark.read.schema(T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())]))
+        .option("header", str(header).lower())
+        .option("enforceSchema", str(not header).lower())
+        .option("sep", sep)
+        .option("escape", '"')  # a quote inside a quoted field is doubled
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", corrupt)
+        .option("multiLine", str(multi_line).lower())
+    )
+    parsed = reader.csv(path)
+    parsed = parsed.select(*[c(name) for name in parsed.columns], F.col("_metadata.file_path").alias("_file"))
+    store = work_path or fresh_shared_path(spark, "parsed")
+    parsed.write.mode("overwrite").parquet(store)
+    stored = spark.read.schema(parsed.schema).parquet(store)
+    kept = stored.where(F.col(corrupt).isNull()).drop(corrupt, "_file")
+    rejected = stored.where(F.col(corrupt).isNotNull()).select(F.col(corrupt).alias("record"), F.col("_file").alias("file"))
+    return kept, rejected
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists",
                     max_records: int = 0) -> str:
     """Write a frame as delimited text with a header row.

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadframe.session import checkpoint_dir, fresh_shared_path
+from roadframe.session import checkpoint_dir, fresh_shared_path, path_exists
 from roadframe.sources.delimited import read_delimited, write_delimited
 from roadframe.sources.tables import load_table
 
@@ -74,11 +74,6 @@ SELECT * FROM r UNION ALL SELECT * FROM r WHERE _k % 50 = 0
 """
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def fixture_sql(dialect: str = "duckdb") -> str:
     """The fixture as SQL over a table named ``orders``; the result keeps the
     helper key ``_k`` (drop it to get the 29 raw columns)."""
@@ -107,7 +102,7 @@ def landed_fixture(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> Da
 
     key = (str(sf_dir).rstrip("/"), fmt, checkpoint_dir(spark))
     path = _LANDED.get(key)
-    if path is None or not _exists(spark, path):
+    if path is None or not path_exists(spark, path):
         path = fresh_shared_path(spark, f"fixture-{fmt}")
         # written as the source is split, without a shuffle; small files, so
         # that the one file of a provided table does not make every later
