@@ -2,31 +2,43 @@
 
 The token streams of a host's pages are put one after another. Sorting their
 suffixes by the first ``RUN`` tokens (prefix doubling) brings equal substrings
-together; runs that stand on many distinct pages are boilerplate. Covered
-boilerplate is removed, unique runs are kept.
+together; runs that stand on many distinct pages of the host are boilerplate.
+Covered boilerplate is removed, unique runs are kept.
+
+A host beyond ``SECTION_BYTES`` is dealt to sections, each with a suffix array
+of its own, but what decides is always the number of pages of the whole host:
+a run on a given share of a host's pages has that share in some section too,
+so the sections name all candidates, count them, and use the summed counts.
 """
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadframe.llm.common import read_table, ship_package, stored
-from roadframe.llm.pagetext import blocks
+from roadframe.llm.pagetext import page_blocks
+from roadframe.llm.words import mix64
 
 #: tokens of a repeated substring; a shorter block counts as a whole
 RUN = 8
-#: pages in one suffix array: a host with more is dealt to sections by page hash
-SECTION = 256
-#: share and number of a section's pages from which a repeated substring is
-#: boilerplate: outside an article, and for whole blocks inside one
+#: bytes of html in one suffix array (a longer page stands alone)
+SECTION_BYTES = 4 << 20
+#: share and number of a host's pages from which a repeated substring is
+#: boilerplate: outside an article, and inside one
 SHARE, PAGES = 0.25, 3
-MAIN_SHARE, MAIN_PAGES = 0.6, 20
+MAIN_SHARE, MAIN_PAGES = 0.6, 5
+#: an article that repeats by more than this share is a copy, not boilerplate
+COPY = 0.8
 
 
 def host_of(url: Column) -> Column:
@@ -47,14 +59,51 @@ def suffix_ranks(tokens: np.ndarray, depth: int = RUN) -> np.ndarray:
     return rank
 
 
-def repeated(words: list[list[str]], page: np.ndarray, main: np.ndarray, pages: int) -> list[np.ndarray]:
-    """For each block (its words, page and region) which words are covered by
-    boilerplate. Substrings do not cross blocks."""
+@dataclass
+class Section:
+    """Suffix array of some pages: blocks by page, and the substrings of RUN
+    tokens (or whole shorter blocks), which do not cross blocks."""
+
+    words: list[list[str]]
+    page: np.ndarray  # number of each block's page, equal for rows of one page
+    main: np.ndarray
+    pages: int
+    stream: np.ndarray
+    place: np.ndarray  # of every word in the stream
+    at: np.ndarray  # places where substrings begin
+    block: np.ndarray  # and their blocks
+    rank: np.ndarray
+    spread: np.ndarray  # distinct pages of every rank
+
+    def names(self) -> np.ndarray:
+        """A 64-bit hash of every rank's substring, the same in all sections."""
+        unique = [""] * (int(self.stream.max(initial=0)) + 1)
+        for w, c in zip((w for ws in self.words for w in ws), self.stream[self.place].tolist()):
+            unique[c] = w
+        hashes = np.array([0] + [xxhash.xxh3_64_intdigest(w) for w in unique[1:]], np.uint64)
+        first = np.zeros(len(self.spread), np.int64)
+        first[self.rank] = self.at
+        out = np.zeros(len(self.spread), np.uint64)
+        padded = np.concatenate((self.stream, np.zeros(RUN, np.int64)))
+        for k in range(RUN):
+            out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + hashes[padded[first + k]])
+        return out.astype(np.int64)
+
+
+def section_of(parts: list[list[tuple[bool, str]]], page: list) -> Section:
+    """Suffix array of the pages' blocks; rows of one page id are one page."""
+    identity: dict = {}
+    numbers = [identity.setdefault(("row", i) if p is None else p, len(identity)) for i, p in enumerate(page)]
+    flat = [(numbers[i], is_main, text) for i, found in enumerate(parts) for is_main, text in found]
+    words = [text.split(" ") for _, _, text in flat]
+    owner = np.array([n for n, _, _ in flat], np.int64)
+    main = np.array([m for _, m, _ in flat], bool)
     sizes = np.array([len(w) for w in words], np.int64)
-    if not sizes.sum():
-        return [np.zeros(n, bool) for n in sizes]
-    flat = pa.array([w for ws in words for w in ws], pa.large_string()).dictionary_encode()
-    code = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    none = np.zeros(0, np.int64)
+    if not len(sizes):
+        return Section(words, owner, main, len(identity), none, none, none, none, none, np.zeros(1, np.int64))
+    tokens = pa.array([w for ws in words for w in ws], pa.large_string()).dictionary_encode()
+    code = tokens.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
     # blocks with RUN - 1 end marks (0) after each
     starts = np.cumsum(sizes + RUN - 1) - (sizes + RUN - 1)
     stream = np.zeros(int(sizes.sum()) + len(sizes) * (RUN - 1), np.int64)
@@ -64,79 +113,140 @@ def repeated(words: list[list[str]], page: np.ndarray, main: np.ndarray, pages:
     stream[place] = code
     rank = suffix_ranks(stream)[place]
     whole = (within + RUN <= sizes[block]) | (within == 0)  # full substrings, and short blocks
-    rank, at, owner = rank[whole], place[whole], block[whole]
-    pairs = np.unique(rank * (int(page.max()) + 1) + page[owner])
-    spread = np.bincount(pairs // (int(page.max()) + 1), minlength=int(rank.max()) + 1)[rank]
-    least = np.where(main[owner], max(MAIN_PAGES, MAIN_SHARE * pages), max(PAGES, SHARE * pages))
-    hit = at[spread >= least]
-    edge = np.zeros(len(stream) + RUN, np.int64)
+    rank, at, block = rank[whole], place[whole], block[whole]
+    pairs = np.unique(rank * len(identity) + owner[block])
+    spread = np.bincount(pairs // len(identity), minlength=int(rank.max()) + 1)
+    return Section(words, owner, main, len(identity), stream, place, at, block, rank, spread)
+
+
+def covered(section: Section, spread: np.ndarray, pages: int) -> list[np.ndarray]:
+    """For each block which words are covered by boilerplate, given the pages
+    of the host that hold each substring. An article that is mostly covered is
+    a copy of another one and loses nothing."""
+    sizes = [len(w) for w in section.words]
+    if not len(section.stream):
+        return [np.zeros(n, bool) for n in sizes]
+    least = np.where(section.main[section.block], max(MAIN_PAGES, MAIN_SHARE * pages), max(PAGES, SHARE * pages))
+    hit = section.at[spread[section.rank] >= least]
+    edge = np.zeros(len(section.stream) + RUN, np.int64)
     np.add.at(edge, hit, 1)
     np.add.at(edge, hit + RUN, -1)
-    covered = np.cumsum(edge)[place] > 0
-    return np.split(covered, np.cumsum(sizes)[:-1])
-
-
-def main_text(parts: list[list[tuple[bool, str]]], page: list) -> list[str]:
-    """Text of each page of a section. Where an article or main element has
-    text, its blocks are the text, but for blocks that repeat as a whole over
-    most of the section. Elsewhere the unique runs of all blocks are."""
-    flat = [(i, is_main, text) for i, found in enumerate(parts) for is_main, text in found]
-    identity = {}
-    numbers = np.array([identity.setdefault(("row", i) if p is None else p, len(identity)) for i, p in enumerate(page)])
-    words = [text.split(" ") for _, _, text in flat]
-    main = np.array([m for _, m, _ in flat], bool)
-    covered = repeated(words, numbers[[i for i, _, _ in flat]] if flat else np.zeros(0, np.int64), main, len(identity))
-    out: list[list[str]] = [[] for _ in parts]
-    has_main = {i for i, is_main, _ in flat if is_main}
-    for (i, is_main, text), ws, gone in zip(flat, words, covered, strict=True):
-        if i in has_main:
-            if is_main and not gone.all():
-                out[i].append(text)
-        elif not gone.any():
-            out[i].append(text)
-        elif not gone.all():
-            out[i].append(" ".join(w for w, g in zip(ws, gone, strict=True) if not g))
-    return ["\n\n".join(found) for found in out]
-
-
-def extract(pages: DataFrame, section: int = SECTION) -> DataFrame:
+    gone = np.cumsum(edge)[section.place] > 0
+    return np.split(gone, np.cumsum(sizes)[:-1])
+
+
+def main_text(parts: list[list[tuple[bool, str]]], section: Section, spread: np.ndarray, pages: int) -> list[str]:
+    """Text of each page: the words of its blocks that no boilerplate covers."""
+    masks = covered(section, spread, pages)
+    out, at = [], 0
+    for found in parts:
+        words, gone = section.words[at:at + len(found)], masks[at:at + len(found)]
+        at += len(found)
+        if found and found[0][0] and sum(int(g.sum()) for g in gone) > COPY * sum(map(len, words)):
+            out.append("\n\n".join(text for _, text in found))
+            continue
+        left = (" ".join(w for w, g in zip(ws, mask, strict=True) if not g) if mask.any() else text
+                for (_, text), ws, mask in zip(found, words, gone, strict=True))
+        out.append("\n\n".join(text for text in left if text))
+    return out
+
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of every page, packed: they are a fraction of the html, and
+    travel up to four times."""
+    for batch in batches:
+        packed = [zlib.compress(json.dumps(page_blocks(page.as_py()), ensure_ascii=False).encode("utf-8", "surrogatepass"), 1)
+                  for page in batch.column(4)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(packed, pa.binary())],
+                                         names=["host", "section", "page_id", "url", "packed"])
+
+
+def _unpacked(table: pa.Table) -> list[list[tuple[bool, str]]]:
+    return [[(m, t) for m, t in json.loads(zlib.decompress(p).decode("utf-8", "surrogatepass"))]
+            for p in table.column("packed").to_pylist()]
+
+
+def _candidates(table: pa.Table) -> pa.Table:
+    """Substrings on the least share of a section's pages; the hosts are those
+    of several sections."""
+    section = section_of(_unpacked(table), table.column("page_id").to_pylist())
+    found = section.names()[np.flatnonzero(section.spread >= max(1, SHARE * section.pages))]
+    host = table.column("host")[0].as_py()
+    return pa.table({"host": pa.array([host] * len(found), pa.string()), "run": pa.array(found)})
+
+
+def _counts(table: pa.Table, wanted: pa.Table) -> pa.Table:
+    """Pages of a section that hold each of the host's candidates."""
+    runs = wanted.column("runs").combine_chunks().flatten().to_numpy(zero_copy_only=False) if wanted.num_rows else np.zeros(0, np.int64)
+    if not table.num_rows or not len(runs):
+        return pa.table({"host": pa.array([], pa.string()), "run": pa.array([], pa.int64()), "pages": pa.array([], pa.int64())})
+    section = section_of(_unpacked(table), table.column("page_id").to_pylist())
+    names = section.names()
+    known = np.flatnonzero((section.spread > 0) & np.isin(names, runs))
+    host = table.column("host")[0].as_py()
+    return pa.table({"host": pa.array([host] * len(known), pa.string()), "run": pa.array(names[known]),
+                     "pages": pa.array(section.spread[known].astype(np.int64))})
+
+
+def _texts(table: pa.Table, known: pa.Table) -> pa.Table:
+    """Texts of a section's pages; ``known``: pages of the whole host, and of
+    its candidates, where it has several sections."""
+    parts, ids = _unpacked(table), table.column("page_id").to_pylist()
+    section = section_of(parts, ids)
+    spread, pages = section.spread, section.pages
+    if known.num_rows and len(section.stream):
+        runs, counts = (known.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("runs", "counts"))
+        pages = known.column("host_pages")[0].as_py()
+        order = np.argsort(runs)
+        runs, counts = np.append(runs[order], 0), np.append(counts[order], 0)
+        names = section.names()
+        found = np.searchsorted(runs[:-1], names)
+        spread = np.where(runs[found] == names, counts[found], 0)
+    found = pa.array(main_text(parts, section, spread, pages), pa.string())
+    return pa.table({"page_id": table.column("page_id"), "url": table.column("url"), "text": found,
+                     "n_chars": pc.utf8_length(found).cast(pa.int64())})
+
+
+def extract(pages: DataFrame, section_bytes: int = SECTION_BYTES) -> DataFrame:
     """One row per page row: ``page_id, url, text, n_chars``.
 
     Null and empty html, and pages without text of their own, give an empty
     text. Null urls are one host. Rows repeated with one page_id count as one
     page of their host. Extra columns are ignored; an empty table gives no
-    rows. A host of more than ``section`` pages is dealt to equal sections by
-    a hash of the page, each with a suffix array of its own, so no task holds
-    a large host; the shares that decide are those within a section.
+    rows. A host of more than ``section_bytes`` of html is dealt to sections by
+    a hash of the page; counts are those of the whole host for every size.
     """
     spark = pages.sparkSession
     ship_package(spark)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").withColumn("host", host_of(F.col("url")))
+    sizes = rows.groupBy("host").agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0)) + 64).alias("bytes"))
     # the hosts to split, one row each; Spark broadcasts the stored table if its size allows
-    large = stored(rows.groupBy("host").count().where(F.col("count") > section).select(
-        "host", F.ceil(F.col("count") / section).alias("sections")), "large-hosts")
-    schema = "host string, section long, page_id long, url string, main array<boolean>, blocks array<string>"
-
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [blocks(page.as_py()) for page in batch.column(4)]
-            yield pa.RecordBatch.from_arrays([
-                *(batch.column(i) for i in range(4)), pa.array([[m for m, _ in f] for f in found], pa.list_(pa.bool_())),
-                pa.array([[t for _, t in f] for f in found], pa.list_(pa.string()))],
-                names=["host", "section", "page_id", "url", "main", "blocks"])
-
-    def section_text(table: pa.Table) -> pa.Table:
-        main, texts = table.column("main").to_pylist(), table.column("blocks").to_pylist()
-        parts = [list(zip(m, t, strict=True)) for m, t in zip(main, texts, strict=True)]
-        found = pa.array(main_text(parts, table.column("page_id").to_pylist()), pa.string())
-        return pa.table({"page_id": table.column("page_id"), "url": table.column("url"), "text": found,
-                         "n_chars": pc.utf8_length(found).cast(pa.int64())})
-
-    dealt = rows.join(large, "host", "left").withColumn(
-        "section", F.pmod(F.xxhash64("page_id", "html"), F.coalesce("sections", F.lit(1))))
-    parsed = dealt.select("host", "section", "page_id", "url", "html").mapInArrow(parse, schema)
-    return parsed.groupBy("host", "section").applyInArrow(
-        section_text, "page_id long, url string, text string, n_chars long")
+    large = stored(sizes.where(F.col("bytes") > section_bytes).select(
+        "host", F.ceil(F.col("bytes") / section_bytes).alias("sections")), "large-hosts")
+    page = F.when(F.col("page_id").isNull(), F.xxhash64("url", "html")).otherwise(F.xxhash64("page_id"))
+    dealt = rows.join(large, "host", "left").withColumn("section", F.pmod(page, F.coalesce("sections", F.lit(1))))
+    schema = "host string, section long, page_id long, url string, packed binary"
+    parsed = stored(dealt.select("host", "section", "page_id", "url", "html").mapInArrow(_parse, schema), "page-blocks")
+    key = ["host", "section"]
+    known = spark.createDataFrame([], "host string, section long, runs array<long>, counts array<long>, host_pages long")
+    if not large.isEmpty():
+        split = parsed.join(large, "host")
+        each = split.select(*key, "page_id", "packed")
+        candidates = each.groupBy(*key).applyInArrow(_candidates, "host string, run long").distinct()
+        sections = large.withColumn("section", F.explode(F.sequence(F.lit(0).cast("long"), F.col("sections") - 1)))
+        # a candidate is on a share of some section's pages, so a section names at most its words a page over that share
+        lists = sections.join(candidates.groupBy("host").agg(F.collect_list("run").alias("runs")), "host").select(*key, "runs")
+        counts = each.groupBy(*key).cogroup(lists.groupBy(*key)).applyInArrow(_counts, "host string, run long, pages long")
+        total = split.groupBy("host").agg((F.count_distinct("page_id") + F.count_if(F.col("page_id").isNull())).alias("host_pages"))
+        # counts that no threshold asks for are left out
+        summed = counts.groupBy("host", "run").agg(F.sum("pages").alias("pages")).join(total, "host").where(
+            F.col("pages") >= F.col("host_pages") * SHARE)
+        found = summed.groupBy("host", "host_pages").agg(F.collect_list(F.struct("run", "pages")).alias("found"))
+        known = stored(sections.join(total, "host").join(found.drop("host_pages"), "host", "left").select(
+            *key, F.transform("found", lambda x: x["run"]).alias("runs"), F.transform("found", lambda x: x["pages"]).alias("counts"),
+            "host_pages"), "host-boilerplate")
+    return parsed.groupBy(*key).cogroup(known.groupBy(*key)).applyInArrow(
+        _texts, "page_id long, url string, text string, n_chars long")
 
 
 def op7_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

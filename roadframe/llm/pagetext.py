@@ -1,4 +1,9 @@
-"""Visible text blocks of an HTML page, with the region in which they stand."""
+"""Visible text blocks of an HTML page, with the region in which they stand.
+
+Elements that never hold an article (menus, footers, asides, forms, hidden
+parts) are left out. Names of classes and the like only lower a block's
+standing: they decide unless boxes of that name hold most of the page's text.
+"""
 
 from __future__ import annotations
 
@@ -21,13 +26,19 @@ _BLOCK = frozenset(
     "summary table tbody tfoot thead title tr ul".split())
 #: inline elements that end with the block in which they were opened
 _SPACE = frozenset("br td th".split())
-#: parts of class, id and role names of what stands around an article
+#: what a class, id or role name is about where it names something around an article
 _CHROME_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising adsense banner breadcrumb breadcrumbs comment "
     "comments consent cookie cookies copyright discussion disqus footer gdpr login menu modal nav navbar navigation "
     "newsletter notice notices notification overlay pager pagination popup promo promotion recommended related replies "
     "respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar "
-    "widget widgets contentinfo complementary navigation alert masthead".split())
+    "widget widgets contentinfo complementary alert masthead".split())
+#: last parts of a name that say only that it is a box: what stands before counts
+_BOX_NAMES = frozenset(
+    "area bar block body box button buttons card cards column container content form group holder icons inner item items "
+    "left link links list module outer panel posts right row section slot stories unit wrap wrapper".split())
+#: first parts that speak of something else's contents
+_OTHERWISE = frozenset("has is no not with without hide show".split())
 _HEADER_NAMES = frozenset(["header", "topbar"])
 _MAIN_NAMES = frozenset(["main", "article"])
 _CLOSED_BY = {  # an open element that ends where one of these begins
@@ -35,51 +46,96 @@ _CLOSED_BY = {  # an open element that ends where one of these begins
     "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 
 
+#: boxes of one name that hold more than this share of a page's text are no chrome
+MOST = 0.6
+#: an article or main element with less than this share of the text is a teaser
+TEASER = 0.25
+#: characters of an article, outside such boxes, that leave no doubt about them
+ARTICLE = 250
+
+
+def _head(name: str) -> str | None:
+    """What a compound name is about: its last part, boxes aside ('site-footer'
+    is a footer, 'ad-slot' an ad, 'comments-open' and 'has-sidebar' neither)."""
+    parts = [p.lower() for p in _NAME_PART.findall(name)]
+    while len(parts) > 1 and parts[-1] in _BOX_NAMES:
+        parts.pop()
+    return parts[-1] if parts and parts[0] not in _OTHERWISE else None
+
+
 def _region(name: str, attributes: str, main: bool) -> str | None:
-    """'chrome', 'main' or None (as its surroundings)."""
+    """'chrome', 'main', the chrome name of a box, or None (as its surroundings)."""
     if name in _CHROME or (name == "header" and not main):
         return "chrome"
     if attributes:
         if _HIDDEN.search(attributes):
             return "chrome"
-        if name not in ("html", "body", "main", "p") and "=" in attributes:
-            words: set[str] = set()
-            for found in _CLASS.findall(attributes):
-                words.update(w.lower() for w in _NAME_PART.findall("".join(found)))
-            if words & _CHROME_NAMES or (not main and words & _HEADER_NAMES):
-                return "chrome"
-            if name in ("div", "section") and words & _MAIN_NAMES and "role" in attributes.lower():
+        if name not in ("html", "body", "main", "article", "p") and "=" in attributes:
+            heads = {_head(token) for found in _CLASS.findall(attributes) for token in "".join(found).split()}
+            if name in ("div", "section") and heads & _MAIN_NAMES and "role" in attributes.lower():
                 return "main"
+            named = sorted(h for h in heads if h in _CHROME_NAMES or (not main and h in _HEADER_NAMES))
+            if named:
+                return f"named {named[0]}"
     return "main" if name in ("main", "article") else None
 
 
-def blocks(page: str | None) -> list[tuple[bool, str]]:
-    """``(main, text)`` in page order: ``main`` blocks stand inside an article
-    or main element. Menus, headers, footers, sidebars, notices, adverts,
-    forms, comments, scripts, styles and hidden parts are left out. Character
-    references are decoded and white space is one space."""
+def page_blocks(page: str | None) -> list[tuple[bool, str]]:
+    """``(main, text)`` of the blocks that may be the page's text, in page
+    order. Blocks in boxes with a chrome name are left out, unless boxes of
+    that name hold most of the text and no article stands beside them (a page
+    may have more comments than text); blocks outside article and main elements
+    are, unless those hold a teaser at most (then no block is ``main``)."""
+    found = blocks(page)
+    total = sum(len(text) for _, _, text in found)
+    mass: dict[str, int] = {}
+    for _, names, text in found:
+        for name in names:
+            mass[name] = mass.get(name, 0) + len(text)
+    article = sum(len(text) for main, names, text in found if main and not names)
+    chrome = {name for name, size in mass.items() if size <= MOST * total or article >= ARTICLE}
+    kept = [(main, text) for main, names, text in found if not names & chrome]
+    inside = sum(len(text) for main, text in kept if main)
+    if inside and inside >= TEASER * sum(len(text) for _, text in kept):
+        return [(True, text) for main, text in kept if main]
+    return [(False, text) for _, text in kept]
+
+
+def blocks(page: str | None) -> list[tuple[bool, frozenset[str], str]]:
+    """``(main, names, text)`` in page order: ``main`` blocks stand inside an
+    article or main element; ``names`` are the chrome names of the boxes around
+    a block, up to that element. Menus, headers, footers, asides, forms,
+    scripts, styles and hidden parts are left out. Character references are
+    decoded and white space is one space."""
     if not page:
         return []
-    out: list[tuple[bool, str]] = []
+    out: list[tuple[bool, frozenset[str], str]] = []
     held: list[str] = []
     stack: list[tuple[str, str | None]] = []
     chrome = main = 0  # open elements of either kind
+    names: list[str] = []  # of open boxes, since the last main element began
+    outer: list[list[str]] = []  # those before it
     raw, place = None, 0
 
     def flush() -> None:
         if held:
             text = " ".join("".join(held).split())
             if text:
-                out.append((main > 0, text))
+                out.append((main > 0, frozenset(names), text))
             held.clear()
 
     def close(upto: int) -> None:
-        nonlocal chrome, main
+        nonlocal chrome, main, names
         for name, kind in reversed(stack[upto:]):
             if name in _BLOCK:
                 flush()
-            chrome -= kind == "chrome"
-            main -= kind == "main"
+            if kind == "chrome":
+                chrome -= 1
+            elif kind == "main":
+                main -= 1
+                names = outer.pop()
+            elif kind:
+                names.pop()
         del stack[upto:]
 
     while True:
@@ -135,14 +191,17 @@ def blocks(page: str | None) -> list[tuple[bool, str]]:
                     break
                 if stack[i][0] in _BLOCK:
                     break
-        if name in ("main", "article") and chrome and not main and all(n == "div" for n, k in stack if k == "chrome"):
-            stack[:] = [(n, None if k == "chrome" else k) for n, k in stack]
-            chrome = 0  # an unclosed box before the article
         kind = _region(name, tag.group(3), main > 0)
-        if kind and kind == "chrome" and not chrome:
+        if kind and not chrome:
             flush()
         stack.append((name, kind))
-        chrome += kind == "chrome"
-        main += kind == "main"
+        if kind == "chrome":
+            chrome += 1
+        elif kind == "main":
+            main += 1
+            outer.append(names)
+            names = []
+        elif kind:
+            names.append(kind)
     flush()
     return out

@@ -1,4 +1,5 @@
 import hashlib
+import re
 from collections import Counter
 
 import numpy as np
@@ -80,10 +81,30 @@ def test_blocks():
             "<h1>T &amp; x</h1></header><p>a<br>b<i>c</i>d&nbsp;e<p>second<table><tr><td>1<td>2<tr><td>3</table>"
             '<div id="comments"><p>nice</p></div><!-- c <p> --><form>f</form><script>if (a < b) "</p>"</script></main>'
             "<aside>x</aside><footer>z</footer>")
-    assert pagetext.blocks(page) == [(True, t) for t in ("T & x", "a bcd e", "second", "1 2", "3")]
-    assert pagetext.blocks(None) == pagetext.blocks("") == [] and pagetext.blocks("a < b &lt;") == [(False, "a < b <")]
-    assert pagetext.blocks("<p>un<b>closed <p>next") == [(False, "unclosed"), (False, "next")]
-    assert pagetext.blocks('<div class="ad">x<article><p>y</p></article>') == [(True, "y")]
+    assert pagetext.page_blocks(page) == [(True, t) for t in ("T & x", "a bcd e", "second", "1 2", "3")]
+    assert pagetext.page_blocks(None) == pagetext.page_blocks("") == []
+    assert pagetext.page_blocks("a < b &lt;") == [(False, "a < b <")]
+    assert pagetext.page_blocks("<p>un<b>closed <p>next") == [(False, "unclosed"), (False, "next")]
+    assert pagetext.page_blocks('<div class="ad">x<article><p>y</p></article>') == [(True, "y")]
+
+
+BODY = "<p>" + "the body of this page has many words of its own " * 12 + "</p>"
+
+
+def texts(html):
+    return [text[:8] for _, text in pagetext.page_blocks(html)]
+
+
+def test_names_alone_lose_no_text():
+    for box in ('article class="post comments-open"', 'div class="content has-sidebar"', 'div class="search-results ad-free"',
+                'section class="social-science"', 'div class="widget"', 'div id="notice"', 'main class="sidebar"'):
+        assert texts(f"<{box}>{BODY}</{box.split()[0]}>") == ["the body"], box
+    # a teaser does not stand for the page, an article does, however many comments it has
+    assert texts(f"<article><p>a teaser</p></article><div>{BODY}</div>") == ["a teaser", "the body"]
+    comments = '<div class="comment-list">' + "<p>so nice a page</p>" * 200 + "</div>"
+    assert texts(f"<article>{BODY}{comments}</article>") == texts(f"<article>{BODY}</article>{comments}") == ["the body"]
+    for box in ('div class="ad-slot"', 'div class="site-footer"', 'section id="related-posts"', 'div role="navigation"'):
+        assert texts(f"<{box}>little</{box.split()[0]}>{BODY}") == ["the body"], box
 
 
 def test_suffix_ranks():
@@ -116,8 +137,77 @@ def test_extraction(spark):
     assert text[200] == text[201] == "" and text[None] == "kept" and text[202] == "twice"
     assert all(r.n_chars == len(r.text) for r in got)
     # sections of a large host decide alike
-    split = {r.page_id: r.text for r in extraction.extract(pages, section=10).collect()}
-    assert all(split[100 + i] == text[100 + i] for i in range(30))
+    split = {r.page_id: r.text for r in extraction.extract(pages, section_bytes=1500).collect()}
+    assert split == text
+
+
+def brute_texts(rows):
+    """Page texts by counting every substring of a host in a dictionary."""
+    hosts = {}
+    for k, (page_id, url, html) in enumerate(rows):
+        host = re.sub(r"^[a-zA-Z]+://", "", url or "").split("/")[0].split("?")[0].split("#")[0].split(":")[0].lower()
+        hosts.setdefault(host, []).append((k, ("none", k) if page_id is None else page_id, pagetext.page_blocks(html)))
+    out = {}
+    run = extraction.RUN
+    for found in hosts.values():
+        holders, pages = {}, len({p for _, p, _ in found})
+        cuts = lambda ws: [tuple(ws[i:i + run]) for i in range(max(1, len(ws) - run + 1))]
+        for _, p, blocks in found:
+            for _, text in blocks:
+                for c in cuts(text.split(" ")):
+                    holders.setdefault(c, set()).add(p)
+        for k, _, blocks in found:
+            kept, gone_words = [], 0
+            for main, text in blocks:
+                ws = text.split(" ")
+                least = max(extraction.MAIN_PAGES, extraction.MAIN_SHARE * pages) if main else max(
+                    extraction.PAGES, extraction.SHARE * pages)
+                gone = set()
+                for i, c in enumerate(cuts(ws)):
+                    if len(holders[c]) >= least:
+                        gone.update(range(i, i + len(c)))
+                gone_words += len(gone)
+                kept.append(" ".join(w for i, w in enumerate(ws) if i not in gone))
+            words = sum(len(t.split(" ")) for _, t in blocks)
+            if blocks and blocks[0][0] and gone_words > extraction.COPY * words:
+                kept = [t for _, t in blocks]
+            out[k] = "\n\n".join(t for t in kept if t)
+    return out
+
+
+def check_pages(spark, rows, **options):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = Counter((r.page_id, r.url, r.text) for r in extraction.extract(pages, **options).collect())
+    wanted = brute_texts(rows)
+    assert got == Counter((p, u, wanted[k]) for k, (p, u, _) in enumerate(rows))
+
+
+def test_texts_equal_brute_force(spark, table):
+    rows = [(r.page_id, r.url, r.html) for r in table("pages", "0.01").select("page_id", "url", "html").collect()]
+    check_pages(spark, rows)
+    check_pages(spark, rows[:300], section_bytes=60_000)
+
+
+def host_pages(n, share, tag):
+    notice = "all of our stories are checked by two editors before they appear on this site"
+    return [(i, f"http://h.com/{i}", f"<{tag}><p>" + " ".join(f"w{i}x{k}" for k in range(60)) + "</p>"
+             + (f"<p>{notice}</p>" if i < share * n else "") + f"</{tag}>") for i in range(n)]
+
+
+def test_thresholds_are_those_of_the_host(spark):
+    for n, size in ((12, 1 << 22), (12, 2_000), (600, 1 << 22), (600, 40_000), (3000, 200_000)):
+        for tag, share, stays in (("div", 0.1, True), ("div", 0.5, False), ("article", 0.5, True), ("article", 0.75, False)):
+            if n == 3000 and share not in (0.1, 0.75):
+                continue
+            pages = spark.createDataFrame(host_pages(n, share, tag), "page_id long, url string, html string")
+            found = extraction.extract(pages, section_bytes=size).where("contains(text, 'two editors')").count()
+            assert found == (int(share * n + 0.999) if stays else 0), (n, size, tag, share)
+
+
+def test_very_long_page(spark):
+    long = " ".join(f"w{i}" for i in range(200_000))
+    rows = [(1, "http://a.com/1", f"<article><p>{long}</p></article>"), (2, "http://a.com/2", "<p>short</p>")]
+    check_pages(spark, rows, section_bytes=10_000)
 
 
 def test_copied_articles_stay(spark):
