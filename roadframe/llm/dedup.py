@@ -1,6 +1,6 @@
 """Near-duplicate classes: ProbMinHash, banding, exact verification.
 
-1. Equal texts fall together by a hash; the rest works on distinct texts.
+1. Equal texts fall together by a 128-bit hash; the rest works on distinct texts.
 2. One pass over the texts gives signatures, band keys and shingle sets.
 3. In every band bucket each text is compared with one centre, the text that
    shares most buckets, so a large group costs a row per text, not per pair.
@@ -9,8 +9,10 @@
    with the text of another class that agrees best, until no round links any
    more; then all pairs of different classes whose signatures agree often
    enough are verified where they meet, and only links leave the block.
-Pairs count only if the Jaccard similarity of their shingle sets reaches the
-threshold; classes are the connected components of such pairs.
+Pairs count only if the probability Jaccard similarity of their weighted
+shingles reaches the threshold, the one that registers estimate: the weight of
+the common shingles over that of all, where a shingle weighs as many as it has
+distinct words. Classes are the connected components of such pairs.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from roadframe.llm.common import read_table, ship_package, stored
 from roadframe.llm.components import components
-from roadframe.llm.minhash import REGISTERS, SHINGLE, shingles, signatures
+from roadframe.llm.minhash import KIND_BITS, REGISTERS, SHINGLE, kinds, shingles, signatures
 from roadframe.llm.words import Words, mix64, release, slices
 
 SIMILARITY = 0.8
@@ -38,25 +40,45 @@ BLOCK = 256
 
 
 def text_node(text: Column) -> Column:
-    """Identity of a text; null is as empty."""
+    """Number of a text; null is as empty. Two texts may share one: see ``sketch``."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def text_hash(text: Column) -> Column:
+    """Identity of a text: half of its SHA-256; null is as empty."""
+    return F.unhex(F.substring(F.sha2(F.coalesce(text, F.lit("")), 256), 1, 32))
+
+
 def sketch(docs: DataFrame) -> DataFrame:
-    """``doc_id, node, signature, bands, shingles``, one row per document;
-    words are lower-cased runs between white space. Signatures hold 4 bytes a
-    register, shingle sets 4 bytes a shingle."""
+    """``doc_id, node, hash, signature, bands, shingles``, one row per
+    document, stored; words are lower-cased runs between white space.
+    Signatures hold 4 bytes a register, shingle sets 4 bytes a shingle, its
+    weight in the lowest bits. Different texts have different nodes: those
+    that share the 64-bit number get new ones."""
+    found = stored(_sketch(docs), "sketch")
+    texts = found.groupBy("node", "hash").agg(F.count(F.lit(1)).alias("n"))
+    shared = texts.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("hash").alias("first")).where("n > 1")
+    shared = stored(shared.select("node", "first"), "shared-nodes")
+    if shared.isEmpty():
+        return found
+    # a few texts at most; the first of each keeps the number
+    fresh = texts.join(shared, "node").where("hash <> first").select(
+        "node", "hash", F.xxhash64("hash", "node").alias("_fresh"))
+    return stored(found.join(stored(fresh, "fresh-nodes"), ["node", "hash"], "left").withColumn(
+        "node", F.coalesce("_fresh", "node")).select(*found.columns), "sketch")
+
+
+def _sketch(docs: DataFrame) -> DataFrame:
     ship_package(docs.sparkSession)
-    schema = "doc_id long, node long, signature binary, bands array<long>, shingles array<int>"
+    schema = "doc_id long, node long, hash binary, signature binary, bands array<long>, shingles array<int>"
     bands = REGISTERS // BAND_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 2):
+            for batch in slices(whole, 3):
                 n = batch.num_rows
-                owner, value, _ = shingles(Words(batch.column(2), lower=True), SHINGLE)
-                # equal weights: registers agree with the Jaccard similarity of the sets, which is verified
-                registers = signatures(n, owner, value, np.ones(len(owner)))
+                owner, value, _ = shingles(Words(batch.column(3), lower=True), SHINGLE)
+                registers = signatures(n, owner, value, kinds(value).astype(np.float64))
                 keys = np.zeros((n, bands), np.uint64)
                 with np.errstate(over="ignore"):
                     for i in range(BAND_ROWS):
@@ -66,28 +88,32 @@ def sketch(docs: DataFrame) -> DataFrame:
                 has = np.diff(cuts) > 0
                 places = np.concatenate(([0], np.cumsum(has * bands))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0), batch.column(1), pa.array([row.tobytes() for row in short], pa.binary()),
+                    batch.column(0), batch.column(1), batch.column(2), pa.array([row.tobytes() for row in short], pa.binary()),
                     pa.ListArray.from_arrays(places, pa.array(keys[has].ravel().view(np.int64))),
                     pa.ListArray.from_arrays(cuts, pa.array(value.astype(np.uint32).view(np.int32)))],
-                    names=["doc_id", "node", "signature", "bands", "shingles"])
+                    names=["doc_id", "node", "hash", "signature", "bands", "shingles"])
         release()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_node(F.col("text")).alias("node"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_node(F.col("text")).alias("node"),
+                       text_hash(F.col("text")).alias("hash"), "text")
     return rows.mapInArrow(run, schema)
 
 
+def _weight(shingles: Column) -> Column:
+    return F.aggregate(shingles, F.lit(0).cast("long"), lambda w, s: w + s.bitwiseAND(F.lit((1 << KIND_BITS) - 1)))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """The ``(a, b)`` rows whose shingle sets reach ``threshold``; the joins
-    are split by Spark where one text has very many partners."""
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_x"))
-    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_y"))
-    # lengths alone rule out many pairs before the second join
+    """The ``(a, b)`` rows whose weighted shingles reach ``threshold``; the
+    joins are split by Spark where one text has very many partners."""
+    weighed = sets.select("node", "shingles", _weight(F.col("shingles")).alias("weight"))
+    one = weighed.select(F.col("node").alias("a"), F.col("shingles").alias("_x"), F.col("weight").alias("_u"))
+    two = weighed.select(F.col("node").alias("b"), F.col("shingles").alias("_y"), F.col("weight").alias("_v"))
     joined = pairs.hint("merge").join(one, "a").hint("merge").join(two, "b")
-    least = F.least(F.size("_x"), F.size("_y"))
-    most = F.greatest(F.size("_x"), F.size("_y"))
-    common = F.size(F.array_intersect("_x", "_y"))
-    return joined.where((least >= threshold * most) & (
-        common >= threshold * (F.size("_x") + F.size("_y") - common))).select("a", "b")
+    # weights alone rule out many pairs
+    joined = joined.where(F.least("_u", "_v") >= threshold * F.greatest("_u", "_v"))
+    common = joined.withColumn("_common", _weight(F.array_intersect("_x", "_y")))
+    return common.where(F.col("_common") >= threshold * (F.col("_u") + F.col("_v") - F.col("_common"))).select("a", "b")
 
 
 def _open(buckets: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -117,11 +143,12 @@ def _blocks(members: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]
 
 
 def _similar(x: np.ndarray, y: np.ndarray, threshold: float) -> bool:
-    """Whether the Jaccard similarity of two sorted sets reaches the threshold."""
-    if min(len(x), len(y)) < threshold * max(len(x), len(y)):
+    """Whether the weighted Jaccard similarity of two sorted sets reaches the threshold."""
+    one, two = int(kinds(x).sum()), int(kinds(y).sum())
+    if min(one, two) < threshold * max(one, two):
         return False
-    common = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
-    return common >= threshold * (len(x) + len(y) - common)
+    common = int(kinds(y[x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y]).sum())
+    return common >= threshold * (one + two - common)
 
 
 def _searched(left: DataFrame, right: DataFrame, sketches: DataFrame, threshold: float, best: bool) -> DataFrame:
@@ -173,7 +200,7 @@ def _searched(left: DataFrame, right: DataFrame, sketches: DataFrame, threshold:
 
 def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """One row per document row: ``doc_id, class_id, links, copies, node,
-    component`` (hashes that identify its text and its class).
+    component`` (numbers of its text and its class), ``text_hash``.
 
     ``class_id`` is the smallest ``doc_id`` of its class (null ids do not
     count; a class of null ids only has null). ``copies`` is the number of
@@ -183,15 +210,16 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
     shingle; repeated rows are copies; other columns are ignored; an empty
     table gives no rows.
     """
-    sketches = stored(sketch(docs), "sketch")
-    texts = stored(sketches.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")),
+    sketches = sketch(docs)
+    texts = stored(sketches.groupBy("node", "hash").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")),
                    "texts")
     rows = sketches.select("node", F.posexplode("bands").alias("band", "key")).distinct()
-    shared = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # stored, so that the joins see plain shuffles, which Spark splits where a key is hot
+    shared = stored(rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-keys")
     buckets = stored(rows.join(shared, ["band", "key"]), "buckets")
     fame = buckets.groupBy("node").agg(F.sum("n").alias("fame"))
     famous = buckets.join(fame, "node")
-    centres = famous.groupBy("band", "key").agg(F.max(F.struct("fame", "node"))["node"].alias("centre"))
+    centres = stored(famous.groupBy("band", "key").agg(F.max(F.struct("fame", "node"))["node"].alias("centre")), "centres")
     buckets = stored(buckets.join(centres, ["band", "key"]), "centred")
     used = buckets.select("node").distinct()
     # one sketch per text that shares a bucket; equal sketches of copies fall together before the shuffle
@@ -216,12 +244,13 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
         classes = components(found)
     links = found.select("a").union(found.select("b")).groupBy("a").agg(F.count(F.lit(1)).alias("links"))
 
+    texts = texts.withColumnRenamed("hash", "text_hash")
     named = texts.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("rep").alias("class_id"))
     named = named.join(names, "component").join(links.withColumnRenamed("a", "node"), "node", "left")
-    named = named.select("node", "component", "class_id", F.coalesce("links", F.lit(0)).cast("long").alias("links"), "copies")
+    named = named.select("node", "component", "class_id", F.coalesce("links", F.lit(0)).cast("long").alias("links"), "copies", "text_hash")
     return sketches.select("doc_id", "node").join(named, "node").select(
-        "doc_id", "class_id", "links", "copies", "node", "component")
+        "doc_id", "class_id", "links", "copies", "node", "component", "text_hash")
 
 
 def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
@@ -229,15 +258,15 @@ def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     with its class's id stays (a class of null ids keeps one of its rows)."""
     columns = docs.columns
     classes = stored(near_duplicates(docs, threshold), "classes")
-    stay = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("component", "doc_id", "node").agg(
+    stay = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("component", "doc_id", "text_hash").agg(
         F.count(F.lit(1)).alias("rows"))
-    stay = stay.groupBy("component").agg(F.min(F.struct("node", "doc_id", "rows")).alias("k")).select(
-        F.col("k.node").alias("_node"), F.col("k.doc_id").alias("_id"), F.col("k.rows").alias("_rows"))
-    marked = docs.withColumn("_own", text_node(F.col("text")))
-    kept = marked.join(stay, (F.col("_own") == F.col("_node")) & marked["doc_id"].cast("long").eqNullSafe(F.col("_id")))
+    stay = stay.groupBy("component").agg(F.min(F.struct("text_hash", "doc_id", "rows")).alias("k")).select(
+        F.col("k.text_hash").alias("_text"), F.col("k.doc_id").alias("_id"), F.col("k.rows").alias("_rows"))
+    marked = docs.withColumn("_own", text_hash(F.col("text")))
+    kept = marked.join(stay, (F.col("_own") == F.col("_text")) & marked["doc_id"].cast("long").eqNullSafe(F.col("_id")))
     # equal rows: one stays
     single = kept.where("_rows = 1")
-    repeated = kept.where("_rows > 1").dropDuplicates(["_id", "_node"])
+    repeated = kept.where("_rows > 1").dropDuplicates(["_id", "_text"])
     return single.select(*columns).unionByName(repeated.select(*columns))
 
 

@@ -72,6 +72,44 @@ def test_near_copies_with_repeated_passages(spark):
     assert {r.class_id for r in found} == set(range(0, 80, 2))
 
 
+def weighted_jaccard(a, b):
+    weigh = lambda found: sum(len(set(x)) for x in found)
+    return weigh(a & b) / weigh(a | b)
+
+
+def test_shingles_weigh_their_distinct_words(spark, table):
+    """Pairs near the threshold, by the weighted measure, are told apart."""
+    random = np.random.default_rng(9)
+    rows = []
+    for i in range(60):
+        words = [f"w{x}" for x in random.integers(0, 10 ** 6, 100)]
+        filler = ["no"] * int(random.integers(5, 40))
+        more = [f"v{x}" for x in random.integers(0, 10 ** 6, int(random.integers(10, 26)))]
+        rows += [(2 * i, " ".join(words + filler)), (2 * i + 1, " ".join(words + more))]
+    for given in (rows, [tuple(r) for r in table("documents").select("doc_id", "text").collect()]):
+        found = {r.doc_id: r.class_id for r in dedup.near_duplicates(spark.createDataFrame(given, "doc_id long, text string")).collect()}
+        sets = {i: shingle_set(t) for i, t in given}
+        for i in sorted(sets):
+            for j in [i - 1] if given is rows else sorted(sets):
+                if j in sets and j < i and sets[i] and sets[j] and abs(weighted_jaccard(sets[i], sets[j]) - 0.8) > 0.004:
+                    if weighted_jaccard(sets[i], sets[j]) >= 0.8:
+                        assert found[i] == found[j]
+                    elif given is rows:
+                        assert found[i] != found[j]
+
+
+def test_texts_of_one_number_stay_apart(spark, monkeypatch):
+    """Texts whose 64-bit numbers fall together are told apart by the longer hash."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(dedup, "text_node", lambda text: F.pmod(F.xxhash64(text), F.lit(5)))
+    rows = near_copies(20) + [(100 + i, f"all of this text is number {i} and no other {i * i}") for i in range(30)]
+    rows += [(200 + i, t) for i, t in rows[:10]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter((r.doc_id, r.class_id) for r in dedup.near_duplicates(docs).collect()) == Counter(brute_classes(rows))
+    kept = {r.doc_id for r in dedup.keep_one(docs).collect()}
+    assert kept == {c for _, c in brute_classes(rows)}
+
+
 def test_keep_one(odd_docs, spark):
     kept = dedup.keep_one(odd_docs)
     assert kept.columns == odd_docs.columns
