@@ -17,7 +17,7 @@ import numpy as np
 
 SCALE_BITS = 20
 LANES = 2048
-#: rows between two checkpoints
+#: rows between two checkpoints, if not given
 CHECKPOINT_ROWS = 256
 _LOW = 31  # states stay at or above 2**31
 _MAGIC = b"RANS\x01"
@@ -54,8 +54,8 @@ class Table:
         return Table(symbols, share)
 
 
-def encode(tokens: np.ndarray, table: Table, lanes: int = LANES) -> bytes:
-    """One block with header, checkpoints, words and a checksum."""
+def encode(tokens: np.ndarray, table: Table, lanes: int = LANES, every: int = CHECKPOINT_ROWS) -> bytes:
+    """One block with header, a checkpoint ``every`` so many rows, words and a checksum."""
     n = len(tokens)
     lanes = max(1, min(lanes, n))
     rows = -(-n // lanes)
@@ -74,7 +74,7 @@ def encode(tokens: np.ndarray, table: Table, lanes: int = LANES) -> bytes:
         x[full] >>= wide
         quotient = x // f
         state[:len(at)] = (quotient << scale) + (x - quotient * f) + table.start[at]
-        if row % CHECKPOINT_ROWS == 0:
+        if row % every == 0:
             marks.append((row, given, state.copy()))
     marks.reverse()
     body = [struct.pack(_HEAD, _MAGIC, n, lanes, len(marks))]
@@ -85,6 +85,31 @@ def encode(tokens: np.ndarray, table: Table, lanes: int = LANES) -> bytes:
     return block + struct.pack("<I", zlib.crc32(block))
 
 
+def parts(block: bytes, tokens: int) -> list[tuple[int, bytes]]:
+    """A block cut at checkpoints into blocks of about ``tokens`` tokens, each
+    with its first token's place; they decode without one another."""
+    if zlib.crc32(block[:-4]) != struct.unpack("<I", block[-4:])[0]:
+        raise ValueError("block checksum does not match")
+    _, n, lanes, count = struct.unpack_from(_HEAD, block)
+    size, base = 8 + 8 * lanes, struct.calcsize(_HEAD)
+    marks = [struct.unpack_from("<II", block, base + i * size) for i in range(count)]
+    step = max(1, tokens // (lanes * marks[1][0])) if count > 1 else 1
+    words = base + count * size
+    end = (len(block) - 4 - words) // 4
+    out = []
+    for first in range(0, count, step):
+        last = min(first + step, count)
+        (row, place), (stop, until) = marks[first], marks[last] if last < count else (-(-n // lanes), end)
+        body = [struct.pack(_HEAD, _MAGIC, min(stop * lanes, n) - row * lanes, lanes, last - first)]
+        for i in range(first, last):
+            states = block[base + i * size + 8:base + (i + 1) * size]
+            body.append(struct.pack("<II", marks[i][0] - row, marks[i][1] - place) + states)
+        body.append(block[words + 4 * place:words + 4 * until])
+        whole = b"".join(body)
+        out.append((row * lanes, whole + struct.pack("<I", zlib.crc32(whole))))
+    return out
+
+
 def decode(block: bytes, table: Table, first: int = 0, last: int | None = None) -> np.ndarray:
     """Tokens of a block, or of its checkpoints ``first`` up to ``last``."""
     if zlib.crc32(block[:-4]) != struct.unpack("<I", block[-4:])[0]:

@@ -8,6 +8,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from roadframe.llm import coding, packing, rans, tokens
 from roadframe.session import fresh_shared_path
 
@@ -129,6 +131,43 @@ def test_token_files_round_trip(spark, odd_docs, table, plain):
     check_files(spark, table("documents"), plain)
 
 
+def test_rans_parts_decode_alone():
+    values = np.random.default_rng(1).integers(0, 90, 5000) ** 2
+    table = rans.Table.from_counts(*np.unique(values, return_counts=True))
+    for n, lanes, every, tokens in ((5000, 4, 16, 100), (5000, 7, 3, 1), (4999, 64, 8, 512), (1, 4, 16, 9), (40, 64, 2, 5)):
+        found = rans.parts(rans.encode(values[:n], table, lanes, every), tokens)
+        decoded = [rans.decode(part, table) for _, part in found]
+        assert (np.concatenate(decoded) == values[:n]).all()
+        assert [p for p, _ in found] == np.cumsum([0, *map(len, decoded)])[:-1].tolist()
+    assert len(rans.parts(rans.encode(values, table, 4, 16), 100)) == -(-5000 // 64)
+
+
+def test_joined_checksums():
+    text = bytes(range(256)) * 20
+    for cut in (0, 1, 3, 255, 4000, len(text)):
+        a, b = text[:cut], text[cut:]
+        assert coding.joined_crc32(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(text)
+
+
+def test_long_text_is_decoded_by_several_tasks(spark, plain):
+    long = " ".join(f"w{i % 977}" for i in range(200_000))
+    docs = spark.createDataFrame([(1, "short"), (2, long), (3, "x y"), (4, long + " tail"), (5, None)], "doc_id long, text string")
+    path = fresh_shared_path(spark, "test-long-token-files")
+    coding.write_tokens(docs, path, block_tokens=1000)
+    whole = {r.doc_id: r for r in coding.read_tokens(spark, path).collect()}
+    for ids in (True, False):
+        cut = {r.doc_id: r for r in coding.read_tokens(spark, path, ids, long_block=1000).collect()}
+        assert cut.keys() == whole.keys()
+        for i, r in cut.items():
+            assert all(r[c] == whole[i][c] for c in r.asDict())
+    assert np.frombuffer(whole[2].ids, "<u4").tolist() == plain(long, 2)
+    blocks = spark.read.parquet(f"{path}/blocks").where("tokens > 1000").select("part", "before", "doc_ids", "lengths", "block")
+    parts = coding.cut_blocks(blocks, 250).repartition(4, "part", "before", "place")
+    tasks = parts.withColumn("task", F.spark_partition_id()).groupBy("part", "before").agg(
+        F.count_distinct("task").alias("tasks"), F.count(F.lit(1)).alias("n")).collect()
+    assert len(tasks) == 2 and all(t.n > 2 and t.tasks > 1 for t in tasks)
+
+
 def test_token_files_of_nothing(spark, no_docs):
     path = fresh_shared_path(spark, "test-no-token-files")
     coding.write_tokens(no_docs, path)
