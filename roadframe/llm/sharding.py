@@ -46,6 +46,18 @@ def grown(tree: Sequence[Leaf], weight: float = 1.0) -> list[Leaf]:
     return [*tree, Leaf(f"region-{n}", f"rack-{n}", n, weight)]
 
 
+def tree_of(shards: int = SHARDS, base: int = SHARDS) -> list[Leaf]:
+    """The tree that a number of shards decides: an even tree of the first
+    ``base`` of them, the size at which a corpus was first dealt, and every
+    further one added by ``grown``. So the tree of ``n + 1`` shards is the
+    grown tree of ``n``, and growing by any number moves documents only into
+    the new shards."""
+    tree = even_tree(min(shards, base))
+    for _ in range(shards - len(tree)):
+        tree = grown(tree)
+    return tree
+
+
 def _draw(key: Sequence[Column], label: str, weight: float) -> Column:
     return -F.log(uniform(F.lit(label), *key)) / F.lit(float(weight))
 
@@ -108,5 +120,5 @@ def assign_shards(docs: DataFrame, tree: Sequence[Leaf]) -> DataFrame:
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All ``documents`` in shards 0 to 23 of an even tree; see ``assign_shards``."""
-    return assign_shards(read_table(spark, sf_dir, "documents"), even_tree(SHARDS))
+    """All ``documents`` in shards 0 to 23; see ``tree_of`` and ``assign_shards``."""
+    return assign_shards(read_table(spark, sf_dir, "documents"), tree_of(SHARDS))

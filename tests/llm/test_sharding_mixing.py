@@ -1,8 +1,11 @@
+import math
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 
 from roadframe.llm import mixing, sharding
 
@@ -42,6 +45,46 @@ def test_weights_are_met(spark):
     assert set(got) == {0, 1, 2} and abs(got[0] - 1000) < 150 and abs(got[1] - 3000) < 200
 
 
+def plain_shard(doc_id, tree):
+    """The three draws with xxhash in plain Python."""
+    def score(label, weight):
+        seed = xxhash.xxh64_intdigest(label.encode(), 42)
+        if doc_id is not None:
+            seed = xxhash.xxh64_intdigest(struct.pack("<q", doc_id), seed)
+        return -math.log(((seed & ((1 << 53) - 1)) + 0.5) / (1 << 53)) / weight
+
+    for level in ("region", "rack", "shard"):
+        groups = defaultdict(float)
+        for leaf in tree:
+            if leaf.weight > 0:
+                groups[getattr(leaf, level)] += leaf.weight
+        best = min(groups, key=lambda g: score(f"{level} {g}", groups[g]))
+        tree = [leaf for leaf in tree if getattr(leaf, level) == best]
+    return tree[0].shard
+
+
+def test_draws_equal_plain_python(spark):
+    ids = [None, *range(-20, 400), 2 ** 62]
+    df = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    uneven = [sharding.Leaf(x.region, x.rack, x.shard, 1.0 + x.shard % 4) for x in sharding.even_tree(11)]
+    for tree in (sharding.tree_of(24), sharding.tree_of(27), uneven):
+        got = {r[0]: r[1] for r in df.select("doc_id", sharding.shard_of([df["doc_id"]], tree)).collect()}
+        assert got == {i: plain_shard(i, tree) for i in ids}
+
+
+def test_count_decides_the_tree(spark):
+    ids = spark.range(4000).withColumnRenamed("id", "doc_id")
+    key = [ids["doc_id"]]
+    counts = range(24, 31)
+    for n in counts:
+        assert sharding.tree_of(n + 1) == sharding.grown(sharding.tree_of(n))
+    rows = ids.select(*(sharding.shard_of(key, sharding.tree_of(n)).alias(f"s{n}") for n in counts)).collect()
+    for n in counts[:-1]:
+        moved = [r for r in rows if r[f"s{n}"] != r[f"s{n + 1}"]]
+        assert {r[f"s{n + 1}"] for r in moved} == {n} and 60 < len(moved) < 300
+    assert sharding.tree_of(24) == sharding.even_tree(24) and sharding.tree_of(5) == sharding.even_tree(5)
+
+
 def test_no_shards(no_docs):
     assert sharding.assign_shards(no_docs, sharding.even_tree(3)).collect() == []
 
