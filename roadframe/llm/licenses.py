@@ -27,6 +27,10 @@ THRESHOLD = 0.8
 SPREAD, LEAST_WINDOW = 2, 16
 #: words that tell licenses of like wording apart: where a template has some, a window must hold all of them
 TELLING = frozenset("apache attribution gnu mit mozilla nc noncommercial sharealike unencumbered".split())
+#: a family's name that a word of the others follows names one of them: 'attribution
+#: noncommercial' is no plain 'attribution', which templates without such a word ask for
+FAMILY = ("attribution",)
+OTHERS = ("nc", "nd", "noderivatives", "noderivs", "noncommercial", "sa", "sharealike")
 #: a word is a run of characters other than these (after lower-casing A-Z)
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -54,6 +58,14 @@ TEMPLATES = [
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and "
             "associated documentation files to deal in the software without restriction"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed "
+               "on an as is basis without warranties or conditions of any kind either express or implied"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+            "products derived from this software without specific prior written permission"),
+    ("gpl", "you should have received a copy of the gnu general public license along with this program"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions "
+            "of the software"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
@@ -73,6 +85,23 @@ def words_of(low: Column) -> Column:
     return F.array_remove(F.split(low, SEPARATORS), "")
 
 
+def marked(words: Column) -> Column:
+    """The words, family names that stand for another license with a plus sign."""
+    followed = lambda i: F.coalesce(F.get(words, i + 1).isin(*OTHERS), F.lit(False))
+    told = F.transform(words, lambda w, i: F.when(w.isin(*FAMILY) & followed(i), F.concat(w, F.lit("+"))).otherwise(w))
+    return F.when(F.arrays_overlap(words, _strings(OTHERS)), told).otherwise(words)
+
+
+def unmarked(words: Column) -> Column:
+    return F.transform(words, lambda w: F.when(w.isin(*(f + "+" for f in FAMILY)), F.regexp_replace(w, "[+]", "")).otherwise(w))
+
+
+def plain(text: str) -> bool:
+    """Whether a template has a family's name by itself."""
+    words = text.split(" ")
+    return any(w in FAMILY and not (words[i + 1:i + 2] and words[i + 1] in OTHERS) for i, w in enumerate(words))
+
+
 def _strings(values: Sequence[str]) -> Column:
     return F.array(*(F.lit(v) for v in values)) if values else F.array().cast("array<string>")
 
@@ -114,14 +143,14 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
     other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    sets = [(label, sorted(set(text.split(" "))), window(text)) for label, text in templates]
-    widest = max((width for _, _, width in sets), default=LEAST_WINDOW)
-    vocabulary = sorted({w for _, words, _ in sets for w in words})
+    sets = [(label, sorted(set(text.split(" "))), window(text), plain(text)) for label, text in templates]
+    widest = max((width for _, _, width, _ in sets), default=LEAST_WINDOW)
+    vocabulary = sorted({w for _, words, _, _ in sets for w in words})
     frequency = word_frequencies(docs, vocabulary)
     order = sorted(vocabulary, key=lambda w: (frequency[w], w))
     place = {w: i for i, w in enumerate(order)}
     prefixes, first_words = [], set()
-    for number, (_, words, _) in enumerate(sets):
+    for number, (_, words, _, _) in enumerate(sets):
         need = math.ceil(threshold * len(words) - 1e-9)
         by_order = sorted(words, key=place.get)
         for at, word in enumerate(by_order[:len(words) - need + 1]):
@@ -129,13 +158,14 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
             first_words.add(word)
 
     low = docs.select("doc_id", lowered(F.col("text")).alias("low")).withColumn("words", words_of(F.col("low")))
+    low = low.withColumn("marked", marked(F.col("words")))
     found = low.withColumns({f"p{i}": _places(F.col("words"), phrase) for i, phrase in enumerate(phrases)})
-    rare = _strings(sorted(first_words))
+    rare = _strings(sorted(first_words | {w + "+" for w in FAMILY if w in first_words}))
     # a window that starts in the first half of a block ends in it; blocks
     # that hold no prefix word of any template meet none
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(widest))
-    blocks = F.when(F.arrays_overlap("words", rare), F.filter(
-        F.transform(starts, lambda i: F.slice("words", i + 1, 2 * widest - 1)), lambda block: F.arrays_overlap(block, rare)))
+    blocks = F.when(F.arrays_overlap("marked", rare), F.filter(
+        F.transform(starts, lambda i: F.slice("marked", i + 1, 2 * widest - 1)), lambda block: F.arrays_overlap(block, rare)))
     all_places = F.flatten(F.array(*(F.col(f"p{i}") for i in range(len(phrases)))))
     base = F.array_compact(F.array(*(
         F.when(F.size(f"p{i}") > 0, F.lit(label)) for i, label in enumerate(phrases.values()))))
@@ -148,11 +178,11 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
     # bounds: the prefixes and sizes of the given templates
     prefix = F.broadcast(spark.createDataFrame(prefixes, "word string, template int, at int, size int, need int, telling array<string>"))
     texts = F.broadcast(spark.createDataFrame(
-        [(i, label, words, width) for i, (label, words, width) in enumerate(sets)],
-        "template int, label string, content array<string>, width int"))
+        [(i, *found) for i, found in enumerate(sets)],
+        "template int, label string, content array<string>, width int, plain boolean"))
     block = rows.select("row", F.posexplode("blocks").alias("block", "run"))
     # in the order of the first array: rarest words first
-    block = block.withColumn("held", F.array_intersect(_strings(order), "run"))
+    block = block.withColumn("held", F.array_intersect(_strings(order), unmarked(F.col("run"))))
     heads = block.select("*", F.posexplode("held").alias("j", "word"))
     held = F.size("held")
     pairs = heads.join(prefix, "word").where(
@@ -166,7 +196,8 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
     inside = F.transform(begins, lambda i: F.array_intersect("content", F.slice("run", i + 1, F.col("width"))))
     inside = F.filter(inside, lambda found: F.size(F.array_except("telling", found)) == 0)
     common = F.array_max(F.transform(inside, F.size))
-    met = pairs.join(texts, "template").withColumn("common", common).where(F.col("common") >= F.col("need"))
+    met = pairs.join(texts, "template").withColumn(
+        "run", F.when(F.col("plain"), F.col("run")).otherwise(unmarked(F.col("run")))).withColumn("common", common).where(F.col("common") >= F.col("need"))
     met = met.groupBy("row").agg(F.collect_set("label").alias("more"), F.max(F.col("common") / F.col("size")).alias("share"))
 
     out = rows.drop("blocks").join(met, "row", "left")
@@ -187,29 +218,41 @@ def _quoted(value: str) -> str:
 
 
 def oracle_sql(threshold: float = THRESHOLD) -> str:
-    """The scan in DuckDB SQL: phrases by place, and every block against every
-    template by plain set intersection, without filters."""
+    """The scan in DuckDB SQL: phrases by place, and every window of every text
+    against every template by plain set intersection, without filters but that
+    the whole text holds enough of the template's words."""
     words = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
     places = []
     for phrase, label in PHRASES.items():
         match = " AND ".join(f"words[i + {k}] = {_quoted(w)}" for k, w in enumerate(phrase.split(" ")))
         places.append(f"SELECT r, {_quoted(label)} AS label, unnest(list_filter(range(1, len(words) + 1), lambda i: {match})) AS spot FROM w")
-    templates = ", ".join(f"({_quoted(label)}, list_distinct(string_split({_quoted(text)}, ' ')))" for label, text in TEMPLATES)
+    listed = lambda found: "CAST([" + ", ".join(map(_quoted, found)) + "] AS VARCHAR[])"
+    templates = ", ".join(
+        f"({_quoted(label)}, {listed(sorted(set(text.split(' '))))}, {window(text)}, "
+        f"{listed(sorted(set(text.split(' ')) & TELLING))}, {plain(text)})" for label, text in TEMPLATES)
+    family, others = (", ".join(map(_quoted, found)) for found in (FAMILY, OTHERS))
     return f"""WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents
-), w AS (SELECT r, doc_id, low, regexp_extract_all(low, {words}) AS words FROM d
+), w AS MATERIALIZED (SELECT r, doc_id, regexp_extract_all(low, {words}) AS words FROM d
 ), p AS ({" UNION ALL ".join(places)}
 ), b AS (
   SELECT r, count(*) AS n_base, min(spot) - 1 AS first_word, max(spot) - 1 AS last_word,
     list_sort(list_distinct(list(label))) AS base FROM p GROUP BY r
-), blocks AS (
-  SELECT r, list_distinct(regexp_extract_all(line, {words})) AS held
-  FROM (SELECT r, unnest(string_split(low, chr(10))) AS line FROM w)
+), k AS (
+  SELECT r, words AS whole, list_transform(range(1, len(words) + 1), lambda i:
+    CASE WHEN words[i] IN ({family}) AND words[i + 1] IN ({others}) THEN words[i] || '+' ELSE words[i] END) AS told FROM w
+), c AS (
+  SELECT r, label, content, telling, width, CASE WHEN plain THEN told ELSE whole END AS words
+  FROM k CROSS JOIN (VALUES {templates}) t(label, content, width, telling, plain)
+  WHERE len(list_intersect(list_distinct(whole), content)) >= ceil({threshold} * len(content) - 1e-9)
+), runs AS (
+  SELECT r, label, content, telling, unnest(list_transform(list_filter(range(1, len(words) + 1),
+    lambda i: list_contains(content, words[i])), lambda i: list_distinct(words[i:i + width - 1]))) AS run FROM c
 ), m AS (
   SELECT r, list_distinct(list(label)) AS more, max(common / len(content)) AS share FROM (
-    SELECT r, label, content, len(list_intersect(held, content)) AS common
-    FROM blocks CROSS JOIN (VALUES {templates}) t(label, content))
+    SELECT r, label, content, len(list_intersect(run, content)) AS common FROM runs
+    WHERE len(list_intersect(run, telling)) = len(telling))
   WHERE common >= ceil({threshold} * len(content) - 1e-9) GROUP BY r
 )
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,

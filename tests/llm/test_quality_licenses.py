@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -181,3 +182,29 @@ def test_like_licenses_are_told_apart(spark):
     got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert {r.doc_id: r.labels for r in got} == dict(enumerate(texts.values()))
     assert all((r.score == 0) == (r.labels == "") for r in got)
+
+
+def test_licenses_of_one_family(spark):
+    full = "This work is licensed under a Creative Commons Attribution{} 4.0 International License"
+    texts = {full.format(""): "cc-by", full.format("-NonCommercial"): "cc-by-nc", full.format("-ShareAlike"): "cc-by-sa",
+             full.format(" NonCommercial") + ". " + full.format(""): "cc-by,cc-by-nc", full.format("-NoDerivatives"): ""}
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.labels for r in got} == dict(enumerate(texts.values()))
+
+
+def test_sql_states_the_windows(spark):
+    """The SQL agrees with the scan on wrapped, strewn and broken licenses."""
+    random = np.random.default_rng(3)
+    texts = [None, "", *EXTRA]
+    for _ in range(60):
+        words = licenses.TEMPLATES[random.integers(len(licenses.TEMPLATES))][1].split()
+        words = [w for w in words if random.random() > 0.08]
+        for at in random.integers(0, len(words) + 1, random.integers(0, 2 * len(words) + 8)):
+            words.insert(at, str(random.choice(["the", "x", "license", "of", "nc", "sharealike", "attribution"])))
+        texts.append(wrapped(" ".join(["z"] * random.integers(0, 130) + words), int(random.integers(1, 9))))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {tuple(r) for r in licenses.scan(docs).collect()}
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": list(range(len(texts))), "text": pa.array(texts, pa.string())}))
+    assert {tuple(r) for r in con.execute(licenses.oracle_sql()).fetchall()} == found
+    assert len({r[6] for r in found}) > 5
