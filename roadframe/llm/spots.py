@@ -5,6 +5,7 @@ common-word anchors. A document's fingerprint is the set of its spots.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -144,7 +145,8 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
     true; the last part by the very first document).
 
     Parts are ranges of doc_id by quantile, so a task holds neighbours and the
-    only rows sent twice are one per part.
+    only rows sent twice are one per part. An id that fills several quantiles
+    is split by text hash.
     """
     parts = parts or shuffle_partitions(docs.sparkSession)
     # nulls come last; equal ids by text hash
@@ -153,11 +155,14 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
                        ident.alias("_id"))
     shares = [i / parts for i in range(1, parts)]
     cuts = rows.agg(F.percentile_approx("_id", F.array(*map(F.lit, shares or [0.5])), 10_000)).head()[0] or []
-    cuts = sorted(set(cuts), reverse=True)
+    times = Counter(cuts)
+    cuts = [(c, -(1 << 63) + k * ((1 << 64) // times[c])) for c in times for k in range(times[c])]
     # part 0 holds the largest ids; a literal array of one bound per partition
-    bounds = F.array(*(F.lit(c) for c in cuts)) if cuts else F.array().cast("array<long>")
-    part = F.size(F.filter(bounds, lambda c: c > F.col("_id")))
-    rows = rows.withColumn("part", part).withColumn("_tie", F.xxhash64("text"))
+    bounds = F.array(*(F.struct(F.lit(c).alias("id"), F.lit(t).cast("long").alias("tie")) for c, t in cuts)) \
+        if cuts else F.array().cast("array<struct<id:bigint,tie:bigint>>")
+    rows = rows.withColumn("_tie", F.xxhash64("text"))
+    part = F.size(F.filter(bounds, lambda b: (b["id"] > F.col("_id")) | ((b["id"] == F.col("_id")) & (b["tie"] > F.col("_tie")))))
+    rows = rows.withColumn("part", part)
     heads = rows.groupBy("part").agg(F.max(F.struct("_id", "_tie")).alias("h")).orderBy("part").collect()  # one row per part
     table = [(r["part"], heads[i - 1]["part"], r["h"]["_id"], r["h"]["_tie"]) for i, r in enumerate(heads)]
     spark = docs.sparkSession
