@@ -39,6 +39,8 @@ SAMPLE = 2000
 #: bytes of vectors in one group of buckets
 GROUP_BYTES = 16 << 20
 MAX_PROBES = 1 << 16
+#: bytes of interval combinations that are weighed at once
+PROBE_BYTES = 64 << 20
 
 
 @dataclass
@@ -50,6 +52,7 @@ class Index:
     directions: np.ndarray  # tables x (dimension + 1) x projections
     shifts: np.ndarray
     groups: int
+    lead: int  # projections whose intervals decide a bucket's group
 
     @staticmethod
     def draw(dimension: int, rows: int, scale: float, similarity: float, groups: int, seed: int = 0) -> Index:
@@ -57,7 +60,12 @@ class Index:
         k = max(3, round(math.log2(max(rows, 1) / OCCUPANCY + 1) / bits))
         random = np.random.default_rng(seed)
         return Index(scale, similarity, random.normal(size=(TABLES, dimension + 1, k)),
-                     random.uniform(0, WIDTH, (TABLES, k)), groups)
+                     random.uniform(0, WIDTH, (TABLES, k)), groups, min(k, math.ceil(math.log2(max(groups, 1)) / bits)))
+
+    def group(self, cells: np.ndarray) -> np.ndarray:
+        """Group of a bucket: near buckets, of equal leading intervals, lie in
+        one group, so that a query's likely buckets lie in few."""
+        return _bucket(cells[..., :self.lead]) % self.groups
 
     def project(self, vectors: np.ndarray, query: bool) -> np.ndarray:
         """Tables x rows x projections."""
@@ -66,33 +74,46 @@ class Index:
         rest = np.zeros(len(vectors)) if query else np.sqrt(np.maximum(0.0, 1.0 - (norms / self.scale) ** 2))
         return np.concatenate((unit, rest[:, None]), axis=1) @ self.directions
 
-    def buckets(self, vectors: np.ndarray) -> np.ndarray:
+    def buckets(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Groups and bucket numbers, tables x rows."""
         cells = np.floor((self.project(vectors, False) + self.shifts[:, None, :]) / WIDTH).astype(np.int64)
-        return _bucket(cells)
+        return self.group(cells), _bucket(cells)
 
-    def probes(self, vectors: np.ndarray, most: int = MAX_PROBES) -> list[list[np.ndarray]]:
-        """By table and query: bucket numbers in descending estimated success;
-        none for a query that ``most`` buckets of some table do not suffice."""
+    def probes(self, vectors: np.ndarray, most: int = MAX_PROBES) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+        """By table and query: groups and bucket numbers in descending
+        estimated success; none for a query that ``most`` buckets of some table
+        do not suffice. PROBE_BYTES bound what is held at once, whatever the
+        rows of the index."""
         wanted = 1.0 - (1.0 - SUCCESS) ** (1.0 / TABLES)
         spread = math.sqrt(1.0 - self.similarity ** 2)
         cells = np.arange(-math.ceil(6 / WIDTH) - 1, math.ceil(6 / WIDTH) + 1)
+        none = (np.zeros(0, np.int64),) * 2
         found, short = [], np.zeros(len(vectors), bool)
         for table, projected in enumerate(self.project(vectors, True)):
             # chance of every interval of every projection
             edges = np.append(cells, cells[-1] + 1)[:, None] * WIDTH - self.shifts[table]
             z = (edges[None] - self.similarity * projected[:, None, :]) / spread
             chance = np.diff(_normal(z), axis=1)
-            keep = min(256, most)
-            while True:
-                score, chosen = _likeliest(chance, keep)
-                if keep >= most or score.shape[1] < keep or (score.sum(axis=1) >= wanted).all():
-                    break
-                keep = min(4 * keep, most)
-            short |= score.sum(axis=1) < wanted
-            many = 1 + (np.cumsum(score, axis=1) < wanted).sum(axis=1)
-            numbers = _bucket(cells[chosen])
-            found.append([row[:m] for row, m in zip(numbers, many.tolist(), strict=True)])
-        return [[row[:0] if cut else row for row, cut in zip(rows, short.tolist(), strict=True)] for rows in found]
+            rows, open_, keep = [none] * len(vectors), np.flatnonzero(~short), min(256, most)
+            while len(open_):
+                # products, their order and the combinations chosen so far
+                step = max(1, PROBE_BYTES // (keep * 8 * (3 * len(cells) + 2 * chance.shape[2])))
+                left = []
+                for i in range(0, len(open_), step):
+                    some = open_[i:i + step]
+                    score, chosen = _likeliest(chance[some], keep)
+                    total = np.cumsum(score, axis=1)
+                    for r, at in enumerate(some.tolist()):
+                        if total[r, -1] >= wanted:
+                            picked = cells[chosen[r, :1 + int((total[r] < wanted).sum())]]
+                            rows[at] = (self.group(picked), _bucket(picked))
+                        elif keep >= most or score.shape[1] < keep:
+                            short[at] = True
+                        else:
+                            left.append(at)
+                open_, keep = np.array(left, np.int64), min(4 * keep, most)
+            found.append(rows)
+        return [[none if cut else row for row, cut in zip(rows, short.tolist(), strict=True)] for rows in found]
 
 
 def _normal(z: np.ndarray) -> np.ndarray:
@@ -203,9 +224,9 @@ def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST, max_pro
 
     def hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for table, numbers in enumerate(held.value.buckets(_matrix(batch.column(1), d))):
+            for table, (group, numbers) in enumerate(zip(*held.value.buckets(_matrix(batch.column(1), d)), strict=True)):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(numbers), table, np.int32)), pa.array(numbers % held.value.groups),
+                    [pa.array(np.full(len(numbers), table, np.int32)), pa.array(group),
                      pa.array(numbers), batch.column(0), batch.column(1)], names=["table", "g", "bucket", "id", "vector"])
 
     def probe_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,8 +234,7 @@ def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST, max_pro
             for batch in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
                 out: list[tuple] = []
                 for table, probes in enumerate(held.value.probes(_matrix(batch.column(1), d), max_probes)):
-                    for row, numbers in enumerate(probes):
-                        group = numbers % held.value.groups
+                    for row, (group, numbers) in enumerate(probes):
                         out.extend((table, g, row, numbers[group == g]) for g in np.unique(group).tolist())
                 tables, groups, at, numbers = zip(*out, strict=True) if out else [()] * 4
                 at = pa.array(at, pa.int32())

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -58,6 +59,23 @@ def test_edited_fingerprints(odd_docs, table, which):
         assert r.near_next == pytest.approx(jaccard(sets[k], sets[(k + 1) % len(texts)]))
 
 
+def test_a_common_id_is_split(spark):
+    """Rows of one id, and those without, go to several tasks and keep their order."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text number {i} of many") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    dealt = spots.with_next(docs, parts=9).where("not tail")
+    sizes = [r["count"] for r in dealt.groupBy("part").count().collect()]
+    assert sum(sizes) == 900 and max(sizes) <= 250 and len(sizes) >= 6
+    got = spots.edited_fingerprints(docs).collect()
+    tie = {r.text: r.t for r in docs.select("text", F.xxhash64("text").alias("t")).collect()}
+    order = sorted(rows, key=lambda r: (-(1 << 63) if r[0] is None else r[0], tie[r[1]]), reverse=True)
+    wanted = Counter()
+    for (i, own), (_, following) in zip(order, order[1:] + order[:1]):
+        k = len(own) // 3
+        wanted[i, hashlib.sha256((own[:len(own) - k] + following[:k]).encode()).hexdigest()] += 1
+    assert Counter((r.doc_id, r.edited_sha256) for r in got) == wanted
+
+
 def test_edited_fingerprints_of_few(spark, no_docs):
     assert spots.edited_fingerprints(no_docs).collect() == []
     [only] = spots.edited_fingerprints(spark.createDataFrame([(5, "abcdefghi")], "doc_id long, text string")).collect()
@@ -289,3 +307,52 @@ def test_short_queries_are_searched_exactly(spark, rows, size, max_probes):
     for q in range(0, rows, 3):
         order = [int(i) for i in np.argsort(-(x @ x[q]), kind="stable") if i != q]
         assert got[q] == order[:20]
+
+
+def test_memory_of_probes_is_bounded():
+    """An index drawn for 10^8 rows, with weak neighbours: every query runs out
+    of its buckets, and what is held at once stays small."""
+    index = neighbours.Index.draw(64, 10 ** 8, 1.0, 0.57, 3000)
+    queries = np.random.default_rng(0).normal(size=(6, 64))
+    tracemalloc.start()
+    found = index.probes(queries)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500 << 20
+    assert len(found) == neighbours.TABLES and all(len(g) == len(b) for rows in found for g, b in rows)
+
+
+def test_a_query_visits_few_groups():
+    """At 10^7 rows and neighbours at similarity 0.9 a query goes to less than
+    a tenth of the groups of buckets."""
+    random = np.random.default_rng(1)
+    groups = 305
+    index = neighbours.Index.draw(64, 10 ** 7, 1.0, 0.9, groups)
+    queries = random.normal(size=(40, 64))
+    queries /= np.linalg.norm(queries, axis=1, keepdims=True)
+    near = 0.9 * queries + np.sqrt(1 - 0.81) * _beside(queries, random)
+    place, numbers = index.buckets(near)
+    met, visited = np.zeros(len(queries), bool), 0
+    for table, rows in enumerate(index.probes(queries)):
+        for q, (group, bucket) in enumerate(rows):
+            visited += len(np.unique(group))
+            met[q] |= numbers[table, q] in bucket.tolist()
+            assert place[table, q] in group.tolist() or numbers[table, q] not in bucket.tolist()
+    assert visited / (len(queries) * neighbours.TABLES * groups) < 0.1
+    assert met.mean() >= 0.9
+
+
+def _beside(queries, random):
+    """Unit vectors at right angles to the queries."""
+    other = random.normal(size=queries.shape)
+    other -= (other * queries).sum(axis=1, keepdims=True) * queries
+    return other / np.linalg.norm(other, axis=1, keepdims=True)
+
+
+def test_huge_and_tiny_components(spark):
+    """Vectors of huge and of tiny finite values give finite scores or none."""
+    rows = [(i, (np.random.default_rng(i).normal(size=4) * s).tolist()) for i, s in enumerate([1e150, 1e150, 1.0, 1e-150, 1e-160, 1.0])]
+    got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 2 == 0).collect()
+    by_query = Counter(r.query_id for r in got)
+    assert set(by_query) <= {0, 2, 4} and all(n <= 5 for n in by_query.values())
+    assert all(r.score == float(np.dot(rows[r.query_id][1], rows[r.vec_id][1])) or abs(r.score) > 0 for r in got)
