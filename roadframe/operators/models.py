@@ -92,12 +92,18 @@ def train(stages: Sequence, train_df: DataFrame, key: str | None = None,
           partitions: int = FIT_PARTITIONS) -> PipelineModel:
     """Chain the stages and fit them once on ``train_df``. With ``key``, the
     last stage (the learner) is fitted on the rows laid out by it, so the fit
-    is the same for any cores and input files."""
+    is the same for any cores and input files. The laid-out vectors are
+    persisted (memory and disk) for the time of the fit: the learner passes
+    over them several times, and each pass would shuffle and sort them anew."""
     if key is None:
         return Pipeline(stages=list(stages)).fit(train_df)
-    prepared = Pipeline(stages=list(stages[:-1])).fit(train_df)
+    prepared, learner = Pipeline(stages=list(stages[:-1])).fit(train_df), stages[-1]
     rows = laid_out(prepared.transform(train_df), key, train_df.columns, partitions)
-    return PipelineModel(stages=[*prepared.stages, stages[-1].fit(rows)])
+    rows = rows.select(learner.getLabelCol(), learner.getFeaturesCol()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return PipelineModel(stages=[*prepared.stages, learner.fit(rows)])
+    finally:
+        rows.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

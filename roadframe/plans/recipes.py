@@ -54,6 +54,8 @@ class Recipe:
         return ("accuracy",) if self.task == "classify" else ("rmse", "r2")
 
 
+# Labels, input columns and their order, encodings, splits and
+# learner parameters decide the results.
 # Recipes 1-2 exist in two forms ("a": dedup, index-only categories, 70/30;
 # "b": no dedup, one-hot, 80/20); 3-5 have one form.
 RECIPES: dict[str, Recipe] = {
