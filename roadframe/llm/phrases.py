@@ -31,11 +31,15 @@ COVER = 80
 TOP = 2000
 #: bounds of one broadcast trie: bytes of words, number of phrases. More of
 #: them are dealt to further tries, walked one after the other.
-TRIE_BYTES = 1 << 21
-TRIE_PHRASES = 1 << 18
-#: bytes that number a word in the phrase trie
-DIGITS = 4
-SLICE = 4 << 20
+TRIE_BYTES = 1 << 22
+TRIE_PHRASES = 1 << 19
+SLICE = 2 << 20
+#: word numbers in a stored row (10,000 of them travel to a worker at once) and in
+#: a block that is counted at once
+ROW_IDS = 1 << 7
+BLOCK_IDS = 1 << 18
+#: bits of a word's number in a candidate's code, below those of its prefix
+WORD_BITS = 31
 SALTS = 32
 #: separators of words, and of pieces (fixed values)
 BLANKS = b" \t"
@@ -137,7 +141,7 @@ def _encoder(held, last: bool):
                         [batch.column(0), batch.column(1), pa.ListArray.from_arrays(cuts, pa.array(number))],
                         names=["lang", "text", "ids"])
                     continue
-                yield pa.RecordBatch.from_arrays([_one_list(_runs(number, words.joined))], names=["ids"])
+                yield pa.RecordBatch.from_arrays([_rows(_runs(number, words.joined))], names=["ids"])
             release()
 
     return encode
@@ -158,65 +162,71 @@ def _runs(number: np.ndarray, joined: np.ndarray) -> np.ndarray:
     return out
 
 
-def _one_list(values: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values.astype(np.int32)))
+def _rows(values: np.ndarray) -> pa.ListArray:
+    """Lists of about ROW_IDS numbers, cut before a 0."""
+    zeros = np.flatnonzero(values == 0)
+    wanted = np.arange(ROW_IDS, len(values), ROW_IDS)
+    at = np.searchsorted(zeros, wanted)
+    cuts = np.unique(zeros[at[at < len(zeros)]])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], cuts, [len(values)])).astype(np.int32)), pa.array(values))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The columns of whole rows together, about BLOCK_IDS numbers at a time."""
+    for batch in batches:
+        sizes = np.cumsum(pc.list_value_length(batch.column(0)).to_numpy())
+        start = 0
+        while start < len(sizes):
+            done = sizes[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(sizes, done + BLOCK_IDS, side="right")))
+            yield tuple(c.flatten().to_numpy(zero_copy_only=False) for c in batch.slice(start, end - start).columns)
+            start = end
+        release()
 
 
-def digits(words: np.ndarray) -> list[np.ndarray]:
-    """Bytes of word numbers, high first."""
-    return [(words >> shift) & 255 for shift in range(8 * (DIGITS - 1), -1, -8)]
+def digits(words: np.ndarray, width: int) -> list[np.ndarray]:
+    """The low ``width`` bytes of word numbers, high first."""
+    return [(words >> shift) & 255 for shift in range(8 * (width - 1), -1, -8)]
 
 
-def advance(trie: DoubleArray, ids: np.ndarray, size: int) -> np.ndarray:
+def advance(trie: DoubleArray, ids: np.ndarray, size: int, width: int) -> np.ndarray:
     """Number of the phrase of ``size`` words that begins at each place, 0 if
     the trie has none."""
     places = len(ids) - size + 1
     out = np.zeros(len(ids), np.int64)
     if places <= 0:
         return out
-    levels = [d for k in range(size) for d in digits(ids[k:k + places])]
-    states = trie.walk(levels)
+    states = trie.walk([d for k in range(size) for d in digits(ids[k:k + places], width)])
     ends = np.flatnonzero(states >= 0)
     out[ends] = trie.value[states[ends]] + 1
     return out
 
 
-def _stater(held, size: int):
+def _stater(held, size: int, width: int):
     """Fill the phrase numbers that one of several tries knows."""
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(len(batch)):
-                ids = batch.column(0)[i].values.to_numpy(zero_copy_only=False)
-                states = advance(held.value, ids, size)
-                if batch.num_columns > 1:
-                    states = np.maximum(states, batch.column(1)[i].values.to_numpy(zero_copy_only=False))
-                yield pa.RecordBatch.from_arrays([_one_list(ids), pa.ListArray.from_arrays(
-                    pa.array([0, len(states)], pa.int32()), pa.array(states))], names=["ids", "states"])
-            release()
+        for ids, *known in _blocks(batches):
+            states = advance(held.value, ids, size, width)
+            rows = _rows(ids)
+            states = pa.array(np.maximum(states, known[0]) if known else states)
+            yield pa.RecordBatch.from_arrays([rows, pa.ListArray.from_arrays(rows.offsets, states)], names=["ids", "states"])
 
     return fill
 
 
-def _extender(held, size: int):
-    """(prefix, word, n): candidates of ``size`` words, counted per block."""
+def _extender(held, size: int, width: int):
+    """(code, n): candidates of ``size`` words, counted per block; the code
+    holds the number of the phrase without its last word, and that word's."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(len(batch)):
-                ids = batch.column(0)[i].values.to_numpy(zero_copy_only=False)
-                if size == 2:
-                    states = ids.astype(np.int64)
-                else:
-                    states = advance(held.value, ids, size - 1)
-                    if batch.num_columns > 1:
-                        states = np.maximum(states, batch.column(1)[i].values.to_numpy(zero_copy_only=False))
-                safe = np.flatnonzero((states[:-1] > 0) & (states[1:] > 0))
-                codes, n = np.unique((states[safe] << 31) | ids[safe + size - 1], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(codes >> 31), pa.array((codes & ((1 << 31) - 1)).astype(np.int32)), pa.array(n.astype(np.int64))],
-                    names=["prefix", "word", "n"])
-            release()
+        for ids, *known in _blocks(batches):
+            states = ids.astype(np.int64) if size == 2 else advance(held.value, ids, size - 1, width)
+            if known:
+                states = np.maximum(states, known[0])
+            safe = np.flatnonzero((states[:-1] > 0) & (states[1:] > 0))
+            codes, n = np.unique((states[safe] << WORD_BITS) | ids[safe + size - 1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n.astype(np.int64))], names=["code", "n"])
 
     return count
 
@@ -230,12 +240,12 @@ def _word_trie(vocabulary: DataFrame, shard: int) -> DoubleArray:
     return DoubleArray(offsets, np.frombuffer(keys.buffers()[2], np.uint8), part.column("id").to_numpy() - 1)
 
 
-def _phrase_trie(phrases: DataFrame, shard: int, size: int) -> DoubleArray:
+def _phrase_trie(phrases: DataFrame, shard: int, size: int, width: int) -> DoubleArray:
     """Keys are the bytes of the words' numbers; at most TRIE_PHRASES."""
     part = phrases.where(F.col("shard") == shard).select("words", "id").toArrow()
     words = part.column("words").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
-    data = np.stack([d for k in range(size) for d in digits(words[:, k])], axis=1).astype(np.uint8).ravel()
-    offsets = np.arange(len(words) + 1, dtype=np.int64) * (size * DIGITS)
+    data = np.stack([d for k in range(size) for d in digits(words[:, k], width)], axis=1).astype(np.uint8).ravel()
+    offsets = np.arange(len(words) + 1, dtype=np.int64) * (size * width)
     return DoubleArray(offsets, data, part.column("id").to_numpy() - 1)
 
 
@@ -272,26 +282,28 @@ def encode(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return table if shards else spark.createDataFrame([], "ids array<int>")
 
 
-def extend(blocks: DataFrame, shorter: DataFrame, size: int, support: int) -> DataFrame:
+def extend(blocks: DataFrame, shorter: DataFrame, size: int, support: int, width: int) -> DataFrame:
     """Frequent phrases of ``size`` words: (id, words, lang, n, shard), from
-    those of one word less."""
+    those of one word less; a word's number has ``width`` bytes."""
     sc = blocks.sparkSession.sparkContext
     held, table = None, blocks
     if size > 2:
         shards = _shards(shorter)
         for shard in range(shards):
             if held is not None:  # further tries: the states found so far are written
-                table = stored(table.mapInArrow(_stater(held, size - 1), "ids array<int>, states array<long>"),
+                table = stored(table.mapInArrow(_stater(held, size - 1, width), "ids array<int>, states array<long>"),
                                f"phrase-states-{size}-{shard}")
                 held.destroy()
-            held = sc.broadcast(_phrase_trie(shorter, shard, size - 1))  # bound: TRIE_PHRASES keys
-    schema = "prefix long, word int, n long"
+            held = sc.broadcast(_phrase_trie(shorter, shard, size - 1, width))  # bound: TRIE_PHRASES keys
+    schema = "code long, n long"
     if size > 2 and held is None:
         counted = blocks.sparkSession.createDataFrame([], schema)
     else:
-        counted = table.mapInArrow(_extender(held, size), schema)
-    frequent = counted.groupBy("prefix", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
-    numbered = ordered(frequent, [F.col("prefix"), F.col("word")], f"phrase-level-{size}")
+        counted = table.mapInArrow(_extender(held, size, width), schema)
+    frequent = counted.groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
+    numbered = ordered(frequent, [F.col("code")], f"phrase-level-{size}").withColumns({
+        "prefix": F.shiftright("code", WORD_BITS),
+        "word": F.col("code").bitwiseAND(F.lit((1 << WORD_BITS) - 1)).cast("int")})
     prefixes = shorter.select(F.col("id").alias("prefix"), "lang", F.col("words").alias("_before"))
     out = numbered.join(prefixes, "prefix").select(
         (F.col("rank") + 1).alias("id"), F.concat("_before", F.array("word")).alias("words"), "lang", "n",
@@ -317,8 +329,10 @@ def mine(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST,
     blocks = encode(docs, vocabulary)
     level = vocabulary.select("id", F.array(F.col("id").cast("int")).alias("words"), "lang", "n", "shard")
     levels = [level]
+    known = vocabulary.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    width = max(1, (int(known).bit_length() + 7) // 8)
     for size in range(2, longest + 1):
-        level = extend(blocks, level, size, support)
+        level = extend(blocks, level, size, support, width)
         levels.append(level)
     every = levels[0].select("words", "n")
     for level in levels[1:]:

@@ -12,12 +12,12 @@ WIDE = 24
 
 
 class DoubleArray:
-    """Slot ``(base[s] + symbol) & mask`` is the child of state ``s`` by
-    ``symbol`` if its ``check`` is ``s``. A state is a slot; 0 is the root.
-    ``value`` is what an accepting state stands for, -1 elsewhere.
+    """Slot ``base[s] + symbol`` is the child of state ``s`` by ``symbol`` if
+    its ``check`` is ``s``. A state is a slot; 0 is the root. ``value`` is what
+    an accepting state stands for, -1 elsewhere.
 
     Symbols are bytes, so a parent has 256 children at most. A trie of ``E``
-    edges takes 12 bytes for each of at most ``8 E`` + 2^17 slots, and 256
+    edges takes 12 bytes for each of ``1.6 E`` + 2^11 slots, and for 256 more
     for every parent over ``WIDE``.
     """
 
@@ -27,9 +27,8 @@ class DoubleArray:
         count = len(parent)
         children = np.bincount(parent, minlength=count + 1)
         base, size = _places(parent, symbol, children, np.random.default_rng(seed))
-        self.mask = size - 1
         slot = np.zeros(count + 1, np.int64)  # edge e leads to node e + 1
-        slot[1:] = (base[parent] + symbol) & self.mask
+        slot[1:] = base[parent] + symbol
         self.base = np.zeros(size, np.int32)
         self.base[slot] = base
         self.check = np.full(size, -1, np.int32)
@@ -39,7 +38,7 @@ class DoubleArray:
 
     def step(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """The next state of every position, -1 where there is none."""
-        found = (self.base[states] + symbols.astype(np.int64)) & self.mask
+        found = self.base[states] + symbols.astype(np.int64)
         return np.where(self.check[found] == states, found, -1)
 
     def walk(self, levels: Sequence[np.ndarray], states: np.ndarray | None = None) -> np.ndarray:
@@ -106,7 +105,7 @@ def _places(parent: np.ndarray, symbol: np.ndarray, children: np.ndarray,
     in blocks of their own; the others, wide before narrow, draw bases at
     random, all at once, until every one has found free slots."""
     wide = np.flatnonzero(children > WIDE)
-    size = 1 << int(np.ceil(np.log2(3 * len(parent) + 256 * (len(wide) + 1) + 1024)))
+    size = len(parent) * 8 // 5 + 256 * (len(wide) + 1) + 2048
     base = np.zeros(len(children), np.int64)
     base[wide] = 256 * (1 + np.arange(len(wide)))
     taken = np.zeros(size, bool)
@@ -125,8 +124,8 @@ def _places(parent: np.ndarray, symbol: np.ndarray, children: np.ndarray,
             owner = np.repeat(np.arange(len(todo)), counts)
             starts = np.cumsum(counts) - counts
             edge = order[first[todo][owner] + np.arange(counts.sum()) - starts[owner]]
-            draw = random.integers(0, size, len(todo))
-            slots = (draw[owner] + symbol[edge]) & (size - 1)
+            draw = random.integers(0, size - 255, len(todo))
+            slots = draw[owner] + symbol[edge]
             claim[slots] = owner
             good = ~taken[slots] & (claim[slots] == owner)
             placed = np.bincount(owner, ~good, len(todo)) == 0
