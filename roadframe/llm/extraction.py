@@ -27,12 +27,13 @@ from pyspark.sql import functions as F
 
 from roadframe.llm.common import read_table, ship_package, stored
 from roadframe.llm.pagetext import page_blocks
-from roadframe.llm.words import mix64
+from roadframe.llm.words import mix64, release
+from roadframe.operators.joins import join_summary
 
 #: tokens of a repeated substring; a shorter block counts as a whole
 RUN = 8
 #: bytes of html in one suffix array (a longer page stands alone)
-SECTION_BYTES = 4 << 20
+SECTION_BYTES = 1 << 20
 #: share and number of a host's pages from which a repeated substring is
 #: boilerplate: outside an article, and inside one
 SHARE, PAGES = 0.25, 3
@@ -68,6 +69,7 @@ class Section:
     page: np.ndarray  # number of each block's page, equal for rows of one page
     main: np.ndarray
     pages: int
+    unique: pa.Array  # the words that the stream's numbers from 1 on stand for
     stream: np.ndarray
     place: np.ndarray  # of every word in the stream
     at: np.ndarray  # places where substrings begin
@@ -77,10 +79,7 @@ class Section:
 
     def names(self) -> np.ndarray:
         """A 64-bit hash of every rank's substring, the same in all sections."""
-        unique = [""] * (int(self.stream.max(initial=0)) + 1)
-        for w, c in zip((w for ws in self.words for w in ws), self.stream[self.place].tolist()):
-            unique[c] = w
-        hashes = np.array([0] + [xxhash.xxh3_64_intdigest(w) for w in unique[1:]], np.uint64)
+        hashes = np.array([0, *(xxhash.xxh3_64_intdigest(w) for w in self.unique.to_pylist())], np.uint64)
         first = np.zeros(len(self.spread), np.int64)
         first[self.rank] = self.at
         out = np.zeros(len(self.spread), np.uint64)
@@ -101,7 +100,7 @@ def section_of(parts: list[list[tuple[bool, str]]], page: list) -> Section:
     sizes = np.array([len(w) for w in words], np.int64)
     none = np.zeros(0, np.int64)
     if not len(sizes):
-        return Section(words, owner, main, len(identity), none, none, none, none, none, np.zeros(1, np.int64))
+        return Section(words, owner, main, len(identity), pa.array([], pa.string()), none, none, none, none, none, np.zeros(1, np.int64))
     tokens = pa.array([w for ws in words for w in ws], pa.large_string()).dictionary_encode()
     code = tokens.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
     # blocks with RUN - 1 end marks (0) after each
@@ -116,7 +115,7 @@ def section_of(parts: list[list[tuple[bool, str]]], page: list) -> Section:
     rank, at, block = rank[whole], place[whole], block[whole]
     pairs = np.unique(rank * len(identity) + owner[block])
     spread = np.bincount(pairs // len(identity), minlength=int(rank.max()) + 1)
-    return Section(words, owner, main, len(identity), stream, place, at, block, rank, spread)
+    return Section(words, owner, main, len(identity), tokens.dictionary, stream, place, at, block, rank, spread)
 
 
 def covered(section: Section, spread: np.ndarray, pages: int) -> list[np.ndarray]:
@@ -152,59 +151,75 @@ def main_text(parts: list[list[tuple[bool, str]]], section: Section, spread: np.
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of every page, packed: they are a fraction of the html, and
-    travel up to four times."""
+    """Blocks of every page, packed: they are a fraction of the html."""
     for batch in batches:
-        packed = [zlib.compress(json.dumps(page_blocks(page.as_py()), ensure_ascii=False).encode("utf-8", "surrogatepass"), 1)
+        packed = [zlib.compress(json.dumps(page_blocks(page.as_py()), ensure_ascii=False).encode("utf-8", "surrogatepass"), 6)
                   for page in batch.column(4)]
         yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(packed, pa.binary())],
                                          names=["host", "section", "page_id", "url", "packed"])
 
 
-def _unpacked(table: pa.Table) -> list[list[tuple[bool, str]]]:
-    return [[(m, t) for m, t in json.loads(zlib.decompress(p).decode("utf-8", "surrogatepass"))]
-            for p in table.column("packed").to_pylist()]
+_SECTION = "host string, section long, page_ids array<long>, urls array<string>, packed array<binary>"
 
 
-def _candidates(table: pa.Table) -> pa.Table:
+def _gather(table: pa.Table) -> pa.Table:
+    """One row of a section's pages."""
+    whole = lambda name, kind: pa.array([table.column(name).to_pylist()], pa.list_(kind))
+    return pa.table({"host": table.column("host")[:1], "section": table.column("section")[:1],
+                     "page_ids": whole("page_id", pa.int64()), "urls": whole("url", pa.string()),
+                     "packed": whole("packed", pa.binary())})
+
+
+def _unpacked(pages: list[bytes]) -> list[list[tuple[bool, str]]]:
+    return [[(m, t) for m, t in json.loads(zlib.decompress(p).decode("utf-8", "surrogatepass"))] for p in pages]
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Substrings on the least share of a section's pages; the hosts are those
     of several sections."""
-    section = section_of(_unpacked(table), table.column("page_id").to_pylist())
-    found = section.names()[np.flatnonzero(section.spread >= max(1, SHARE * section.pages))]
-    host = table.column("host")[0].as_py()
-    return pa.table({"host": pa.array([host] * len(found), pa.string()), "run": pa.array(found)})
+    for batch in batches:
+        for row in batch.to_pylist():
+            section = section_of(_unpacked(row["packed"]), row["page_ids"])
+            found = np.flatnonzero(section.spread >= max(1, SHARE * section.pages))
+            runs = section.names()[found] if len(found) else found
+            yield pa.RecordBatch.from_arrays([pa.array([row["host"]] * len(found), pa.string()), pa.array(runs, pa.int64())],
+                                             names=["host", "run"])
 
 
-def _counts(table: pa.Table, wanted: pa.Table) -> pa.Table:
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages of a section that hold each of the host's candidates."""
-    runs = wanted.column("runs").combine_chunks().flatten().to_numpy(zero_copy_only=False) if wanted.num_rows else np.zeros(0, np.int64)
-    if not table.num_rows or not len(runs):
-        return pa.table({"host": pa.array([], pa.string()), "run": pa.array([], pa.int64()), "pages": pa.array([], pa.int64())})
-    section = section_of(_unpacked(table), table.column("page_id").to_pylist())
-    names = section.names()
-    known = np.flatnonzero((section.spread > 0) & np.isin(names, runs))
-    host = table.column("host")[0].as_py()
-    return pa.table({"host": pa.array([host] * len(known), pa.string()), "run": pa.array(names[known]),
-                     "pages": pa.array(section.spread[known].astype(np.int64))})
-
-
-def _texts(table: pa.Table, known: pa.Table) -> pa.Table:
-    """Texts of a section's pages; ``known``: pages of the whole host, and of
-    its candidates, where it has several sections."""
-    parts, ids = _unpacked(table), table.column("page_id").to_pylist()
-    section = section_of(parts, ids)
-    spread, pages = section.spread, section.pages
-    if known.num_rows and len(section.stream):
-        runs, counts = (known.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("runs", "counts"))
-        pages = known.column("host_pages")[0].as_py()
-        order = np.argsort(runs)
-        runs, counts = np.append(runs[order], 0), np.append(counts[order], 0)
-        names = section.names()
-        found = np.searchsorted(runs[:-1], names)
-        spread = np.where(runs[found] == names, counts[found], 0)
-    found = pa.array(main_text(parts, section, spread, pages), pa.string())
-    return pa.table({"page_id": table.column("page_id"), "url": table.column("url"), "text": found,
-                     "n_chars": pc.utf8_length(found).cast(pa.int64())})
+    for batch in batches:
+        for row in batch.to_pylist():
+            section = section_of(_unpacked(row["packed"]), row["page_ids"])
+            names = section.names()
+            known = np.flatnonzero((section.spread > 0) & np.isin(names, np.array(row["runs"], np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["host"]] * len(known), pa.string()), pa.array(names[known], pa.int64()),
+                 pa.array(section.spread[known], pa.int64())], names=["host", "run", "pages"])
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of a section's pages; ``host_pages`` and the counts are given
+    where the host has several sections."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            parts, ids, host_pages = _unpacked(row["packed"]), row["page_ids"], row["host_pages"]
+            if host_pages is not None and not row["runs"]:  # nothing on this host repeats enough
+                texts = ["\n\n".join(text for _, text in found) for found in parts]
+            else:
+                section = section_of(parts, ids)
+                spread, pages = section.spread, section.pages
+                if host_pages is not None and len(section.stream):
+                    order = np.argsort(np.array(row["runs"], np.int64))
+                    runs, counts = (np.append(np.array(row[c], np.int64)[order], 0) for c in ("runs", "counts"))
+                    names, pages = section.names(), host_pages
+                    at = np.searchsorted(runs[:-1], names)
+                    spread = np.where(runs[at] == names, counts[at], 0)
+                texts = main_text(parts, section, spread, pages)
+            found = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(row["urls"], pa.string()), found,
+                                              pc.utf8_length(found).cast(pa.int64())], names=["page_id", "url", "text", "n_chars"])
+        release()
 
 
 def extract(pages: DataFrame, section_bytes: int = SECTION_BYTES) -> DataFrame:
@@ -226,27 +241,28 @@ def extract(pages: DataFrame, section_bytes: int = SECTION_BYTES) -> DataFrame:
     page = F.when(F.col("page_id").isNull(), F.xxhash64("url", "html")).otherwise(F.xxhash64("page_id"))
     dealt = rows.join(large, "host", "left").withColumn("section", F.pmod(page, F.coalesce("sections", F.lit(1))))
     schema = "host string, section long, page_id long, url string, packed binary"
-    parsed = stored(dealt.select("host", "section", "page_id", "url", "html").mapInArrow(_parse, schema), "page-blocks")
+    parsed = dealt.select("host", "section", "page_id", "url", "html").mapInArrow(_parse, schema)
     key = ["host", "section"]
-    known = spark.createDataFrame([], "host string, section long, runs array<long>, counts array<long>, host_pages long")
+    sections = stored(parsed.groupBy(*key).applyInArrow(_gather, _SECTION), "page-sections")  # about section_bytes of html each
+    known = sections.select(*key, F.lit(None).cast("array<long>").alias("runs"), F.lit(None).cast("array<long>").alias("counts"),
+                            F.lit(None).cast("long").alias("host_pages")).limit(0)
     if not large.isEmpty():
-        split = parsed.join(large, "host")
-        each = split.select(*key, "page_id", "packed")
-        candidates = each.groupBy(*key).applyInArrow(_candidates, "host string, run long").distinct()
-        sections = large.withColumn("section", F.explode(F.sequence(F.lit(0).cast("long"), F.col("sections") - 1)))
+        split = sections.join(large, "host").select(*key, "page_ids", "packed")
+        candidates = split.mapInArrow(_candidates, "host string, run long").distinct()
         # a candidate is on a share of some section's pages, so a section names at most its words a page over that share
-        lists = sections.join(candidates.groupBy("host").agg(F.collect_list("run").alias("runs")), "host").select(*key, "runs")
-        counts = each.groupBy(*key).cogroup(lists.groupBy(*key)).applyInArrow(_counts, "host string, run long, pages long")
-        total = split.groupBy("host").agg((F.count_distinct("page_id") + F.count_if(F.col("page_id").isNull())).alias("host_pages"))
+        lists = split.select(*key).join(candidates.groupBy("host").agg(F.collect_list("run").alias("runs")), "host")
+        # sections travel again only where the lists are too large to be broadcast
+        counts = join_summary(split, lists, key).mapInArrow(_counts, "host string, run long, pages long")
+        ids = split.select("host", F.explode("page_ids").alias("page_id"))
+        total = ids.groupBy("host").agg((F.count_distinct("page_id") + F.count_if(F.col("page_id").isNull())).alias("host_pages"))
         # counts that no threshold asks for are left out
         summed = counts.groupBy("host", "run").agg(F.sum("pages").alias("pages")).join(total, "host").where(
             F.col("pages") >= F.col("host_pages") * SHARE)
-        found = summed.groupBy("host", "host_pages").agg(F.collect_list(F.struct("run", "pages")).alias("found"))
-        known = stored(sections.join(total, "host").join(found.drop("host_pages"), "host", "left").select(
+        found = summed.groupBy("host").agg(F.collect_list(F.struct("run", "pages")).alias("found"))
+        known = split.select(*key).join(total, "host").join(found, "host", "left").select(
             *key, F.transform("found", lambda x: x["run"]).alias("runs"), F.transform("found", lambda x: x["pages"]).alias("counts"),
-            "host_pages"), "host-boilerplate")
-    return parsed.groupBy(*key).cogroup(known.groupBy(*key)).applyInArrow(
-        _texts, "page_id long, url string, text string, n_chars long")
+            "host_pages")
+    return join_summary(sections, known, key, "left").mapInArrow(_texts, "page_id long, url string, text string, n_chars long")
 
 
 def op7_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
