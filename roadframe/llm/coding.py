@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 
 from roadframe.llm import rans
 from roadframe.llm.common import read_table, ship_package, shuffle_partitions, stored
-from roadframe.llm.tokens import BYTES, ROWS, VOCABULARY, encoder
+from roadframe.llm.tokens import VOCABULARY, encoder
 from roadframe.llm.words import release, slices
 from roadframe.session import fresh_shared_path
 
 END_ID = 2
+#: rows and bytes of text encoded at once: a long slice repeats more of its words
+ROWS, BYTES = 8000, 8 << 20
 #: a block closes once it has this many tokens (a longer document stands alone)
 BLOCK_TOKENS = 1 << 19
 #: rows of lanes between two checkpoints, which take 8 bytes a lane
