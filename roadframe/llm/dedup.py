@@ -124,7 +124,8 @@ def _open(buckets: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]
     known = known.join(of_centre, "centre", "left").withColumn(
         "open", F.col("component") != F.coalesce("_main", "centre")).drop("_main")
     known = stored(known, "known")
-    return known, known.groupBy("band", "key").agg(F.sum(F.col("open").cast("long")).alias("n_open")).where("n_open > 0")
+    sizes = known.groupBy("band", "key").agg(F.sum(F.col("open").cast("long")).alias("n_open")).where("n_open > 0")
+    return known, stored(sizes, "open-keys")
 
 
 def _blocks(members: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
