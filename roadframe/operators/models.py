@@ -63,8 +63,9 @@ def tree_regressor(label: str, features: str = "features", max_depth: int = 5, m
 # cores, the input files and the number of rows do not. A parameter of the
 # run: give more for more data.
 FIT_PARTITIONS = 32
-# Folds of a search whose vectors are held at the same time.
-FOLDS_AT_ONCE = 2
+# Folds of a search whose vectors are held (memory and disk) at the same time;
+# fewer need less room and take longer.
+FOLDS_AT_ONCE = 5
 
 
 def materialize(df: DataFrame, name: str = "model-input", path: str | None = None,

@@ -10,20 +10,30 @@ from scripts.check_oracles import TABLES, digest
 ORACLES = E.oracle_sql()
 
 
-@pytest.fixture(scope="module")
-def con(sf_dir):
+# a depth-5 tree of recipe 5 learns nothing that lasts from the 750 training rows of the smallest table
+LARGER = {"model_check_5": "/root/testdata/sf0.01"}
+
+
+def connection(sf_dir):
     c = duckdb.connect()
     for t in TABLES:
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return c
 
 
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return connection(sf_dir)
+
+
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, sf_dir, con, name):
+    if name in LARGER:
+        sf_dir, con = LARGER[name], connection(LARGER[name])
     df = E.queries()[name](spark, sf_dir)
     s_rows = [tuple(r) for r in df.collect()]
     cur = con.execute(ORACLES[name])
