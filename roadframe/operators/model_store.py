@@ -113,36 +113,47 @@ def importance_from_nodes(nodes: DataFrame, names: Sequence[str]) -> DataFrame:
         FROM {slots} s CROSS JOIN total LEFT JOIN shares ON shares.slot = s.slot""", nodes=nodes, slots=slots)
 
 
+def _branches(tree: dict, at: int, depth: int, places: dict, vector: str) -> str:
+    """SQL for the place of the node where a row ends, from node ``at`` down."""
+    node = tree[at]
+    if depth == 0 or node["left"] is None:
+        return str(places[node["tree"], at])
+    value = f"get({vector}, {node['feature']})"
+    if node["threshold"] is not None:
+        to_left = f"{value} <= {node['threshold']!r}D"
+    else:
+        to_left = f"{value} IN ({', '.join(f'{x!r}D' for x in node['categories']) or 'NULL'})"
+    left, right = (_branches(tree, node[side], depth - 1, places, vector) for side in ("left", "right"))
+    return f"CASE WHEN {to_left} THEN {left} ELSE {right} END"
+
+
 def score_with_nodes(rows: DataFrame, nodes: DataFrame, max_depth: int, classify: bool,
                      vector: str = "features", out: str = "node_prediction") -> DataFrame:
     """``rows`` with the answer of the node table: each tree is followed from
     its root, and the leaves' predictions averaged (regression) or their label
     shares summed and the largest taken, the first of equals (classification).
 
-    The trees (model size) are one broadcast row; rows are not shuffled."""
-    node = F.struct("node", "feature", "threshold", "categories", "left", "right", "prediction", "weight", "stats")
-    trees = nodes.groupBy("tree").agg(F.sort_array(F.collect_list(node)).alias("tree_nodes"))  # 2^(depth+1) at most
-    trees = trees.agg(F.collect_list("tree_nodes").alias("_trees"))
-    joined = rows.withColumn("_x", features.vector_elements(vector)).crossJoin(F.broadcast(trees))
-
-    def step(tree, at):
-        here = F.element_at(tree, at + 1)
-        value = F.element_at(F.col("_x"), here["feature"] + 1)
-        to_left = F.when(here["threshold"].isNotNull(), value <= here["threshold"]).otherwise(
-            F.array_contains(here["categories"], value))
-        return F.when(here["left"].isNull(), at).otherwise(F.when(to_left, here["left"]).otherwise(here["right"]))
-
-    def leaf(tree):
-        end = F.aggregate(F.sequence(F.lit(1), F.lit(max_depth)), F.lit(0), lambda at, _: step(tree, at))
-        return F.element_at(tree, end + 1)
-
-    leaves = F.transform("_trees", leaf)
+    Each tree becomes one nested CASE over the vector's slots, so a row meets
+    only the nodes on its way. The answers of all nodes (model size) are one
+    broadcast row; rows are not shuffled."""
+    found = nodes.orderBy("tree", "node").collect()  # the model's size
+    places = {(n["tree"], n["node"]): i for i, n in enumerate(found)}
+    trees: dict[int, dict] = {}
+    for n in found:
+        trees.setdefault(n["tree"], {})[n["node"]] = n
+    # inside a lambda: this many branches are too long for one generated method
+    ends = ", ".join(_branches(tree, 0, max_depth, places, "x") for tree in trees.values())
+    if classify:
+        answers, kind = [[s / n["weight"] for s in n["stats"]] for n in found], "array<array<double>>"
+    else:
+        answers, kind = [n["prediction"] for n in found], "array<double>"
+    table = rows.sparkSession.createDataFrame([(answers,)], f"_answers {kind}")
+    joined = rows.withColumn("_x", F.array(features.vector_elements(vector)))
+    joined = joined.withColumn("_ends", F.expr(f"get(transform(_x, x -> array({ends})), 0)")).crossJoin(F.broadcast(table))
     if classify:
-        shares = F.transform(leaves, lambda n: F.transform(n["stats"], lambda s: s / n["weight"]))
-        first = F.get(shares, F.lit(0))
-        votes = F.aggregate(F.slice(shares, F.lit(2), F.size(shares)), first,
-                            lambda a, b: F.zip_with(a, b, lambda x, y: x + y))
-        answer = (F.array_position(votes, F.array_max(votes)) - 1).cast("double")
+        none = F.array_repeat(F.lit(0.0), len(answers[0]))
+        answer = F.aggregate("_ends", none, lambda a, place: F.zip_with(a, F.get("_answers", place), lambda x, y: x + y),
+                             lambda votes: (F.array_position(votes, F.array_max(votes)) - 1).cast("double"))
     else:
-        answer = F.aggregate(leaves, F.lit(0.0), lambda a, n: a + n["prediction"]) / F.size("_trees")
-    return joined.withColumn(out, answer).drop("_x", "_trees")
+        answer = F.aggregate("_ends", F.lit(0.0), lambda a, place: a + F.get("_answers", place)) / F.size("_ends")
+    return joined.withColumn(out, answer).drop("_x", "_ends", "_answers")

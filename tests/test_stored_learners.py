@@ -98,3 +98,17 @@ def test_fits_of_a_search_do_not_shuffle(spark, monkeypatch):
                             {"maxDepth": [1, 2]}, "k", folds=2)
     # the exchange lies below the persisted rows, which are filled before the first fit
     assert len(plans) == 4 and all("InMemoryTableScan" in p.split("InMemoryRelation")[0] for p in plans)
+
+
+def test_rows_follow_branches_not_a_lookup_per_step(spark, sf_dir):
+    run = catalog.fitted(spark, sf_dir, "1a")
+    nodes = run.nodes()
+    assert nodes.where("categories IS NOT NULL").count() and nodes.where("threshold IS NOT NULL").count()
+    rows = model_store.score_with_nodes(run.scored, nodes, 5, classify=True)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    # a step used to look up its node among the tree's, several times a row
+    assert "element_at" not in plan and "CASE WHEN" in plan
+    assert rows.where("NOT prediction <=> node_prediction").count() == 0
+    # a walk that ends early answers from the node it has reached
+    root = model_store.score_with_nodes(run.scored, nodes, 0, classify=True)
+    assert root.select("node_prediction").distinct().count() == 1
