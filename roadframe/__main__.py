@@ -2,7 +2,7 @@
 
     python -m roadframe --csv /data/crashes.csv --out /shared/results \
         [--recipes 1a,1b,2a,2b,3,4,5] [--land /shared/raw_parquet] [--infer] \
-        [--reject-bad-rows [--multi-line]] [--fit-partitions 32]
+        [--reject-bad-rows [--multi-line]] [--fit-partitions N]
 
 Steps: read the CSV once (explicit all-string schema, or inference) and
 land it as Parquet, register the raw view, profile (distinct counts,
@@ -33,7 +33,7 @@ from roadframe.sources import delimited
 
 def run(spark, csv_path: str, out: str, recipe_names: list[str], land: str | None = None,
         infer: bool = False, write_clean: bool = True, reject_bad_rows: bool = False, multi_line: bool = False,
-        partitions: int = models.FIT_PARTITIONS) -> dict[str, str]:
+        partitions: int | None = None) -> dict[str, str]:
     """Run the workflow; returns the written result paths by name.
 
     The CSV text is parsed once: it is landed as Parquet (at ``land``, or
@@ -98,8 +98,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--no-clean-table", action="store_true", help="do not write the clean table")
     parser.add_argument("--reject-bad-rows", action="store_true", help="put rows with too few or too many fields aside")
     parser.add_argument("--multi-line", action="store_true", help="with --reject-bad-rows: quoted fields may hold line breaks")
-    parser.add_argument("--fit-partitions", type=int, default=models.FIT_PARTITIONS,
-                        help="partitions that a learner's rows are dealt to (more for more data; decides the bagging)")
+    parser.add_argument("--fit-partitions", type=int,
+                        help="partitions that a learner's rows are dealt to (decides the bagging; default: by their number)")
     parser.add_argument("--master", default=None, help="Spark master for a local run, e.g. local[8]")
     args = parser.parse_args(argv)
     names = [n.strip() for n in args.recipes.split(",") if n.strip()]

@@ -58,16 +58,24 @@ def tree_regressor(label: str, features: str = "features", max_depth: int = 5, m
                                  maxBins=max_bins, seed=seed, **{**TREE_SCALE_PARAMS, **params})
 
 
-# Partitions that a learner's rows are dealt to. Bagging draws by partition
-# and row order, so this number, the key and the seed decide the trees; the
-# cores, the input files and the number of rows do not. A parameter of the
-# run: give more for more data.
+# Partitions that a learner's rows are dealt to, and the rows of one from which
+# on there are more of them. Spark ML holds each row's binned slots and its draws
+# for all trees (1.7 KB a row for a 100-tree forest over 310 slots); a task
+# builds one partition of them at a time, so its size must not grow with the
+# input. Bagging draws by partition and row order, so the rows, their number,
+# the key and the seed decide the trees; the cores and the input files do not.
 FIT_PARTITIONS = 32
+FIT_ROWS = 150_000
 # Folds of a search whose vectors are held (memory and disk) at the same time;
 # fewer need less room and take longer.
 FOLDS_AT_ONCE = 5
 
 
+def fit_partitions(rows: int) -> int:
+    """Partitions for a fit on ``rows`` rows."""
+    return max(FIT_PARTITIONS, -(-rows // FIT_ROWS))
+
+
 def materialize(df: DataFrame, name: str = "model-input", path: str | None = None,
                 partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as Parquet and read it back: later passes (indexer fit,
@@ -84,23 +92,26 @@ def materialize(df: DataFrame, name: str = "model-input", path: str | None = Non
 def laid_out(df: DataFrame, key: str, order_by: Sequence[str], partitions: int = FIT_PARTITIONS) -> DataFrame:
     """``df`` in a layout that depends on its rows alone: hash partitions of
     ``key``, each sorted by ``key`` and ``order_by`` (rows that tie on all of
-    these must be alike)."""
+    these must be alike). Beyond ``FIT_PARTITIONS`` the hash takes all of these
+    columns, so that the rows of a frequent key do not meet in one partition."""
     keys = [c(x) for x in dict.fromkeys([key, *order_by])]
-    return df.repartition(partitions, c(key)).sortWithinPartitions(*keys)
+    return df.repartition(partitions, *keys[:len(keys) if partitions > FIT_PARTITIONS else 1]).sortWithinPartitions(*keys)
 
 
 def train(stages: Sequence, train_df: DataFrame, key: str | None = None,
-          partitions: int = FIT_PARTITIONS) -> PipelineModel:
+          partitions: int | None = None) -> PipelineModel:
     """Chain the stages and fit them once on ``train_df``. With ``key``, the
     last stage (the learner) is fitted on the rows laid out by it, so the fit
-    is the same for any cores and input files. The laid-out vectors are
-    persisted (memory and disk) for the time of the fit: the learner passes
-    over them several times, and each pass would shuffle and sort them anew."""
+    is the same for any cores and input files; ``partitions`` follows from
+    their number when it is not given. The laid-out vectors are persisted for
+    the time of the fit, as each of the learner's first passes would shuffle and
+    sort them anew: on disk, as the memory is for the binned rows that Spark ML
+    holds itself and passes over once a tree level."""
     if key is None:
         return Pipeline(stages=list(stages)).fit(train_df)
     prepared, learner = Pipeline(stages=list(stages[:-1])).fit(train_df), stages[-1]
-    rows = laid_out(prepared.transform(train_df), key, train_df.columns, partitions)
-    rows = rows.select(learner.getLabelCol(), learner.getFeaturesCol()).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = laid_out(train_df, key, train_df.columns, partitions or fit_partitions(train_df.count()))
+    rows = prepared.transform(rows).select(learner.getLabelCol(), learner.getFeaturesCol()).persist(StorageLevel.DISK_ONLY)
     try:
         return PipelineModel(stages=[*prepared.stages, learner.fit(rows)])
     finally:
@@ -151,7 +162,7 @@ def feature_importance(spark: SparkSession, model: PipelineModel, scored: DataFr
 
 def cross_validate(stages: Sequence, train_df: DataFrame, grid: Mapping[str, Sequence], key: str,
                    label: str = "label", metric: str = "accuracy", folds: int = 5, seed: int = 42,
-                   parallelism: int = 4, partitions: int = FIT_PARTITIONS) -> tuple[DataFrame, PipelineModel]:
+                   parallelism: int = 4, partitions: int | None = None) -> tuple[DataFrame, PipelineModel]:
     """Grid search over the last stage's params with k-fold cross-validation:
     ``(params, metric, value)`` per grid point, the average over folds, and
     the pipeline of the best point (the first of equals) fitted on all rows.
@@ -200,7 +211,7 @@ def _described(point: dict) -> str:
 
 def fold_predictions(stages: Sequence, train_df: DataFrame, grid: Mapping[str, Sequence], key: str,
                      label: str = "label", folds: int = 5, seed: int = 42, parallelism: int = 4,
-                     partitions: int = FIT_PARTITIONS) -> DataFrame:
+                     partitions: int | None = None) -> DataFrame:
     """``(key, label, prediction, point, fold)``, stored: every row of
     ``train_df`` scored, for each grid point, by the fit on the other folds.
 
@@ -212,6 +223,7 @@ def fold_predictions(stages: Sequence, train_df: DataFrame, grid: Mapping[str, S
     learner = stages[-1]
     maps = _grid(learner, grid)
     path = fresh_shared_path(spark, "fold-predictions")
+    rows_in = train_df.count()
 
     def one(fold: int) -> None:
         bucket = split_bucket([key], f"fold-{seed}", folds)
@@ -219,7 +231,7 @@ def fold_predictions(stages: Sequence, train_df: DataFrame, grid: Mapping[str, S
         kept = list(dict.fromkeys([*train_df.columns, label, learner.getFeaturesCol()]))
         vectors = prepared.transform(train_df).withColumn("_held", bucket == fold).select(*kept, "_held")
         parts = materialize(vectors, f"fold-{fold}")
-        rows = laid_out(parts.where("not _held").drop("_held"), key, train_df.columns, partitions)
+        rows = laid_out(parts.where("not _held").drop("_held"), key, train_df.columns, partitions or fit_partitions(rows_in))
         rows = rows.select(label, learner.getFeaturesCol()).persist(StorageLevel.MEMORY_AND_DISK)
         held = parts.where("_held")
         try:

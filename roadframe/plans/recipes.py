@@ -226,9 +226,10 @@ def recipe_metrics(recipe: Recipe, scored: DataFrame, label_col: str,
 
 def run_recipe(clean: DataFrame, recipe: Recipe | str, split_method: str = "stable",
                materialize: bool = True, work_path: str | None = None,
-               partitions: int = models.FIT_PARTITIONS) -> RecipeRun:
+               partitions: int | None = None) -> RecipeRun:
     """Fit a recipe on its training part and score its test part. The learner
-    sees its rows in ``partitions`` hash partitions of the crash id.
+    sees its rows in ``partitions`` hash partitions (by default as many as
+    ``models.fit_partitions`` gives for their number).
 
     The recipe's model input (key, label and inputs only) is stored once as a
     table (at ``work_path``, overwritten, or a new scratch folder below the
@@ -257,7 +258,7 @@ def run_recipe(clean: DataFrame, recipe: Recipe | str, split_method: str = "stab
 
 
 def stored_run(clean: DataFrame, recipe: Recipe | str, source: DataFrame | None = None,
-               partitions: int = models.FIT_PARTITIONS) -> RecipeRun:
+               partitions: int | None = None) -> RecipeRun:
     """``run_recipe`` with the stable split, fitted once per input and recipe.
 
     The model and its input are stored under a fingerprint of the recipe, the
@@ -270,7 +271,8 @@ def stored_run(clean: DataFrame, recipe: Recipe | str, source: DataFrame | None
     spark = clean.sparkSession
     seen = model_store.source_fingerprint(source) if source is not None \
         else model_store.content_fingerprint(model_input(clean, recipe))
-    key = model_store.fingerprint(asdict(recipe), partitions, pyspark.__version__, seen)
+    layout = partitions or [models.FIT_PARTITIONS, models.FIT_ROWS]
+    key = model_store.fingerprint(asdict(recipe), layout, pyspark.__version__, seen)
     folder = model_store.find(spark, key)
     if folder is None:
         attempt = model_store.new_folder(spark, key)

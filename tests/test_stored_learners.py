@@ -112,3 +112,31 @@ def test_rows_follow_branches_not_a_lookup_per_step(spark, sf_dir):
     # a walk that ends early answers from the node it has reached
     root = model_store.score_with_nodes(run.scored, nodes, 0, classify=True)
     assert root.select("node_prediction").distinct().count() == 1
+
+
+def _seen_by_fits(monkeypatch):
+    """What each forest fit is given: frame, storage level, partitions' sizes."""
+    from pyspark.ml.classification import RandomForestClassifier
+    seen, fit = [], RandomForestClassifier.fit
+
+    def spy(self, df, params=None):
+        seen.append((df, df.storageLevel, df.groupBy(F.spark_partition_id()).count().toPandas()["count"].tolist()))
+        return fit(self, df, params)
+    monkeypatch.setattr(RandomForestClassifier, "fit", spy)
+    return seen
+
+
+def test_partitions_of_a_fit_do_not_grow_with_its_rows(spark, monkeypatch):
+    # a third of the rows has one key
+    rows = spark.range(9000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"),
+                                    (F.col("id") % 1009).cast("double").alias("x"), (F.col("id") % 2).cast("double").alias("label"))
+    stages = [features.assemble(["x"]), models.forest_classifier(num_trees=2, max_depth=1)]
+    seen = _seen_by_fits(monkeypatch)
+    models.train(stages, rows, "k")
+    monkeypatch.setattr(models, "FIT_ROWS", 100)
+    models.train(stages, rows, "k")
+    models.train(stages, rows, "k", partitions=8)
+    (_, level, few), (_, _, many), (_, _, given) = seen
+    assert level.useDisk and not level.useMemory  # the memory is for the learner's own rows
+    assert len(few) <= 32 and max(few) > 3000 and len(given) <= 8
+    assert len(many) > 64 and max(many) < 400 and sum(few) == sum(many) == sum(given) == 9000
