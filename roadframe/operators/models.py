@@ -9,7 +9,6 @@ rows are laid out by key, so a fit repeats for any cores and input files.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -66,9 +65,10 @@ def tree_regressor(label: str, features: str = "features", max_depth: int = 5, m
 # the key and the seed decide the trees; the cores and the input files do not.
 FIT_PARTITIONS = 32
 FIT_ROWS = 150_000
-# Folds of a search whose vectors are held (memory and disk) at the same time;
-# fewer need less room and take longer.
+# Folds of a search that are fitted at the same time, and the rows they may
+# hold together (memory and disk); large inputs are fitted fold by fold.
 FOLDS_AT_ONCE = 5
+HELD_ROWS = 20_000_000
 
 
 def fit_partitions(rows: int) -> int:
@@ -215,35 +215,40 @@ def fold_predictions(stages: Sequence, train_df: DataFrame, grid: Mapping[str, S
     """``(key, label, prediction, point, fold)``, stored: every row of
     ``train_df`` scored, for each grid point, by the fit on the other folds.
 
-    Folds are md5 buckets of ``key``. The feature stages are fitted once per
-    fold and their vectors stored; the training vectors, laid out for the
-    learner, are persisted (memory and disk) for the time of the fold's fits,
-    so that no fit shuffles. ``parallelism`` fits run at a time."""
+    Folds are md5 buckets of ``key``, stored with the rows. The feature stages
+    are fitted once per fold; the training vectors, laid out for the learner,
+    are persisted (memory and disk) for the time of the fold's fits, so that no
+    fit shuffles. ``parallelism`` fits run at a time. The held rows are read
+    and encoded once and scored by all of the fold's fits."""
     spark, stages = train_df.sparkSession, list(stages)
     learner = stages[-1]
     maps = _grid(learner, grid)
     path = fresh_shared_path(spark, "fold-predictions")
-    rows_in = train_df.count()
+    stored = materialize(train_df.withColumn("_fold", split_bucket([key], f"fold-{seed}", folds)), "fold-input")
+    n = stored.count()
 
     def one(fold: int) -> None:
-        bucket = split_bucket([key], f"fold-{seed}", folds)
-        prepared = Pipeline(stages=stages[:-1]).fit(train_df.where(bucket != fold))
-        kept = list(dict.fromkeys([*train_df.columns, label, learner.getFeaturesCol()]))
-        vectors = prepared.transform(train_df).withColumn("_held", bucket == fold).select(*kept, "_held")
-        parts = materialize(vectors, f"fold-{fold}")
-        rows = laid_out(parts.where("not _held").drop("_held"), key, train_df.columns, partitions or fit_partitions(rows_in))
+        training, held = [stored.where(part).drop("_fold") for part in (F.col("_fold") != fold, F.col("_fold") == fold)]
+        prepared = Pipeline(stages=stages[:-1]).fit(training)
+        rows = prepared.transform(laid_out(training, key, train_df.columns, partitions or fit_partitions(n)))
         rows = rows.select(label, learner.getFeaturesCol()).persist(StorageLevel.MEMORY_AND_DISK)
-        held = parts.where("_held")
         try:
             rows.count()
             fits = pool.map(lambda m: learner.fit(rows, m), maps)
         finally:
             rows.unpersist()
-        scored = [fit.transform(held).select(c(key).alias("key"), c(label).cast("double").alias("label"), "prediction",
-                                             F.lit(i).alias("point")) for i, fit in enumerate(fits)]
-        functools.reduce(DataFrame.unionByName, scored).withColumn("fold", F.lit(fold)).write.parquet(f"{path}/{fold}")
-
-    with ThreadPool(parallelism) as pool, ThreadPool(min(folds, FOLDS_AT_ONCE)) as outer:
+        kept = [c(key).alias("key"), c(label).cast("double").alias("label")]
+        scored = prepared.transform(held).select(*kept, c(learner.getFeaturesCol()).alias("_features"))
+        for i, fit in enumerate(fits):
+            fit = fit.copy().setFeaturesCol("_features").setPredictionCol("prediction")
+            scored = fit.transform(scored).select("key", "label", "_features", *[f"_{j}" for j in range(i)],
+                                                  F.col("prediction").alias(f"_{i}"))
+        each = F.explode(F.array(*[F.struct(F.col(f"_{i}").alias("prediction"), F.lit(i).alias("point")) for i in range(len(fits))]))
+        found = scored.select("key", "label", each.alias("at")).select("key", "label", "at.*")
+        found.withColumn("fold", F.lit(fold)).write.parquet(f"{path}/{fold}")
+
+    at_once = min(folds, FOLDS_AT_ONCE, max(1, HELD_ROWS // max(n, 1)))
+    with ThreadPool(parallelism) as pool, ThreadPool(at_once) as outer:
         outer.map(one, range(folds))
     # a folder for each fold: writers at the same time must not share one
     return spark.read.parquet(*[f"{path}/{fold}" for fold in range(folds)])

@@ -140,3 +140,30 @@ def test_partitions_of_a_fit_do_not_grow_with_its_rows(spark, monkeypatch):
     assert level.useDisk and not level.useMemory  # the memory is for the learner's own rows
     assert len(few) <= 32 and max(few) > 3000 and len(given) <= 8
     assert len(many) > 64 and max(many) < 400 and sum(few) == sum(many) == sum(given) == 9000
+
+
+def test_large_searches_fit_fold_by_fold(spark, monkeypatch):
+    rows = spark.range(300).select(F.col("id").alias("k"), (F.col("id") % 5).cast("double").alias("x"),
+                                   (F.col("id") % 2).cast("double").alias("label"))
+    stages = [features.assemble(["x"]), models.forest_classifier(num_trees=2, max_depth=1)]
+    ask = lambda: models.fold_predictions(stages, rows, {"maxDepth": [1, 2]}, "k", folds=3)
+    usual = ask().orderBy("key", "point").collect()
+    monkeypatch.setattr(models, "HELD_ROWS", 299)
+    seen = _seen_by_fits(monkeypatch)
+    assert ask().orderBy("key", "point").collect() == usual
+    frames = [id(df) for df, _, _ in seen]
+    assert frames == sorted(frames, key=frames.index) and len(set(frames)) == 3  # no fold begins before the last one ends
+
+
+def test_held_rows_are_encoded_once_for_all_points(spark, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassificationModel
+    scored, score = [], RandomForestClassificationModel.transform
+    monkeypatch.setattr(RandomForestClassificationModel, "transform",
+                        lambda self, df, params=None: (scored.append(df.columns), score(self, df, params))[1])
+    rows = spark.range(300).select(F.col("id").alias("k"), (F.col("id") % 5).cast("double").alias("x"),
+                                   (F.col("id") % 2).cast("double").alias("label"))
+    stages = [features.assemble(["x"]), models.forest_classifier(num_trees=2, max_depth=1)]
+    found = models.fold_predictions(stages, rows, {"maxDepth": [1, 2], "numTrees": [1, 2]}, "k", folds=2)
+    assert found.count() == 1200 and found.select("key", "point").distinct().count() == 1200
+    # each point's answers are added to the same rows, which are read once
+    assert sorted(len(columns) for columns in scored) == [3, 3, 4, 4, 5, 5, 6, 6]
