@@ -9,6 +9,7 @@ rows are laid out by key, so a fit repeats for any cores and input files.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -17,6 +18,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +71,9 @@ FIT_ROWS = 150_000
 # hold together (memory and disk); large inputs are fitted fold by fold.
 FOLDS_AT_ONCE = 5
 HELD_ROWS = 20_000_000
+# Expected rows of a 0/1 slot's rarer value in Spark ML's sample of the rows,
+# from which on the slot may be split as a number.
+SAMPLED = 20
 
 
 def fit_partitions(rows: int) -> int:
@@ -98,6 +103,34 @@ def laid_out(df: DataFrame, key: str, order_by: Sequence[str], partitions: int =
     return df.repartition(partitions, *keys[:len(keys) if partitions > FIT_PARTITIONS else 1]).sortWithinPartitions(*keys)
 
 
+def split_at_half(rows: DataFrame, learner) -> DataFrame:
+    """``rows`` (label and vector) for a forest classifier, with the frequent
+    0/1 slots declared numeric. For more than two labels Spark ML tests every
+    split of a binary slot through a set of categories, for each row, tree and
+    level; a number's bin is only counted. Both give the one split between 0 and
+    1, so the trees are the same, with a threshold for the set.
+
+    A number's splits come from a sample of the rows, so only slots whose rarer
+    value is expected ``SAMPLED`` times in it change (missed by chance: e^-20);
+    the rare ones stay binary. Their counts take one pass."""
+    name = learner.getFeaturesCol()
+    metadata = json.loads(json.dumps(rows.schema[name].metadata))  # a copy
+    attrs = metadata.get("ml_attr", {}).get("attrs", {})
+    if not isinstance(learner, RandomForestClassifier) or not attrs.get("binary"):
+        return rows
+    found = rows.select(Summarizer.metrics("count", "numNonZeros").summary(F.col(name)).alias("s")).first()["s"]
+    n, ones = found["count"], found["numNonZeros"]
+    if not n:
+        return rows
+    share = min(1.0, max(learner.getMaxBins() ** 2, 10_000) / n)  # Spark ML's sample
+    often = [x for x in attrs["binary"] if min(ones[x["idx"]], n - ones[x["idx"]]) * share >= SAMPLED]
+    rare = [x for x in attrs["binary"] if x not in often]
+    kept = {kind: group for kind, group in attrs.items() if kind not in ("binary", "numeric")}
+    numeric = [*attrs.get("numeric", []), *({k: v for k, v in x.items() if k in ("idx", "name")} for x in often)]
+    metadata["ml_attr"]["attrs"] = {**kept, **({"numeric": numeric} if numeric else {}), **({"binary": rare} if rare else {})}
+    return rows.select(learner.getLabelCol(), F.col(name).alias(name, metadata=metadata))
+
+
 def train(stages: Sequence, train_df: DataFrame, key: str | None = None,
           partitions: int | None = None) -> PipelineModel:
     """Chain the stages and fit them once on ``train_df``. With ``key``, the
@@ -113,7 +146,7 @@ def train(stages: Sequence, train_df: DataFrame, key: str | None = None,
     rows = laid_out(train_df, key, train_df.columns, partitions or fit_partitions(train_df.count()))
     rows = prepared.transform(rows).select(learner.getLabelCol(), learner.getFeaturesCol()).persist(StorageLevel.DISK_ONLY)
     try:
-        return PipelineModel(stages=[*prepared.stages, learner.fit(rows)])
+        return PipelineModel(stages=[*prepared.stages, learner.fit(split_at_half(rows, learner))])
     finally:
         rows.unpersist()
 

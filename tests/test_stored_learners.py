@@ -1,6 +1,7 @@
 """Model store, node tables, and the search's stored predictions."""
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -167,3 +168,48 @@ def test_held_rows_are_encoded_once_for_all_points(spark, monkeypatch):
     assert found.count() == 1200 and found.select("key", "point").distinct().count() == 1200
     # each point's answers are added to the same rows, which are read once
     assert sorted(len(columns) for columns in scored) == [3, 3, 4, 4, 5, 5, 6, 6]
+
+
+def _shape(model):
+    """Every node of every tree; a 0/1 slot's threshold and its set read alike."""
+    def walk(node, out):
+        inner = node.numDescendants() > 0
+        split = node.split() if inner else None
+        kind = split.getClass().getSimpleName() if inner else ""
+        at = split.threshold() if kind == "ContinuousSplit" else 0.5 if inner and list(split.leftCategories()) == [0.0] else None
+        out.append((split.featureIndex(), at, round(node.gain(), 12)) if inner else node.prediction())
+        if inner:
+            walk(node.leftChild(), out)
+            walk(node.rightChild(), out)
+        return out
+    return [walk(t._java_obj.rootNode(), []) for t in model.stages[-1].trees]
+
+
+def test_binary_slots_split_as_numbers_give_the_same_trees(spark, monkeypatch):
+    rows = spark.range(30000).select(
+        F.col("id").alias("k"), (F.col("id") * 7919 % 12).cast("string").alias("a"), (F.col("id") * 31 % 40).cast("string").alias("b"),
+        F.when(F.col("id") % 10007 == 5, "rare").otherwise((F.col("id") % 3).cast("string")).alias("d"),
+        (F.col("id") % 101).cast("double").alias("x"),
+        F.element_at(F.array(F.lit("p"), F.lit("q"), F.lit("r")), ((F.col("id") * 7919 % 12 + F.col("id") * 31 % 40 + F.col("id") % 4) % 3 + 1).cast("int")).alias("t"))
+    cats = ["a", "b", "d"]
+    stages = [features.index_categories([*cats, "t"], [*[x + "_i" for x in cats], "label"]),
+              features.one_hot([x + "_i" for x in cats], [x + "_o" for x in cats]),
+              features.assemble([*[x + "_o" for x in cats], "x"]), models.forest_classifier(num_trees=8, max_depth=4)]
+    found = models.train(stages, rows, "k", partitions=8)
+    kinds = {s.getClass().getSimpleName() for t in found.stages[-1].trees for s in [t._java_obj.rootNode().split()]}
+    assert kinds == {"ContinuousSplit"}
+    monkeypatch.setattr(models, "SAMPLED", float("inf"))
+    assert _shape(models.train(stages, rows, "k", partitions=8)) == _shape(found)
+
+
+def test_rare_binary_slots_stay_binary(spark):
+    rows = spark.range(30000).select((F.col("id") % 2).cast("string").alias("a"), F.when(F.col("id") < 20, "r").otherwise("s").alias("b"),
+                                     (F.col("id") % 3).cast("double").alias("label"))
+    stages = [features.index_categories(["a", "b"]), features.one_hot(["a_idx", "b_idx"], ["a_o", "b_o"], drop_last=False),
+              features.assemble(["a_o", "b_o"])]
+    df = Pipeline(stages=stages).fit(rows).transform(rows).select("label", "features")
+    attrs = models.split_at_half(df, models.forest_classifier()).schema["features"].metadata["ml_attr"]["attrs"]
+    names = {kind: {x["name"] for x in group} for kind, group in attrs.items()}
+    # a slot of 20 in 30,000 rows may be missing in a sample of 10,000; one that no row has is never split
+    assert {"b_o_r", "b_o_s"} <= names["binary"] and {"a_o_0", "a_o_1"} <= names["numeric"]
+    assert models.split_at_half(df, models.tree_regressor("label")) is df
