@@ -17,8 +17,9 @@ differs (backtick vs double quote).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from roadframe.session import checkpoint_dir, fresh_shared_path, path_exists
+from roadframe.session import checkpoint_dir, compiled_methods, fresh_shared_path, path_exists
 from roadframe.sources.delimited import read_delimited, write_delimited
 from roadframe.sources.tables import load_table
 
@@ -82,9 +83,11 @@ def fixture_sql(dialect: str = "duckdb") -> str:
 
 
 def crash_fixture(spark: SparkSession, orders: DataFrame) -> DataFrame:
-    """Raw 29-column crash frame (all strings) projected from ``orders``."""
+    """Raw 29-column crash frame (all strings) projected from ``orders``. The
+    projection uses the day only, so it is taken once, not in each expression."""
     text = _FIXTURE_TEMPLATE.replace("{q}", "`")
-    return spark.sql(text, orders=orders.select("o_orderkey", "o_custkey", "o_orderdate")).drop("_k")
+    used = orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_orderdate"))
+    return spark.sql(text, orders=used).drop("_k")
 
 
 _LANDED: dict[tuple[str, str, str], str] = {}
@@ -108,12 +111,13 @@ def landed_fixture(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> Da
         # that the one file of a provided table does not make every later
         # crash query a single task
         raw = crash_fixture(spark, load_table(spark, sf_dir, "orders"))
-        if fmt == "parquet":
-            raw.write.option("maxRecordsPerFile", FILE_RECORDS).parquet(path)
-        elif fmt == "csv":
-            write_delimited(raw, path, max_records=FILE_RECORDS)
-        else:
-            raise ValueError(f"unknown format {fmt!r}")
+        with compiled_methods(spark):
+            if fmt == "parquet":
+                raw.write.option("maxRecordsPerFile", FILE_RECORDS).parquet(path)
+            elif fmt == "csv":
+                write_delimited(raw, path, max_records=FILE_RECORDS)
+            else:
+                raise ValueError(f"unknown format {fmt!r}")
         _LANDED[key] = path
     if fmt == "parquet":
         return spark.read.parquet(path)

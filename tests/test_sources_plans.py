@@ -2,6 +2,8 @@
 
 import tempfile
 
+import pytest
+
 from roadframe import schema as S
 from roadframe.plans import catalog, cleaning
 from roadframe.sources import delimited
@@ -109,3 +111,37 @@ def test_land_as_parquet_partitioned(spark, sf_dir):
     assert any(d.startswith("BOROUGH=") for d in os.listdir(out))
     plan = plan_text(landed.where(f"`{S.BOROUGH}` = 'QUEENS'"))
     assert "PartitionFilters" in plan and "QUEENS" in plan.split("PartitionFilters")[1]
+
+
+def test_landing_runs_no_method_too_long_to_compile(spark, monkeypatch, tmp_path):
+    from datetime import datetime
+
+    from pyspark.sql import DataFrameWriter
+
+    from roadframe.session import compiled_methods
+    from roadframe.sources import fixture
+    key = "spark.sql.codegen.hugeMethodLimit"
+    # every 50th key comes twice; nulls, and times next to midnight
+    rows = [(k, k * 3, datetime(2020, 1 + k % 12, 1 + k % 28, 23 * (k % 2), 59)) for k in range(200)]
+    rows += [(None, 5, datetime(2020, 5, 5)), (6, None, datetime(2020, 5, 5)), (7, 5, None)]
+    orders = spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    limits, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: (
+        limits.append(int(spark.conf.get(key))), write(self, path, *a, **k))[1])
+    usual = spark.conf.get(key)
+    landed = fixture.landed_fixture(spark, str(tmp_path))
+    assert limits == [8000] and spark.conf.get(key) == usual
+    # the same rows as the SQL text over the stored timestamps
+    orders.createOrReplaceTempView("landing_orders")
+    plain = spark.sql(fixture.fixture_sql("spark").replace("FROM orders", "FROM landing_orders")).drop("_k")
+    assert landed.columns == plain.columns and landed.count() == plain.count() > 200
+    assert not landed.exceptAll(plain).count() and not plain.exceptAll(landed).count()
+    spark.conf.set(key, "100")
+    try:
+        with pytest.raises(ValueError), compiled_methods(spark):
+            assert spark.conf.get(key) == "100"  # a lower limit stays
+            raise ValueError
+        assert spark.conf.get(key) == "100"
+    finally:
+        spark.conf.set(key, usual)
