@@ -7,7 +7,8 @@
 4. Buckets that still hold several classes are searched block by block:
    first, round by round, each text outside its centre's class is compared
    with the text of another class that agrees best, until no round links any
-   more; then all pairs of different classes whose signatures agree often
+   more, a round after the first only where the last one's links joined
+   classes; then all pairs of different classes whose signatures agree often
    enough are verified where they meet, and only links leave the block.
 Pairs count only if the probability Jaccard similarity of their weighted
 shingles reaches the threshold, the one that registers estimate: the weight of
@@ -116,22 +117,55 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float = SIMILARITY) -
     return common.where(F.col("_common") >= threshold * (F.col("_u") + F.col("_v") - F.col("_common"))).select("a", "b")
 
 
-def _open(buckets: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Bucket rows with their class and whether it is another than their
-    centre's (``open``), and the open texts of each bucket that has some."""
+def _labelled(buckets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Bucket rows with their class, that of their centre (``main``) and
+    whether the two differ (``open``), stored."""
     known = buckets.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    of_centre = classes.select(F.col("node").alias("centre"), F.col("component").alias("_main"))
-    known = known.join(of_centre, "centre", "left").withColumn(
-        "open", F.col("component") != F.coalesce("_main", "centre")).drop("_main")
-    known = stored(known, "known")
+    of_centre = classes.select(F.col("node").alias("centre"), F.col("component").alias("main"))
+    known = known.join(of_centre, "centre", "left").withColumn("main", F.coalesce("main", "centre"))
+    return stored(known.withColumn("open", F.col("component") != F.col("main")), "known")
+
+
+def _opened(known: DataFrame) -> DataFrame:
+    """The rows of the buckets that have an open text, with their number
+    (``n_open``), stored."""
     sizes = known.groupBy("band", "key").agg(F.sum(F.col("open").cast("long")).alias("n_open")).where("n_open > 0")
-    return known, stored(sizes, "open-keys")
+    return stored(known.join(stored(sizes, "open-keys"), ["band", "key"]), "open-rows")
+
+
+def _between(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """``links`` as pairs ``(a, b)`` of the classes that they join, stored."""
+    for end in ("a", "b"):
+        of = classes.select(F.col("node").alias(end), F.col("component").alias("_class"))
+        links = links.join(of, end, "left").withColumn(end, F.coalesce("_class", end)).drop("_class")
+    return stored(links.select("a", "b"), "class-links")
+
+
+def _relabelled(rows: DataFrame, merged: DataFrame) -> DataFrame:
+    """Rows of ``_opened`` after classes were ``merged`` (``node``, a class,
+    is now in ``component``), stored."""
+    for name in ("component", "main"):
+        now = merged.select(F.col("node").alias(name), F.col("component").alias("_now"))
+        rows = rows.join(now, name, "left").withColumn(name, F.coalesce("_now", name)).drop("_now")
+    return stored(rows.drop("n_open").withColumn("open", F.col("component") != F.col("main")), "known")
+
+
+def _grown(opened: DataFrame, merged: DataFrame, joined: DataFrame) -> DataFrame:
+    """The rows to search again after the links ``joined`` between classes:
+    the buckets that hold a text of a class that grew, and only the texts of
+    such classes are open. The others would find the same texts as before."""
+    grew = merged.join(joined.select(F.col("a").alias("node")), "node", "left_semi").select("component").distinct()
+    grew = stored(grew, "grown")
+    parts = merged.join(grew, "component", "left_semi").select(F.col("node").alias("component"))
+    keys = opened.join(parts, "component", "left_semi").select("band", "key").distinct()
+    known = _relabelled(opened.join(stored(keys, "grown-keys"), ["band", "key"], "left_semi"), merged)
+    known = known.join(grew.withColumn("_grew", F.lit(True)), "component", "left")
+    return _opened(known.withColumn("open", F.col("open") & F.col("_grew").isNotNull()).drop("_grew"))
 
 
-def _blocks(members: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _blocks(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of buckets dealt to block pairs: every open text to all blocks of
     members, every member to all blocks of open texts."""
-    rows = members.join(sizes, ["band", "key"])
     deal = lambda n: F.pmod(F.xxhash64("node", "band"), n).cast("int")
     member_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     open_blocks = F.ceil(F.col("n_open") / BLOCK).cast("int")
@@ -229,20 +263,33 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
         F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
     tested = stored(pairs, "pairs")
     found = stored(verified(tested, sides, threshold), "links")
+    classes = components(found)
+    # a closed bucket stays closed: from here on only the open ones are read
+    rows = opened = _opened(_labelled(buckets, classes))
+    sides = stored(sides.join(opened.select("node").distinct().hint("merge"), "node", "left_semi"), "open-candidates")
+    joined = merged = None  # links between the classes of step 3, and the classes that they make
     while True:
-        classes = components(found)
-        left, right = _blocks(*_open(buckets, classes))
-        pairs = stored(_searched(left, right, sides, threshold, best=True), "open-pairs").distinct()
+        pairs = stored(_searched(*_blocks(rows), sides, threshold, best=True), "open-pairs").distinct()
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "new-pairs")
-        more = stored(verified(pairs, sides, threshold), "new-links")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        more = stored(verified(pairs, sides.join(ends, "node", "left_semi"), threshold), "new-links")
         if more.isEmpty():
             break
-        found = stored(found.union(more), "links")
-        tested = stored(tested.union(pairs), "pairs")
-    more = stored(_searched(left, right, sides, threshold, best=False).distinct(), "last-links")
+        found, tested = found.union(more), tested.union(pairs)
+        new = _between(more, classes)
+        joined = stored(joined.union(new), "joined") if joined is not None else new
+        merged = components(joined)
+        rows = _grown(opened, merged, new)
+    rows = _opened(_relabelled(opened, merged)) if merged is not None else opened
+    more = stored(_searched(*_blocks(rows), sides, threshold, best=False).distinct(), "last-links")
     if not more.isEmpty():
-        found = stored(found.union(more), "links")
-        classes = components(found)
+        found = found.union(more)
+        new = _between(more, classes)
+        merged = components(joined.union(new) if joined is not None else new)
+    if merged is not None:
+        now = merged.select(F.col("node").alias("component"), F.col("component").alias("_now"))
+        loose = merged.select("node", F.col("node").alias("component")).join(classes, "node", "left_anti")
+        classes = classes.union(loose).join(now, "component", "left").select("node", F.coalesce("_now", "component").alias("component"))
     links = found.select("a").union(found.select("b")).groupBy("a").agg(F.count(F.lit(1)).alias("links"))
 
     texts = texts.withColumnRenamed("hash", "text_hash")

@@ -98,6 +98,33 @@ def test_shingles_weigh_their_distinct_words(spark, table):
                         assert found[i] != found[j]
 
 
+def sliding(n, seed, step=8, length=100):
+    """Texts that only resemble their neighbours in a row of windows over one long text."""
+    words = [f"c{x}" for x in np.random.default_rng(seed).integers(0, 10 ** 6, length + n * step)]
+    return [" ".join(words[i * step:i * step + length]) for i in range(n)]
+
+
+def test_later_rounds_read_only_what_changed(spark, monkeypatch):
+    """Rounds of step 4 used to label every bucket row again."""
+    texts = [t for seed in range(3) for t in sliding(30, seed)]
+    texts += [t for seed in range(100, 250) for _, t in near_copies(2, seed)]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes, keep = [], dedup.stored
+
+    def spy(df, name):
+        out = keep(df, name)
+        sizes.append((name, out.count()))
+        return out
+    monkeypatch.setattr(dedup, "stored", spy)
+    found = dedup.near_duplicates(docs).collect()
+    assert Counter((r.doc_id, r.class_id) for r in found) == Counter(brute_classes(rows))
+    whole = dict(sizes)["centred"]
+    labelled = [n for name, n in sizes if name == "known"]
+    assert [name for name, _ in sizes].count("new-links") >= 2
+    assert labelled[0] == whole and sum(labelled[1:]) < whole
+
+
 def test_texts_of_one_number_stay_apart(spark, monkeypatch):
     """Texts whose 64-bit numbers fall together are told apart by the longer hash."""
     from pyspark.sql import functions as F
