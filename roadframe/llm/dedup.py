@@ -153,7 +153,8 @@ def _relabelled(rows: DataFrame, merged: DataFrame) -> DataFrame:
 def _grown(opened: DataFrame, merged: DataFrame, joined: DataFrame) -> DataFrame:
     """The rows to search again after the links ``joined`` between classes:
     the buckets that hold a text of a class that grew, and only the texts of
-    such classes are open. The others would find the same texts as before."""
+    such classes are open. The others would find the same texts as before, or
+    ones that agree as much; the last search verifies all that agree enough."""
     grew = merged.join(joined.select(F.col("a").alias("node")), "node", "left_semi").select("component").distinct()
     grew = stored(grew, "grown")
     parts = merged.join(grew, "component", "left_semi").select(F.col("node").alias("component"))
