@@ -4,20 +4,23 @@ double-array tries over the numbers of frequent words.
 Every text is lower-cased (A-Z) and cut into pieces and words once, and its
 frequent words are written as numbers. At level k the trie holds the frequent
 phrases of k - 1 words; numpy advances the states of all positions of a block
-together. A position whose own and whose next state both accept begins an
-Apriori-safe candidate: each block counts its candidates, and the counts are
-summed over blocks. All pairs of frequent words would be quadratic, so the
-candidates of a level are found in the texts, not listed beforehand.
+together. What passes one trie's size is dealt to several by a hash; a position
+asks its own trie only, so a level reads its blocks once. A position whose own
+and whose next state both accept begins an Apriori-safe candidate: each block
+counts its candidates, and the counts are summed over blocks. All pairs of
+frequent words would be quadratic, so the candidates of a level are found in the
+texts, not listed beforehand.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadframe.llm.common import ordered, read_table, ship_package, stored
@@ -29,15 +32,20 @@ LONGEST = 4
 #: a phrase is covered by a longer one with this percentage of its places
 COVER = 80
 TOP = 2000
-#: bounds of one broadcast trie: bytes of words, number of phrases. More of
-#: them are dealt to further tries, walked one after the other.
+#: sizes of one broadcast trie: bytes of words, number of phrases. More of
+#: them are dealt to further tries by a hash, so each is asked in one trie only.
 TRIE_BYTES = 1 << 22
 TRIE_PHRASES = 1 << 19
+#: factor and prime of the hash that deals phrases
+DEAL = (1_103_515_245, (1 << 31) - 1)
+#: bytes of text cut into words at once, and for which all tries are opened once
 SLICE = 2 << 20
-#: word numbers in a stored row (10,000 of them travel to a worker at once) and in
-#: a block that is counted at once
+WALK_BYTES = 1 << 24
+#: word numbers in a stored row (10,000 of them travel to a worker at once), in a block that is
+#: counted at once and for which all tries are opened once, and candidates sent at once
 ROW_IDS = 1 << 7
-BLOCK_IDS = 1 << 18
+BLOCK_IDS = 1 << 20
+SENT = 1 << 17
 #: bits of a word's number in a candidate's code, below those of its prefix
 WORD_BITS = 31
 SALTS = 32
@@ -82,12 +90,15 @@ class PieceWords:
         self.joined = np.zeros(len(at), bool)
         self.joined[1:] = piece[1:] == piece[:-1]
 
-    def bytes(self) -> tuple[np.ndarray, np.ndarray]:
-        """Offsets and data of the unique words."""
-        n = len(self.unique)
-        offsets = np.frombuffer(self.unique.buffers()[1], np.int64, n + 1, self.unique.offset * 8)
-        raw = self.unique.buffers()[2]
-        return offsets, np.frombuffer(raw, np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
+
+def binary_parts(words: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and data of byte strings."""
+    n = len(words)
+    if not n:
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    raw = words.buffers()[2]
+    return (np.frombuffer(words.buffers()[1], np.int64, n + 1, words.offset * 8),
+            np.frombuffer(raw, np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8))
 
 
 def _by_language(batch: pa.RecordBatch) -> tuple[list[str], np.ndarray]:
@@ -114,34 +125,73 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
 
 
-def _encoder(held, last: bool):
+def _opened(tries: list) -> Iterator[DoubleArray]:
+    """The broadcast tries in turn; of several, a worker keeps none but the current."""
+    for held in tries:
+        path = getattr(held, "_path", None) if len(tries) > 1 else None  # none under encryption
+        yield held.load_from_path(path) if path else held.value
+
+
+class _Slice:
+    """A slice of texts for the encoder: its distinct words by language, and
+    the ``place`` of every word among them."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        words = PieceWords(batch.column(1))
+        langs, lang = _by_language(batch)
+        self.joined, self.unique = words.joined, words.unique
+        span = len(words.unique) + 1
+        pairs = pa.array(lang[words.row] * span + words.code).dictionary_encode()
+        self.place = pairs.indices.to_numpy(zero_copy_only=False)
+        keys = pairs.dictionary.to_numpy(zero_copy_only=False)
+        order = np.argsort(keys // span, kind="stable")
+        cuts = np.searchsorted(keys[order] // span, np.arange(len(langs) + 1))
+        #: (language and zero byte, places, codes)
+        self.asked = [(name.encode() + b"\0", order[i:j], keys[order[i:j]] % span)
+                      for name, i, j in zip(langs, cuts, cuts[1:]) if i < j]
+        self.number = np.zeros(len(keys), np.int32)
+
+    def spelled(self, codes: np.ndarray) -> pa.LargeBinaryArray:
+        return self.unique.take(pa.array(codes))
+
+
+def _slice_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[_Slice]]:
+    """Slices of about WALK_BYTES of text together."""
+    group, held = [], 0
+    for whole in batches:
+        for batch in slices(whole, 1, most_rows=20000, most_bytes=SLICE):
+            group.append(_Slice(batch))
+            held += pc.sum(pc.binary_length(batch.column(1))).as_py() or 0
+            if held >= WALK_BYTES:
+                yield group
+                group, held = [], 0
+        release()
+    if group:
+        yield group
+
+
+def _encoder(tries: list):
     """Write known words as numbers from 1; 0 stands between pieces and for
-    other words. Words found by an earlier trie keep their number."""
+    other words. A word is looked up in the one trie it is dealt to, once for
+    each slice and language."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie: DoubleArray = held.value
-        for whole in batches:
-            for batch in slices(whole, 1, most_rows=20000, most_bytes=SLICE):
-                words = PieceWords(batch.column(1))
-                langs, lang = _by_language(batch)
-                mine = lang[words.row]
-                offsets, data = words.bytes()
-                number = np.zeros(len(words.code), np.int32)
-                for i, name in enumerate(langs):
-                    start = trie.state(name.encode() + b"\0")
-                    if start >= 0:
-                        found = (trie.look_up(offsets, data, start) + 1).astype(np.int32)
-                        here = mine == i
-                        number[here] = found[words.code[here]]
-                cuts = np.searchsorted(words.row, np.arange(len(batch) + 1)).astype(np.int32)
-                if batch.num_columns > 2:
-                    number = np.maximum(number, batch.column(2).flatten().to_numpy(zero_copy_only=False))
-                if not last:
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0), batch.column(1), pa.ListArray.from_arrays(cuts, pa.array(number))],
-                        names=["lang", "text", "ids"])
-                    continue
-                yield pa.RecordBatch.from_arrays([_rows(_runs(number, words.joined))], names=["ids"])
+        for group in _slice_groups(batches):
+            asked = []
+            for part in group:
+                for start, places, codes in part.asked:
+                    shard = np.zeros(len(codes), np.int64)
+                    if len(tries) > 1:
+                        seed = zlib.crc32(start)
+                        shard = np.array([zlib.crc32(w, seed) for w in part.spelled(codes).to_pylist()], np.int64) % len(tries)
+                    asked.append((part, start, places, codes, shard))
+            for k, trie in enumerate(_opened(tries)):
+                for part, start, places, codes, shard in asked:
+                    state, mine = trie.state(start), shard == k
+                    if state >= 0 and mine.any():
+                        part.number[places[mine]] = trie.look_up(*binary_parts(part.spelled(codes[mine])), state) + 1
+            for part in group:
+                yield pa.RecordBatch.from_arrays([_rows(_runs(part.number[part.place], part.joined))], names=["ids"])
             release()
 
     return encode
@@ -171,17 +221,32 @@ def _rows(values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], cuts, [len(values)])).astype(np.int32)), pa.array(values))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """The columns of whole rows together, about BLOCK_IDS numbers at a time."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The numbers of whole rows together, about BLOCK_IDS at a time."""
+    group, held = [], 0
     for batch in batches:
         sizes = np.cumsum(pc.list_value_length(batch.column(0)).to_numpy())
         start = 0
         while start < len(sizes):
             done = sizes[start - 1] if start else 0
-            end = max(start + 1, int(np.searchsorted(sizes, done + BLOCK_IDS, side="right")))
-            yield tuple(c.flatten().to_numpy(zero_copy_only=False) for c in batch.slice(start, end - start).columns)
-            start = end
+            end = max(start + 1, int(np.searchsorted(sizes, done + BLOCK_IDS - held, side="right")))
+            group.append(batch.column(0).slice(start, end - start).flatten().to_numpy(zero_copy_only=False))
+            start, held = end, held + len(group[-1])
+            if held >= BLOCK_IDS or start < len(sizes):
+                yield np.concatenate(group)
+                group, held = [], 0
         release()
+    if group:
+        yield np.concatenate(group)
+
+
+def dealt(words: Sequence, shards: int):
+    """The trie, of ``shards``, that a phrase of these word numbers (64 bits) is
+    dealt to: the same of arrays and of Spark's columns."""
+    place = 0
+    for word in words:
+        place = (place * DEAL[0] + word) % DEAL[1]
+    return place % shards
 
 
 def digits(words: np.ndarray, width: int) -> list[np.ndarray]:
@@ -189,66 +254,67 @@ def digits(words: np.ndarray, width: int) -> list[np.ndarray]:
     return [(words >> shift) & 255 for shift in range(8 * (width - 1), -1, -8)]
 
 
-def advance(trie: DoubleArray, ids: np.ndarray, size: int, width: int) -> np.ndarray:
+def advance(tries: list, ids: np.ndarray, size: int, width: int) -> np.ndarray:
     """Number of the phrase of ``size`` words that begins at each place, 0 if
-    the trie has none."""
+    no trie has one. Every place is walked in the one trie it is dealt to."""
     places = len(ids) - size + 1
     out = np.zeros(len(ids), np.int64)
     if places <= 0:
         return out
-    states = trie.walk([d for k in range(size) for d in digits(ids[k:k + places], width)])
-    ends = np.flatnonzero(states >= 0)
-    out[ends] = trie.value[states[ends]] + 1
+    words = [ids[k:k + places] for k in range(size)]
+    full = np.flatnonzero(np.logical_and.reduce([w > 0 for w in words]))
+    if len(tries) > 1:
+        shard = dealt([w[full].astype(np.int64) for w in words], len(tries))
+        full = full[np.argsort(shard, kind="stable")]
+        ends = np.cumsum(np.bincount(shard, minlength=len(tries)))
+    else:
+        ends = [len(full)]
+    first = 0
+    for trie, end in zip(_opened(tries), ends):
+        here, first = full[first:end], end
+        states = trie.walk([d for w in words for d in digits(w[here], width)])
+        found = np.flatnonzero(states >= 0)
+        out[here[found]] = trie.value[states[found]] + 1
     return out
 
 
-def _stater(held, size: int, width: int):
-    """Fill the phrase numbers that one of several tries knows."""
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, *known in _blocks(batches):
-            states = advance(held.value, ids, size, width)
-            rows = _rows(ids)
-            states = pa.array(np.maximum(states, known[0]) if known else states)
-            yield pa.RecordBatch.from_arrays([rows, pa.ListArray.from_arrays(rows.offsets, states)], names=["ids", "states"])
-
-    return fill
-
-
-def _extender(held, size: int, width: int):
+def _extender(tries: list, size: int, width: int):
     """(code, n): candidates of ``size`` words, counted per block; the code
     holds the number of the phrase without its last word, and that word's."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, *known in _blocks(batches):
-            states = ids.astype(np.int64) if size == 2 else advance(held.value, ids, size - 1, width)
-            if known:
-                states = np.maximum(states, known[0])
+        for ids in _blocks(batches):
+            states = ids.astype(np.int64) if size == 2 else advance(tries, ids, size - 1, width)
             safe = np.flatnonzero((states[:-1] > 0) & (states[1:] > 0))
             codes, n = np.unique((states[safe] << WORD_BITS) | ids[safe + size - 1], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n.astype(np.int64))], names=["code", "n"])
+            for k in range(0, len(codes), SENT):
+                yield pa.RecordBatch.from_arrays([pa.array(codes[k:k + SENT]), pa.array(n[k:k + SENT].astype(np.int64))],
+                                                 names=["code", "n"])
 
     return count
 
 
 def _word_trie(vocabulary: DataFrame, shard: int) -> DoubleArray:
-    """Keys are language, a zero byte and the word; at most TRIE_BYTES and one word."""
-    part = vocabulary.where(F.col("shard") == shard).select(
-        F.concat(F.encode("lang", "utf-8"), F.lit(b"\0"), F.encode("word", "utf-8")).alias("key"), "id").toArrow()
-    keys = part.column("key").cast(pa.large_binary()).combine_chunks()
-    offsets = np.frombuffer(keys.buffers()[1], np.int64, len(keys) + 1, keys.offset * 8)
-    return DoubleArray(offsets, np.frombuffer(keys.buffers()[2], np.uint8), part.column("id").to_numpy() - 1)
+    """Keys are language, a zero byte and the word; about TRIE_BYTES."""
+    part = vocabulary.where(F.col("shard") == shard).select(_key().alias("key"), "id").toArrow()
+    keys = pa.concat_arrays([pa.array([], pa.large_binary()), *part.column("key").cast(pa.large_binary()).chunks])
+    return DoubleArray(*binary_parts(keys), part.column("id").to_numpy() - 1)
 
 
 def _phrase_trie(phrases: DataFrame, shard: int, size: int, width: int) -> DoubleArray:
-    """Keys are the bytes of the words' numbers; at most TRIE_PHRASES."""
-    part = phrases.where(F.col("shard") == shard).select("words", "id").toArrow()
-    words = part.column("words").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
-    data = np.stack([d for k in range(size) for d in digits(words[:, k], width)], axis=1).astype(np.uint8).ravel()
-    offsets = np.arange(len(words) + 1, dtype=np.int64) * (size * width)
+    """Keys are the bytes of the words' numbers; about TRIE_PHRASES."""
+    part = phrases.where(F.col("shard") == shard).select(
+        *(F.element_at("words", k + 1).alias(f"w{k}") for k in range(size)), "id").toArrow()
+    words = [part.column(k).to_numpy() for k in range(size)]
+    data = np.stack([d for w in words for d in digits(w, width)], axis=1).astype(np.uint8).ravel()
+    offsets = np.arange(len(part) + 1, dtype=np.int64) * (size * width)
     return DoubleArray(offsets, data, part.column("id").to_numpy() - 1)
 
 
+def _key() -> Column:
+    return F.concat(F.encode("lang", "utf-8"), F.lit(b"\0"), F.encode("word", "utf-8"))
+
+
 def _shards(df: DataFrame) -> int:
     return int(df.agg(F.coalesce(F.max("shard") + 1, F.lit(0))).first()[0])
 
@@ -260,56 +326,55 @@ def count_words(docs: DataFrame, support: int) -> tuple[DataFrame, DataFrame]:
     counts = texts.mapInArrow(_word_counts, "lang string, word string, n long").groupBy("lang", "word").agg(
         F.sum("n").alias("n"))
     counts = stored(counts.where((F.col("n") >= support) | F.col("word").isNull()), "phrase-words")
-    frequent = counts.where(F.col("word").isNotNull()).withColumn(
-        "size", (F.octet_length("lang") + F.octet_length("word") + 1).cast("long"))
-    numbered = ordered(frequent, [F.desc("n"), F.col("lang"), F.col("word")], "phrase-vocabulary", sums=["size"])
+    frequent = counts.where(F.col("word").isNotNull())
+    size = frequent.agg(F.sum(F.octet_length("lang") + F.octet_length("word") + 1)).first()[0] or 0
+    shards = max(1, -(-size // TRIE_BYTES))
+    numbered = ordered(frequent, [F.desc("n"), F.col("lang"), F.col("word")], "phrase-vocabulary")
     vocabulary = numbered.select((F.col("rank") + 1).alias("id"), "lang", "word", "n",
-                                 F.floor(F.col("size_before") / TRIE_BYTES).cast("int").alias("shard"))
-    return stored(vocabulary, "phrase-numbers"), counts.where("word is null").select("lang", F.col("n").alias("total"))
+                                 (F.crc32(_key()) % shards).cast("int").alias("shard"))
+    return (stored(vocabulary, "phrase-numbers", by=["shard"]),
+            counts.where("word is null").select("lang", F.col("n").alias("total")))
 
 
 def encode(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Blocks (ids): the texts' frequent words as numbers, stored."""
     spark = docs.sparkSession
-    table = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
     shards = _shards(vocabulary)
-    for shard in range(shards):
-        last = shard == shards - 1
-        held = spark.sparkContext.broadcast(_word_trie(vocabulary, shard))  # bound: TRIE_BYTES edges
-        schema = "ids array<int>" if last else "lang string, text string, ids array<int>"
-        table = stored(table.mapInArrow(_encoder(held, last), schema), f"phrase-ids-{shard}")
+    if not shards:
+        return spark.createDataFrame([], "ids array<int>")
+    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
+    # bound of one: about TRIE_BYTES edges
+    tries = [spark.sparkContext.broadcast(_word_trie(vocabulary, shard)) for shard in range(shards)]
+    blocks = stored(texts.mapInArrow(_encoder(tries), "ids array<int>"), "phrase-ids")
+    for held in tries:
         held.destroy()
-    return table if shards else spark.createDataFrame([], "ids array<int>")
+    return blocks
 
 
 def extend(blocks: DataFrame, shorter: DataFrame, size: int, support: int, width: int) -> DataFrame:
     """Frequent phrases of ``size`` words: (id, words, lang, n, shard), from
     those of one word less; a word's number has ``width`` bytes."""
-    sc = blocks.sparkSession.sparkContext
-    held, table = None, blocks
-    if size > 2:
-        shards = _shards(shorter)
-        for shard in range(shards):
-            if held is not None:  # further tries: the states found so far are written
-                table = stored(table.mapInArrow(_stater(held, size - 1, width), "ids array<int>, states array<long>"),
-                               f"phrase-states-{size}-{shard}")
-                held.destroy()
-            held = sc.broadcast(_phrase_trie(shorter, shard, size - 1, width))  # bound: TRIE_PHRASES keys
+    spark = blocks.sparkSession
+    # bound of one: about TRIE_PHRASES keys
+    tries = [spark.sparkContext.broadcast(_phrase_trie(shorter, shard, size - 1, width))
+             for shard in range(_shards(shorter) if size > 2 else 0)]
     schema = "code long, n long"
-    if size > 2 and held is None:
-        counted = blocks.sparkSession.createDataFrame([], schema)
+    if size > 2 and not tries:
+        counted = spark.createDataFrame([], schema)
     else:
-        counted = table.mapInArrow(_extender(held, size, width), schema)
+        counted = blocks.mapInArrow(_extender(tries, size, width), schema)
     frequent = counted.groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
     numbered = ordered(frequent, [F.col("code")], f"phrase-level-{size}").withColumns({
         "prefix": F.shiftright("code", WORD_BITS),
         "word": F.col("code").bitwiseAND(F.lit((1 << WORD_BITS) - 1)).cast("int")})
+    shards = max(1, -(-numbered.count() // TRIE_PHRASES))
     prefixes = shorter.select(F.col("id").alias("prefix"), "lang", F.col("words").alias("_before"))
     out = numbered.join(prefixes, "prefix").select(
-        (F.col("rank") + 1).alias("id"), F.concat("_before", F.array("word")).alias("words"), "lang", "n",
-        F.floor(F.col("rank") / TRIE_PHRASES).cast("int").alias("shard"))
-    out = stored(out, f"phrase-{size}")
-    if held is not None:
+        (F.col("rank") + 1).alias("id"), F.concat("_before", F.array("word")).alias("words"), "lang", "n")
+    out = out.withColumn("shard", dealt([F.element_at("words", k + 1).cast("long") for k in range(size)],
+                                        shards).cast("int"))
+    out = stored(out, f"phrase-{size}", by=["shard"])
+    for held in tries:
         held.destroy()
     return out
 

@@ -93,6 +93,48 @@ def test_phrases_equal_brute_force(spark, monkeypatch):
     assert found() == expected
 
 
+def test_passes_do_not_grow_with_tries(spark, monkeypatch):
+    """The texts are cut into words once, and a level reads its blocks once."""
+    docs = spark.createDataFrame(made_rows(), "text string, lang string")
+    names, stored = [], M.stored
+    monkeypatch.setattr(M, "stored", lambda df, name, *a, **b: names.append(name) or stored(df, name, *a, **b))
+    M.mine(docs, support=6)
+    one, names[:] = list(names), []
+    monkeypatch.setattr(M, "TRIE_BYTES", 40)
+    monkeypatch.setattr(M, "TRIE_PHRASES", 7)
+    M.mine(docs, support=6)
+    assert len(names) == len(one)
+
+
+def test_tries_are_opened_once_a_block(monkeypatch):
+    """Every place is walked in one trie only; blocks cross the batches."""
+    random.seed(3)
+    tuples = sorted({(random.randrange(1, 300), random.randrange(1, 300)) for _ in range(4000)})
+    shard = M.dealt(list(np.array(tuples).T), 5)
+    assert np.bincount(shard, minlength=5).min() > 500
+    walked = []
+
+    class Held:
+        def __init__(self, k):
+            here = [i for i in range(len(tuples)) if shard[i] == k]
+            data = np.array([[b for w in tuples[i] for b in (w >> 8, w & 255)] for i in here], np.uint8).ravel()
+            self.value = DoubleArray(np.arange(len(here) + 1) * 4, data, np.array(here))
+            walk = self.value.walk
+            self.value.walk = lambda levels: walked.append(len(levels[0])) or walk(levels)
+
+    ids = np.array([random.randrange(300) for _ in range(20000)], np.int32)
+    known = {t: i + 1 for i, t in enumerate(tuples)}
+    got = M.advance([Held(k) for k in range(5)], ids, 2, 2)
+    pairs = list(zip(ids.tolist(), ids[1:].tolist()))
+    assert got.tolist() == [known.get(p, 0) for p in pairs] + [0]
+    assert len(walked) == 5 and sum(walked) == sum(a > 0 and b > 0 for a, b in pairs)
+    monkeypatch.setattr(M, "BLOCK_IDS", 1000)
+    batch = lambda part: pa.RecordBatch.from_arrays([M._rows(part)], names=["ids"])
+    ids[::40] = 0
+    blocks = list(M._blocks(map(batch, (ids[:400], ids[400:440], ids[440:9000], ids[9000:]))))
+    assert np.concatenate(blocks).tolist() == ids.tolist() and len(blocks) < 30 and max(map(len, blocks)) <= 1200
+
+
 def test_top_of_a_language(spark):
     rows = [("en", f"p{i:03d}", i % 7, 1 + i % 3) for i in range(300)]
     out = M.top(spark.createDataFrame(rows, "lang string, phrase string, score long, a long"), 20).orderBy("rank").collect()
