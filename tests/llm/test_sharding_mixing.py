@@ -138,6 +138,27 @@ def test_positions_follow_the_schedule(table):
         assert half[r.source] / r.target == pytest.approx(0.5 - r.slope / 4, abs=0.08)
 
 
+@pytest.mark.parametrize("which", ["odd", "table"])
+def test_places_are_the_training_order(odd_docs, table, which):
+    docs = odd_docs if which == "odd" else table("documents")
+    rows = mixing.plan_order(docs).collect()
+    plain = lambda rows: Counter((r.row, r.doc_id, r["size"], r.source, tuple(r.positions)) for r in rows)
+    assert plain(rows) == plain(mixing.plan_mix(docs).collect())
+    copies = sorted((place, r.positions[i], r.draw, i, r.row) for r in rows for i, place in enumerate(r.places))
+    assert [c[0] for c in copies] == list(range(sum(r.copies for r in rows)))
+    assert [c[1:] for c in copies] == sorted(c[1:] for c in copies)
+    order = mixing.training_order(mixing.plan_mix(docs)).select("place", "position", "draw", "copy", "row").collect()
+    assert [tuple(r) for r in order] == copies
+
+
+def test_query_returns_the_training_order(spark):
+    rows = mixing.op4_mixing(spark, "/root/testdata/sf0.001").collect()
+    places = sorted((place, position) for r in rows for place, position in zip(r.places, r.positions, strict=True))
+    assert len(places) == sum(r.copies for r in rows) > 0
+    assert [p[0] for p in places] == list(range(len(places)))
+    assert [p[1] for p in places] == sorted(p[1] for p in places)
+
+
 def test_mixed_documents_and_reruns(odd_docs, table):
     for docs in (odd_docs, table("documents")):
         plan = mixing.plan_mix(docs)
